@@ -70,5 +70,5 @@ def pair_fits(points: DataFrame, *by: str, x: str = "x", y: str = "y") -> DataFr
 
 
 def share_with(rows: DataFrame, group: str, has: Column) -> DataFrame:
-    """D8. (groups, having): how many groups there are, and how many with any row for which `has` is true."""
-    return rows.groupBy(group).agg(F.bool_or(has).alias("_h")).agg(F.count("*").alias("groups"), F.count_if("_h").alias("having"))
+    """D8. (groups, n_having): how many groups there are, and how many with any row for which `has` is true."""
+    return rows.groupBy(group).agg(F.bool_or(has).alias("_h")).agg(F.count("*").alias("groups"), F.count_if("_h").alias("n_having"))

@@ -229,7 +229,7 @@ def winners(candidates: DataFrame, group: str, rank: str, line: str, usable: str
     tried = candidates.withColumn("_try", F.row_number().over(w))
     if stops:
         ended = F.max(F.col(stops).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        tried = tried.where(F.coalesce(ended, F.lit(0)) == 0)
+        tried = tried.withColumn("_ended", F.coalesce(ended, F.lit(0))).where("_ended = 0")
     ok = F.when(F.col(usable), F.col("_try"))
     out = tried.groupBy(group).agg(F.min(ok).alias("_win"), F.count("*").alias("_n"), F.min_by(line, F.coalesce(ok, F.lit(2**31 - 1))).alias("_line"))
     won = F.col("_win").isNotNull()

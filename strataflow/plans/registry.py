@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from strataflow.plans import catalogue, timeline
+
+QUERIES = {**timeline.QUERIES, **catalogue.QUERIES}
+ORACLE = {**timeline.ORACLE, **catalogue.ORACLE}
 FLAGSHIP = "timeline_segments"
