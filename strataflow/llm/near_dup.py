@@ -20,7 +20,7 @@ UNIVERSE = 1 << 20
 #: One bit of each coordinate estimates similarity (standard deviation at 0.8: 0.027); pairs whose estimate is below 0.8 by SLACK (4.5 deviations) are passed over.
 SLACK = 0.12
 #: Members of a bucket that are held at a time while the bucket streams past.
-BLOCK = 256
+BLOCK = 4096
 #: Bytes of shingle sets that may be broadcast for the last confirmations.
 SETS_BYTES = 64_000_000
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -202,8 +202,8 @@ def _across(mixed: DataFrame, least: int) -> DataFrame:
                     mine.append((ids[part], of[part], n[part], sketch[part]))
                 else:
                     for x_ids, x_of, x_n, x_sketch in mine:
-                        for lo in range(start, end, 1024):
-                            at = slice(lo, min(lo + 1024, end))
+                        for lo in range(start, end, 256):
+                            at = slice(lo, min(lo + 256, end))
                             differ = np.zeros((len(x_ids), at.stop - lo), np.int32)
                             for k in range(sketch.shape[1]):
                                 differ += np.bitwise_count(x_sketch[:, k, None] ^ sketch[None, at, k])
