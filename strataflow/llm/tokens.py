@@ -9,11 +9,13 @@ from itertools import chain
 
 import numpy as np
 
-#: Entries of each half of the two caches at most.
-CACHED_CHUNKS, CACHED_PIECES = 200_000, 150_000
-#: A word of Latin-1 letters with punctuation after it: both tokenizers here part such a word in these two pieces.
-_SIMPLE = re.compile(r"^( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)$", re.MULTILINE)
-_BEFORE_WORD = re.compile(r" (?=\S)").split
+#: Entries of each half of the cache at most.
+CACHED_PIECES = 350_000
+#: Texts of these characters alone take the short way: ASCII but for control characters, line feeds, and Latin-1 letters.
+_PLAIN = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*")
+#: How the two files part texts before BPE, for that alphabet. With spaces kept, and without (lower case).
+_KEEP_SPACES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\s+(?!\S)|\s+")
+_NO_SPACES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
 
 
 def _byte_letters() -> list[str]:
@@ -26,10 +28,9 @@ def _byte_letters() -> list[str]:
 class Encoder:
     """encode(texts) gives each text's ids, as tokenizers' encode(text, add_special_tokens=False) does.
 
-    Both files part texts before a space that a non-space follows, so each such chunk is encoded once and kept. spaces=True: byte-level BPE that keeps
-    spaces (a chunk's own leading space belongs to it); False: word BPE that lower-cases and drops white space. A chunk of simple letters
-    is put together from the ids of its pieces; every other chunk goes through the library's whole encode. Texts that hold a special
-    token's string are encoded in one piece.
+    BPE works on one piece (a word, a run of marks) at a time, so the ids of each piece are kept, and a text is put together from its pieces. spaces=True: byte-level
+    BPE whose pieces hold the space before them; False: word BPE that lower-cases and drops white space. Texts with other
+    characters, or with a special token's string, go through the library's whole encode.
     """
 
     def __init__(self, path: str, spaces: bool):
@@ -38,43 +39,26 @@ class Encoder:
 
         self.whole, self.spaces = Tokenizer.from_file(path), spaces
         self.special = re.compile("|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or r"(?!)")
-        self.chunks, self.pieces = Halves(CACHED_CHUNKS), Halves(CACHED_PIECES)
+        self.pieces = Halves(CACHED_PIECES)
         letters = _byte_letters()
         self.letters = {b: letters[b] for b in range(256)}
 
-    def _learn(self, new: set[str]) -> None:
-        """Ids of new chunks; those of simple letters are found by one pattern over all of them, a line each."""
-        lines = [c for c in new if "\n" not in c]
-        simple = _SIMPLE.findall("\n".join(lines))
-        case = (lambda s, w: s + w) if self.spaces else (lambda s, w: w.lower())
-        words = [case(s, w) for s, w, _ in simple]
-        pieces = self.pieces.lacking(set(chain(words, [m for _, _, m in simple])))
-        tokenize, table, known = self.whole.model.tokenize, self.letters, self.pieces.young
-        for p in pieces:
-            known[p] = array("I", [t.id for t in tokenize(p.encode().decode("latin-1").translate(table))]).tobytes() if p else b""
-        young = self.chunks.young
-        for (s, w, m), word in zip(simple, words, strict=True):
-            young[s + w + m] = known[word] + known[m]
-        other = [c for c in new if c not in young]
-        for i in range(0, len(other), 2000):
-            part = other[i : i + 2000]
-            e = self.whole.encode(part, is_pretokenized=True, add_special_tokens=False)
-            at = np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(part) + 1))
-            raw = np.array(e.ids, "<u4").tobytes()
-            for k, c in enumerate(part):
-                young[c] = raw[4 * at[k] : 4 * at[k + 1]]
-
-    def _parts(self, text: str) -> list[str]:
-        if not self.spaces:
-            return text.replace("\n", " ").split(" ")
-        first, *rest = _BEFORE_WORD(text)
-        return [first, *[" " + p for p in rest]]
+    def _parts(self, text: str | None) -> list[str] | None:
+        if not text:
+            return []
+        if not _PLAIN.fullmatch(text) or self.special.search(text):
+            return None
+        return _KEEP_SPACES.findall(text) if self.spaces else _NO_SPACES.findall(text.lower())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        parts = [None if t and self.special.search(t) else self._parts(t or "") for t in texts]
-        self._learn(self.chunks.lacking(set(chain.from_iterable(p for p in parts if p))))
-        get = self.chunks.young.__getitem__
+        parts = list(map(self._parts, texts))
+        new = self.pieces.lacking(set(chain.from_iterable(p for p in parts if p)))
+        tokenize, table, young = self.whole.model.tokenize, self.letters, self.pieces.young
+        for p in new:
+            mapped = p if p.isascii() and p.isalnum() else p.encode().decode("latin-1").translate(table)
+            young[p] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
+        get = young.__getitem__
         return [np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)]
 
 
