@@ -295,7 +295,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     of_group = features.select("same", "copies", F.col("id")).join(labels, "id", "left").select("same", "copies", F.coalesce("component", "id").alias("component"))
     out = attach(made.select("id", "n", "same"), written(of_group, "classes"), "same", "copies")
-    component = F.coalesce("component", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 
