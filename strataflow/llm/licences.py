@@ -43,7 +43,7 @@ def idf(n: int, df: int) -> float:
 
 
 def scan_licences(files: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
-    """files with header_license, header_score, file_license, file_score, inherited_license, inherited_from, license and basis.
+    """files without their text, with header_license, header_score, file_license, file_score, inherited_license, inherited_from, license and basis.
 
     Vectors: term count times idf, idf = ln((1 + n) / (1 + df)) + 1 over all files with text; a word of no template is a dimension of
     df 0, so only template words need counting. header_license is the template with the greatest cosine to any line, if that is
@@ -59,7 +59,7 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
     above. Document frequencies are counted with partial aggregation. Directories are expanded to ancestors once each.
     """
     new = ["header_license", "header_score", "file_license", "file_score", "inherited_license", "inherited_from", "license", "basis"]
-    kept = [c for c in files.columns if c not in new]
+    kept = [c for c in files.columns if c not in [*new, text]]
     spark, of_template = files.sparkSession, _template_words(templates or TEMPLATES)
     vocabulary = sorted({w for words in of_template.values() for w in words})
     at = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit(""))
