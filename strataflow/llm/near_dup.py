@@ -193,7 +193,8 @@ def _across(mixed: DataFrame, least: int) -> DataFrame:
             bucket, block, side, ids, of, n = (b.column(i).to_numpy() for i in range(6))
             sketch = b.column(6).flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
             ends = [*(np.flatnonzero((np.diff(bucket) != 0) | (np.diff(block) != 0) | (np.diff(side) != 0)) + 1).tolist(), len(ids)]
-            rows, start = [], 0
+            rows: dict[int, list] = {}  # an id's finds in a batch go together
+            start = 0
             for end in ends if len(ids) else ():
                 part, now = slice(start, end), (bucket[start], block[start])
                 if now != key:
@@ -211,9 +212,9 @@ def _across(mixed: DataFrame, least: int) -> DataFrame:
                             ok &= 100 * np.minimum(x_n[:, None], n[None, at]) >= least * np.maximum(x_n[:, None], n[None, at])
                             for i in np.flatnonzero(ok.any(1)):
                                 j = np.flatnonzero(ok[i])
-                                rows.append((int(x_ids[i]), [{"differ": d, "id": y, "component": c} for d, y, c in zip(differ[i, j].tolist(), ids[at][j].tolist(), of[at][j].tolist(), strict=True)]))
+                                rows.setdefault(int(x_ids[i]), []).extend({"differ": d, "id": y, "component": c} for d, y, c in zip(differ[i, j].tolist(), ids[at][j].tolist(), of[at][j].tolist(), strict=True))
                 start = end
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], _OTHERS)], names=["a", "others"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), _OTHERS)], names=["a", "others"])
 
     found = dealt.mapInArrow(meet, "a long, others array<struct<differ:int,id:long,component:long>>")
     return found.groupBy("a").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("others")))).alias("others"))
