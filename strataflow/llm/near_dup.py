@@ -19,8 +19,8 @@ BANDS, ROWS = 64, 8
 UNIVERSE = 1 << 20
 #: One bit of each coordinate estimates similarity (standard deviation at 0.8: 0.027); pairs whose estimate is below 0.8 by SLACK (4.5 deviations) are passed over.
 SLACK = 0.12
-#: Members of a bucket that are held at a time while the bucket streams past.
-BLOCK = 4096
+#: Members of a bucket that are held at a time, members that pass by them in one task, and pairs that a task gathers before it lets go of them.
+BLOCK, STREAM, FINDS = 4096, 16_384, 500_000
 #: Bytes of shingle sets that may be broadcast for the last confirmations.
 SETS_BYTES = 64_000_000
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -167,60 +167,100 @@ def _buckets(features: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, labels: DataFrame, features: DataFrame) -> DataFrame:
-    """(bucket, members, id, component, n, sketch) of the buckets whose members aren't all in one component."""
-    rows = written(members.join(labels, "id", "left").select("bucket", "members", "id", F.coalesce("component", "id").alias("component")), "members")
-    mixed = rows.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("bucket")
-    return written(rows.join(mixed, "bucket", "left_semi").join(features.select("id", "n", "sketch"), "id"), "mixed")
+    """(bucket, members, held, top, id, component, weight, n, sketch) of the buckets whose members aren't all in one component.
+
+    weight is a component's size, top the bucket's heaviest component and held the number of members outside it.
+    """
+    sizes = written(labels.groupBy("component").agg(F.count("*").alias("weight")), "sizes")
+    weighed = members.join(attach(labels, sizes, "component", "weight"), "id", "left")
+    rows = written(weighed.select("bucket", "id", F.coalesce("component", "id").alias("component"), F.coalesce("weight", F.lit(1)).alias("weight")), "members")
+    parts = rows.groupBy("bucket", "component", "weight").agg(F.count("*").alias("k"))
+    tops = parts.groupBy("bucket").agg(F.max(F.struct("weight", "component", "k")).alias("top"), F.sum("k").alias("members"), F.count("*").alias("parts")).where("parts > 1")
+    tops = written(tops.select("bucket", "members", (F.col("members") - F.col("top.k")).alias("held"), F.col("top.component").alias("top")), "tops")
+    mixed = attach(rows, tops, "bucket", "members").where("top is not null")
+    return written(mixed.join(features.select("id", "n", "sketch"), "id"), "mixed")
+
+
+def _parts(count: str, most: int):
+    """The smallest power of two of parts with about `most` of `count` rows each."""
+    return F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col(count) / most, F.lit(1))))).cast("int")
 
 
 def _across(mixed: DataFrame, least: int) -> DataFrame:
-    """(a, others): for each id the larger ids that share a bucket but no component with it, and that sizes and sketches leave possible.
+    """(a, others): for each id those ids that share a bucket but no component with it, and that sizes and sketches leave possible.
 
-    A bucket's members meet in blocks: BLOCK of them are held while all of the bucket stream past, so a large bucket is spread over tasks and
-    no task holds it. others are structs of (bits that differ, id, component).
+    A pair is found by the id whose component is the lighter, so of a bucket only the members outside its heaviest component are held, and all
+    pass by them: in a grid of blocks of BLOCK held and splits of STREAM passing rows, so that no task has all of a large bucket. An id has one
+    list for each split. others are structs of (bits that differ, id, component); a pair that several buckets share may repeat.
     """
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    row = ["bucket", "block", "side", "id", "component", "n", "sketch"]
-    held = mixed.withColumn("side", F.lit(0)).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).select(row)
-    passing = mixed.withColumn("side", F.lit(1)).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(row)
+    blocks, splits = _parts("held", BLOCK), _parts("members", STREAM)
+    row = ["bucket", "block", "split", "side", splits.alias("splits"), "id", "component", "weight", "n", "sketch"]
+    dealt_by = F.xxhash64("id")
+    held = mixed.where("component <> top").withColumn("side", F.lit(0)).withColumn("block", F.pmod(dealt_by, blocks).cast("int")).withColumn("split", F.explode(F.sequence(F.lit(0), splits - 1)))
+    passing = mixed.withColumn("side", F.lit(1)).withColumn("split", F.pmod(dealt_by, splits).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
     parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = held.unionByName(passing).repartition(parts, "bucket", "block").sortWithinPartitions("bucket", "block", "side")
+    dealt = held.select(row).unionByName(passing.select(row)).repartition(parts, "bucket", "block", "split").sortWithinPartitions("bucket", "block", "split", "side")
     most = int(BANDS * ROWS * (1 - (least / 100 - SLACK)) / 2)
 
     def meet(batches):
-        key, mine = None, []
+        cell, mine, finds, count = None, [], [], 0
         for b in batches:
-            bucket, block, side, ids, of, n = (b.column(i).to_numpy() for i in range(6))
-            sketch = b.column(6).flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
-            ends = [*(np.flatnonzero((np.diff(bucket) != 0) | (np.diff(block) != 0) | (np.diff(side) != 0)) + 1).tolist(), len(ids)]
-            rows: dict[int, list] = {}  # an id's finds in a batch go together
+            *place, splits, ids, of, weight, n = (b.column(i).to_numpy() for i in range(9))
+            sketch = b.column(9).flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+            ends = [*(np.flatnonzero(np.any([np.diff(c) != 0 for c in place], axis=0)) + 1).tolist(), len(ids)]
             start = 0
             for end in ends if len(ids) else ():
-                part, now = slice(start, end), (bucket[start], block[start])
-                if now != key:
-                    key, mine = now, []
-                if side[start] == 0:
-                    mine.append((ids[part], of[part], n[part], sketch[part]))
+                now = tuple(int(c[start]) for c in place[:3])
+                if now != cell:
+                    cell, mine = now, []
+                if place[3][start] == 0:
+                    part = slice(start, end)
+                    mine.append((ids[part], of[part], weight[part], n[part], sketch[part]))
                 else:
-                    for x_ids, x_of, x_n, x_sketch in mine:
+                    for x in mine:
                         for lo in range(start, end, 256):
                             at = slice(lo, min(lo + 256, end))
-                            differ = np.zeros((len(x_ids), at.stop - lo), np.int32)
-                            for k in range(sketch.shape[1]):
-                                differ += np.bitwise_count(x_sketch[:, k, None] ^ sketch[None, at, k])
-                            ok = (differ <= most) & (x_ids[:, None] < ids[None, at]) & (x_of[:, None] != of[None, at])
-                            ok &= 100 * np.minimum(x_n[:, None], n[None, at]) >= least * np.maximum(x_n[:, None], n[None, at])
-                            for i in np.flatnonzero(ok.any(1)):
-                                j = np.flatnonzero(ok[i])
-                                rows.setdefault(int(x_ids[i]), []).extend({"differ": d, "id": y, "component": c} for d, y, c in zip(differ[i, j].tolist(), ids[at][j].tolist(), of[at][j].tolist(), strict=True))
+                            i, j, differ = _possible(x, (ids[at], of[at], weight[at], n[at], sketch[at]), most, least)
+                            if len(i):
+                                finds.append((x[0][i], np.full(len(i), splits[start]), np.full(len(i), now[2]), ids[at][j], differ, of[at][j]))
+                                count += len(i)
+                            if count > FINDS:
+                                yield _as_lists(finds)
+                                finds, count = [], 0
                 start = end
-            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), _OTHERS)], names=["a", "others"])
-
-    found = dealt.mapInArrow(meet, "a long, others array<struct<differ:int,id:long,component:long>>")
-    return found.groupBy("a").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("others")))).alias("others"))
-
-
-_OTHERS = pa.list_(pa.struct([("differ", pa.int32()), ("id", pa.int64()), ("component", pa.int64())]))
+        if finds:
+            yield _as_lists(finds)
+
+    found = dealt.mapInArrow(meet, "a long, splits int, split int, others array<struct<differ:int,id:long,component:long>>")
+    return found.groupBy("a", "splits", "split").agg(F.flatten(F.collect_list("others")).alias("others")).select("a", "others")
+
+
+def _possible(x: tuple, y: tuple, most: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, bits that differ) of the pairs of rows x and y (ids, components, weights, set sizes, sketches) that may be similar, x in the lighter component."""
+    (_, x_of, x_weight, x_n, x_sketch), (_, y_of, y_weight, y_n, y_sketch) = x, y
+    differ = np.zeros((len(x_of), len(y_of)), np.int32)
+    for k in range(x_sketch.shape[1]):
+        differ += np.bitwise_count(x_sketch[:, k, None] ^ y_sketch[None, :, k])
+    ok = (x_weight[:, None] < y_weight) | ((x_weight[:, None] == y_weight) & (x_of[:, None] < y_of))
+    ok &= (differ <= most) & (100 * np.minimum(x_n[:, None], y_n) >= least * np.maximum(x_n[:, None], y_n))
+    i, j = np.nonzero(ok)
+    return i, j, differ[i, j]
+
+
+def _as_lists(finds: list[tuple]) -> pa.RecordBatch:
+    """One row for each (a, splits, split) of the finds, each pair once."""
+    a, splits, split, other, differ, of = (np.concatenate(c) for c in zip(*finds, strict=True))
+    order = np.lexsort((other, split, splits, a))
+    a, splits, split, other, differ, of = (c[order] for c in (a, splits, split, other, differ, of))
+    step = np.ones(len(a), bool)
+    step[1:] = (np.diff(a) != 0) | (np.diff(splits) != 0) | (np.diff(split) != 0)
+    first = step.copy()
+    first[1:] |= np.diff(other) != 0
+    heads = np.flatnonzero(step)
+    offsets = np.append(np.cumsum(first)[heads] - 1, first.sum()).astype(np.int32)
+    others = pa.StructArray.from_arrays([pa.array(differ[first], pa.int32()), pa.array(other[first], pa.int64()), pa.array(of[first], pa.int64())], names=["differ", "id", "component"])
+    keys = [pa.array(a[heads], pa.int64()), pa.array(splits[heads], pa.int32()), pa.array(split[heads], pa.int32())]
+    return pa.RecordBatch.from_arrays([*keys, pa.ListArray.from_arrays(pa.array(offsets), others)], names=["a", "splits", "split", "others"])
 
 
 def _linked_lists(lists: DataFrame, sets: DataFrame, least: int) -> DataFrame:
@@ -230,7 +270,7 @@ def _linked_lists(lists: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """
     size = sets.agg(F.sum(F.octet_length("set") + 100)).first()[0] or 0
     if size > SETS_BYTES:
-        pairs = lists.select("a", F.explode("others").alias("o")).select("a", F.col("o.id").alias("b"))
+        pairs = lists.select("a", F.explode("others").alias("o")).select("a", F.col("o.id").alias("b")).distinct()
         return _confirm(pairs, sets, least)
     of: dict[int, list[bytes]] = {}
     for r in sets.toLocalIterator():
@@ -240,13 +280,19 @@ def _linked_lists(lists: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     def check(batches):
         get = held.value.get
         for b in batches:
+            offsets, values = b.column(1).offsets.to_numpy(), b.column(1).values
+            differ, ids, components_ = (values.field(i).to_numpy() for i in range(3))
             out = []
-            for a, others in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for k, a in enumerate(b.column(0).to_pylist()):
+                part = slice(offsets[k], offsets[k + 1])
+                order = np.lexsort((ids[part], differ[part]))
                 had: set[int] = set()
-                for o in others:
-                    if o["component"] not in had and any(_similar(x, y, least) for x in get(a, ()) for y in get(o["id"], ())):
-                        had.add(o["component"])
-                        out.append((a, o["id"]))
+                last = None
+                for other, component in zip(ids[part][order].tolist(), components_[part][order].tolist(), strict=True):
+                    if other != last and component not in had and any(_similar(x, y, least) for x in get(a, ()) for y in get(other, ())):
+                        had.add(component)
+                        out.append((a, other))
+                    last = other
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return lists.mapInArrow(check, "a long, b long")
@@ -288,7 +334,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first = written(first, "first-pairs")
     ids = first.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     edges = written(_confirm(first, written(_sets(known, ids, size), "first-sets"), least), "first-links")
-    mixed = _mixed(members, components(edges), features)
+    mixed = _mixed(members, written(components(edges), "first-components"), features)
     lists = written(_across(mixed, least), "further-pairs")
     sets = written(_sets(known, mixed.select("id").distinct(), size), "further-sets")
     edges = written(edges.unionByName(_linked_lists(lists, sets, least)).unionByName(_repeats(full)), "links")
