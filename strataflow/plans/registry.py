@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from strataflow.plans import catalogue, timeline
+from strataflow.plans import catalogue, popular, timeline
 
-QUERIES = {**timeline.QUERIES, **catalogue.QUERIES}
-ORACLE = {**timeline.ORACLE, **catalogue.ORACLE}
+QUERIES = {**timeline.QUERIES, **catalogue.QUERIES, **popular.QUERIES}
+ORACLE = {**timeline.ORACLE, **catalogue.ORACLE, **popular.ORACLE}
 FLAGSHIP = "timeline_segments"
