@@ -45,8 +45,8 @@ def idf(n: int, df: int) -> float:
 def scan_licences(files: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
     """files without their text, with header_license, header_score, file_license, file_score, inherited_license, inherited_from, license and basis.
 
-    Vectors: term count times idf, idf = ln((1 + n) / (1 + df)) + 1 over all files with text; a word of no template is a dimension of
-    df 0, so only template words need counting. header_license is the template with the greatest cosine to any line, if that is
+    Vectors: term count times idf, idf = ln((1 + n) / (1 + df)) + 1 over all files with text, for every word of a file, of a template or
+    not. header_license is the template with the greatest cosine to any line, if that is
     HEADER_COSINE or more; file_license that of the whole text, if FILE_COSINE or more (ties: smaller name). A file with
     file_license is a licence file and governs its directory and all below that have none nearer; several in a directory: the smallest
     path. license is header's, else the file's own, else the inherited one; basis says which (header, file, inherited, none).
@@ -56,7 +56,8 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
 
     Only texts are scanned that hold a word without which no cosine can reach the threshold (by Cauchy-Schwarz, a template's words
     but its heaviest may add up to less); their lines go through a join with the template's postings, which are as few as the words
-    above. Document frequencies are counted with partial aggregation. Directories are expanded to ancestors once each.
+    above. Document frequencies are counted once for all words, with partial aggregation, and only those of template words reach the
+    driver; the words of scanned texts get theirs by a join in which common words are broadcast. Directories are expanded to ancestors once each.
     """
     new = ["header_license", "header_score", "file_license", "file_score", "inherited_license", "inherited_from", "license", "basis"]
     kept = [c for c in files.columns if c not in [*new, text]]
@@ -66,12 +67,10 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
     base = files.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("own"), at.alias("at"), body.alias("body"))
-    hits = base.select(F.array_intersect(words_of("body"), F.lit(vocabulary)).alias("w"), (F.col("body") != "").alias("full"))
-    counted = hits.select(F.explode(F.when(F.col("full"), F.concat(F.array(F.lit("")), "w"))).alias("w")).groupBy("w").count().collect()  # a row for each template word
-    df = {r["w"]: r["count"] for r in counted}
+    dfs = written(base.where("body <> ''").select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words_of("body")))).alias("w")).groupBy("w").agg(F.count("*").alias("df")), "licence-dfs")
+    df = {r["w"]: r["df"] for r in dfs.where(F.array_contains(F.lit(["", *vocabulary]), F.col("w"))).collect()}  # a row for each template word, and "" for the files
     n = df.get("", 0)
     weight = {w: idf(n, df.get(w, 0)) for w in vocabulary}
-    none = idf(n, 0)
 
     postings, needed = [], set()
     for name, words in of_template.items():
@@ -85,13 +84,14 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
             rest -= (k * weight[w] / norm) ** 2
     needed_words = "(?i)(^|[^0-9a-z])(" + "|".join(sorted(needed)) + ")($|[^0-9a-z])"
     posted = F.broadcast(spark.createDataFrame(postings, "w string, template string, t double"))
-    weights = F.broadcast(spark.createDataFrame(list(weight.items()), "w string, idf double"))
 
     found = base.where(F.col("body").rlike(needed_words)).select("row", "body")
     parts = F.concat(F.array(F.struct(F.lit(-1).alias("pos"), F.col("body").alias("col"))), F.transform(F.split("body", "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("col"))))
     units = found.select("row", F.explode(parts).alias("u")).select("row", "u.pos", "u.col").where(F.col("col").rlike(needed_words))
-    terms = units.select("row", "pos", F.explode(words_of("col")).alias("w")).groupBy("row", "pos", "w").agg(F.count("*").alias("tf"))
-    terms = terms.join(weights, "w", "left").withColumn("v", F.col("tf") * F.coalesce("idf", F.lit(none)))
+    terms = written(units.select("row", "pos", F.explode(words_of("col")).alias("w")).groupBy("row", "pos", "w").agg(F.count("*").alias("tf")), "licence-terms")
+    used = terms.groupBy("w").agg(F.count("*").alias("uses")).join(dfs, "w")
+    used = written(used.select("w", "uses", (F.log(F.lit(float(1 + n)) / (F.col("df") + 1)) + 1).alias("idf")), "licence-idfs")
+    terms = attach(terms, used, "w", "uses").withColumn("v", F.col("tf") * F.col("idf"))
     norms = Window.partitionBy("row", "pos")
     scored = (
         terms.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(norms))).join(posted, "w")

@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -231,3 +233,18 @@ def test_licences(spark):
     want = [("a/LICENSE", "MIT", "header"), ("a/b/x.py", "MIT", "inherited"), ("a/b/y.py", "Apache-2.0", "header"), ("a/b/c/COPYING", "GPL-3.0", "header"), ("a/b/c/d/z.py", "GPL-3.0", "inherited"), ("q.py", None, "none"), (None, None, "none"), ("a/b/x.py", "MIT", "inherited")]
     assert sorted(map(str, out)) == sorted(map(str, want))
     assert licences.scan_licences(df.limit(0)).count() == 0
+
+
+def test_licence_idf_of_all_words(spark):
+    """A common word that no template holds weighs little: scores are those of a TF-IDF over all words."""
+    said = "This project is released under the MIT License"
+    texts = [said if i % 50 == 0 else f"the project {i} of files" for i in range(400)] + [None, ""]
+    words = [[w for w in re.split("[^0-9a-z]+", (t or "").lower()) if w] for t in texts]
+    df = Counter(w for ws in words for w in set(ws))
+    idf = lambda w: licences.idf(400, df[w])
+    tfidf = lambda t: {w: k * idf(w) for w, k in Counter(re.split("[^0-9a-z]+", t.lower())).items()}
+    x, y = tfidf(said), tfidf(licences.TEMPLATES["MIT"])
+    want = sum(v * y.get(w, 0) for w, v in x.items()) / (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+    out = licences.scan_licences(spark.createDataFrame([(f"d{i}/f", t) for i, t in enumerate(texts)], "path string, text string")).collect()
+    got = {r.path: (r.header_license, r.header_score) for r in out if r.header_license}
+    assert set(got) == {f"d{i}/f" for i in range(0, 400, 50)} and all(n == "MIT" and abs(c - want) < 2e-6 for n, c in got.values()) and len(out) == 402
