@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ TEMPLATES = {
     "MIT": "Released under the MIT License",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
+#: Whole licence texts, by SPDX name. Only whole files are compared with them.
+TEXTS = {p.stem: p.read_text("utf-8") for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
 #: Least cosine of a header line, and of a whole file that counts as a licence file.
 HEADER_COSINE, FILE_COSINE = 0.8, 0.5
 _SEPARATORS = "[^0-9a-z]+"
@@ -42,27 +45,27 @@ def idf(n: int, df: int) -> float:
     return math.log((1 + n) / (1 + df)) + 1
 
 
-def scan_licences(files: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
+def scan_licences(files: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str] | None = None, texts: dict[str, str] | None = None) -> DataFrame:
     """files without their text, with header_license, header_score, file_license, file_score, inherited_license, inherited_from, license and basis.
 
     Vectors: term count times idf, idf = ln((1 + n) / (1 + df)) + 1 over all files with text, for every word of a file, of a template or
     not. header_license is the template with the greatest cosine to any line, if that is
-    HEADER_COSINE or more; file_license that of the whole text, if FILE_COSINE or more (ties: smaller name). A file with
+    HEADER_COSINE or more; file_license the template or licence text with the greatest cosine to the whole text, if FILE_COSINE or more
+    (ties: smaller name). A file with
     file_license is a licence file and governs its directory and all below that have none nearer; several in a directory: the smallest
     path. license is header's, else the file's own, else the inherited one; basis says which (header, file, inherited, none).
 
     Null or empty texts match nothing but inherit; null paths are the root directory. Repeated rows give a row each. Columns of files
     named like the new eight are replaced; empty input gives an empty result.
 
-    Only texts are scanned that hold a word without which no cosine can reach the threshold (by Cauchy-Schwarz, a template's words
-    but its heaviest may add up to less); their lines go through a join with the template's postings, which are as few as the words
-    above. Document frequencies are counted once for all words, with partial aggregation, and only those of template words reach the
+    Only texts and lines are scanned that hold a word without which no cosine can reach the threshold (by Cauchy-Schwarz, a template's
+    commonest words may add up to less, and are not looked for); their words go through a join with the templates' postings. Document frequencies are counted once for all words, with partial aggregation, and only those of template words reach the
     driver; the words of scanned texts get theirs by a join in which common words are broadcast. Directories are expanded to ancestors once each.
     """
     new = ["header_license", "header_score", "file_license", "file_score", "inherited_license", "inherited_from", "license", "basis"]
     kept = [c for c in files.columns if c not in [*new, text]]
-    spark, of_template = files.sparkSession, _template_words(templates or TEMPLATES)
-    vocabulary = sorted({w for words in of_template.values() for w in words})
+    spark, of_line, of_file = files.sparkSession, _template_words(templates or TEMPLATES), _template_words(TEXTS if texts is None else texts)
+    vocabulary = sorted({w for words in [*of_line.values(), *of_file.values()] for w in words})
     at = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit(""))
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
@@ -72,30 +75,31 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
     n = df.get("", 0)
     weight = {w: idf(n, df.get(w, 0)) for w in vocabulary}
 
-    postings, needed = [], set()
-    for name, words in of_template.items():
+    postings, in_lines, in_files = [], set(), set()
+    for name, words, is_line in [*((k, v, True) for k, v in of_line.items()), *((k, v, False) for k, v in of_file.items())]:
         norm = math.sqrt(sum((k * weight[w]) ** 2 for w, k in words.items()))
-        postings += [(w, name, k * weight[w] / norm) for w, k in words.items()]
-        rest = 1.0
-        for w, k in sorted(words.items(), key=lambda x: (-x[1] * weight[x[0]], x[0])):
-            if rest < (min(HEADER_COSINE, FILE_COSINE) - 1e-9) ** 2:
-                break
-            needed.add(w)
-            rest -= (k * weight[w] / norm) ** 2
-    needed_words = "(?i)(^|[^0-9a-z])(" + "|".join(sorted(needed)) + ")($|[^0-9a-z])"
-    posted = F.broadcast(spark.createDataFrame(postings, "w string, template string, t double"))
-
-    found = base.where(F.col("body").rlike(needed_words)).select("row", "body")
+        postings += [(w, name, is_line, k * weight[w] / norm) for w, k in words.items()]
+        passed = 0.0
+        for w, k in sorted(words.items(), key=lambda x: (-df.get(x[0], 0), x[0])):
+            passed += (k * weight[w] / norm) ** 2
+            if is_line and passed >= (HEADER_COSINE - 1e-6) ** 2:
+                in_lines.add(w)
+            if passed >= (FILE_COSINE - 1e-6) ** 2:
+                in_files.add(w)
+    holds = lambda c, words: F.arrays_overlap(words_of(c), F.lit(sorted(words)))
+    posted = F.broadcast(spark.createDataFrame(postings, "w string, template string, is_line boolean, t double"))
+
+    found = base.where(holds("body", in_lines | in_files)).select("row", "body")
     parts = F.concat(F.array(F.struct(F.lit(-1).alias("pos"), F.col("body").alias("col"))), F.transform(F.split("body", "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("col"))))
-    units = found.select("row", F.explode(parts).alias("u")).select("row", "u.pos", "u.col").where(F.col("col").rlike(needed_words))
+    units = found.select("row", F.explode(parts).alias("u")).select("row", "u.pos", "u.col").where(F.when(F.col("pos") == -1, holds("col", in_files)).otherwise(holds("col", in_lines)))
     terms = written(units.select("row", "pos", F.explode(words_of("col")).alias("w")).groupBy("row", "pos", "w").agg(F.count("*").alias("tf")), "licence-terms")
     used = terms.groupBy("w").agg(F.count("*").alias("uses")).join(dfs, "w")
     used = written(used.select("w", "uses", (F.log(F.lit(float(1 + n)) / (F.col("df") + 1)) + 1).alias("idf")), "licence-idfs")
     terms = attach(terms, used, "w", "uses").withColumn("v", F.col("tf") * F.col("idf"))
     norms = Window.partitionBy("row", "pos")
     scored = (
-        terms.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(norms))).join(posted, "w")
-        .groupBy("row", "pos", "template").agg((F.sum(F.col("v") * F.col("t")) / F.max("norm")).alias("cosine"))
+        terms.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(norms))).join(posted, "w").where("is_line or pos = -1")
+        .groupBy("row", "pos", "template", "is_line").agg((F.sum(F.col("v") * F.col("t")) / F.max("norm")).alias("cosine"))
     )
     scored = scored.withColumn("cosine", F.round("cosine", 6)).withColumn("whole", F.col("pos") == -1)
     scored = scored.where(F.col("cosine") >= F.when(F.col("whole"), FILE_COSINE).otherwise(HEADER_COSINE))

@@ -248,3 +248,15 @@ def test_licence_idf_of_all_words(spark):
     out = licences.scan_licences(spark.createDataFrame([(f"d{i}/f", t) for i, t in enumerate(texts)], "path string, text string")).collect()
     got = {r.path: (r.header_license, r.header_score) for r in out if r.header_license}
     assert set(got) == {f"d{i}/f" for i in range(0, 400, 50)} and all(n == "MIT" and abs(c - want) < 2e-6 for n, c in got.values()) and len(out) == 402
+
+
+def test_licence_texts_govern(spark):
+    """A licence file of real length, with its own names and line breaks, governs its directory; long texts that are none do not."""
+    own = lambda name: " ".join(f"Copyright (c) 2019-2024 Jo Doe and contributors of Widget. {licences.TEXTS[name]}".split())
+    names = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0"]
+    files = [(f"{n}/LICENSE", own(n)) for n in names] + [(f"{n}/src/deep/x.py", "print(1)") for n in names]
+    files += [(f"none/{i}", f"the terms of use {i} of this software and " + " ".join(WORDS[i : i + 120])) for i in range(100)]
+    out = {r.path: r for r in licences.scan_licences(spark.createDataFrame(files, "path string, text string")).collect()}
+    for n in names:
+        assert out[f"{n}/LICENSE"].file_license == n and (out[f"{n}/src/deep/x.py"].license, out[f"{n}/src/deep/x.py"].inherited_from) == (n, f"{n}/LICENSE")
+    assert all(out[f"none/{i}"].basis == "none" for i in range(100))
