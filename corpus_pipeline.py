@@ -11,7 +11,7 @@ from strataflow.llm.common import written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language the compression classifier tells: und and ties between two languages go.
+    """Keeps documents whose language the compression classifier tells: und and narrow margins between two languages go.
 
     Dictionaries are fitted on the stage's own labelled documents but a held-out third. Columns are those of docs; null and letterless texts go.
     """

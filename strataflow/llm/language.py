@@ -19,8 +19,8 @@ FRAME_BYTES = 512
 #: More languages than this are an error: each has a dictionary in every task.
 MAX_LANGUAGES = 256
 LEVEL = 5
-#: The margin is narrow if the second-best language needs fewer further bytes than this share of the best one's. 0: ties only.
-MIN_MARGIN = 0.0
+#: The margin is narrow if the second-best size is larger by this share of it or less: the greatest hundredth that rejects under 1 % of 1,194 rightly told held-out texts (sf0.1).
+MIN_MARGIN = 0.06
 UNKNOWN = "und"
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 

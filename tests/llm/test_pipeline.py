@@ -2,14 +2,16 @@
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from strataflow.llm import near_dup
+from strataflow.llm import language, near_dup
 
 SF = "/root/testdata/sf0.001"
 STAGE = dict(corpus_pipeline.STAGES)
@@ -74,3 +76,33 @@ def test_run_on_nothing(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, SF)
     assert none.count() == 0
+
+
+def test_language_rejects_narrow_margins(spark, docs):
+    """The stage's rows are those of a plain reimplementation; texts half in one language and half in another, or in a language without a dictionary, go."""
+    own = [r for r in docs.where("doc_id < 9000").collect() if r.text and r.lang]
+    held = lambda r: zlib.crc32(str(r.doc_id).encode()) % 3 == 1
+    words = {lang: [w for r in own if r.lang == lang and held(r) for w in r.text.split()] for lang in ("en", "fr", "de")}
+    halves = [(a, b) for a in words for b in words if a < b]
+    odd = [" ".join(x for i in range(k, k + 150) for x in (words[a][i], words[b][i])) for k in (0, 50, 100) for a, b in halves]
+    odd += ["ja se se mi koja ovaj grad velik zato imamo vodu " * 20, "qzx vkj wqp zzk xjq kkv pqw jxz " * 30]
+    odd = [(i, t, None, "s", len(t)) for i, t in enumerate(odd, 7_000_000_000)]
+    kept = {r.doc_id for r in STAGE["language"](spark, docs.unionByName(spark.createDataFrame(odd, docs.schema)), SF).where("doc_id is not null").collect()}
+
+    seen = {}
+    for r in docs.collect():
+        if r.text is not None and r.lang is not None and zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 3 != 1:
+            seen.setdefault(r.lang, Counter()).update(set(language.normalised(r.text[:4000]).split()))
+    made = []
+    for c in seen.values():
+        raw = zstandard.ZstdCompressionDict(language._content(c), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        made.append(zstandard.ZstdCompressor(level=5, dict_data=raw, write_content_size=False, write_dict_id=False))
+    want = set()
+    for d, t in [(r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None] + [(x[0], x[1]) for x in odd]:
+        if t and any(map(str.isalpha, t)):
+            b = language.normalised(t).encode()
+            best, second = sorted(sum(len(z.compress(b[i : i + 512])) for i in range(0, len(b), 512)) for z in made)[:2]
+            if second - best > 0.06 * second:
+                want.add(d)
+    assert kept == want
+    assert sum(x[0] in kept for x in odd) < len(odd) / 2 and len({r.doc_id for r in own} - kept) <= 0.03 * len(own)
