@@ -106,3 +106,14 @@ def test_language_rejects_narrow_margins(spark, docs):
                 want.add(d)
     assert kept == want
     assert sum(x[0] in kept for x in odd) < len(odd) / 2 and len({r.doc_id for r in own} - kept) <= 0.03 * len(own)
+
+
+def test_near_dup_keeps_unlike_rows_of_one_id(spark, docs):
+    """Null and repeated ids with distinct texts stay, also where one text is a copy of a smaller id; near copies leave the smallest id, null being the largest."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, text(1)), (None, text(2)), (7, text(3)), (7, text(4)), (5, text(4)), (8, text(5)), (None, text(5)), (9, text(6)), (9, text(6)), (None, text(7)), (None, text(7) + " end"), (6, None), (6, ""), (None, " ")]
+    some = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], docs.schema).repartition(5)
+    kept = STAGE["near_dup"](spark, some, SF)
+    got = sorted(((r.doc_id, (r.text or "")[:4]) for r in kept.collect()), key=str)
+    want = [(None, "w1x0"), (None, "w2x0"), (7, "w3x0"), (5, "w4x0"), (8, "w5x0"), (9, "w6x0"), (None, "w7x0"), (6, ""), (6, ""), (None, " ")]
+    assert got == sorted(want, key=str) and kept.columns == docs.columns
