@@ -58,6 +58,13 @@ def insert_outcomes(spark, sf_dir):
     return R.insert_if_absent(o.where("line % 3 = 1"), state, "key", "source", "line").select("key", "line", "outcome")
 
 
+def insert_outcomes_all(spark, sf_dir):
+    """insert_outcomes over all orders: finished ones are the state, all others are new."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("source"), F.col("o_orderkey").alias("line"), (F.col("o_orderstatus") == "F").alias("old"))
+    state = o.where("old").groupBy("key").agg(F.min("source").alias("source"))
+    return R.insert_if_absent(o.where("not old").drop("old"), state, "key", "source", "line").select("key", "line", "outcome")
+
+
 def work_list(spark, sf_dir):
     items = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("rid"))
     dec = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("rid")).agg(F.min("o_orderstatus").alias("decision"))
@@ -94,6 +101,13 @@ def key_resolution(spark, sf_dir):
     return R.resolve_files(pages, files, "page_id", "name").select("page_id", "path")
 
 
+def key_resolution_all(spark, sf_dir):
+    """key_resolution with the files of all pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.col("url"), r"[?#].*$|/$", "").alias("name"))
+    files = pages.select(F.concat(F.lit("m/"), X.basename("name"), F.lit(".tif")).alias("path")).distinct()
+    return R.resolve_files(pages, files, "page_id", "name").select("page_id", "path")
+
+
 def backlog_filter(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     none = F.lit(None).cast("string")
@@ -164,8 +178,8 @@ def ring_cells(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    import_plan, key_diff, publish_plan, missing_inputs, pending_work, decision_upsert, best_capture, insert_outcomes, work_list, update_first_row, replace_expand, completeness_grid, file_resolution,
-    key_resolution, backlog_filter, catalogue_columns, link_set, payload_kinds, ident_match, mercator_bounds, antimeridian_windows, ring_cells,
+    import_plan, key_diff, publish_plan, missing_inputs, pending_work, decision_upsert, best_capture, insert_outcomes, insert_outcomes_all, work_list, update_first_row, replace_expand, completeness_grid, file_resolution,
+    key_resolution, key_resolution_all, backlog_filter, catalogue_columns, link_set, payload_kinds, ident_match, mercator_bounds, antimeridian_windows, ring_cells,
 )}
 
 _POINTS = "r AS (SELECT c_custkey AS row_id, c_nationkey AS state, 30.0::DOUBLE + (c_custkey * 7919 % 1000) / 500.0::DOUBLE AS lat, -100.0::DOUBLE + (c_custkey * 104729 % 1000) / 500.0::DOUBLE AS lon, c_custkey % 3 AS precision, c_custkey % 50 AS ident FROM customer)"
@@ -182,6 +196,9 @@ FROM orders LEFT JOIN (SELECT * FROM i WHERE f > 0) l ON l.key = o_orderkey LEFT
     "insert_outcomes": """WITH s AS (SELECT o_custkey AS key, min(o_orderpriority) AS old FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
 SELECT o_custkey AS key, o_orderkey AS line, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) > 1 THEN 'repeated' WHEN old IS NULL THEN 'inserted' WHEN old = o_orderpriority THEN 'kept' ELSE 'conflict' END AS outcome
 FROM orders LEFT JOIN s ON s.key = o_custkey WHERE o_orderkey % 3 = 1""",
+    "insert_outcomes_all": """WITH s AS (SELECT o_custkey AS key, min(o_orderpriority) AS old FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+SELECT o_custkey AS key, o_orderkey AS line, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) > 1 THEN 'repeated' WHEN old IS NULL THEN 'inserted' WHEN old = o_orderpriority THEN 'kept' ELSE 'conflict' END AS outcome
+FROM orders LEFT JOIN s ON s.key = o_custkey WHERE o_orderstatus <> 'F'""",
     "work_list": "SELECT c_custkey AS rid, coalesce(d, '') AS decision, coalesce(s, -1.0) AS similarity FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderstatus) AS d, CASE WHEN count(*) FILTER (o_orderstatus = 'F') > 0 THEN count(*) FILTER (o_orderstatus = 'F') / 100.0::DOUBLE END AS s FROM orders GROUP BY 1) ON o_custkey = c_custkey",
     "update_first_row": "SELECT CAST(o_custkey AS VARCHAR) AS filename, o_orderkey AS line, CASE WHEN k = 1 AND c_acctbal > 0 THEN c_mktsegment ELSE o_orderpriority END AS edition, CASE WHEN k = 1 AND c_acctbal > 0 THEN 'patched' ELSE '' END AS note FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders) LEFT JOIN customer ON c_custkey = o_custkey",
     "replace_expand": "SELECT o_orderkey, coalesce(part, 0) AS part, coalesce(title, o_orderpriority) AS title FROM orders LEFT JOIN (SELECT l_orderkey, l_linenumber AS part, min(l_linestatus) AS title FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL) ON l_orderkey = o_orderkey",
@@ -193,6 +210,11 @@ SELECT page_id, path FROM p LEFT JOIN b ON regexp_extract(name, '([^/]*)$', 1) =
 f AS (SELECT DISTINCT 'm/' || base || '.tif' AS path, lower(base) AS fstem FROM q WHERE page_id % 3 < 2),
 c AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY (stem = fstem) DESC, length(path), path) AS k FROM q JOIN f ON stem = fstem OR lower(base) = fstem),
 o AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY length(path), path) AS k FROM q JOIN f ON contains(fstem, stem) WHERE page_id NOT IN (SELECT page_id FROM c))
+SELECT p.page_id, coalesce(c.path, o.path) AS path FROM p LEFT JOIN c ON c.page_id = p.page_id AND c.k = 1 LEFT JOIN o ON o.page_id = p.page_id AND o.k = 1""",
+    "key_resolution_all": r"""WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$|/$', '') AS name FROM pages), q AS (SELECT page_id, lower(regexp_replace(regexp_extract(name, '([^/]*)$', 1), '\.html$', '')) AS stem, regexp_extract(name, '([^/]*)$', 1) AS base FROM p),
+f AS (SELECT DISTINCT 'm/' || base || '.tif' AS path, lower(base) AS fstem FROM q),
+c AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY (stem = fstem) DESC, length(path), path) AS k FROM q JOIN f ON stem = fstem OR lower(base) = fstem),
+o AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY length(path), path) AS k FROM q JOIN f ON contains(fstem, stem) WHERE page_id NOT IN (SELECT page_id FROM c))
 SELECT p.page_id, coalesce(c.path, o.path) AS path FROM p LEFT JOIN c ON c.page_id = p.page_id AND c.k = 1 LEFT JOIN o ON o.page_id = p.page_id AND o.k = 1""",
     "backlog_filter": "SELECT 'cutline' AS backlog, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT 'georeference', count(*) FROM orders WHERE o_orderstatus <> 'P' AND o_orderdate < TIMESTAMP '2011-01-01'",
     "catalogue_columns": r"""WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS d, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 28 DAYS, '%Y-%m-%d') END AS e,
