@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import HOT_SHARE, attach, small_enough, table_path, written
+from strataflow.llm.common import HOT_SHARE, attach, discard, numbered, picked, written
 
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Bands of ROWS coordinates each: a pair at similarity 0.8 shares none with a chance of 8e-6; at 0.3 it shares one with a chance of 0.4 %.
@@ -19,10 +20,10 @@ BANDS, ROWS = 64, 8
 UNIVERSE = 1 << 20
 #: One bit of each coordinate estimates similarity (standard deviation at 0.8: 0.027); pairs whose estimate is below 0.8 by SLACK (4.5 deviations) are passed over.
 SLACK = 0.12
-#: Members of a bucket that are held at a time, members that pass by them in one task, and pairs that a task gathers before it lets go of them.
-BLOCK, STREAM, FINDS = 4096, 16_384, 500_000
-#: Bytes of shingle sets that may be broadcast for the last confirmations.
-SETS_BYTES = 64_000_000
+#: Members of a bucket, and shingles of theirs, that a task holds at a time; members that pass by them in one task.
+BLOCK, BLOCK_SHINGLES, STREAM = 4096, 4_000_000, 16_384
+#: Pairs that are looked at together.
+LOOK = 65_536
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -83,15 +84,15 @@ class Circulant:
         return out
 
 
-def _features(docs: DataFrame, size: int) -> DataFrame:
-    """(id, n, same, bands, sketch) of each row: set size, digest of the word sequence, a hash for each band, one bit for each coordinate."""
+def _features(table: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """(row, id, n, same, bands, sketch) of each row: set size, digest of the word sequence, a hash for each band, one bit for each coordinate."""
 
     def make(batches):
         circulant, band = Circulant(BANDS * ROWS), np.arange(BANDS, dtype=np.uint64)
         bits = (BANDS * ROWS) // 64
         for b in batches:
-            rows = []
-            for key, value in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            made = []
+            for value in b.column(2):
                 words = words_of(value.as_py())
                 h = hashes(words, size)
                 bands = sketch = None
@@ -103,37 +104,34 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
                     bands = mixed.view(np.int64)
                     odd = _mix(s.astype(np.uint64)) >> np.uint64(63)
                     sketch = np.packbits(odd.astype(np.uint8)).view(">i8").astype(np.int64)[:bits]
-                rows.append((key, len(h), hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None, bands, sketch))
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["id", "n", "same", "bands", "sketch"])
+                made.append((len(h), hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None, bands, sketch))
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *(pa.array([m[i] for m in made], t) for i, t in enumerate(kinds))], names=["row", "id", "n", "same", "bands", "sketch"])
 
-    return docs.mapInArrow(make, "id long, n long, same binary, bands array<long>, sketch array<long>")
+    rows = table.select("row", F.col(f"own.`{doc_id}`").cast("long").alias("id"), F.col(f"own.`{text}`").alias("text"))
+    return rows.mapInArrow(make, "row long, id long, n long, same binary, bands array<long>, sketch array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, set) of the wanted ids' whole texts."""
+def _sets(table: DataFrame, nodes: DataFrame, text: str, size: int) -> DataFrame:
+    """(node, set) of the whole texts of the wanted rows; texts stay where they are (see `picked`)."""
 
     def make(batches):
         for b in batches:
             sets = [hashes(words_of(v.as_py()), size).tobytes() for v in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    wanted = F.broadcast(ids) if small_enough(ids) else ids
-    # texts under one id are told apart by what they are
-    return docs.join(wanted, "id", "left_semi").mapInArrow(make, "id long, set binary").distinct()
+    return picked(table, nodes.select(F.col("node").alias("row"))).select("row", F.col(f"own.`{text}`")).mapInArrow(make, "node long, set binary")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= least * union."""
+    """The pairs (a, b) whose sets have 100 * intersection >= least * union. b has few pairs; an `a` with many is split by AQE, as its set is one row."""
 
     def check(batches):
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                keep.append(_similar(x, y, least))
+            keep = [_similar(x, y, least) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
     return both.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
@@ -141,16 +139,19 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id of the edges (a, b): the smallest id reachable.
 
     Alternating large-star and small-star steps (connected components by MapReduce, Kiveris et al. 2014), each written; after about log of the
-    longest path they change nothing. Stars that many edges meet in are aggregated partially.
+    longest path they change nothing. The least neighbour of a star that many edges meet in is found by partial aggregation, and brought back to its edges by
+    `attach`, which broadcasts the few that are hot.
     """
     now, before = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"), None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small_least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(small_least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = written(small, "stars")
+        least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("k")), "least")
+        large = written(attach(both, least, "u", "k").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-stars")
+        ends = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k")), "ends")
+        small = attach(large, ends, "u", "k").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(ends.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        then = written(small, "stars")
+        discard(now, least, large, ends)
+        now = then
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
@@ -158,144 +159,149 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _buckets(features: DataFrame) -> DataFrame:
-    """(bucket, id, hub) of band buckets with two ids or more; the hub is the smallest. Buckets with HOT_SHARE of all rows are joined by broadcast."""
-    rows = features.select("id", F.explode("bands").alias("bucket"))
-    hubs = written(rows.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("members")).where("hub < last").drop("last"), "hubs")
+    """(bucket, node, n, hub, members) of band buckets with two nodes or more; the hub is the smallest. Buckets with HOT_SHARE of all rows are joined by broadcast."""
+    rows = features.select("node", "n", F.explode("bands").alias("bucket"))
+    hubs = written(rows.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("members")).where("members > 1"), "hubs")
     hot = F.col("members") >= features.count() * BANDS * HOT_SHARE
     apart = rows.join(F.broadcast(hubs.where(hot).select("bucket")), "bucket", "left_anti").join(hubs.where(~hot), "bucket")
-    return rows.join(F.broadcast(hubs.where(hot)), "bucket").unionByName(apart).select("bucket", "id", "hub", "members")
+    out = written(rows.join(F.broadcast(hubs.where(hot)), "bucket").unionByName(apart).select("bucket", "node", "n", "hub", "members"), "buckets")
+    discard(hubs)
+    return out
 
 
 def _mixed(members: DataFrame, labels: DataFrame, features: DataFrame) -> DataFrame:
-    """(bucket, members, held, top, id, component, weight, n, sketch) of the buckets whose members aren't all in one component.
+    """(bucket, members, held, held_n, top, node, component, weight, n, sketch, bands) of the buckets whose members aren't all in one component.
 
-    weight is a component's size, top the bucket's heaviest component and held the number of members outside it.
+    weight is a component's size, top the bucket's heaviest component, held and held_n the numbers of members outside it and of their shingles.
     """
     sizes = written(labels.groupBy("component").agg(F.count("*").alias("weight")), "sizes")
-    weighed = members.join(attach(labels, sizes, "component", "weight"), "id", "left")
-    rows = written(weighed.select("bucket", "id", F.coalesce("component", "id").alias("component"), F.coalesce("weight", F.lit(1)).alias("weight")), "members")
-    parts = rows.groupBy("bucket", "component", "weight").agg(F.count("*").alias("k"))
-    tops = parts.groupBy("bucket").agg(F.max(F.struct("weight", "component", "k")).alias("top"), F.sum("k").alias("members"), F.count("*").alias("parts")).where("parts > 1")
-    tops = written(tops.select("bucket", "members", (F.col("members") - F.col("top.k")).alias("held"), F.col("top.component").alias("top")), "tops")
+    of_node = attach(labels, sizes, "component", "weight").withColumnRenamed("id", "node")
+    rows = members.select("bucket", "node", "n").join(of_node, "node", "left")
+    rows = written(rows.select("bucket", "node", "n", F.coalesce("component", "node").alias("component"), F.coalesce("weight", F.lit(1)).alias("weight")), "members")
+    parts = rows.groupBy("bucket", "component", "weight").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+    tops = parts.groupBy("bucket").agg(F.max(F.struct("weight", "component", "k", "n")).alias("top"), F.sum("k").alias("members"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
+    tops = written(tops.select("bucket", "members", (F.col("members") - F.col("top.k")).alias("held"), (F.col("n") - F.col("top.n")).alias("held_n"), F.col("top.component").alias("top")), "tops")
     mixed = attach(rows, tops, "bucket", "members").where("top is not null")
-    return written(mixed.join(features.select("id", "n", "sketch"), "id"), "mixed")
+    out = written(mixed.join(features.select("node", "sketch", "bands"), "node"), "mixed")
+    discard(sizes, rows, tops)
+    return out
 
 
 def _parts(count: str, most: int):
-    """The smallest power of two of parts with about `most` of `count` rows each."""
+    """The smallest power of two of parts with about `most` of `count` each."""
     return F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col(count) / most, F.lit(1))))).cast("int")
 
 
-def _across(mixed: DataFrame, least: int) -> DataFrame:
-    """(a, others): for each id those ids that share a bucket but no component with it, and that sizes and sketches leave possible.
+_ROW = ["bucket", "block", "split", "side", "node", "component", "weight", "n", "sketch", "bands"]
+_ROW_DDL = "bucket long, block int, split int, side int, node long, component long, weight long, n long, sketch array<long>, bands array<long>"
 
-    A pair is found by the id whose component is the lighter, so of a bucket only the members outside its heaviest component are held, and all
-    pass by them: in a grid of blocks of BLOCK held and splits of STREAM passing rows, so that no task has all of a large bucket. An id has one
-    list for each split. others are structs of (bits that differ, id, component); a pair that several buckets share may repeat.
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "bucket", "block", "split").sortWithinPartitions("bucket", "block", "split", "side")
+
+
+def _further_links(mixed: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """Links (a, b) between nodes that share a bucket but no component: enough of them that all nodes that are to be in one component get there.
+
+    A pair is looked at by the node whose component is the lighter, so of a bucket only the members outside its heaviest component are held, and all
+    pass by them: in a grid of blocks of held and splits of passing nodes, so that no task has all of a large bucket. Of the buckets that a pair
+    shares only the first band's counts. First, sizes and sketches say which nodes have a possible partner in a cell of the grid; only these go there again with their
+    sets, and their possible pairs are confirmed, the likeliest first, but for those whose components have met in this task.
     """
-    blocks, splits = _parts("held", BLOCK), _parts("members", STREAM)
-    row = ["bucket", "block", "split", "side", splits.alias("splits"), "id", "component", "weight", "n", "sketch"]
-    dealt_by = F.xxhash64("id")
+    blocks, splits = F.greatest(_parts("held", BLOCK), _parts("held_n", BLOCK_SHINGLES)), _parts("members", STREAM)
+    dealt_by = F.xxhash64("node")
     held = mixed.where("component <> top").withColumn("side", F.lit(0)).withColumn("block", F.pmod(dealt_by, blocks).cast("int")).withColumn("split", F.explode(F.sequence(F.lit(0), splits - 1)))
     passing = mixed.withColumn("side", F.lit(1)).withColumn("split", F.pmod(dealt_by, splits).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = held.select(row).unionByName(passing.select(row)).repartition(parts, "bucket", "block", "split").sortWithinPartitions("bucket", "block", "split", "side")
     most = int(BANDS * ROWS * (1 - (least / 100 - SLACK)) / 2)
 
-    def meet(batches):
-        cell, mine, finds, count = None, [], [], 0
-        for b in batches:
-            *place, splits, ids, of, weight, n = (b.column(i).to_numpy() for i in range(9))
-            sketch = b.column(9).flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
-            ends = [*(np.flatnonzero(np.any([np.diff(c) != 0 for c in place], axis=0)) + 1).tolist(), len(ids)]
-            start = 0
-            for end in ends if len(ids) else ():
-                now = tuple(int(c[start]) for c in place[:3])
-                if now != cell:
-                    cell, mine = now, []
-                if place[3][start] == 0:
-                    part = slice(start, end)
-                    mine.append((ids[part], of[part], weight[part], n[part], sketch[part]))
-                else:
-                    for x in mine:
-                        for lo in range(start, end, 256):
-                            at = slice(lo, min(lo + 256, end))
-                            i, j, differ = _possible(x, (ids[at], of[at], weight[at], n[at], sketch[at]), most, least)
-                            if len(i):
-                                finds.append((x[0][i], np.full(len(i), splits[start]), np.full(len(i), now[2]), ids[at][j], differ, of[at][j]))
-                                count += len(i)
-                            if count > FINDS:
-                                yield _as_lists(finds)
-                                finds, count = [], 0
-                start = end
-        if finds:
-            yield _as_lists(finds)
-
-    found = dealt.mapInArrow(meet, "a long, splits int, split int, others array<struct<differ:int,id:long,component:long>>")
-    return found.groupBy("a", "splits", "split").agg(F.flatten(F.collect_list("others")).alias("others")).select("a", "others")
-
-
-def _possible(x: tuple, y: tuple, most: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, bits that differ) of the pairs of rows x and y (ids, components, weights, set sizes, sketches) that may be similar, x in the lighter component."""
-    (_, x_of, x_weight, x_n, x_sketch), (_, y_of, y_weight, y_n, y_sketch) = x, y
-    differ = np.zeros((len(x_of), len(y_of)), np.int32)
-    for k in range(x_sketch.shape[1]):
-        differ += np.bitwise_count(x_sketch[:, k, None] ^ y_sketch[None, :, k])
-    ok = (x_weight[:, None] < y_weight) | ((x_weight[:, None] == y_weight) & (x_of[:, None] < y_of))
-    ok &= (differ <= most) & (100 * np.minimum(x_n[:, None], y_n) >= least * np.maximum(x_n[:, None], y_n))
-    i, j = np.nonzero(ok)
-    return i, j, differ[i, j]
-
-
-def _as_lists(finds: list[tuple]) -> pa.RecordBatch:
-    """One row for each (a, splits, split) of the finds, each pair once."""
-    a, splits, split, other, differ, of = (np.concatenate(c) for c in zip(*finds, strict=True))
-    order = np.lexsort((other, split, splits, a))
-    a, splits, split, other, differ, of = (c[order] for c in (a, splits, split, other, differ, of))
-    step = np.ones(len(a), bool)
-    step[1:] = (np.diff(a) != 0) | (np.diff(splits) != 0) | (np.diff(split) != 0)
-    first = step.copy()
-    first[1:] |= np.diff(other) != 0
-    heads = np.flatnonzero(step)
-    offsets = np.append(np.cumsum(first)[heads] - 1, first.sum()).astype(np.int32)
-    others = pa.StructArray.from_arrays([pa.array(differ[first], pa.int32()), pa.array(other[first], pa.int64()), pa.array(of[first], pa.int64())], names=["differ", "id", "component"])
-    keys = [pa.array(a[heads], pa.int64()), pa.array(splits[heads], pa.int32()), pa.array(split[heads], pa.int32())]
-    return pa.RecordBatch.from_arrays([*keys, pa.ListArray.from_arrays(pa.array(offsets), others)], names=["a", "splits", "split", "others"])
-
-
-def _linked_lists(lists: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """Links (a, b) from a's lists of others, likeliest first; one link to a component is enough.
-
-    The sets are broadcast only if they are SETS_BYTES at most, else each pair is joined to both of its sets.
-    """
-    size = sets.agg(F.sum(F.octet_length("set") + 100)).first()[0] or 0
-    if size > SETS_BYTES:
-        pairs = lists.select("a", F.explode("others").alias("o")).select("a", F.col("o.id").alias("b")).distinct()
-        return _confirm(pairs, sets, least)
-    of: dict[int, list[bytes]] = {}
-    for r in sets.toLocalIterator():
-        of.setdefault(r["id"], []).append(bytes(r["set"]))
-    held = lists.sparkSession.sparkContext.broadcast(of)
-
-    def check(batches):
-        get = held.value.get
+    def look(batches):
+        for _, held, passing in _cells(batches):
+            x, wanted = _Nodes(held), np.zeros(sum(b.num_rows for b in held), bool)
+            for b in passing:
+                asked = np.zeros(b.num_rows, bool)
+                for i, j, _ in _possible(x, _Nodes([b]), most, least):
+                    wanted[i] = asked[j] = True
+                if asked.any():
+                    yield b.filter(pa.array(asked))
+            if wanted.any():
+                yield from pa.Table.from_batches(held).filter(pa.array(wanted)).to_batches()
+
+    def confirm(batches):
+        over: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while c in over:
+                c = over[c]
+            return c
+
+        for _, held, passing in _cells(batches):
+            x, links = _Nodes(held), []
+            for b in passing:
+                y = _Nodes([b])
+                for i, j, differ in _possible(x, y, most, least):
+                    for k in np.argsort(differ, kind="stable").tolist():
+                        p, q = top(int(x.component[i[k]])), top(int(y.component[j[k]]))
+                        if p != q and _similar(x.set(i[k]), y.set(j[k]), least):
+                            over[max(p, q)] = min(p, q)
+                            links.append((int(x.node[i[k]]), int(y.node[j[k]])))
+            yield pa.RecordBatch.from_arrays([pa.array([a[k] for a in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    needed = written(_dealt(held.select(_ROW).unionByName(passing.select(_ROW))).mapInArrow(look, _ROW_DDL), "possible")
+    return _dealt(needed.join(sets, "node").select(*_ROW, "set")).mapInArrow(confirm, "a long, b long")
+
+
+def _cells(batches):
+    """(cell, batches of held nodes, iterator of batches of passing nodes) of each cell that has both; what comes in is sorted by cell and side."""
+    def runs():
         for b in batches:
-            offsets, values = b.column(1).offsets.to_numpy(), b.column(1).values
-            differ, ids, components_ = (values.field(i).to_numpy() for i in range(3))
-            out = []
-            for k, a in enumerate(b.column(0).to_pylist()):
-                part = slice(offsets[k], offsets[k + 1])
-                order = np.lexsort((ids[part], differ[part]))
-                had: set[int] = set()
-                last = None
-                for other, component in zip(ids[part][order].tolist(), components_[part][order].tolist(), strict=True):
-                    if other != last and component not in had and any(_similar(x, y, least) for x in get(a, ()) for y in get(other, ())):
-                        had.add(component)
-                        out.append((a, other))
-                    last = other
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-    return lists.mapInArrow(check, "a long, b long")
+            keys = np.stack([b.column(k).to_numpy() for k in range(4)])
+            ends = [*(np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1).tolist(), b.num_rows]
+            for lo, hi in zip([0, *ends[:-1]], ends, strict=True):
+                if hi > lo:
+                    yield tuple(keys[:3, lo].tolist()), int(keys[3, lo]), b.slice(lo, hi - lo)
+
+    for cell, own in groupby(runs(), key=lambda r: r[0]):
+        held: list = []
+        for side, rest in groupby(own, key=lambda r: r[1]):
+            if side == 0:
+                held = [r[2] for r in rest]
+            elif held:
+                yield cell, held, (r[2] for r in rest)
+
+
+class _Nodes:
+    """Columns of batches of nodes as arrays."""
+
+    def __init__(self, batches: list):
+        of = lambda name: np.concatenate([b.column(name).to_numpy(zero_copy_only=False) for b in batches])
+        self.bucket, self.node, self.component, self.weight, self.n = (of(name) for name in ("bucket", "node", "component", "weight", "n"))
+        self.sketch, self.bands = (np.concatenate([b.column(name).flatten().to_numpy().reshape(b.num_rows, -1) for b in batches]) for name in ("sketch", "bands"))
+        self.sketch = self.sketch.view(np.uint64)
+        self.sets = [(b.column("set"), k) for b in batches for k in range(b.num_rows)] if "set" in batches[0].schema.names else None
+
+    def set(self, i: int) -> bytes:
+        column, k = self.sets[i]
+        return column[k].as_py()
+
+
+def _possible(x: _Nodes, y: _Nodes, most: int, least: int):
+    """(i, j, bits that differ) of the pairs of nodes x and y, about LOOK at a time, that may be similar, x in the lighter component, and whose first common band made this bucket."""
+    step = max(1, LOOK // len(x.node))
+    for lo in range(0, len(y.node), step):
+        part = slice(lo, lo + step)
+        differ = np.zeros((len(x.node), len(y.node[part])), np.int32)
+        for k in range(x.sketch.shape[1]):
+            differ += np.bitwise_count(x.sketch[:, k, None] ^ y.sketch[None, part, k])
+        ok = (x.weight[:, None] < y.weight[part]) | ((x.weight[:, None] == y.weight[part]) & (x.component[:, None] < y.component[part]))
+        ok &= (differ <= most) & (100 * np.minimum(x.n[:, None], y.n[part]) >= least * np.maximum(x.n[:, None], y.n[part]))
+        i, j = np.nonzero(ok)
+        if len(i):
+            first = (x.bands[i] == y.bands[j + lo]).argmax(axis=1)
+            here = x.bands[i, first] == x.bucket[0]
+            i, j = i[here], j[here]
+            if len(i):
+                yield i, j + lo, differ[i, j]
 
 
 def _similar(x: bytes, y: bytes, least: int) -> bool:
@@ -307,48 +313,81 @@ def _similar(x: bytes, y: bytes, least: int) -> bool:
     return 100 * common >= least * (len(both) - common)
 
 
+def _classes(table: DataFrame, doc_id: str, text: str, size: int, least: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """(row, id, n, same) of each row of a numbered table, and (same, copies, first) of each group of equal word sequences: first is the struct
+    (no_id, id, row) of the row of its component with the smallest id (null: last), of several the one with the smallest number.
+
+    by_id: rows without id are linked with nothing, rows that repeat one are linked. Else rows are told apart by number alone.
+
+    1. Rows with equal word sequences are one node from here on (partial aggregation; a group's size doesn't matter). A node is a row's number.
+    2. BANDS hashes of ROWS circulant MinHash coordinates each make buckets. Each node is paired with the hub it shares most buckets with,
+       and these pairs are confirmed on full sets; so groups of near copies become one component without pairs among themselves.
+    3. Of nodes that share a bucket but no component, the pairs that sketches of all coordinates leave possible are confirmed until their components have met.
+       No pair is left out for the size of its bucket.
+    """
+    made = written(_features(table, doc_id, text, size), "features")
+    full = made.where("same is not null and id is not null" if by_id else "same is not null")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("first")
+    groups = full.groupBy("same").agg(F.min(F.struct("row", "n", "bands", "sketch")).alias("f"), first, F.count("*").alias("copies"))
+    features = written(groups.select("same", "copies", "first", F.col("f.row").alias("node"), "f.n", "f.bands", "f.sketch"), "distinct-features")
+
+    members = _buckets(features)
+    votes = members.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("votes"))
+    pairs = written(votes.groupBy("node").agg(F.max_by("hub", F.struct("votes", -F.col("hub"))).alias("a")).select("a", F.col("node").alias("b")), "first-pairs")
+    # a node that shares a bucket is its hub, or paired with one: these are all sets that are ever asked for
+    sets = written(_sets(table, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), text, size), "sets")
+    near = written(_confirm(pairs, sets, least), "first-links")
+    labels = written(components(near), "first-components")
+    mixed = _mixed(members, labels, features)
+    links = near.unionByName(_further_links(mixed, sets, least))
+    links = written(links.unionByName(_repeats(full, features)) if by_id else links, "links")
+    discard(members, pairs, sets, near, labels, mixed)
+
+    of_node = features.select("same", "copies", "first", "node").join(components(links).withColumnRenamed("id", "node"), "node", "left")
+    of_node = written(of_node.select("same", "copies", "first", "component"), "components")
+    discard(links, features)
+    together = of_node.where("component is not null")
+    firsts = written(together.groupBy("component").agg(F.min("first").alias("first"), F.count("*").alias("k")), "firsts")
+    joined = attach(together.drop("first"), firsts, "component", "k").select("same", "copies", "first")
+    classes = written(of_node.where("component is null").select("same", "copies", "first").unionByName(joined), "classes")
+    discard(of_node, firsts)
+    return made, classes
+
+
+def _repeats(full: DataFrame, features: DataFrame) -> DataFrame:
+    """Links of the nodes that share an id, to the smallest of them."""
+    twice = full.groupBy("id").agg(F.min("same").alias("s0"), F.max("same").alias("s1")).where("s0 <> s1").select("id")
+    mine = full.join(twice, "id", "left_semi").select("id", "same").distinct().join(features.select("same", "node"), "same")
+    least = mine.groupBy("id").agg(F.min("node").alias("a"))
+    return mine.join(least, "id").where("a <> node").select("a", F.col("node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, least: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of docs.
 
     Rows are linked if 100 * intersection >= least * union of their sets of `size`-word shingles (of fewer words: the whole sequence). component_id is the
     smallest id reachable, kept says whether it is the row's own. Null, empty and wordless texts have no shingles and are linked with
-    nothing; a null id is linked with nothing, has a null component and isn't kept. Rows that repeat an id are one node and have a row each. Empty
-    input gives no rows.
+    nothing; a null id is linked with nothing, has a null component and isn't kept. Rows that repeat an id are one node and have a row each. Texts of any length are
+    taken whole. Empty input gives no rows. Other columns of docs, whatever their names, play no part.
 
-    1. Rows with equal word sequences are one from here on (partial aggregation; a group's size doesn't matter).
-    2. BANDS hashes of ROWS circulant MinHash coordinates each make buckets. Each row is paired with the hub it shares most buckets with,
-       and these pairs are confirmed on full sets; so groups of near copies become one component without pairs among themselves.
-    3. Of rows that share a bucket but no component, the pairs that sketches of all coordinates leave possible are confirmed, the likeliest
-       first, until a component is met or none is left. No pair is left out for the size of its bucket.
+    Texts are numbered and written once; they are read where they are (see `picked`) and never shuffled. The one path is the same at all sizes.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    made = written(_features(rows, size), "features")
-    full = made.where("id is not null and same is not null")
-    groups = full.groupBy("same").agg(F.min(F.struct("id", "n", "bands", "sketch")).alias("f"), F.count("*").alias("copies"))
-    features = written(groups.select("same", "copies", "f.*"), "distinct-features")
-    known = rows.where("id is not null")
-
-    members = written(_buckets(features), "buckets")
-    votes = members.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("votes"))
-    first = votes.groupBy("id").agg(F.max_by("hub", F.struct("votes", -F.col("hub"))).alias("a")).select("a", F.col("id").alias("b"))
-    first = written(first, "first-pairs")
-    ids = first.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    edges = written(_confirm(first, written(_sets(known, ids, size), "first-sets"), least), "first-links")
-    mixed = _mixed(members, written(components(edges), "first-components"), features)
-    lists = written(_across(mixed, least), "further-pairs")
-    sets = written(_sets(known, mixed.select("id").distinct(), size), "further-sets")
-    edges = written(edges.unionByName(_linked_lists(lists, sets, least)).unionByName(_repeats(full)), "links")
-    labels = components(edges)
-
-    of_group = features.select("same", "copies", F.col("id")).join(labels, "id", "left").select("same", "copies", F.coalesce("component", "id").alias("component"))
-    out = attach(made.select("id", "n", "same"), written(of_group, "classes"), "same", "copies")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    table = numbered(docs.select(doc_id, text), "near-dup-rows")
+    made, classes = _classes(table, doc_id, text, size, least, by_id=True)
+    discard(table)
+    out = attach(made.select("row", "id", "n", "same"), classes, "same", "copies")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("first.id", "id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 
-def _repeats(full: DataFrame) -> DataFrame:
-    """Links of an id's several texts to one another: of each group of equal texts to the smallest id, by way of repeated ids."""
-    twice = full.groupBy("id").agg(F.min("same").alias("s0"), F.max("same").alias("s1")).where("s0 <> s1").select("id")
-    mine = full.join(twice, "id", "left_semi").select("id", "same").distinct()
-    least = full.groupBy("same").agg(F.min("id").alias("least"))
-    return mine.join(least, "same").where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, least: int = 80) -> DataFrame:
+    """docs without near copies: of each group of rows that `near_duplicates` would link, the row with the smallest doc_id (null: last) stays, of several the first as numbered.
+
+    Rows are told apart by a number of their own that is written with them, so rows without doc_id, and rows that repeat one, stay unless their text is a near
+    copy. Texts without words are copies of nothing and stay. All columns are kept, whatever their names; empty input gives no rows.
+    """
+    table = numbered(docs, "near-dup-rows")
+    made, classes = _classes(table, doc_id, text, size, least, by_id=False)
+    gone = written(attach(made.select("row", "same"), classes, "same", "copies").where("row <> first.row").select("row"), "near-dup-gone")
+    discard(made, classes)
+    return picked(table, gone, among=False).select("own.*")

@@ -204,9 +204,10 @@ def components_by_force(docs, size, least):
     return [(d, len(s), None if d is None else top(d)) for (d, _), s in zip(docs, sets, strict=True)]
 
 
-@pytest.mark.parametrize("limit", [64_000_000, 0])
-def test_near_duplicates(spark, texts, monkeypatch, limit):
-    monkeypatch.setattr(near_dup, "SETS_BYTES", limit)
+@pytest.mark.parametrize("block,shingles,stream", [(near_dup.BLOCK, near_dup.BLOCK_SHINGLES, near_dup.STREAM), (2, 10**9, 3), (10**9, 50, 10**9)])
+def test_near_duplicates(spark, texts, monkeypatch, block, shingles, stream):
+    for name, value in (("BLOCK", block), ("BLOCK_SHINGLES", shingles), ("STREAM", stream)):
+        monkeypatch.setattr(near_dup, name, value)
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[6]), (7, texts[6]), (7, texts[6]), (99, texts[8])]
     out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str)
@@ -214,6 +215,53 @@ def test_near_duplicates(spark, texts, monkeypatch, limit):
     assert all(r.kept == (r.doc_id is not None and r.doc_id == r.component_id) for r in out)
 
 
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates_of_a_dense_group(spark, size):
+    """Texts around the threshold in one group, so that hubs alone don't settle who belongs together."""
+    r = random.Random(8)
+    base = r.choices(WORDS, k=80)
+    docs = [(i, " ".join(w if r.random() > 0.06 else r.choice(WORDS) for w in base)) for i in range(150)]
+    out = near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(7), size=size).collect()
+    want = components_by_force(docs, size, 80)
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in out) == sorted(want)
+    assert 1 < len({c for _, _, c in want}) < 150
+
+
+def test_near_duplicates_move_no_text(spark, texts):
+    """Rows are picked from where they were written: the numbered table's scan meets a bitmap without an exchange of its own."""
+    from strataflow.llm.common import discard, numbered, picked
+
+    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "row long, text string, part string").repartition(5)
+    table = numbered(df, "test")
+    rows = table.where("own.row % 3 = 0").select("row")
+    for among in (True, False):
+        out = picked(table, rows, among)
+        assert sorted(x.own.row for x in out.collect()) == [i for i in range(len(texts)) if (i % 3 == 0) == among]
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        below = plan[next(k for k, x in enumerate(plan) if "ShuffledHashJoin" in x) + 1 :][:3]
+        assert "Exchange" not in str(below) and "Bucketed: true" in below[2] and "own#" in below[2], below
+    assert picked(table, rows.limit(0)).count() == 0
+    discard(table)
+    none = numbered(df.limit(0), "test")
+    assert picked(none, none.select("row")).count() == 0
+
+
+def test_near_duplicates_recall(spark):
+    """At sf0.1, of the linked pairs that an exact join on rare shingles finds, banding and sketches lose none."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    got = {x.doc_id: x.component_id for x in near_dup.near_duplicates(docs).collect()}
+    sets = {x.doc_id: near_dup.shingles(near_dup.words_of(x.text), 5) for x in docs.collect()}
+    counts = Counter(s for v in sets.values() for s in v)
+    rare: dict = {}
+    for d, v in sets.items():
+        # a linked pair shares 4/5 of the larger set at least, so one of the rarest fifth of either (prefix filter)
+        for s in sorted(v, key=lambda s: (counts[s], s))[: len(v) - -(-4 * len(v) // 5) + 1]:
+            rare.setdefault(s, []).append(d)
+    pairs = {(a, b) for v in rare.values() for a in v for b in v if a < b}
+    linked = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(linked) > 500 and all(got[a] == got[b] for a, b in linked)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(empty(spark)).count() == 0
 
