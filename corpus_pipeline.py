@@ -23,17 +23,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps of each group of near copies (five-word shingles, similarity 0.8 or more) the row with the smallest doc_id (null: last), one row if several have it.
 
     Texts without words are no copies of anything and stay, and so do rows without doc_id and rows that repeat one, unless their text is a near copy.
-    Rows are told apart by a number of their own, which is written with them.
     """
-    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("own")), "numbered")
-    found = written(near_dup.near_duplicates(rows.select("row", "own.text"), doc_id="row", size=5, least=80).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")), "components")
-    grouped = found.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    several = found.join(grouped, "component", "left_semi")
-    ids = rows.select("row", F.col("own.doc_id").alias("doc_id"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    first = several.join(ids, "row").groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
-    gone = several.select("row").join(first, "row", "left_anti")
-    return rows.join(written(gone, "gone"), "row", "left_anti").select("own.*")
+    return near_dup.keep_first(docs, size=5, least=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
