@@ -8,7 +8,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import HOT_SHARE, attach, discard, numbered, picked, written
@@ -138,24 +138,24 @@ def _confirm(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id of the edges (a, b): the smallest id reachable.
 
-    Alternating large-star and small-star steps (connected components by MapReduce, Kiveris et al. 2014), each written; after about log of the
-    longest path they change nothing. The least neighbour of a star that many edges meet in is found by partial aggregation, and brought back to its edges by
-    `attach`, which broadcasts the few that are hot.
+    Alternating large-star and small-star steps (connected components by MapReduce, Kiveris et al. 2014), each written once; after about log of the
+    longest path they change nothing. The least neighbour of a star is found by partial aggregation. Where it is joined back to the star's edges it is one row for a
+    node, so that AQE splits the partition of a star that many edges meet in.
     """
     now, before = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"), None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("k")), "least")
-        large = written(attach(both, least, "u", "k").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-stars")
-        ends = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k")), "ends")
-        small = attach(large, ends, "u", "k").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(ends.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        then = written(small, "stars")
-        discard(now, least, large, ends)
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small_least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(small_least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        state = Observation()
+        then = written(small.observe(state, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "stars")
+        discard(now)
         now = then
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        if state.get == before:
             return now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        before = state
+        before = state.get
 
 
 def _buckets(features: DataFrame) -> DataFrame:
