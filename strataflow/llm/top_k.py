@@ -1,4 +1,4 @@
-"""Exact top-k inner products: vectors in norm buckets, pruned per bucket by length or by coordinates, then verified."""
+"""Exact top-k inner products: vectors in norm buckets, pruned per bucket by length or by coordinates, then verified in integers."""
 
 from __future__ import annotations
 
@@ -7,76 +7,80 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import table_path, written
+from strataflow.llm.common import attach, discard, written
 
-#: Norm buckets, rows of a block of vectors, queries of a block, and vectors of greatest norm that give first thresholds.
-BUCKETS, BLOCK_ROWS, QUERY_ROWS, SEEDS = 64, 2_048, 1_024, 1_024
+#: Norm buckets, rows of a block of vectors, and queries of a group.
+BUCKETS, BLOCK_ROWS, QUERY_ROWS = 64, 2_048, 1_024
+#: Long vectors that give first thresholds: so many of a dimension, for so many dimensions (the commonest), so many bytes in all.
+SEEDS, SEED_DIMS, SEED_BYTES = 1_024, 16, 64_000_000
 #: From this local cosine threshold on, coordinates prune better than lengths; so many coordinates of the query are looked at.
 COORDINATE_FROM, FOCUS = 0.4, 4
+#: Products that stay below this are exact in doubles, in whatever order they are added up.
+EXACT_BELOW = float(2**53)
+_HALF = 1 << 62
 
 
 def quantised(vectors: DataFrame, id_col: str, vector: str, scale: int) -> DataFrame:
-    """(id, v array<bigint> of floor(scale * x), norm, dim) of vectors without null or non-finite components; null and empty ones go."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    whole = F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    rows = vectors.where(F.col(vector).isNotNull() & (F.size(vector) > 0) & ~F.coalesce(bad, F.lit(True))).select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
-    return rows.where("id is not null").withColumn("norm", F.sqrt(square)).withColumn("dim", F.size("v"))
+    """(id, v, norm, dim, salt): v holds floor(scale * x) as doubles (whole numbers, exact at any size), of vectors without null or non-finite components; null and
+    empty ones go. salt tells rows apart that are equal in everything."""
+    whole = F.transform(F.col(f"`{vector}`"), lambda x: F.lit(float(scale)) * x.cast("double"))
+    whole = F.transform(whole, lambda x: F.when(F.abs(x) < EXACT_BELOW, F.floor(x).cast("double")).otherwise(x))
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), whole.alias("v")).where("id is not null and size(v) > 0")
+    rows = rows.where(~F.coalesce(F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(True)))
+    return rows.withColumn("norm", _norm("v")).withColumn("dim", F.size("v")).withColumn("salt", F.monotonically_increasing_id())
+
+
+def _norm(v: str):
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
 
 
 def exact_top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, id_col: str = "vec_id", vector: str = "embedding", scale: int = 1024) -> DataFrame:
     """(query_id, rank, id, score): for each row whose id is divisible by query_every, the k rows of other ids with the greatest integer inner product.
 
     Ties go to the smaller id; a query with fewer than k candidates has them all. Vectors that are null, empty or hold null or non-finite
-    components take no part, nor do null ids. Only vectors of the query's dimension are compared. Rows that repeat an id are candidates
-    each; repeated query ids count once, with the greatest vector. Empty input gives an empty result.
+    components (also after scaling) take no part, nor do null ids. Only vectors of the query's dimension are compared, of any length. Rows that repeat an id are candidates
+    each; repeated query ids count once, with the greatest vector. Empty input gives an empty result; other columns, whatever their names, play no part.
+    Products are whole numbers and ordered exactly up to 124 bits (beyond, they count as equal); a score that no long holds is the nearest long.
 
     Vectors go to BUCKETS buckets of near norm (edges by approximate quantiles) and each bucket to blocks of about BLOCK_ROWS rows by a
-    hash of the row, so one norm that most vectors share is spread. The SEEDS longest vectors, a bounded set, give each query a first
-    lower bound of its k-th score. A query goes only to blocks whose greatest norm can reach that bound, in groups of QUERY_ROWS, so a task holds one
-    group of each. There the bound over both norms is a local cosine threshold: above COORDINATE_FROM the query's FOCUS largest coordinates prune, else the
-    length does, and what is left is multiplied out. Each block hands on at most k rows of a query.
+    number of the row, so neither a norm nor a row that most vectors share is in one block. Some long vectors, a bounded set, give each query a first
+    lower bound of its k-th score. Queries that need about the same norms are put in groups of about QUERY_ROWS; a group and a block meet only if the bucket's greatest norm
+    can reach what the group's least demanding query needs, and a task holds one of each. There the bound over both norms is a local cosine threshold: above COORDINATE_FROM
+    the query's FOCUS largest coordinates prune, else the length does, and what is left is multiplied out. Each block hands on at most k rows of a query.
     """
     spark = vectors.sparkSession
-    path = table_path(spark, "top-k-vectors")
-    quantised(vectors, id_col, vector, scale).write.parquet(path)
-    rows = spark.read.parquet(path)
-    edges = rows.groupBy("dim").agg(F.percentile_approx("norm", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("edges"), F.count("*").alias("n"))
-    dims = edges.collect()  # a row for each dimension
-    queries = rows.where(F.col("id") % query_every == 0).groupBy("id").agg(F.max("v").alias("v")).withColumn("dim", F.size("v"))
-    queries = queries.withColumn("q_norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)))
-    bucket, parts = F.lit(0), F.lit(1)
-    for d in dims:
-        mine = F.col("dim") == d["dim"]
-        cuts = F.array(*[F.lit(float(e)) for e in sorted(set(d["edges"]))])
-        bucket = F.when(mine, F.size(F.filter(cuts, lambda e: e < F.col("norm")))).otherwise(bucket)
-    rows = rows.withColumn("bucket", bucket)
-    sizes = rows.groupBy("dim", "bucket").agg(F.max("norm").alias("top"), F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
-    sizes = written(sizes, "top-k-buckets")  # BUCKETS rows for each dimension
-    rows = rows.join(F.broadcast(sizes.select("dim", "bucket", "parts")), ["dim", "bucket"]).withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int"))
-    if not dims:
-        return spark.createDataFrame([], "query_id long, rank int, id long, score long")
-    seeds = {d["dim"]: _matrix(rows.where(F.col("dim") == d["dim"]).orderBy(F.desc("norm"), "id").limit(SEEDS).select("id", "v").toPandas()) for d in dims}
-    held = spark.sparkContext.broadcast(seeds)
+    rows = written(quantised(vectors, id_col, vector, scale), "top-k-vectors")
+    edges = rows.groupBy("dim").agg(F.array_distinct(F.percentile_approx("norm", [i / BUCKETS for i in range(1, BUCKETS)], 10_000)).alias("edges"), F.count("*").alias("n"))
+    edges = written(edges, "top-k-edges")
+    placed = attach(rows, edges, "dim", "n").withColumn("bucket", F.size(F.filter("edges", lambda e: e < F.col("norm")))).drop("edges", "n")
+    sizes = placed.groupBy("dim", "bucket").agg(F.max("norm").alias("top"), F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
+    sizes = written(sizes.withColumn("key", F.struct("dim", "bucket")), "top-k-buckets")
+    placed = placed.withColumn("key", F.struct("dim", "bucket"))
+    blocks = attach(placed, sizes.select("key", "n", "parts"), "key", "n").withColumn("part", F.pmod(F.xxhash64("salt"), F.col("parts")).cast("int"))
+    blocks = blocks.select("dim", "bucket", "part", "id", "v", "norm")
+
+    held = spark.sparkContext.broadcast(_seeds(placed, sizes, k))
 
     def bound(batches):
         for q in batches:
             floor = np.full(len(q), -np.inf)
             for dim, at in q.groupby("dim").indices.items():
-                ids, m = held.value[int(dim)]
-                s = np.stack(q["v"].to_numpy()[at]).astype(np.float64) @ m.T
-                s[q["id"].to_numpy()[at][:, None] == ids[None, :]] = -np.inf
-                if s.shape[1] >= k:
-                    floor[at] = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-            yield q.assign(floor=floor)
-
-    asked = written(queries.mapInPandas(bound, "id long, v array<bigint>, dim int, q_norm double, floor double"), "top-k-queries")
+                if int(dim) in held.value:
+                    ids, m, longest = held.value[int(dim)]
+                    s = np.stack(q["v"].to_numpy()[at]) @ m.T
+                    s[q["id"].to_numpy()[at][:, None] == ids[None, :]] = -np.inf
+                    floor[at] = -np.partition(-s, k - 1, axis=1)[:, k - 1] - (dim + 2) * 2.0**-52 * q["q_norm"].to_numpy()[at] * longest
+            yield q.assign(floor=floor, need=np.where((q["q_norm"] > 0) & (floor > 0), floor / np.maximum(q["q_norm"], 1e-300), 0.0))
+
+    queries = rows.where(F.col("id") % query_every == 0).groupBy("id").agg(F.max("v").alias("v")).withColumn("dim", F.size("v")).withColumn("q_norm", _norm("v"))
+    asked = written(queries.mapInPandas(bound, "id long, v array<double>, dim int, q_norm double, floor double, need double"), "top-k-bounds")
     groups = max(1, -(-asked.count() // QUERY_ROWS))
-    asked = asked.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
-    reach = sizes.select("dim", "top", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    to = asked.join(F.broadcast(reach), "dim").where(F.col("top") * F.col("q_norm") * (1 + 1e-9) >= F.col("floor"))
+    asked = written(asked.repartitionByRange(groups, "dim", "need", "id").withColumn("group", F.spark_partition_id()), "top-k-queries")
+    least = asked.groupBy("dim", "group").agg(F.min("need").alias("need"))
+    cells = sizes.join(least, "dim").where(F.col("top") * (1 + 1e-9) >= F.col("need"))  # BUCKETS rows at most for each group and dimension
+    cells = written(cells.select("dim", "bucket", "group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), "top-k-cells")
     cell = ["dim", "bucket", "part", "group"]
-    spread = rows.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    to, spread = asked.join(cells, ["dim", "group"]), blocks.join(cells, ["dim", "bucket", "part"])
 
     def search(key, q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -86,25 +90,39 @@ def exact_top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, id_col:
             norms = np.maximum(p["norm"].to_numpy(), 1e-300)
             unit = m / norms[:, None]
             for qid, v, q_norm, floor in zip(q["id"], q["v"], q["q_norm"], q["floor"], strict=True):
-                v = np.asarray(v, np.float64)
-                out.append(_search_one(int(qid), v, float(q_norm), float(floor), ids, m, unit, norms, k))
-        return pd.DataFrame(np.concatenate(out) if out else np.empty((0, 3), np.int64), columns=["query_id", "id", "score"])
-
-    found = to.groupBy(*cell).cogroup(spread.groupBy(*cell)).applyInPandas(search, "query_id long, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+                out += _search_one(int(qid), np.asarray(v, np.float64), float(q_norm), float(floor), ids, m, unit, norms, k)
+        return pd.DataFrame(out, columns=["query_id", "id", "high", "low"])
+
+    found = to.groupBy(*cell).cogroup(spread.groupBy(*cell)).applyInPandas(search, "query_id long, id long, high long, low long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("low"), "id")
+    score = F.when(F.col("high") > 1, F.lit(2**63 - 1)).when(F.col("high") < -2, F.lit(-(2**63))).otherwise(F.col("high") * _HALF + F.col("low"))
+    out = written(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", score.alias("score")), "top-k")
+    discard(rows, edges, sizes, asked, cells)
+    return out
+
+
+def _seeds(placed: DataFrame, sizes: DataFrame, k: int) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """For the commonest dimensions, ids and vectors of a bounded number of rows of its last bucket, and the greatest norm."""
+    last = sizes.groupBy("dim").agg(F.sum("n").alias("all"), F.max(F.struct("bucket", "n", "top")).alias("b")).orderBy(F.desc("all"), "dim").limit(SEED_DIMS).collect()
+    out = {}
+    for d in last:
+        most = min(SEEDS, SEED_BYTES // (8 * d["dim"] * len(last)))
+        share = F.pmod(F.xxhash64("salt"), F.lit(max(1, d["b"]["n"]))) < most
+        ids, m = _matrix(placed.where((F.col("dim") == d["dim"]) & (F.col("bucket") == d["b"]["bucket"]) & share).select("id", "v").limit(most).toPandas())
+        if len(ids) > k:  # one may be the query's own
+            out[d["dim"]] = (ids, m, d["b"]["top"])
+    return out
 
 
 def _matrix(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return p["id"].to_numpy(np.int64), np.stack(p["v"].to_numpy()).astype(np.float64) if len(p) else np.empty((0, 0))
 
 
-def _search_one(qid, v, q_norm, floor, ids, m, unit, norms, k) -> np.ndarray:
-    """The k best of one block for one query, as (query, id, score) rows; rows below `floor` aren't needed. norms descend."""
-    local = floor / (q_norm * norms[0]) if q_norm > 0 else -np.inf
+def _search_one(qid, v, q_norm, floor, ids, m, unit, norms, k) -> list[tuple[int, int, int, int]]:
+    """The k best of one block for one query, as (query, id, high and low part of the score); rows below `floor` aren't needed. norms descend."""
     if q_norm > 0 and floor > 0:
         keep = np.arange(np.searchsorted(-norms, -floor / q_norm * (1 - 1e-9), side="right"))  # length: only so long a vector can reach the floor
-        if local >= COORDINATE_FROM and len(keep):
+        if len(keep) and floor / (q_norm * norms[0]) >= COORDINATE_FROM:
             t = np.minimum(floor / (q_norm * norms[keep]), 1.0)
             rest_q, rest_p = np.float64(1.0), np.ones(len(keep))
             reached = np.zeros(len(keep))
@@ -118,7 +136,17 @@ def _search_one(qid, v, q_norm, floor, ids, m, unit, norms, k) -> np.ndarray:
     else:
         keep = np.arange(len(ids))
     keep = keep[ids[keep] != qid]
-    score = np.rint(m[keep] @ v).astype(np.int64)
-    best = np.lexsort((ids[keep], -score))[:k]
-    best = best[score[best] >= floor]
-    return np.stack([np.full(len(best), qid, np.int64), ids[keep][best], score[best]], 1)
+    if not len(keep):
+        return []
+    score = m[keep] @ v
+    size = q_norm * norms[keep[0]]  # keep ascends, so norms[keep] descends
+    if size * (1 + 1e-9) < EXACT_BELOW:
+        best = np.lexsort((ids[keep], -score))[:k]
+        exact = [(int(score[b]), int(ids[keep][b])) for b in best if score[b] >= floor]
+    else:  # doubles only say which may be among the best; these are multiplied out in whole numbers
+        off = (len(v) + 2) * 2.0**-52 * size
+        least = np.partition(-score, k - 1)[k - 1] * -1 - 2 * off if len(score) > k else -np.inf
+        own = [int(x) for x in v]
+        exact = [(sum(a * int(b) for a, b in zip(own, m[i], strict=True)), int(ids[i])) for i in keep[score >= least].tolist()]
+        exact = sorted(exact, key=lambda s: (-s[0], s[1]))[:k]
+    return [(qid, i, max(min(s // _HALF, _HALF), -_HALF), s % _HALF if abs(s) < 1 << 124 else 0) for s, i in exact]
