@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import written
-from strataflow.llm.tokens import Encoder, slices
+from strataflow.llm.tokens import encoder, slices
 
-#: Rounds of the fit, and patterns that enter it in each.
-ROUNDS, ENTER = 24, 96
-#: Shares of the fitted repeats that rounding tries; the one with the fewest sequences in all is taken.
-SHARES = (1.0, 0.95, 0.9, 0.8, 0.65, 0.5)
+#: Patterns that enter the fit in a round, and the gain (as a share of the mean count of a length) at which it has converged.
+ENTER, CONVERGED = 96, 3e-3
+#: Fractions of a repeat from which rounding goes up, while pieces last; the one with the fewest sequences in all is taken.
+ROUND_UP = (0.5, 0.7, 0.9, 1.0)
 
 
 def patterns(lengths: np.ndarray, size: int) -> np.ndarray:
@@ -31,47 +31,49 @@ def patterns(lengths: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate([np.stack([np.zeros_like(a[pairs]), a[pairs], b[pairs]], 1), np.stack([a[triples], b[triples], c[triples]], 1)])
 
 
-def fit_repeats(pats: np.ndarray, hist: np.ndarray) -> np.ndarray:
-    """Repeat counts x >= 0 of the patterns that bring their lengths near the histogram, by least squares over an active set.
+def fit_repeats(pats: np.ndarray, hist: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Repeat counts x >= 0 of the patterns that bring their lengths nearest the histogram: non-negative least squares over an active set, to convergence.
 
-    Each round lets in patterns along the steepest part of the gradient, no length twice, solves for all that are in, and drops those
-    that turn negative. A basic solution has few patterns, so that rounding loses little.
+    Each round lets in the ENTER patterns along the steepest part of the gradient, no length twice, solves for all that are in, and drops those
+    that turn negative until none does. A round that doesn't bring the histogram nearer is taken back, and fewer enter; with one at a time at the
+    latest the residual falls until no pattern outside has a gain. A basic solution has no more patterns than lengths, so that rounding loses little.
     """
-    x, inside = np.zeros(len(pats)), np.empty(0, np.int64)
-    weight = np.arange(len(hist)) / (len(hist) - 1)  # a long piece that is left over costs more than a short one
-    want = weight * hist
-    rest = weight * want
-    for _ in range(ROUNDS if len(pats) else 0):
-        gain = rest[pats].sum(1)
+    want, inside, x = weight * hist, np.empty(0, np.int64), np.zeros(len(pats))
+    columns, gram, y, rest = np.zeros((len(hist), 0)), np.zeros((0, 0)), np.empty(0), weight * hist
+    least, error, enter = CONVERGED * max(1.0, hist.mean()), float((weight * hist) @ (weight * hist)), ENTER
+    while len(pats):
+        gain = (weight * rest)[pats].sum(1)
         gain[inside] = -np.inf
-        used, new = set(), []
-        for i in np.argsort(-gain, kind="stable")[: 40 * ENTER].tolist():
-            own = {v for v in pats[i].tolist() if v}
-            if gain[i] <= 1e-6 * max(1.0, hist.max()) or len(new) == ENTER:
+        used, new = np.zeros(len(hist), bool), []
+        for i in np.argsort(-gain, kind="stable")[: 40 * enter].tolist():
+            if gain[i] <= least or len(new) == enter:
                 break
-            if not own & used:
-                used |= own
+            own = pats[i][pats[i] > 0]
+            if not used[own].any():
+                used[own] = True
                 new.append(i)
         if not new:
             break
-        inside = np.concatenate([inside, np.array(new, np.int64)])
-        while len(inside):
-            m = np.zeros((len(hist), len(inside)))
-            for k in range(3):
-                np.add.at(m, (pats[inside, k], np.arange(len(inside))), weight[pats[inside, k]])
-            y = np.linalg.solve(m.T @ m + 1e-6 * np.eye(len(inside)), m.T @ want)
-            if (y > 0).all():
+        more = np.zeros((len(hist), len(new)))
+        for k in range(pats.shape[1]):
+            np.add.at(more, (pats[new, k], np.arange(len(new))), weight[pats[new, k]])
+        more[0] = 0  # no piece
+        cross = columns.T @ more
+        all_columns, all_gram, ids = np.hstack([columns, more]), np.block([[gram, cross], [cross.T, more.T @ more]]), np.append(inside, new)
+        stay, aim = np.arange(len(ids)), all_columns.T @ want
+        while True:
+            z = np.linalg.solve(all_gram[np.ix_(stay, stay)] + 1e-9 * np.eye(len(stay)), aim[stay])
+            if (z > 0).all():
                 break
-            falls = y <= 0
-            step = np.min(x[inside][falls] / np.maximum(x[inside][falls] - y[falls], 1e-300), initial=1.0)
-            x[inside] += step * (y - x[inside])
-            stay = x[inside] > 1e-9
-            x[inside[~stay]] = 0
-            inside = inside[stay]
-            y = x[inside]
-        x[:] = 0
-        x[inside] = y
-        rest = weight * (want - m @ y if len(inside) else want)
+            stay = stay[z > 0]
+        left = want - all_columns[:, stay] @ z
+        if left @ left < error * (1 - 1e-9):
+            error, rest, inside, y, columns, gram = float(left @ left), left, ids[stay], z, all_columns[:, stay], all_gram[np.ix_(stay, stay)]
+        elif enter == 1:
+            break
+        else:
+            enter = max(1, enter // 4)
+    x[inside] = y
     return x
 
 
@@ -110,13 +112,32 @@ def best_fit(hist: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
     return done + [(tuple(c), n) for kinds in open_.values() for c, n in kinds]
 
 
+def choose(hist: np.ndarray, size: int) -> tuple[list[tuple[tuple[int, ...], int]], int]:
+    """(contents, how many such sequences) for all pieces below `size`, and how many of the sequences are patterns.
+
+    The fit counts all lengths alike; only if that needs more sequences than the tokens would fill, a second fit counts long pieces for more, as what is left
+    over of them costs more than short ones. Of the roundings the one with the fewest sequences is taken, of these the one with the most patterns.
+    """
+    pats = patterns(np.flatnonzero(hist), size)
+    lengths, found = np.arange(size + 1), []
+    bound = -(-int((hist * lengths).sum()) // size)
+    for weight in (np.ones(size + 1), lengths / size):
+        x = fit_repeats(pats, hist, weight)
+        for up in ROUND_UP:
+            made, left = _rounded(pats, x, hist, up)
+            kinds = made + best_fit(left, size)
+            found.append((sum(n for _, n in kinds), -sum(n for _, n in made), len(found), kinds))
+        if min(found)[0] == bound:
+            break
+    _, made, _, kinds = min(found)
+    return kinds, -made
+
+
 def plan(hist: np.ndarray, size: int) -> np.ndarray:
     """Rows (length, first rank, first sequence, offset, count): which pieces of a length go where. hist[n]: pieces of length n."""
-    rest = hist.astype(np.int64).copy()
-    rest[size] = 0
-    pats = patterns(np.flatnonzero(rest), size)
-    x = fit_repeats(pats, rest)
-    kinds = min((_rounded(pats, x * share, rest, size) for share in SHARES), key=lambda k: sum(n for _, n in k))
+    below = hist.astype(np.int64).copy()
+    below[size] = 0
+    kinds, _ = choose(below, size)
     if hist[size]:
         kinds.append(((size,), int(hist[size])))
     rows, rank, sequence = [], np.zeros(size + 1, np.int64), 0
@@ -130,34 +151,41 @@ def plan(hist: np.ndarray, size: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
-def _rounded(pats: np.ndarray, x: np.ndarray, hist: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns repeated as often as x says, rounded down and as far as pieces are there, and the rest by best fit."""
+def _rounded(pats: np.ndarray, x: np.ndarray, hist: np.ndarray, up: float) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
+    """Patterns repeated as often as x says, rounded down and then, from a fraction of `up` on, up, as far as pieces are there; and the pieces that are left."""
     left, kinds = hist.copy(), []
-    for i in np.argsort(-x, kind="stable").tolist():
-        if x[i] < 1:
-            break
+
+    def take(i: int, most: int) -> None:
         own = [v for v in pats[i].tolist() if v]
-        n = min([int(x[i] + 1e-6), *(int(left[v]) // own.count(v) for v in own)])
+        n = min([most, *(int(left[v]) // own.count(v) for v in own)])
         if n > 0:
             for v in own:
                 left[v] -= n
             kinds.append((tuple(sorted(own, reverse=True)), n))
-    return kinds + best_fit(left, size)
+
+    whole = np.floor(x + 1e-6)
+    for i in np.argsort(-whole, kind="stable")[: np.count_nonzero(whole)].tolist():
+        take(i, int(whole[i]))
+    for i in np.argsort(whole - x, kind="stable").tolist():
+        if x[i] - whole[i] < up:
+            break
+        take(i, 1)
+    return kinds, left
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local long"
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, size: int, doc_id: str, text: str, spaces: bool, end_id: int) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, size: int, doc_id: str, text: str, end_id: int) -> DataFrame:
     """A row for each piece of each document, numbered in its task among the pieces of its length (part, local)."""
 
     def cut(batches):
-        encoder, part, seen = Encoder(tokenizer, spaces), TaskContext.get().partitionId(), [0] * (size + 1)
+        encode, part, seen = encoder(tokenizer).encode, TaskContext.get().partitionId(), [0] * (size + 1)
         for b in batches:
             keys, texts = b.column(0), b.column(1)
             for run in slices(texts):
                 rows = []
-                for i, raw in zip(run, encoder.encode([texts[i].as_py() for i in run]), strict=True):
+                for i, raw in zip(run, encode([texts[i].as_py() for i in run]), strict=True):
                     raw += end_id.to_bytes(4, "little")
                     key, n = keys[i].as_py(), len(raw) // 4
                     ends = list(range(n % size or size, n + 1, size))
@@ -171,16 +199,17 @@ def cut_pieces(docs: DataFrame, tokenizer: str, size: int, doc_id: str, text: st
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECES)
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 1024, doc_id: str = "doc_id", text: str = "text", spaces: bool = True, end_id: int = 2) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 1024, doc_id: str = "doc_id", text: str = "text", end_id: int = 2) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of each piece of each document.
 
-    A document is its ids and the end id (null text: only that). Longer ones than `size` are cut into pieces of `size`, of which the first takes the
-    odd rest. Rows that repeat an id are packed each; null ids stay null; empty input gives no rows. Sequences are numbered from 0.
+    A document is its ids and the end id (null or empty text: only that). Longer ones than `size`, however long, are cut into pieces of `size`, of which the first takes the
+    odd rest. Rows that repeat an id or a text are packed each; null ids stay null; empty input gives no rows. Sequences are numbered from 0.
+    Other columns of docs, whatever their names, play no part.
 
     The driver sees the histogram of lengths (`size` numbers) and plans ranks of each length; a piece's rank is its number in its task and
     the count of that length in earlier tasks, so no length, however common, meets in one task.
     """
-    pieces = written(cut_pieces(docs, tokenizer, size, doc_id, text, spaces, end_id), "pieces")
+    pieces = written(cut_pieces(docs, tokenizer, size, doc_id, text, end_id), "pieces")
     counts = written(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
     hist = np.zeros(size + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 
-#: Entries of each half of the cache at most.
-CACHED_PIECES = 350_000
+#: Bytes (about) that each half of the cache holds at most, and letters of a piece that is kept; longer ones are worked out each time.
+CACHED_BYTES, CACHED_LETTERS = 64_000_000, 32
 #: Texts of these characters alone take the short way: ASCII but for control characters, line feeds, and Latin-1 letters.
 _PLAIN = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*")
 #: How the two files part texts before BPE, for that alphabet. With spaces kept, and without (lower case).
@@ -25,58 +26,91 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+#: How tokenizers files describe the two ways of parting texts that are known here, as (normalizer, pre_tokenizer, end_of_word_suffix).
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_KNOWN = {
+    True: (None, _BYTE_LEVEL | {"use_regex": True}, None),
+    False: (
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}, _BYTE_LEVEL | {"use_regex": False}]},
+        "</w>",
+    ),
+}
+
+
 class Encoder:
     """encode(texts) gives each text's ids, as tokenizers' encode(text, add_special_tokens=False) does.
 
-    BPE works on one piece (a word, a run of marks) at a time, so the ids of each piece are kept, and a text is put together from its pieces. spaces=True: byte-level
-    BPE whose pieces hold the space before them; False: word BPE that lower-cases and drops white space. Texts with other
-    characters, or with a special token's string, go through the library's whole encode.
+    BPE works on one piece (a word, a run of marks) at a time, so the ids of each piece are kept, and a text is put together from its pieces. That holds for
+    files that part texts in one of two known ways (with spaces: byte-level BPE whose pieces hold the space before them; without: word BPE that lower-cases and drops
+    white space), which is looked up in the file. Texts with other characters, or with a special token's string, and all texts of other files go through the
+    library's whole encode.
     """
 
-    def __init__(self, path: str, spaces: bool):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.whole, self.spaces = Tokenizer.from_file(path), spaces
+        self.whole = Tokenizer.from_file(path)
+        spec = json.loads(self.whole.to_str())
+        ways = (spec["normalizer"], spec["pre_tokenizer"], spec["model"].get("end_of_word_suffix"))
+        plain = spec["model"]["type"] == "BPE" and not spec["model"]["dropout"] and not spec["truncation"] and not spec["padding"]
+        self.spaces = next((k for k, v in _KNOWN.items() if plain and v == ways), None)
         self.special = re.compile("|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or r"(?!)")
-        self.pieces = Halves(CACHED_PIECES)
-        letters = _byte_letters()
-        self.letters = {b: letters[b] for b in range(256)}
-
-    def _parts(self, text: str | None) -> list[str] | None:
-        if not text:
-            return []
-        if not _PLAIN.fullmatch(text) or self.special.search(text):
+        self.pieces = Halves(self._ids)
+        self.letters = dict(enumerate(_byte_letters()))
+
+    def _ids(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.whole.model.tokenize(mapped)]).tobytes()
+
+    def _parts(self, text: str) -> list[str] | None:
+        if self.spaces is None or not _PLAIN.fullmatch(text) or self.special.search(text):
             return None
         return _KEEP_SPACES.findall(text) if self.spaces else _NO_SPACES.findall(text.lower())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        parts = list(map(self._parts, texts))
-        new = self.pieces.lacking(set(chain.from_iterable(p for p in parts if p)))
-        tokenize, table, young = self.whole.model.tokenize, self.letters, self.pieces.young
-        for p in new:
-            mapped = p if p.isascii() and p.isalnum() else p.encode().decode("latin-1").translate(table)
-            young[p] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
-        get = young.__getitem__
-        return [np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)]
+        out = []
+        for text in texts:
+            parts = self._parts(text) if text else []
+            if parts is None:
+                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                self.pieces.turn()
+                out.append(b"".join(map(self.pieces.young.__getitem__, parts)))
+        return out
+
+
+@lru_cache(4)
+def encoder(path: str) -> Encoder:
+    """The Encoder of a file, one for each worker process: its tasks share the cache."""
+    return Encoder(path)
 
 
 class Halves:
     """A cache in two halves: when the young one is full it becomes the old one, from which what is asked for again is taken over."""
 
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
-
-    def lacking(self, keys: set[str]) -> set[str]:
-        """The keys that neither half has; the others are in the young one afterwards."""
-        if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        keys = keys.difference(young)
-        for k in keys & old.keys():
-            young[k] = old[k]
-        return keys.difference(young)
+    def __init__(self, make):
+        self.make, self.size = make, 0
+        self.young, self.old = _Half(self), {}
+
+    def turn(self) -> None:
+        if self.size > CACHED_BYTES:
+            self.young, self.old, self.size = _Half(self), self.young, 0
+
+
+class _Half(dict):
+    def __init__(self, halves: Halves):
+        self.halves = halves
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = dict.get(self.halves.old, piece) or self.halves.make(piece)
+        if len(piece) <= CACHED_LETTERS:
+            self[piece] = ids
+            self.halves.size += 200 + len(ids)
+        return ids
 
 
 def slices(values, most_chars: int = 2_000_000):
