@@ -25,11 +25,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
 
     rules has host, path and verdict (allow or block). A rule fits its host and all subdomains if the path starts with the rule's; the
     longest rule (host and path together) wins, block before allow between rules equal in host and path. Without a fitting rule, rule
-    is null and verdict is `default`. Null or schemeless urls have an empty host, which no rule fits. Rules with nulls are left out;
-    empty rules or pages work. Repeated rows are judged one by one. Columns of pages named like the new four are replaced.
+    is null and verdict is `default`. Null or schemeless urls have an empty host, which no rule fits. Rules with nulls are left out, repeated ones count once;
+    empty rules or pages work. Repeated pages are judged one by one, urls of any length whole. Columns of pages named like the new four are replaced.
 
-    Expressions are built only for those path lengths that rules have (a distinct list, as short as the longest rule path), so a
-    page makes (labels of its host) x (rule path lengths) rows; they meet the rules on PREFIX_HEX digits of SHA-256. The rules are
+    Expressions are built only for those label counts and path lengths that rules have (distinct lists, as short as the longest rule), so a
+    page makes (rule label counts) x (rule path lengths) rows at most, however long its host is; they meet the rules on PREFIX_HEX digits of SHA-256. The rules are
     broadcast only if a count shows that they are few; else they are shuffled, salted against hash prefixes that most pages share.
     Partial aggregation folds a page's rows back into one before the only shuffle of the usual plan.
     """
@@ -37,6 +37,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     kept = [c for c in pages.columns if c not in new]
     rules = rules.select("host", "path", "verdict").dropna()
     lengths = [r[0] for r in rules.select(F.length("path")).distinct().collect()]
+    counts = [r[0] for r in rules.select(_labels("host")).distinct().collect()]
     listed = (
         rules.groupBy("host", "path").agg(F.max("verdict").alias("said"))  # block comes after allow
         .select("said", F.concat("host", "path").alias("said_by"), F.length("host").alias("host_length"), _digest(F.col("host"), F.col("path")).alias("full_rule"))
@@ -44,11 +45,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     )
     host, path = split_url(F.col(f"`{url}`"))
     base = pages.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("page"), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row"))
-    labels = F.split("host", r"\.")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hosts = F.array_compact(F.array(*[F.when(_labels("host") >= n, F.substring_index("host", ".", -n)) for n in sorted(counts)], F.lit(None).cast("string")))
     paths = F.array_compact(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted(lengths)], F.lit(None).cast("string")))
     asked = (
-        base.withColumn("h", F.explode(hosts)).withColumn("p", F.explode_outer(paths))
+        base.withColumn("h", F.explode_outer(hosts)).withColumn("p", F.explode_outer(paths))
         .withColumn("full", _digest(F.col("h"), F.col("p"))).withColumn("short", F.substring("full", 1, PREFIX_HEX)).drop("h", "p")
     )
     if small_enough(listed, 200_000):
@@ -62,6 +62,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     return out.toDF(*kept, *new)
 
 
+def _labels(host: str):
+    return F.length(host) - F.length(F.replace(F.col(host), F.lit("."))) + 1
+
+
 def _digest(host, path):
     """SHA-256 of an expression; line feeds can't be confused with what they part, as the host's length leads."""
     return F.sha2(F.concat(F.length(host).cast("string"), F.lit(":"), host, path).cast("binary"), 256)
