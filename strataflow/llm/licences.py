@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import attach, written
+from strataflow.llm.common import attach, discard, written
 
 #: Statements of common licences, by SPDX name.
 TEMPLATES = {
@@ -49,15 +49,17 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
     """files without their text, with header_license, header_score, file_license, file_score, inherited_license, inherited_from, license and basis.
 
     Vectors: term count times idf, idf = ln((1 + n) / (1 + df)) + 1 over all files with text, for every word of a file, of a template or
-    not. header_license is the template with the greatest cosine to any line, if that is
+    not. header_license is the template with the greatest cosine to any line, or to a line and the next one together (a statement may be wrapped), if that is
     HEADER_COSINE or more; file_license the template or licence text with the greatest cosine to the whole text, if FILE_COSINE or more
     (ties: smaller name). A file with
     file_license is a licence file and governs its directory and all below that have none nearer; several in a directory: the smallest
     path. license is header's, else the file's own, else the inherited one; basis says which (header, file, inherited, none).
 
-    Null or empty texts match nothing but inherit; null paths are the root directory. Repeated rows give a row each. Columns of files
+    Null or empty texts match nothing but inherit; null paths are the root directory. Texts are taken whole, however long. Repeated rows give a row each. Columns of files
     named like the new eight are replaced; empty input gives an empty result.
 
+    What is found in a text is brought back to its rows by the text's SHA-256, so it doesn't matter in which order rows are read again.
+
     Only texts and lines are scanned that hold a word without which no cosine can reach the threshold (by Cauchy-Schwarz, a template's
     commonest words may add up to less, and are not looked for); their words go through a join with the templates' postings. Document frequencies are counted once for all words, with partial aggregation, and only those of template words reach the
     driver; the words of scanned texts get theirs by a join in which common words are broadcast. Directories are expanded to ancestors once each.
@@ -69,7 +71,7 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
     at = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit(""))
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
-    base = files.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("own"), at.alias("at"), body.alias("body"))
+    base = files.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("own"), at.alias("at"), body.alias("body")).withColumn("digest", F.sha2("body", 256))
     dfs = written(base.where("body <> ''").select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words_of("body")))).alias("w")).groupBy("w").agg(F.count("*").alias("df")), "licence-dfs")
     df = {r["w"]: r["df"] for r in dfs.where(F.array_contains(F.lit(["", *vocabulary]), F.col("w"))).collect()}  # a row for each template word, and "" for the files
     n = df.get("", 0)
@@ -89,26 +91,31 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
     holds = lambda c, words: F.arrays_overlap(words_of(c), F.lit(sorted(words)))
     posted = F.broadcast(spark.createDataFrame(postings, "w string, template string, is_line boolean, t double"))
 
-    found = base.where(holds("body", in_lines | in_files)).select("row", "body")
-    parts = F.concat(F.array(F.struct(F.lit(-1).alias("pos"), F.col("body").alias("col"))), F.transform(F.split("body", "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("col"))))
-    units = found.select("row", F.explode(parts).alias("u")).select("row", "u.pos", "u.col").where(F.when(F.col("pos") == -1, holds("col", in_files)).otherwise(holds("col", in_lines)))
-    terms = written(units.select("row", "pos", F.explode(words_of("col")).alias("w")).groupBy("row", "pos", "w").agg(F.count("*").alias("tf")), "licence-terms")
-    used = terms.groupBy("w").agg(F.count("*").alias("uses")).join(dfs, "w")
+    found = base.where(holds("body", in_lines | in_files)).groupBy("digest").agg(F.any_value("body").alias("body"), F.count("*").alias("copies"))
+    found = written(found, "licence-texts")
+    lines = F.split("body", "\n")
+    single = F.transform(lines, lambda x, i: F.struct((2 * i).alias("pos"), x.alias("col")))
+    double = F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x, i: F.struct((2 * i + 1).alias("pos"), F.concat(F.get(lines, i), F.lit(" "), x).alias("col")))
+    parts = F.concat(F.array(F.struct(F.lit(-1).alias("pos"), F.col("body").alias("col"))), single, double)
+    units = found.select("digest", F.explode(parts).alias("u")).select("digest", "u.pos", "u.col").where(F.when(F.col("pos") == -1, holds("col", in_files)).otherwise(holds("col", in_lines)))
+    counted = written(units.select("digest", "pos", F.explode(words_of("col")).alias("w")).groupBy("digest", "pos", "w").agg(F.count("*").alias("tf")), "licence-terms")
+    used = counted.groupBy("w").agg(F.count("*").alias("uses")).join(dfs, "w")
     used = written(used.select("w", "uses", (F.log(F.lit(float(1 + n)) / (F.col("df") + 1)) + 1).alias("idf")), "licence-idfs")
-    terms = attach(terms, used, "w", "uses").withColumn("v", F.col("tf") * F.col("idf"))
-    norms = Window.partitionBy("row", "pos")
+    terms = attach(counted, used, "w", "uses").withColumn("v", F.col("tf") * F.col("idf"))
+    norms = Window.partitionBy("digest", "pos")
     scored = (
         terms.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(norms))).join(posted, "w").where("is_line or pos = -1")
-        .groupBy("row", "pos", "template", "is_line").agg((F.sum(F.col("v") * F.col("t")) / F.max("norm")).alias("cosine"))
+        .groupBy("digest", "pos", "template", "is_line").agg((F.sum(F.col("v") * F.col("t")) / F.max("norm")).alias("cosine"))
     )
     scored = scored.withColumn("cosine", F.round("cosine", 6)).withColumn("whole", F.col("pos") == -1)
     scored = scored.where(F.col("cosine") >= F.when(F.col("whole"), FILE_COSINE).otherwise(HEADER_COSINE))
     best = lambda whole: F.min(F.when(F.col("whole") == whole, F.struct((-F.col("cosine")).alias("minus"), "template")))
-    licensed = scored.groupBy("row").agg(best(False).alias("h"), best(True).alias("f"))
+    licensed = scored.groupBy("digest").agg(best(False).alias("h"), best(True).alias("f")).join(found.select("digest", "copies"), "digest")
+    licensed = written(licensed, "licence-found")
 
-    narrow = base.select("row", "own", "at", F.regexp_replace("at", "/?[^/]*$", "").alias("dir"))
+    narrow = base.select("digest", "own", "at", F.regexp_replace("at", "/?[^/]*$", "").alias("dir"))
     rows = written(
-        narrow.join(licensed, "row", "left").select("own", "at", "dir", F.col("h.template").alias("header_license"), (-F.col("h.minus")).alias("header_score"), F.col("f.template").alias("file_license"), (-F.col("f.minus")).alias("file_score")),
+        attach(narrow, licensed, "digest", "copies").select("own", "at", "dir", F.col("h.template").alias("header_license"), (-F.col("h.minus")).alias("header_score"), F.col("f.template").alias("file_license"), (-F.col("f.minus")).alias("file_score")),
         "licences",
     )
     governs = rows.where("file_license is not null").groupBy("dir").agg(F.min(F.struct("at", "file_license")).alias("g")).select(F.col("dir").alias("above"), F.col("g.file_license").alias("inherited_license"), F.col("g.at").alias("inherited_from"))
@@ -123,4 +130,5 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
     own = [F.col(f"own.c{i}").alias(f"c{i}") for i in range(len(kept))]
     said = F.coalesce("header_license", "file_license", "inherited_license")
     basis = F.when(F.col("header_license").isNotNull(), "header").when(F.col("file_license").isNotNull(), "file").when(F.col("inherited_license").isNotNull(), "inherited").otherwise("none")
+    discard(dfs, found, counted, used, licensed, dirs)
     return attach(rows, nearest, "dir", "n").select(*own, *new[:6], said, basis).toDF(*kept, *new)

@@ -96,22 +96,25 @@ _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
 def _licence_sql() -> str:
-    values = ", ".join(f"('{name}', '{text.lower()}')" for name, text in sorted(licences.TEMPLATES.items()))
+    said = [(name, text, "true") for name, text in sorted(licences.TEMPLATES.items())] + [(name, text, "false") for name, text in sorted(licences.TEXTS.items())]
+    values = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}', {line})" for name, text, line in said)
     words = "list_filter(string_split_regex(lower({}), '[^0-9a-z]+'), lambda w: w <> '')"
     return f"""
 WITH files AS (SELECT doc_id, coalesce(text, '') AS body, concat_ws('/', source, lang, CAST(floor(doc_id / 100) AS BIGINT), doc_id || '.txt') AS path FROM documents),
 placed AS (SELECT doc_id, body, path, regexp_replace(path, '/?[^/]*$', '') AS dir FROM files),
-templates(template, said) AS (VALUES {values}),
-tt AS (SELECT template, w, count(*) AS k FROM (SELECT template, unnest({words.format('said')}) AS w FROM templates) GROUP BY ALL),
+templates(template, said, is_line) AS (VALUES {values}),
+tt AS (SELECT template, is_line, w, count(*) AS k FROM (SELECT template, is_line, unnest({words.format('said')}) AS w FROM templates) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM placed WHERE body <> ''),
-dfs AS (SELECT w, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(list_distinct({words.format('body')})) AS w FROM placed) WHERE w IN (SELECT w FROM tt) GROUP BY w),
-idfs AS (SELECT v.w, ln((1 + n.n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tt) v CROSS JOIN n LEFT JOIN dfs ON dfs.w = v.w),
-post AS (SELECT template, tt.w, k * idf / sqrt(sum((k * idf) * (k * idf)) OVER (PARTITION BY template)) AS t FROM tt JOIN idfs USING (w)),
-lines AS (SELECT doc_id, -1 AS pos, body AS line FROM placed UNION ALL SELECT doc_id, unnest(range(len(string_split(body, chr(10))))) AS pos, unnest(string_split(body, chr(10))) AS line FROM placed),
+dfs AS (SELECT w, count(*) AS df FROM (SELECT unnest(list_distinct({words.format('body')})) AS w FROM placed) GROUP BY w),
+idfs AS (SELECT v.w, ln((1 + n.n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT w FROM tt UNION SELECT w FROM dfs) v CROSS JOIN n LEFT JOIN dfs ON dfs.w = v.w),
+post AS (SELECT template, is_line, tt.w, k * idf / sqrt(sum((k * idf) * (k * idf)) OVER (PARTITION BY template, is_line)) AS t FROM tt JOIN idfs USING (w)),
+split AS (SELECT doc_id, string_split(body, chr(10)) AS l FROM placed),
+lines AS (SELECT doc_id, -1 AS pos, body AS line FROM placed UNION ALL SELECT doc_id, 2 * unnest(range(len(l))) AS pos, unnest(l) AS line FROM split
+  UNION ALL SELECT doc_id, 2 * i - 1 AS pos, l[i] || ' ' || l[i + 1] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM split)),
 words AS (SELECT doc_id, pos, w, count(*) AS tf FROM (SELECT doc_id, pos, unnest({words.format('line')}) AS w FROM lines) GROUP BY ALL),
-vec AS (SELECT doc_id, pos, words.w, tf * coalesce(idf, ln(1 + n.n) + 1) AS v FROM words CROSS JOIN n LEFT JOIN idfs ON idfs.w = words.w),
+vec AS (SELECT doc_id, pos, w, tf * idf AS v FROM words JOIN idfs USING (w)),
 norms AS (SELECT doc_id, pos, sqrt(sum(v * v)) AS norm FROM vec GROUP BY ALL),
-cosines AS (SELECT doc_id, pos, template, round(sum(v * t) / max(norm), 6) AS c FROM vec JOIN post USING (w) JOIN norms USING (doc_id, pos) GROUP BY ALL),
+cosines AS (SELECT doc_id, pos, template, is_line, round(sum(v * t) / max(norm), 6) AS c FROM vec JOIN post USING (w) JOIN norms USING (doc_id, pos) WHERE is_line OR pos = -1 GROUP BY ALL),
 heads AS (SELECT doc_id, arg_min(template, (-c, template)) AS header_license, max(c) AS header_score FROM cosines WHERE pos >= 0 AND c >= {licences.HEADER_COSINE} GROUP BY doc_id),
 wholes AS (SELECT doc_id, arg_min(template, (-c, template)) AS file_license, max(c) AS file_score FROM cosines WHERE pos = -1 AND c >= {licences.FILE_COSINE} GROUP BY doc_id),
 governs AS (SELECT dir AS above, arg_min(file_license, path) AS inherited_license, min(path) AS inherited_from FROM placed JOIN wholes USING (doc_id) GROUP BY dir),
