@@ -13,6 +13,11 @@ NAME_STOP = [
 ]
 GAP = r"GAP (\d+)d before next \((\d{4}-\d{2}-\d{2})\)"
 TYPICAL = r"typ(\d+)d"
+LATEST, BLANK_MAP = "latest-in-collection", "BLANK_MAP"
+# How the methods of claims begin.
+BY_DATE, BY_CYCLE, BY_EDITION, BY_NAME, BY_BASENAME = "dole location/date", "rawtiffs cycle", "dole sectional_files", "rawtiffs", "basename"
+#: Bytes of an archive's header, and the latitude that its bounds may reach.
+HEADER_BYTES, MOST_LATITUDE = 127, 86
 LCC = "+proj=lcc +lat_1=%s +lat_2=%s +lat_0=%s +lon_0=%s +x_0=0 +y_0=0 +datum=NAD83 +units=m +no_defs"
 
 
@@ -200,10 +205,15 @@ def half_and_edition(c, location) -> Column:
     )
 
 
-def candidate(start, location, filename) -> Column:
-    """B16. struct<grp, rank>: what competes, and 1 for rows with all pixel corners, else 2."""
-    dated = F.concat_ws("|", text(start), text(location), half(filename))
-    grp = F.when(blank(start), F.concat(F.lit("undated|"), stem(filename))).otherwise(dated)
+def candidate(start, location, filename, line="line", abbreviations: dict[str, str] | None = None) -> Column:
+    """B16. struct<grp, rank>: what competes, and 1 for rows with all pixel corners, else 2.
+
+    Rows with a day and a location compete by day, location slug and half; others by their stem, with all but letters, digits and underscores folded to one underscore, or, if
+    nothing is left of it, by their line.
+    """
+    place, token = slug(location, abbreviations), F.btrim(F.regexp_replace(F.regexp_replace(stem(filename), "[^a-z0-9_]+", "_"), "_+", "_"), F.lit("_"))
+    undated = F.concat(F.lit("undated|"), F.when(token == "", F.concat(F.lit("row"), col(line).cast("string"))).otherwise(token))
+    grp = F.when(parse_date(start).isNotNull() & (place != ""), F.concat_ws("|", normal_date(start), place, half(filename))).otherwise(undated)
     return F.struct(grp.alias("grp"), F.when(corners("px", "py").isNotNull(), 1).otherwise(2).alias("rank"))
 
 
@@ -217,9 +227,8 @@ def chart_key(location, start, filename) -> Column:
 def note_gap(note) -> Column:
     """B18. struct<latest, blank_map, days, next, typical, missing>: what a note says on the gap after a chart."""
     days, usual = [F.nullif(F.regexp_extract(text(note), p, 1), F.lit("")).cast("int") for p in (GAP, TYPICAL)]
-    flags = F.split(text(note), r"[;,\s]+")
     return F.struct(
-        F.array_contains(flags, "L").alias("latest"), F.array_contains(flags, "B").alias("blank_map"), days.alias("days"),
+        text(note).contains(LATEST).alias("latest"), text(note).contains(BLANK_MAP).alias("blank_map"), days.alias("days"),
         F.regexp_extract(text(note), GAP, 2).try_cast("date").alias("next"), usual.alias("typical"),
         F.when(usual > 0, F.greatest(F.lit(1), F.bround(days / usual).cast("int") - 1)).alias("missing"),
     )
@@ -231,16 +240,21 @@ def key_dates(key) -> Column:
     return F.struct(m(1).try_cast("date").alias("start"), F.coalesce(m(2), m(1)).try_cast("date").alias("end"), F.concat(F.substring(m(1), 1, 3), F.lit("0s")).alias("decade"))
 
 
-def prefix_length(root_end, metadata_end, leaf_start, leaf_end, tiles, cap: int = 262_144) -> Column:
-    """B20. Bytes to read before the tiles: all sections if within cap, else up to the leaves; null if the sections aren't in order."""
-    r, m, ls, le, t = map(col, (root_end, metadata_end, leaf_start, leaf_end, tiles))
-    return F.when((r <= m) & (m <= ls) & (ls <= le) & (le <= t), F.when(le <= cap, le).otherwise(ls))
+def prefix_length(root_offset, root_length, metadata_offset, metadata_length, leaf_offset, leaf_length, tile_offset, size, cap: int = 262_144) -> Column:
+    """B20. Bytes to read from an archive's beginning: all before the tiles if that is within cap, else all before the leaves (without leaves: before the tiles).
+
+    Null if the sections aren't header, root, metadata, leaves, tiles in this order and within the file. Without leaves (length 0) their offset doesn't matter.
+    """
+    root, root_n, meta, meta_n, leaf, leaf_n, tiles, size = map(col, (root_offset, root_length, metadata_offset, metadata_length, leaf_offset, leaf_length, tile_offset, size))
+    leafless = leaf_n == 0
+    ordered = (root >= HEADER_BYTES) & (root + root_n <= meta) & (meta + meta_n <= F.when(leafless, tiles).otherwise(leaf)) & (leafless | (leaf + leaf_n <= tiles)) & (tiles <= size)
+    return F.when(ordered, F.when((tiles <= cap) | leafless, tiles).otherwise(leaf))
 
 
 def header_bounds(w, s, e, n) -> Column:
-    """B20. Bounds from 1e-7 degrees, rounded outward to 2 places; null if wrapped or off the globe."""
+    """B20. Bounds from 1e-7 degrees, rounded outward to 2 places; null if wrapped, empty, off the globe or beyond MOST_LATITUDE."""
     w, s, e, n = [col(c).cast("double") / 1e7 for c in (w, s, e, n)]
-    ok = (w < e) & (s < n) & (w >= -180) & (e <= 180) & (s >= -90) & (n <= 90)
+    ok = (w < e) & (s < n) & (w >= -180) & (e <= 180) & (s >= -MOST_LATITUDE) & (n <= MOST_LATITUDE)
     down, up = lambda x: F.floor(x * 100) / 100, lambda x: F.ceil(x * 100) / 100
     return F.when(ok, F.array(down(w), down(s), up(e), up(n)))
 
@@ -274,17 +288,19 @@ def name_tokens(name) -> Column:
     return F.array_except(F.array_distinct(words), F.array(*[F.lit(w) for w in ["", *NAME_STOP]]))
 
 
-def split_title(title) -> Column:
-    """B26. struct<aliases, city>: what stands before the last comma, parted at slashes, and what follows it."""
-    plain = F.trim(F.regexp_replace(text(title), r"\([^)]*\)", ""))
-    head, city = F.regexp_extract(plain, r"^(.*?)(?:,([^,]*))?$", 1), F.regexp_extract(plain, r"^(.*?)(?:,([^,]*))?$", 2)
-    return F.struct(F.filter(F.transform(F.split(head, "/"), lambda x: F.trim(x)), lambda x: x != "").alias("aliases"), F.trim(city).alias("city"))
+def split_title(title, state) -> Column:
+    """B26. struct<aliases, city>: a title without its last words `, ST` or ` ST.` (ST: the row's state, if it has one), parted at the last comma; what stands before
+    parted at slashes, without names that have no words of their own."""
+    cut = F.when(blank(state), text(title)).otherwise(F.regexp_replace(text(title), F.concat(F.lit(r"[,\s]+\Q"), text(state), F.lit(r"\E\.?\s*$")), F.lit("")))
+    head = F.when(cut.contains(","), F.regexp_extract(cut, r"(?s)^(.*),([^,]*)$", 1)).otherwise(cut)
+    return F.struct(F.filter(F.transform(F.split(head, "/"), lambda x: F.trim(x)), lambda x: F.size(name_tokens(x)) > 0).alias("aliases"), F.trim(F.regexp_extract(cut, r"(?s)^(.*),([^,]*)$", 2)).alias("city"))
 
 
 def clean_title(title) -> Column:
-    """B27. White space folded, a trailing (revised m/y) cut, hyphens and spaces at the ends cut."""
-    folded = F.regexp_replace(text(title), r"\s+", " ")
-    return F.btrim(F.regexp_replace(folded, r"(?i)\s*\(revised[^)]*\)\s*$", ""), F.lit(" -–—"))
+    """B27. White space folded, marks at the ends cut, then a last `(revised m/y)` (parentheses may lack), then marks again."""
+    marks = F.lit(" \t-–—_:;")
+    folded = F.btrim(F.regexp_replace(F.coalesce(col(title), F.lit("")), r"\s+", " "), marks)
+    return F.btrim(F.regexp_replace(folded, r"(?i)\(?\s*revised\s+[\d/]+\s*\)?\s*$", ""), marks)
 
 
 def dms(c, degree_digits: int = 2) -> Column:
@@ -307,15 +323,19 @@ def precision(lat, lon) -> Column:
 
 
 def match_confidence(how) -> Column:
-    """B29. 1 for an exact name, 2 for edition or date, 3 for the rest."""
-    t = F.lower(text(how))
-    return F.when(t.startswith("exact"), 1).when(t.startswith("loc+ed") | t.startswith("loc+date"), 2).otherwise(3)
+    """B29. How strong a claim of equality is by its method: 1 for location and date, 2 for a name in a cycle's folder or location and edition, 3 for a name."""
+    return F.when(col(how).startswith(BY_DATE), 1).when(col(how).startswith(BY_CYCLE) | col(how).startswith(BY_EDITION), 2).otherwise(3)
 
 
 def extension_rank(path) -> Column:
     """B30. tif before pdf, image, zip and others."""
     e = extension(path)
-    return F.when(e.isin("tif", "tiff"), 0).when(e == "pdf", 1).when(e.isin("jpg", "jpeg", "png", "jp2"), 2).when(e == "zip", 3).otherwise(4)
+    return F.when(e.isin("tif", "tiff"), 0).when(e == "pdf", 1).when(e.isin("jpg", "jpeg", "png"), 2).when(e == "zip", 3).otherwise(4)
+
+
+def open_range(header) -> Column:
+    """B35. Whether a range is `bytes=a-`, without an end."""
+    return F.coalesce(col(header), F.lit("")).rlike(r"^bytes=\d+-$")
 
 
 def byte_range(header) -> Column:
@@ -334,13 +354,36 @@ def state_of(location) -> Column:
     return F.nullif(F.regexp_extract(text(location), r",\s*([A-Z]{2})$", 1), F.lit(""))
 
 
-def row_issues(location, start, end, edition) -> Column:
-    """B37. array<string> of what is wrong with a catalogue row."""
+def row_issues(location, start, end) -> Column:
+    """B37. array<string> of what is wrong with a catalogue row: its location is missing (nothing else is then looked at), a day that is given isn't one, or the end lies before the start."""
     d, e = parse_date(start), parse_date(end)
-    return F.array_compact(F.array(
-        F.when(blank(location), "missing location"), F.when(~blank(start) & d.isNull() | blank(start), "bad date"), F.when(~blank(end) & e.isNull(), "bad end date"),
-        F.when(e < d, "end before start"), F.when(blank(end), "missing end date"), F.when(blank(edition), "missing edition"),
-    ))
+    dates = [F.when(~blank(start) & d.isNull(), "invalid date"), F.when(~blank(end) & e.isNull(), "invalid end_date"), F.when(e < d, "end_date before date")]
+    return F.when(blank(location), F.array(F.lit("missing location"))).otherwise(F.array_compact(F.array(*dates)))
+
+
+def end_missing(start, end) -> Column:
+    """B37. Whether a row has a start day but no end day."""
+    return parse_date(start).isNotNull() & parse_date(end).isNull()
+
+
+def edition_or_unknown(edition) -> Column:
+    """B37."""
+    return F.coalesce(F.nullif(text(edition), F.lit("")), F.lit("Unknown"))
+
+
+def distinct_in_order(values) -> Column:
+    """D15. An array's values without repeats, in the order in which they first come."""
+    return F.array_distinct(col(values))
+
+
+def rescaled_8bit(pixels) -> Column:
+    """B38. 16-bit values as 8-bit ones: 0..65535 onto 0..255."""
+    return F.transform(col(pixels), lambda v: F.round(v * 255 / 65535).cast("int"))
+
+
+def inverted_8bit(pixels) -> Column:
+    """B38. A negative's 8-bit values: 255 less each."""
+    return F.transform(col(pixels), lambda v: F.lit(255) - v)
 
 
 def decimated(ring, most: int = 48) -> Column:

@@ -38,24 +38,38 @@ def envelopes(rings: DataFrame, ref: str = "ref", ring: str = "ring") -> DataFra
 
 
 def overlaps(old: DataFrame, modern: DataFrame, least: float = 0.02, most: int = 4) -> DataFrame:
-    """C13, F1. (old, modern, share, rank): how much of each old extent's cells lie in each modern extent; the `most` greatest above `least`.
+    """C13, F1. (old, modern, share, rank, best): how much of each old extent's cells lie in each modern extent.
 
-    old: (old, cell); modern: (modern, cell). Shares are rounded to 4 places; ties go to the smaller name.
+    old: (old, cell); modern: (modern, cell). Listed are the `most` greatest shares above `least` (by the share to 3 places, then by name) with their rank, and the modern extent with
+    the greatest share, whatever it is (ties: smaller name), as best; its rank is null if it isn't among the former. Leave extents that wrap around the antimeridian out
+    before (see `unwrapped`).
     """
     size = old.groupBy("old").agg(F.countDistinct("cell").alias("cells"))
-    both = old.distinct().join(modern.distinct(), "cell").groupBy("old", "modern").agg(F.count("*").alias("n"))
-    share = both.join(size, "old").select("old", "modern", F.round(F.col("n") / F.col("cells"), 4).alias("share")).where(F.col("share") > least)
-    return share.withColumn("rank", F.row_number().over(Window.partitionBy("old").orderBy(F.desc("share"), "modern"))).where(F.col("rank") <= most)
+    both = old.distinct().join(modern.distinct(), "cell").groupBy("old", "modern").agg(F.count("*").alias("n")).join(size, "old")
+    # counts order shares exactly; a pair's rank counts only among those above `least`
+    above, share = F.col("n") / F.col("cells") > least, F.round(F.col("n") / F.col("cells"), 3)
+    by = Window.partitionBy("old")
+    ranked = both.withColumn("share", share).withColumn("rank", F.when(above, F.row_number().over(by.orderBy(F.desc(above), F.desc("share"), "modern"))))
+    ranked = ranked.withColumn("best", F.row_number().over(by.orderBy(F.desc("n"), "modern")) == 1)
+    return ranked.where((F.col("rank") <= most) | F.col("best")).select("old", "modern", "share", F.when(F.col("rank") <= most, F.col("rank")).alias("rank"), "best")
 
 
-def group_members(locations: DataFrame, best: DataFrame, overrides: DataFrame, until: str = "1972") -> DataFrame:
-    """D12. (group, name, members): old locations under the modern extent that overlaps them most.
+def unwrapped(cells: DataFrame, envelopes: DataFrame, ref: str = "ref", most: float = 90.0) -> DataFrame:
+    """C13. cells of the refs whose envelope is at most `most` degrees wide; wider ones cross the antimeridian."""
+    return cells.join(envelopes.where(F.col("east") - F.col("west") > most).select(ref), ref, "left_anti")
 
-    A location is old if its ref is of extents/, or if it has none and its last date is before `until`. An override (location, group) wins; without
-    any group it is `__unmatched__`. A group's name is its ref's last part in title case.
+
+def group_members(locations: DataFrame, best: DataFrame, by_hand: DataFrame, until: str = "1972") -> DataFrame:
+    """D12. (group, name, modern, old): locations under the modern extent that they have or that overlaps theirs most; both lists sorted.
+
+    locations: location, ref, last_date. One is old if its ref is of extents/, or if it has none and its last date is before `until`. A modern one is under its ref; an old one under its
+    ref's best extent (best: old, modern), else under the group that by_hand (location, group) names, else under `__unmatched__`. A group's name is its first modern
+    location, else its ref's last part in title case.
     """
-    old = locations.where(F.col("ref").startswith("extents/") | (F.col("ref").isNull() & (F.col("last_date") < until)))
-    put = old.join(best.select(F.col("old").alias("ref"), F.col("modern").alias("_m")), "ref", "left").join(overrides.select("location", F.col("group").alias("_o")), "location", "left")
-    named = put.withColumn("group", F.coalesce("_o", "_m", F.lit("__unmatched__")))
-    title = F.initcap(F.regexp_replace(F.regexp_extract("group", r"([^/]*)$", 1), "_+", " "))
-    return named.groupBy("group").agg(F.sort_array(F.collect_set("location")).alias("members")).withColumn("name", title)
+    is_old = F.when(F.col("ref").isNotNull(), F.col("ref").startswith("extents/")).otherwise(F.coalesce(F.col("last_date") < until, F.lit(False)))
+    put = locations.withColumn("is_old", is_old).join(best.select(F.col("old").alias("ref"), F.col("modern").alias("_m")), "ref", "left").join(by_hand.select("location", F.col("group").alias("_o")), "location", "left")
+    group = F.when(~F.col("is_old"), F.col("ref")).otherwise(F.coalesce("_m", "_o", F.lit("__unmatched__")))
+    lists = [F.sort_array(F.collect_set(F.when(c, F.col("location")))).alias(n) for n, c in (("modern", ~F.col("is_old")), ("old", F.col("is_old")))]
+    named = put.withColumn("group", group).groupBy("group").agg(*lists)
+    title = F.initcap(F.translate(F.regexp_extract("group", r"([^/]*)$", 1), "_", " "))
+    return named.withColumn("name", F.coalesce(F.get("modern", F.lit(0)), title)).select("group", "name", "modern", "old")

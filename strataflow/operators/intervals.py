@@ -31,19 +31,23 @@ def active_counts(intervals: DataFrame, start: str = "start", end: str = "end")
     return days.select(F.col("day").alias("start"), F.lead("day").over(w).alias("end"), F.sum("by").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("n")).where("end is not null")
 
 
+def islands(intervals: DataFrame, *by: str) -> DataFrame:
+    """(by, s, e): the intervals (s, e) of each key, overlapping and touching ones merged. Sorting is inside a key only."""
+    order = Window.partitionBy(*by).orderBy("s", "e")
+    marked = intervals.withColumn("new", F.when(F.col("s") <= F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), 0).otherwise(1))
+    runs = marked.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(*by, "run").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("run")
+
+
 def covered_cells(intervals: DataFrame, cells: DataFrame, start: str = "start", end: str = "end", ref: str = "ref") -> DataFrame:
     """D3. (day, delta): changes of the number of cells that the union of active extents covers.
 
-    Per cell, overlapping intervals are merged first, so that each cell's merged run adds one +1 and one -1.
+    Intervals are merged per ref before they meet cells, so that each ref has as few as its days have gaps; then per cell, so that each cell's merged run adds one +1 and one -1.
     """
     live = intervals.where(F.col(start) < F.col(end)).select(F.col(ref).alias("ref"), F.col(start).alias("s"), F.col(end).alias("e")).distinct()
-    own = live.join(cells.select(F.col(ref).alias("ref"), "cell"), "ref").select("cell", "s", "e").distinct()
-    before = Window.partitionBy("cell").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
-    marked = own.withColumn("new", F.when(F.col("s") <= F.max("e").over(before), 0).otherwise(1))
-    runs = marked.withColumn("run", F.sum("new").over(Window.partitionBy("cell").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, 0)))
-    merged = runs.groupBy("cell", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    own = islands(live, "ref").join(cells.select(F.col(ref).alias("ref"), "cell").distinct(), "ref").select("cell", "s", "e").distinct()
     change = lambda day, by: F.struct(F.col(day).alias("day"), F.lit(by).alias("by"))
-    return merged.select(F.explode(F.array(change("s", 1), change("e", -1))).alias("x")).groupBy("x.day").agg(F.sum("x.by").alias("delta"))
+    return islands(own, "cell").select(F.explode(F.array(change("s", 1), change("e", -1))).alias("x")).groupBy("x.day").agg(F.sum("x.by").alias("delta"))
 
 
 def coverage(intervals: DataFrame, cells: DataFrame, start: str = "start", end: str = "end", ref: str = "ref") -> DataFrame:

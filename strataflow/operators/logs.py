@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def shaped(requests: DataFrame, rate: float = 0.05, header_bytes: int = 1024) -> DataFrame:
-    """S1. Requests with a closed range of more than header_bytes, a sample of `rate` by a hash of the key columns, and their weight. Works on streams."""
-    from strataflow.functions.expr import byte_range
+    """S1. A sample of `rate` of the requests by a hash of key and time, with size and weight. Works on streams.
 
-    rows = requests.withColumn("range", byte_range("range_header")).where("range is not null").withColumn("size", F.col("range.size")).where(F.col("size") > header_bytes)
+    Reads of header_bytes or fewer and open-ended ranges are left out. A request without a range, or with one that isn't understood, is kept and has size 0.
+    """
+    from strataflow.functions.expr import byte_range, open_range
+
+    rows = requests.withColumn("size", F.coalesce(byte_range("range_header")["size"], F.lit(0).cast("long"))).where(~open_range("range_header"))
+    rows = rows.where(byte_range("range_header").isNull() | (F.col("size") > header_bytes))
     kept = F.pmod(F.xxhash64("key", "ts"), F.lit(1_000_000)) < int(rate * 1_000_000)
-    return rows.where(kept).withColumn("weight", F.lit(1 / rate)).drop("range")
+    return rows.where(kept).withColumn("weight", F.lit(1 / rate))
 
 
 def weighted_top(events: DataFrame, key: str, weight: Column, until: Column, days: int = 7, k: int = 50, ts: str = "ts") -> DataFrame:
@@ -29,14 +34,18 @@ def by_status(events: DataFrame, *by: str) -> DataFrame:
 def running_offsets(rows: DataFrame, group: str, order: list[str], length: str) -> DataFrame:
     """E7. rows with index and offset over all rows by (group, order): how many, and how many bytes, stand before.
 
-    Two levels: windows inside each group, and one over the groups' totals; the rows never meet in one task.
+    Rows are range-partitioned by group and order, and cut further where equal; windows run inside a part and one runs over the parts' totals, so no group, however large, meets in
+    one task. The part of a row is written in its number, so parts are the same in both uses.
     """
-    w = Window.partitionBy(group).orderBy(*order)
-    within = rows.withColumn("_i", F.row_number().over(w) - 1).withColumn("_o", F.coalesce(F.sum(length).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    totals = rows.groupBy(group).agg(F.count("*").alias("_n"), F.sum(length).alias("_b"))
-    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_i0"), F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_o0"))
-    out = within.join(starts, group)
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    along = rows.repartitionByRange(parts, group, *order).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    w = Window.partitionBy("_part").orderBy(group, *order)
+    within = along.withColumn("_i", F.row_number().over(w) - 1).withColumn("_o", F.coalesce(F.sum(length).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    totals = along.groupBy("_part").agg(F.count("*").alias("_n"), F.sum(length).alias("_b"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_i0"), F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_o0"))
+    out = within.join(F.broadcast(starts), "_part")  # a row for each part
     return out.select(*rows.columns, (F.col("_i0") + F.col("_i")).alias("index"), (F.col("_o0") + F.col("_o")).alias("offset"))
 
 
@@ -47,11 +56,13 @@ def group_index(rows: DataFrame, group: str, length: str) -> DataFrame:
     return totals.select(group, (F.sum("len").over(w) - F.col("len")).alias("off"), "len", (F.sum("n").over(w) - F.col("n")).alias("i0"), F.sum("n").over(w).alias("i1"), "n")
 
 
-def verify_bundle(entries: DataFrame, source: DataFrame, group: str, key: str) -> DataFrame:
-    """C24. Entries with faults: offsets that don't follow on, sizes that differ from the source, keys it lacks."""
+def verify_bundle(entries: DataFrame, source: DataFrame, group: str, key: str, bounds: str | None = None) -> DataFrame:
+    """C24. Entries with faults: offsets that don't follow on, keys that the source lacks, sizes or (if a column is named) bounds that differ from it."""
     w = Window.partitionBy(group).orderBy("offset", key)
-    out = entries.withColumn("_end", F.lag(F.col("offset") + F.col("len")).over(w)).join(source.select(key, F.col("len").alias("_len")), key, "left")
-    fault = F.when(F.col("_end").isNotNull() & (F.col("_end") != F.col("offset")), "offset").when(F.col("_len").isNull(), "unknown").when(F.col("_len") != F.col("len"), "size")
+    same = F.col(bounds).eqNullSafe(F.col("_bounds")) if bounds else F.lit(True)
+    told = source.select(key, F.col("len").alias("_len"), *([F.col(bounds).alias("_bounds")] if bounds else []))
+    out = entries.withColumn("_end", F.lag(F.col("offset") + F.col("len")).over(w)).join(told, key, "left")
+    fault = F.when(F.col("_end").isNotNull() & (F.col("_end") != F.col("offset")), "offset").when(F.col("_len").isNull(), "unknown").when(F.col("_len") != F.col("len"), "size").when(~same, "bounds")
     return out.withColumn("fault", fault).where("fault is not null").select(entries.columns + ["fault"])
 
 
@@ -72,3 +83,57 @@ def pair_fits(points: DataFrame, *by: str, x: str = "x", y: str = "y") -> DataFr
 def share_with(rows: DataFrame, group: str, has: Column) -> DataFrame:
     """D8. (groups, n_having): how many groups there are, and how many with any row for which `has` is true."""
     return rows.groupBy(group).agg(F.bool_or(has).alias("_h")).agg(F.count("*").alias("groups"), F.count_if("_h").alias("n_having"))
+
+
+def first_n(rows: DataFrame, n: int, *order) -> DataFrame:
+    """F4. The first n rows in a total order, for a staged run."""
+    return rows.orderBy(*order).limit(n)
+
+
+def by_location(rows: DataFrame, location: str, date: str, *more) -> DataFrame:
+    """F5. rows ordered by location without regard to case, then as written, then by date, nulls last."""
+    return rows.orderBy(F.lower(location), location, F.asc_nulls_last(date), *more)
+
+
+def newest_first(rows: DataFrame, key: str, *more) -> DataFrame:
+    """F3. rows ordered by the start of their date key, newest first; keys that are none count as earliest."""
+    from strataflow.functions.expr import key_dates
+
+    return rows.orderBy(F.desc(F.coalesce(key_dates(key)["start"], F.lit("0001-01-01").cast("date"))), *more)
+
+
+def affine_fits(points: DataFrame, *by: str) -> DataFrame:
+    """D13. For each group of point pairs (x, y) -> (u, v): n, the coefficients of u = a x + b y + c and v = d x + e y + f by least squares, and the greatest residual.
+
+    Coefficients come from sums about the means (one partial aggregation and one more for the means); null where the points lie on a line. The residual takes one
+    further pass over the points.
+    """
+    names = ["x", "y", "u", "v"]
+    good = points.where(F.greatest(*[F.col(n).isNull().cast("int") for n in names]) == 0).select(*by, *names)
+    means = good.groupBy(*by).agg(*[F.avg(n).alias(f"m{n}") for n in names], F.count("*").alias("n"))
+    c = {n: F.col(n) - F.col(f"m{n}") for n in names}
+    sums = good.join(means, list(by)).groupBy(*by).agg(*[F.first(f"m{n}").alias(f"m{n}") for n in names], F.first("n").alias("n"), *[F.sum(c[p] * c[q]).alias(p + q) for p, q in ("xx", "xy", "yy", "xu", "yu", "xv", "yv")])
+    d = F.col("xx") * F.col("yy") - F.col("xy") * F.col("xy")
+    d = F.when(F.abs(d) > 1e-12 * F.col("xx") * F.col("yy"), d)
+    fit = sums
+    for p, q, w in (("a", "b", "u"), ("d", "e", "v")):
+        fit = fit.withColumn(p, (F.col("yy") * F.col(f"x{w}") - F.col("xy") * F.col(f"y{w}")) / d).withColumn(q, (F.col("xx") * F.col(f"y{w}") - F.col("xy") * F.col(f"x{w}")) / d)
+    fit = fit.withColumn("c", F.expr("mu - a * mx - b * my")).withColumn("f", F.expr("mv - d * mx - e * my")).select(*by, "n", "a", "b", "c", "d", "e", "f")
+    return _with_residual(good, fit, by, "a * x + b * y + c", "d * x + e * y + f")
+
+
+def similarity_fits(points: DataFrame, *by: str) -> DataFrame:
+    """D13. For each group of point pairs (x, y) -> (u, v): n, scale and shifts of u = scale x + tx and v = scale y + ty by least squares, and the greatest residual."""
+    names = ["x", "y", "u", "v"]
+    good = points.where(F.greatest(*[F.col(n).isNull().cast("int") for n in names]) == 0).select(*by, *names)
+    s = good.groupBy(*by).agg(F.count("*").alias("n"), *[F.sum(n).alias(f"s{n}") for n in names], F.sum(F.expr("x * x + y * y")).alias("q"), F.sum(F.expr("x * u + y * v")).alias("p"))
+    spread = F.expr("n * q - sx * sx - sy * sy")
+    fit = s.withColumn("scale", F.when(spread > 0, F.expr("n * p - sx * su - sy * sv") / spread))
+    fit = fit.select(*by, "n", "scale", F.expr("(su - scale * sx) / n").alias("tx"), F.expr("(sv - scale * sy) / n").alias("ty"))
+    return _with_residual(good, fit, by, "scale * x + tx", "scale * y + ty")
+
+
+def _with_residual(points: DataFrame, fit: DataFrame, by: tuple, u: str, v: str) -> DataFrame:
+    off = F.sqrt(F.pow(F.expr(f"u - ({u})"), 2) + F.pow(F.expr(f"v - ({v})"), 2))
+    most = points.join(fit, list(by)).groupBy(*by).agg(F.max(off).alias("max_residual"))
+    return fit.join(most, list(by))

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from strataflow.functions import expr as X
 
 
+# The kinds of file that are images.
+IMAGES = ["tif", "tiff", "pdf", "png", "jpg", "jpeg"]
+
+
 def first_by(df: DataFrame, by: list[str], *order) -> DataFrame:
     """The first row of each group in the given order."""
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_k = 1").drop("_k")
@@ -20,20 +24,29 @@ def lookup_keys(name: str) -> Column:
     return F.array_distinct(F.filter(F.array(t, F.lower(X.basename(name)), X.stem(name), tail, F.lower(X.basename(tail))), lambda k: k != ""))
 
 
+#: Letters of the pieces by which a name is looked for inside paths.
+GRAM = 5
+
+
 def resolve_files(rows: DataFrame, files: DataFrame, row_id: str, name: str, path: str = "path") -> DataFrame:
-    """C1. rows with the best file: equal basename, equal stem, kind of file, short path, path.
+    """C1. rows with the best file: equal basename, equal stem, a path that holds the stem, kind of file, short path, path.
 
-    Both sides are expanded to keys and joined on them. What is left without a match is compared by containment, which only the anti
-    join's rows go through.
+    Both sides are expanded to keys and joined on them. What is left without a match is compared by containment of its stem in a whole path: paths are
+    expanded to pieces of GRAM letters (or fewer, as long as the shortest stems), and a stem is met on its first piece.
     """
     asked = rows.select(row_id, F.col(name).alias("name"), F.explode(lookup_keys(name)).alias("key"))
     listed = files.select(F.col(path).alias("path"), F.explode(lookup_keys(path)).alias("key"))
     met = asked.join(listed, "key").select(row_id, "name", "path").distinct()
-    left = rows.join(met.select(row_id).distinct(), row_id, "left_anti").select(row_id, F.col(name).alias("name"))
-    stems = files.select(F.col(path).alias("path"), X.stem(path).alias("stem"))
-    loose = left.join(stems, (X.stem("name") != "") & F.col("stem").contains(X.stem("name"))).select(row_id, "name", "path")
+    left = rows.join(met.select(row_id).distinct(), row_id, "left_anti").select(row_id, F.col(name).alias("name"), X.stem(name).alias("stem")).where("stem <> ''")
+    left = left.withColumn("gram", F.substring("stem", 1, GRAM))
+    sizes = left.select(F.length("gram").alias("n")).distinct()  # GRAM rows at most
+    plain = F.lower(F.translate(X.text("path"), "\\", "/"))
+    pieces = files.select(F.col(path).alias("path")).distinct().join(F.broadcast(sizes)).where(F.length("path") >= F.col("n"))
+    pieces = pieces.select("path", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("path") - F.col("n") + 1), lambda i: F.substring(plain, i, F.col("n"))))).alias("gram"))
+    loose = left.join(pieces, "gram").where(plain.contains(F.col("stem"))).select(row_id, "name", "path")
     same_base = F.lower(X.basename("name")) == F.lower(X.basename("path"))
-    order = [F.desc(same_base), F.desc(X.stem("name") == X.stem("path")), X.extension_rank("path"), F.length("path"), "path"]
+    holds = (X.stem("name") != "") & plain.contains(X.stem("name"))
+    order = [F.desc(same_base), F.desc(X.stem("name") == X.stem("path")), F.desc(holds), X.extension_rank("path"), F.length("path"), "path"]
     best = first_by(met.unionByName(loose), [row_id], *order).select(row_id, "path")
     return rows.join(best, row_id, "left")
 
@@ -56,25 +69,38 @@ def file_candidates(rows: DataFrame, files: DataFrame, row_id: str, name: str) -
     return every.withColumn("_b", F.min("priority").over(Window.partitionBy(row_id))).where("priority = _b").drop("_b")
 
 
-def claimed_matches(claims: DataFrame, catalogue: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
-    """C4. (rid, matches): rows that each claim's method text finds. Methods: `loc+ed <location> <edition>`, `loc+date <location> <date>` (else a
-    location that starts so), `cycle <dir>`, `exact <name>`; claims that say new are left out."""
-    h = X.text("how")
-    m = lambda p, g=1: F.nullif(F.regexp_extract(h, p, g), F.lit(""))
-    parsed = claims.where(F.lower(X.text("dup")) != "new").select(
-        "rid", m(r"^loc\+ed (.+) (\S+)$").alias("l1"), m(r"^loc\+ed (.+) (\S+)$", 2).alias("ed"), m(r"^loc\+date (.+) (\d{4}-\d{2}-\d{2})$").alias("l2"),
-        m(r"^loc\+date (.+) (\d{4}-\d{2}-\d{2})$", 2).alias("day"), m(r"^cycle (\S+)$").alias("dir"), m(r"^exact (.+)$").alias("exact"),
+def claimed_matches(claims: DataFrame, catalogue: DataFrame, files: DataFrame) -> DataFrame:
+    """C4. (rid, matches): the files that each claim's method text finds, sorted. claims: rid, dup, how; catalogue: filename, location, date, edition; files: path, base, stem, parent, ext.
+
+    Methods, with names compared by letters and digits: a name in a cycle's folder (images of that folder whose name holds it), a file name (by basename, else by its letters and
+    digits), location and edition of catalogue rows whose file is in `sectional_files`, and location and date (if no row has the location: rows whose location begins so). The file
+    name of a catalogue row leads to that file; a zip's to the images unpacked from it, else to the zip itself. Claims that say `new` are left out, and so are those that find nothing.
+    """
+    h, none = F.coalesce(F.col("how"), F.lit("")), F.lit("")
+    part = lambda p, g=1: F.nullif(F.regexp_extract(h, p, g), none)
+    cycle, edition, date = rf"^{X.BY_CYCLE} (\S+) has (.+)$", rf"^{X.BY_EDITION} (.+) ed (\S+)$", rf"^{X.BY_DATE} (.+) (\S+)$"
+    a = claims.where("dup is null or dup <> 'new'").select(
+        "rid", part(cycle).alias("dir"), X.alnum(part(cycle, 2)).alias("want"), X.alnum(part(edition)).alias("place"), part(edition, 2).alias("ed"), X.alnum(part(date)).alias("place2"), part(date, 2).alias("day"),
+        F.coalesce(F.when(~h.rlike(cycle), part(rf"^{X.BY_NAME} (.+)$")), part(rf"^{X.BY_BASENAME} (\S+) in {X.BY_NAME}")).alias("file"),
     )
-    rows = catalogue.select("filename", "location", "date", "edition")
-    by_edition = parsed.join(rows, (F.col("l1") == F.col("location")) & (F.col("ed") == F.col("edition"))).select("rid", "filename")
-    by_date = parsed.join(rows, (F.col("l2") == F.col("location")) & (F.col("day") == F.col("date"))).select("rid", "filename")
-    rest = parsed.where("l2 is not null").join(by_date.select("rid").distinct(), "rid", "left_anti")
-    by_prefix = rest.join(rows, (F.col("day") == F.col("date")) & F.col("location").startswith(F.col("l2"))).select("rid", "filename")
-    by_name = parsed.join(rows, F.col("exact") == F.col("filename")).select("rid", "filename")
-    by_dir = parsed.where("dir is not null").join(rows, F.col("filename").contains(F.col("dir"))).select("rid", "filename")
-    every = by_edition.unionByName(by_date).unionByName(by_prefix).unionByName(by_name).unionByName(by_dir)
-    out = every.groupBy("rid").agg(F.sort_array(F.collect_set("filename")).alias("matches"))
-    return out.join(sizes, "rid", "left") if sizes is not None else out
+    rows = catalogue.select("filename", X.alnum("location").alias("loc"), X.text("date").alias("date"), X.text("edition").alias("edition")).where(~X.blank("filename"))
+    by_edition = a.join(rows.where(F.col("filename").contains("sectional_files")), (F.col("place") == F.col("loc")) & (F.col("ed") == F.col("edition"))).select("rid", "filename")
+    dated = a.where("day is not null")
+    by_date = dated.join(rows, (F.col("place2") == F.col("loc")) & (F.col("day") == F.col("date"))).select("rid", "filename")
+    by_start = dated.join(by_date.select("rid").distinct(), "rid", "left_anti").join(rows, (F.col("day") == F.col("date")) & F.col("loc").startswith(F.col("place2"))).select("rid", "filename")
+    named = by_edition.unionByName(by_date).unionByName(by_start).distinct()
+
+    images = files.where(F.col("ext").isin(IMAGES))
+    in_cycle = a.where("dir is not null").join(images, F.col("dir") == F.col("parent")).where(X.alnum("base").contains(F.col("want"))).select("rid", "path")
+    is_zip = F.lower("filename").endswith(".zip")
+    zips = named.where(is_zip).select("rid", F.lower("filename").alias("base"), F.expr("lower(left(filename, length(filename) - 4))").alias("folder"))
+    unpacked = zips.join(images, F.col("folder") == F.lower("parent")).select("rid", zips["base"], "path")
+    packed = zips.join(unpacked.select("rid", "base").distinct(), ["rid", "base"], "left_anti").join(files.where("ext = 'zip'").select("path", F.lower("base").alias("base")), "base").select("rid", "path")
+    wanted = named.where(~is_zip).select("rid", F.col("filename").alias("file")).unionByName(a.where("file is not null").select("rid", "file"))
+    exact = wanted.join(images, F.lower("file") == F.lower("base")).select("rid", "file", "path")
+    loose = wanted.join(exact.select("rid", "file").distinct(), ["rid", "file"], "left_anti").join(images, X.alnum("file") == X.alnum("base")).select("rid", "path")
+    every = in_cycle.unionByName(unpacked.select("rid", "path")).unionByName(packed).unionByName(exact.select("rid", "path")).unionByName(loose)
+    return every.groupBy("rid").agg(F.sort_array(F.collect_set("path")).alias("matches"))
 
 
 def import_rows(plan: DataFrame, catalogue: DataFrame, key: str = "filename") -> DataFrame:
@@ -113,10 +139,11 @@ def uploaded_keys(manifest: DataFrame, uploads: DataFrame) -> DataFrame:
     return keys.select("location", "d", "e", F.when(F.size("all") == 1, F.col("all")[0]).alias("key"), F.when(F.size("all") > 1, F.col("all")).alias("keys"))
 
 
-def publish_plan(manifest: DataFrame, local: DataFrame, remote: DataFrame) -> DataFrame:
-    """C9. manifest keys with status in_sync, to_upload, missing_local or preexisting."""
+def publish_plan(manifest: DataFrame, local: DataFrame, remote: DataFrame, uploads: DataFrame) -> DataFrame:
+    """C9. (key, status) of manifest keys: missing_local without a local file, to_upload if the remote size isn't the local one, else in_sync, or preexisting if no upload of it was recorded."""
     out = manifest.select("key").join(local.select("key", F.col("size").alias("l")), "key", "left").join(remote.select("key", F.col("size").alias("r")), "key", "left")
-    status = F.when(F.col("l").isNull() & F.col("r").isNotNull(), "preexisting").when(F.col("l").isNull(), "missing_local").when(F.col("l") == F.col("r"), "in_sync").otherwise("to_upload")
+    out = out.join(uploads.select("key", F.lit(True).alias("u")).distinct(), "key", "left")
+    status = F.when(F.col("l").isNull(), "missing_local").when(F.col("r").isNull() | (F.col("l") != F.col("r")), "to_upload").when(F.col("u").isNull(), "preexisting").otherwise("in_sync")
     return out.select("key", status.alias("status"))
 
 
@@ -150,7 +177,9 @@ def same_location_year(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
 def completeness_grid(rows: DataFrame, date: str, location: str, status: str, order: str) -> DataFrame:
     """C23. Every date with every location, the status of the last row, else `missing`."""
     last = rows.groupBy(date, location).agg(F.max_by(status, order).alias(status))
-    grid = rows.select(date).distinct().crossJoin(F.broadcast(rows.select(location).distinct()))  # the report is that product
+    # the report is that product: each date with the sorted set of locations, as one array
+    places = rows.agg(F.sort_array(F.collect_set(location)).alias("_all"))
+    grid = rows.select(date).distinct().join(F.broadcast(places)).select(date, F.explode("_all").alias(location))
     return grid.join(last, [date, location], "left").withColumn(status, F.coalesce(status, F.lit("missing")))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.geo import haversine_km
-from strataflow.operators.reconcile import first_by
+from strataflow.operators.reconcile import GRAM, first_by
 
 #: Degrees of a blocking cell. Its height is 11 km; gates of the name join are 6 km at most, and longitude degrees are widened by latitude.
 CELL = 0.1
@@ -47,53 +47,78 @@ def match_idents(rows: DataFrame, donors: DataFrame) -> DataFrame:
 
 
 def match_names(rows: DataFrame, donors: DataFrame, wide: float = 6.0, close: float = 4.0) -> DataFrame:
-    """C15. (row_id, donor_id, km, shared): the donor nearby whose name shares most words, then the nearest.
+    """C15. (row_id, donor_id, km, shared): the donor nearby one of whose names shares most words with one of the row's, then the nearest, then by id.
 
-    rows: row_id, tokens, city_tokens, state, lat, lon, precision, variant; donors: donor_id, tokens, state, lat, lon, variant. The gate is `wide` for one decimal or fewer,
-    else `close`. One name's words must contain the other's; two must be shared, or the names be one equal word within `close`. A match on the city's words alone
-    needs a donor without further words. Variants match non-variants within 3 km only. Candidates come from an equi-join on state, token and cell.
+    rows: row_id, aliases (array of structs of tokens and variant), city_tokens, state, lat, lon, precision. donors: donor_id, names (as aliases), name_ok, state, lat, lon; those that aren't
+    name_ok (null: they are) take no part. The gate is `wide` for one decimal or fewer, else `close`. One name's words must contain the other's; two must be shared, or
+    the names be equal and within `close`. Words that are all of the city's name don't do where the donor has further ones. A variant (auxiliary, outlying and the like) meets a donor
+    that is none within 3 km only. Candidates come from an equi-join on state, token and cell.
     """
-    asked = rows.withColumn("cell", F.explode(near_cells("lat", "lon"))).withColumn("token", F.explode("tokens"))
-    have = donors.select("donor_id", "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.col("tokens").alias("dtokens"), F.col("variant").alias("dvariant"), own_cell("lat", "lon").alias("cell"), F.explode("tokens").alias("token"))
-    met = asked.join(have, ["state", "cell", "token"]).drop("cell", "token").dropDuplicates(["row_id", "donor_id", "dlat", "dlon"])
+    asked = rows.withColumn("alias", F.explode("aliases")).select("row_id", "city_tokens", "state", "lat", "lon", "precision", F.array_distinct("alias.tokens").alias("tokens"), F.col("alias.variant").alias("variant"))
+    asked = asked.withColumn("cell", F.explode(near_cells("lat", "lon"))).withColumn("token", F.explode("tokens"))
+    have = donors.where("name_ok is null or name_ok").withColumn("name", F.explode("names")).select(
+        "donor_id", "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.array_distinct("name.tokens").alias("dtokens"), F.col("name.variant").alias("dvariant"), own_cell("lat", "lon").alias("cell"),
+    )
+    met = asked.join(have.withColumn("token", F.explode("dtokens")), ["state", "cell", "token"])
     met = met.withColumn("km", haversine_km("lat", "lon", "dlat", "dlon")).where(F.col("km") <= F.when(F.col("precision") <= 1, wide).otherwise(close))
-    shared = F.array_intersect("tokens", "dtokens")
+    shared, further = F.array_intersect("tokens", "dtokens"), F.size(F.array_except("dtokens", "tokens")) > 0
     met = met.withColumn("shared", F.size(shared))
     contained = (F.col("shared") == F.size("tokens")) | (F.col("shared") == F.size("dtokens"))
-    enough = (F.col("shared") >= 2) | ((F.size("tokens") == 1) & (F.size("dtokens") == 1) & (F.col("km") <= close))
-    only_city = (F.size(F.array_except(shared, "city_tokens")) == 0) & (F.size(F.array_except("dtokens", "tokens")) > 0)
-    kind = (F.col("variant") == F.col("dvariant")) | (F.col("km") <= 3.0)
-    good = met.where(contained & enough & ~only_city & kind)
+    equal = (F.col("shared") == F.size("tokens")) & ~further & (F.col("km") <= close)
+    only_city = (F.size(F.array_except(shared, "city_tokens")) == 0) & further
+    apart = F.col("variant") & ~F.col("dvariant") & (F.col("km") > 3.0)
+    good = met.where(contained & ((F.col("shared") >= 2) | equal) & ~only_city & ~apart)
     return first_by(good, ["row_id"], F.desc("shared"), "km", "donor_id").select("row_id", "donor_id", "km", "shared")
 
 
-def cascade(rows: DataFrame, matches: list[DataFrame], donors: DataFrame) -> DataFrame:
-    """C16. rows with match_id, match_via (number of the list that hit first) and donor coordinates where the stated precision is 2 or less."""
-    every = None
-    for i, m in enumerate(matches):
-        one = m.select("row_id", "donor_id", F.lit(i).alias("via"), "km")
-        every = one if every is None else every.unionByName(one)
-    best = first_by(every, ["row_id"], "via").join(donors.select("donor_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), "donor_id")
-    out = rows.join(best, "row_id", "left")
-    coarse = F.col("donor_id").isNotNull() & (F.col("precision") <= 2)
-    return out.withColumn("new_lat", F.when(coarse, F.col("_lat")).otherwise(F.col("lat"))).withColumn("new_lon", F.when(coarse, F.col("_lon")).otherwise(F.col("lon"))).drop("_lat", "_lon")
+def cascade(rows: DataFrame, donors: list[tuple[str, DataFrame]]) -> DataFrame:
+    """C16. rows with match_donor, match_via (ident or name), match_id, match_km, and lat and lon of the donor where their stated precision is 2 or less (own_lat and own_lon keep theirs).
+
+    donors: (label, donors as C14 and C15 take them) in order of trust; in each, identifiers come before names, and the first hit stands. Rows marked skip (titles of former
+    locations) aren't matched.
+    """
+    asked, every = rows.where(~F.coalesce(F.col("skip"), F.lit(False))), None
+    for i, (label, have) in enumerate(donors):
+        for k, (via, found) in enumerate((("ident", match_idents(asked, have)), ("name", match_names(asked, have)))):
+            one = found.select("row_id", "donor_id", F.col("km").alias("match_km")).join(have.select("donor_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), "donor_id")
+            one = one.withColumn("match_donor", F.lit(label)).withColumn("match_via", F.lit(via)).withColumn("_try", F.lit(2 * i + k))
+            every = one if every is None else every.unionByName(one)
+    best = first_by(every, ["row_id"], "_try", "donor_id").withColumnRenamed("donor_id", "match_id").drop("_try")
+    out = rows.join(best, "row_id", "left").withColumn("own_lat", F.col("lat")).withColumn("own_lon", F.col("lon"))
+    use = F.col("match_id").isNotNull() & (F.col("precision") <= 2)
+    return out.withColumn("lat", F.when(use, F.col("_lat")).otherwise(F.col("lat"))).withColumn("lon", F.when(use, F.col("_lon")).otherwise(F.col("lon"))).drop("_lat", "_lon")
 
 
 def unique_claims(matched: DataFrame) -> DataFrame:
-    """D4. matched with `reverted`: of the rows that claim one donor, all but the nearest (distance to 2 places, then row_id) give it up."""
-    w = Window.partitionBy("donor_id").orderBy(F.round("km", 2), "row_id")
-    lost = F.col("donor_id").isNotNull() & (F.row_number().over(w) > 1)
-    return matched.withColumn("reverted", lost)
+    """D4. matched with `reverted`: of the rows that claim one donor (same label, id and state), all but the nearest (distance to 2 places, then row_id) give it up.
+
+    Those get their own coordinates back, and collision-reverted as match_via. matched: what `cascade` returns. Unmatched rows, of which there may be most, aren't ranked.
+    """
+    claims = matched.where("match_id is not null")
+    w = Window.partitionBy("match_donor", "match_id", "state").orderBy(F.round("match_km", 2), "row_id")
+    claims = claims.withColumn("reverted", F.row_number().over(w) > 1)
+    back = F.col("reverted")
+    claims = claims.withColumn("lat", F.when(back, F.col("own_lat")).otherwise(F.col("lat"))).withColumn("lon", F.when(back, F.col("own_lon")).otherwise(F.col("lon")))
+    claims = claims.withColumn("match_via", F.when(back, "collision-reverted").otherwise(F.col("match_via")))
+    return claims.unionByName(matched.where("match_id is null").withColumn("reverted", F.lit(False)))
 
 
 def nearby_lifespans(rows: DataFrame, spans: DataFrame, km: float = 3.0) -> DataFrame:
-    """C17. rows whose missing start_year or stop_year come from the first span (by line) within `km` that has all of its words in theirs, or the other way round."""
-    asked = rows.withColumn("cell", F.explode(near_cells("lat", "lon")))
-    have = spans.select("line", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.col("tokens").alias("dtokens"), F.col("start_year").alias("s"), F.col("stop_year").alias("e"), own_cell("lat", "lon").alias("cell"))
+    """C17. rows whose missing start_year or stop_year come from the first span (by line) within `km` that has all words of one of their aliases, or the other way round.
+
+    rows: row_id, aliases (array of arrays of words), lat, lon, start_year, stop_year, status; spans: line, tokens, lat, lon, start_year, stop_year. Only rows without a start, or without a
+    stop and not open, are looked at. A stop isn't filled in where the status is open; elsewhere it makes the status gone. A span or an alias without words matches nothing.
+    """
+    is_open = F.coalesce(F.col("status") == "open", F.lit(False))
+    lacking = rows.where(F.col("start_year").isNull() | (F.col("stop_year").isNull() & ~is_open))
+    asked = lacking.select("row_id", "lat", "lon", F.explode("aliases").alias("tokens")).where(F.size("tokens") > 0).withColumn("cell", F.explode(near_cells("lat", "lon")))
+    have = spans.where(F.size("tokens") > 0).select("line", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.col("tokens").alias("dtokens"), F.col("start_year").alias("s"), F.col("stop_year").alias("e"), own_cell("lat", "lon").alias("cell"))
     met = asked.join(have, "cell").where(haversine_km("lat", "lon", "dlat", "dlon") <= km)
     met = met.where((F.size(F.array_except("dtokens", "tokens")) == 0) | (F.size(F.array_except("tokens", "dtokens")) == 0))
     best = first_by(met, ["row_id"], "line").select("row_id", "s", "e")
-    return rows.join(best, "row_id", "left").withColumn("start_year", F.coalesce("start_year", "s")).withColumn("stop_year", F.coalesce("stop_year", "e")).drop("s", "e")
+    out, ended = rows.join(best, "row_id", "left"), F.col("stop_year").isNull() & ~is_open & F.col("e").isNotNull()
+    out = out.withColumn("status", F.when(ended, "gone").otherwise(F.col("status"))).withColumn("stop_year", F.when(ended, F.col("e")).otherwise(F.col("stop_year")))
+    return out.withColumn("start_year", F.coalesce("start_year", "s")).drop("s", "e")
 
 
 def as_of(events: DataFrame, anchors: DataFrame, group: str, at: str, value: str, back: int | None = None) -> DataFrame:
@@ -117,15 +142,29 @@ def with_segment(entries: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def dedupe_entries(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """E6. One entry for each (state, name): linked from the index first, then with an anchor, then by page; in first-seen order."""
-    linked = entries.join(links.select("page").distinct().withColumn("_l", F.lit(1)), "page", "left")
-    order = [F.desc(F.coalesce("_l", F.lit(0))), F.desc(F.col("anchor").isNotNull().cast("int")), "page", "line"]
+    """E6. One entry for each (state, name): on a page that its state's index links first, then with an anchor, then by page; in first-seen order.
+
+    links: (state, link), link the lower-case basename of a page (see H7). entries: state, name, page, anchor ('' or null: none), line.
+    """
+    known = links.select("state", "link").distinct().withColumn("_l", F.lit(1))
+    linked = entries.withColumn("link", F.lower(F.regexp_extract("page", r"([^/]*)$", 1))).join(known, ["state", "link"], "left").drop("link")
+    no_anchor = F.coalesce(F.col("anchor"), F.lit("")) == ""
+    order = [F.desc(F.coalesce("_l", F.lit(0))), no_anchor, "page", "line"]
     first = F.min("line").over(Window.partitionBy("state", "name"))
     return first_by(linked.withColumn("first_seen", first), ["state", "name"], *order).drop("_l").orderBy("first_seen")
 
 
-def donor_pool(rows: DataFrame, donors: DataFrame) -> DataFrame:
-    """C21. (row_id, donor_id): donors whose location stands in the row's name; the same half, then a whole sheet, then others; the lowest edition."""
-    met = rows.join(donors, F.lower("name").contains(F.lower("location")))
-    fit = F.when(F.col("half").eqNullSafe(F.col("donor_half")), 0).when(F.col("donor_half").isNull(), 1).otherwise(2)
-    return first_by(met.withColumn("_f", fit), ["row_id"], "_f", "edition", "donor_id").select("row_id", "donor_id")
+def donor_pool(rows: DataFrame, donors: DataFrame, locations: DataFrame) -> DataFrame:
+    """C21. (row_id, donor_id): of the donors of a row's location, the same half first (if the row has one), then a whole sheet, then others; then the lowest edition (none: last).
+
+    rows: row_id, location, half; donors: donor_id, name, half, edition; locations: position, location. A donor is of the first location (by position) that stands in its name. Names and
+    locations are met on their first letters (see GRAM), not compared all with all.
+    """
+    known = locations.select("position", "location", F.substring("location", 1, GRAM).alias("gram"))
+    sizes = known.select(F.length("gram").alias("n")).distinct()  # GRAM rows at most
+    starts = F.transform(F.sequence(F.lit(1), F.length("name") - F.col("n") + 1), lambda i: F.substring("name", i, F.col("n")))
+    pieces = donors.join(F.broadcast(sizes)).where(F.length("name") >= F.col("n")).select("donor_id", "name", F.col("half").alias("donor_half"), "edition", F.explode(F.array_distinct(starts)).alias("gram"))
+    of = first_by(pieces.join(known, "gram").where(F.col("name").contains(F.col("location"))), ["donor_id"], "position")
+    met = rows.join(of.select("location", "donor_id", "donor_half", "edition"), "location")
+    fit = F.when(F.col("half") == F.col("donor_half"), 0).when(F.col("donor_half").isNull(), 1).otherwise(2)
+    return first_by(met.withColumn("_f", fit), ["row_id"], "_f", F.asc_nulls_last("edition"), "donor_id").select("row_id", "donor_id")

@@ -14,7 +14,7 @@ from strataflow.plans.timeline import table
 
 def import_plan(spark, sf_dir):
     plan = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.when(F.col("c_acctbal") > 0, "yes").otherwise("no").alias("import"), F.col("c_name").alias("name"))
-    have = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.lit("").alias("name"))
+    have = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("key"), F.lit("").alias("name"))
     return R.import_rows(plan, have, "key")
 
 
@@ -25,7 +25,7 @@ def key_diff(spark, sf_dir):
 def publish_plan(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus")
     items = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(F.count("*").alias("size"), F.count_if(F.col("l_linestatus") == "F").alias("f"))
-    return R.publish_plan(orders, items.where("f > 0").select("key", "size"), items.where("size % 2 = 0").select("key", F.col("f").alias("size")))
+    return R.publish_plan(orders, items.where("f > 0").select("key", "size"), items.where("size % 2 = 0").select("key", F.col("f").alias("size")), items.where("size > 3").select("key"))
 
 
 def missing_inputs(spark, sf_dir):
@@ -53,9 +53,10 @@ def best_capture(spark, sf_dir):
 
 
 def insert_outcomes(spark, sf_dir):
+    """Every order as a new row; the least of a customer's two most urgent priorities, where it has one, is the state."""
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("source"), F.col("o_orderkey").alias("line"))
-    state = o.where("line % 3 = 0").groupBy("key").agg(F.min("source").alias("source"))
-    return R.insert_if_absent(o.where("line % 3 = 1"), state, "key", "source", "line").select("key", "line", "outcome")
+    state = o.where("source = '1-URGENT' or source = '2-HIGH'").groupBy("key").agg(F.min("source").alias("source"))
+    return R.insert_if_absent(o, state, "key", "source", "line").select("key", "line", "outcome")
 
 
 def insert_outcomes_all(spark, sf_dir):
@@ -96,8 +97,9 @@ def file_resolution(spark, sf_dir):
 
 
 def key_resolution(spark, sf_dir):
+    """All pages against the files of those that are read over https."""
     pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.col("url"), r"[?#].*$|/$", "").alias("name"))
-    files = pages.where("page_id % 3 < 2").select(F.concat(F.lit("m/"), X.basename("name"), F.lit(".tif")).alias("path")).distinct()
+    files = pages.where(F.col("name").startswith("https:")).select(F.concat(F.lit("m/"), X.basename("name"), F.lit(".tif")).alias("path")).distinct()
     return R.resolve_files(pages, files, "page_id", "name").select("page_id", "path")
 
 
@@ -126,6 +128,7 @@ def catalogue_columns(spark, sf_dir):
 
 
 def link_set(spark, sf_dir):
+    """Basenames of all links of all pages; page_links has the operator for index pages."""
     hrefs = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r'href="([^"]*)"'), 1)
     return table(spark, sf_dir, "pages").select(F.explode(hrefs).alias("h")).select(F.lower(X.basename("h")).alias("link")).where("link <> ''").distinct()
 
@@ -152,8 +155,10 @@ def donor_points(spark, sf_dir):
 
 
 def ident_match(spark, sf_dir):
-    m = E.match_idents(points(spark, sf_dir), donor_points(spark, sf_dir))
-    return E.unique_claims(m).select("row_id", "donor_id", F.round("km", 3).alias("km"), "reverted")
+    rows = points(spark, sf_dir)
+    found = E.match_idents(rows, donor_points(spark, sf_dir)).select("row_id", F.col("donor_id").alias("match_id"), F.col("km").alias("match_km"), F.lit("parts").alias("match_donor"), F.lit("ident").alias("match_via"))
+    claims = E.unique_claims(rows.join(found, "row_id").withColumn("own_lat", F.col("lat")).withColumn("own_lon", F.col("lon")))
+    return claims.select("row_id", F.col("match_id").alias("donor_id"), F.round("match_km", 3).alias("km"), "reverted")
 
 
 _HAVERSINE = "2 * 6371.0 * asin(least(1.0, sqrt(pow(sin((radians(d.lat) - radians(r.lat)) / 2), 2) + cos(radians(r.lat)) * cos(radians(d.lat)) * pow(sin((radians(d.lon) - radians(r.lon)) / 2), 2))))"
@@ -184,18 +189,18 @@ QUERIES = {f.__name__: f for f in (
 
 _POINTS = "r AS (SELECT c_custkey AS row_id, c_nationkey AS state, 30.0::DOUBLE + (c_custkey * 7919 % 1000) / 500.0::DOUBLE AS lat, -100.0::DOUBLE + (c_custkey * 104729 % 1000) / 500.0::DOUBLE AS lon, c_custkey % 3 AS precision, c_custkey % 50 AS ident FROM customer)"
 ORACLE = {
-    "import_plan": "SELECT c_custkey AS key, c_name AS name FROM customer WHERE c_acctbal > 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "import_plan": "SELECT c_custkey AS key, c_name AS name FROM customer WHERE c_acctbal > 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')",
     "key_diff": "SELECT coalesce(a.key, b.key) AS key, CASE WHEN b.key IS NULL THEN 'new' ELSE 'stale' END AS side FROM (SELECT DISTINCT o_orderkey AS key FROM orders) a FULL JOIN (SELECT DISTINCT l_orderkey AS key FROM lineitem) b ON a.key = b.key WHERE a.key IS NULL OR b.key IS NULL",
     "publish_plan": """WITH i AS (SELECT l_orderkey AS key, count(*) AS size, count(*) FILTER (l_linestatus = 'F') AS f FROM lineitem GROUP BY 1)
-SELECT o_orderkey AS key, CASE WHEN l.size IS NULL AND r.f IS NOT NULL THEN 'preexisting' WHEN l.size IS NULL THEN 'missing_local' WHEN l.size = r.f THEN 'in_sync' ELSE 'to_upload' END AS status
-FROM orders LEFT JOIN (SELECT * FROM i WHERE f > 0) l ON l.key = o_orderkey LEFT JOIN (SELECT * FROM i WHERE size % 2 = 0) r ON r.key = o_orderkey""",
+SELECT o_orderkey AS key, CASE WHEN l.size IS NULL THEN 'missing_local' WHEN l.size = r.f THEN CASE WHEN u.key IS NULL THEN 'preexisting' ELSE 'in_sync' END ELSE 'to_upload' END AS status
+FROM orders LEFT JOIN (SELECT * FROM i WHERE f > 0) l ON l.key = o_orderkey LEFT JOIN (SELECT * FROM i WHERE size % 2 = 0) r ON r.key = o_orderkey LEFT JOIN (SELECT key FROM i WHERE size > 3) u ON u.key = o_orderkey""",
     "missing_inputs": "SELECT o_orderkey, o_orderkey || '.tif' AS name FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
     "pending_work": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE CAST(o_orderdate AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag = 'R')",
     "decision_upsert": "SELECT rid, seq, decision FROM (SELECT user_id AS rid, event_id AS seq, CASE WHEN event_type = 'error' THEN '' ELSE event_type END AS decision, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events WHERE event_type IN ('error', 'click', 'view', 'purchase')) WHERE k = 1 AND decision <> ''",
     "best_capture": "SELECT url, ts, captured_length FROM (SELECT 'u' || user_id AS url, event_id AS ts, value AS captured_length, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id DESC) AS k FROM events WHERE NOT (value < 20)) WHERE k = 1",
-    "insert_outcomes": """WITH s AS (SELECT o_custkey AS key, min(o_orderpriority) AS old FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
+    "insert_outcomes": """WITH s AS (SELECT o_custkey AS key, min(o_orderpriority) AS old FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1)
 SELECT o_custkey AS key, o_orderkey AS line, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) > 1 THEN 'repeated' WHEN old IS NULL THEN 'inserted' WHEN old = o_orderpriority THEN 'kept' ELSE 'conflict' END AS outcome
-FROM orders LEFT JOIN s ON s.key = o_custkey WHERE o_orderkey % 3 = 1""",
+FROM orders LEFT JOIN s ON s.key = o_custkey""",
     "insert_outcomes_all": """WITH s AS (SELECT o_custkey AS key, min(o_orderpriority) AS old FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
 SELECT o_custkey AS key, o_orderkey AS line, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) > 1 THEN 'repeated' WHEN old IS NULL THEN 'inserted' WHEN old = o_orderpriority THEN 'kept' ELSE 'conflict' END AS outcome
 FROM orders LEFT JOIN s ON s.key = o_custkey WHERE o_orderstatus <> 'F'""",
@@ -206,15 +211,15 @@ FROM orders LEFT JOIN s ON s.key = o_custkey WHERE o_orderstatus <> 'F'""",
     "file_resolution": r"""WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS name FROM pages), f AS (SELECT DISTINCT 'mirror/' || regexp_replace(name, '^https?://', '') AS path FROM p),
 b AS (SELECT regexp_extract(path, '([^/]*)$', 1) AS k, min(path) AS path FROM f GROUP BY 1)
 SELECT page_id, path FROM p LEFT JOIN b ON regexp_extract(name, '([^/]*)$', 1) = k""",
-    "key_resolution": r"""WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$|/$', '') AS name FROM pages), q AS (SELECT page_id, lower(regexp_replace(regexp_extract(name, '([^/]*)$', 1), '\.html$', '')) AS stem, regexp_extract(name, '([^/]*)$', 1) AS base FROM p),
-f AS (SELECT DISTINCT 'm/' || base || '.tif' AS path, lower(base) AS fstem FROM q WHERE page_id % 3 < 2),
-c AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY (stem = fstem) DESC, length(path), path) AS k FROM q JOIN f ON stem = fstem OR lower(base) = fstem),
-o AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY length(path), path) AS k FROM q JOIN f ON contains(fstem, stem) WHERE page_id NOT IN (SELECT page_id FROM c))
+    "key_resolution": r"""WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$|/$', '') AS name FROM pages), q AS (SELECT page_id, lower(regexp_replace(regexp_extract(name, '([^/]*)$', 1), '\.html$', '')) AS stem, regexp_extract(name, '([^/]*)$', 1) AS base, name FROM p),
+f AS (SELECT DISTINCT 'm/' || base || '.tif' AS path, lower(base) AS fstem FROM q WHERE name LIKE 'https:%'),
+c AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY (stem = fstem) DESC, contains(lower(path), stem) DESC, length(path), path) AS k FROM q JOIN f ON stem = fstem OR lower(base) = fstem),
+o AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY length(path), path) AS k FROM q JOIN f ON stem <> '' AND contains(lower(path), stem) WHERE page_id NOT IN (SELECT page_id FROM c))
 SELECT p.page_id, coalesce(c.path, o.path) AS path FROM p LEFT JOIN c ON c.page_id = p.page_id AND c.k = 1 LEFT JOIN o ON o.page_id = p.page_id AND o.k = 1""",
     "key_resolution_all": r"""WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$|/$', '') AS name FROM pages), q AS (SELECT page_id, lower(regexp_replace(regexp_extract(name, '([^/]*)$', 1), '\.html$', '')) AS stem, regexp_extract(name, '([^/]*)$', 1) AS base FROM p),
 f AS (SELECT DISTINCT 'm/' || base || '.tif' AS path, lower(base) AS fstem FROM q),
-c AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY (stem = fstem) DESC, length(path), path) AS k FROM q JOIN f ON stem = fstem OR lower(base) = fstem),
-o AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY length(path), path) AS k FROM q JOIN f ON contains(fstem, stem) WHERE page_id NOT IN (SELECT page_id FROM c))
+c AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY (stem = fstem) DESC, contains(lower(path), stem) DESC, length(path), path) AS k FROM q JOIN f ON stem = fstem OR lower(base) = fstem),
+o AS (SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY length(path), path) AS k FROM q JOIN f ON stem <> '' AND contains(lower(path), stem) WHERE page_id NOT IN (SELECT page_id FROM c))
 SELECT p.page_id, coalesce(c.path, o.path) AS path FROM p LEFT JOIN c ON c.page_id = p.page_id AND c.k = 1 LEFT JOIN o ON o.page_id = p.page_id AND o.k = 1""",
     "backlog_filter": "SELECT 'cutline' AS backlog, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT 'georeference', count(*) FROM orders WHERE o_orderstatus <> 'P' AND o_orderdate < TIMESTAMP '2011-01-01'",
     "catalogue_columns": r"""WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS d, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 28 DAYS, '%Y-%m-%d') END AS e,

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from strataflow.plans import catalogue, popular, timeline
+from strataflow.plans import catalogue, fields, pages, popular, timeline
 
-QUERIES = {**timeline.QUERIES, **catalogue.QUERIES, **popular.QUERIES}
-ORACLE = {**timeline.ORACLE, **catalogue.ORACLE, **popular.ORACLE}
+QUERIES = {**timeline.QUERIES, **catalogue.QUERIES, **popular.QUERIES, **pages.QUERIES, **fields.QUERIES}
+ORACLE = {**timeline.ORACLE, **catalogue.ORACLE, **popular.ORACLE, **pages.ORACLE, **fields.ORACLE}
 FLAGSHIP = "timeline_segments"

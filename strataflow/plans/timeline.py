@@ -51,9 +51,9 @@ def coverage_permille(spark, sf_dir):
 
 
 def overlap_best(spark, sf_dir):
-    old = supplier_cells(spark, sf_dir).select(F.col("ref").alias("old"), "cell")
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("modern"))
-    modern = parts.select("modern", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("i")).select("modern", ((F.col("modern") * 53 + F.col("i")) % 997).alias("cell"))
+    """Seventy cells for each supplier and twenty for each part, along a line that grows with the tables."""
+    old = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("old"), F.explode(F.sequence(F.lit(0), F.lit(69))).alias("i")).select("old", (F.col("old") * 212 + F.col("i")).alias("cell"))
+    modern = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("modern"), F.explode(F.sequence(F.lit(0), F.lit(19))).alias("i")).select("modern", (F.col("modern") * 53 + F.col("i")).alias("cell"))
     return C.overlaps(old, modern)
 
 
@@ -189,9 +189,10 @@ live AS (SELECT DISTINCT "start" AS s, "end" AS e, ref FROM iv WHERE "start" < "
 refs AS (SELECT s."start", live.ref FROM s JOIN live ON live.s <= s."start" AND s."end" <= live.e GROUP BY ALL),
 c AS (SELECT "start", count(DISTINCT cell) AS covered FROM refs JOIN sc USING (ref) GROUP BY 1), total AS (SELECT count(DISTINCT cell) AS cells FROM sc)
 SELECT s."start", s."end", n, CAST(coalesce(covered, 0) AS BIGINT) AS covered, CAST((coalesce(covered, 0) * 2000 + cells) // (2 * cells) AS INTEGER) AS permille FROM s LEFT JOIN c ON c."start" = s."start" CROSS JOIN total""",
-    "overlap_best": f"""WITH {_CELLS}, pc AS (SELECT p_partkey AS modern, (p_partkey * 53 + i) % 997 AS cell FROM part, range(20) t(i)),
-z AS (SELECT ref AS old, modern, round(count(*) / 12.0, 4) AS share FROM (SELECT DISTINCT ref, cell FROM sc) JOIN (SELECT DISTINCT modern, cell FROM pc) USING (cell) GROUP BY ALL)
-SELECT old, modern, CAST(share AS DOUBLE) AS share, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY old ORDER BY share DESC, modern) AS rank FROM z WHERE share > 0.02) WHERE rank <= 4""",
+    "overlap_best": """WITH z AS (SELECT old, modern, count(*) AS n FROM (SELECT s_suppkey AS old, s_suppkey * 212 + i AS cell FROM supplier, range(70) t(i)) JOIN (SELECT p_partkey AS modern, p_partkey * 53 + i AS cell FROM part, range(20) t(i)) USING (cell) GROUP BY ALL),
+r AS (SELECT *, round(n / 70.0::DOUBLE, 3) AS share, n / 70.0::DOUBLE > 0.02 AS above, row_number() OVER (PARTITION BY old ORDER BY n DESC, modern) = 1 AS best FROM z),
+k AS (SELECT *, CASE WHEN above THEN row_number() OVER (PARTITION BY old ORDER BY above DESC, share DESC, modern) END AS rank FROM r)
+SELECT old, modern, share, CAST(CASE WHEN rank <= 4 THEN rank END AS INTEGER) AS rank, best FROM k WHERE rank <= 4 OR best""",
     "majority_value": "WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n, min(o_orderkey) AS f FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY ALL) SELECT o_custkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, f) AS k FROM c) WHERE k = 1",
     "sequence_holes": "WITH s AS (SELECT o_custkey, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS a, o_orderkey AS b FROM orders) SELECT DISTINCT o_custkey, unnest(range(a + 1, b)) AS missing FROM s WHERE a < b - 1 AND b - a < 400",
     "event_gaps": _GAPS,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strataflow.functions import expr as X
 
@@ -24,6 +23,19 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*[c.removeprefix("\ufeff") for c in df.columns])
 
 
+def numbered(rows: DataFrame, name: str, first: int = 0) -> DataFrame:
+    """rows with their number in file order: a place inside a part of the input, and the number of rows in the parts before, of which the driver sees one count each."""
+    placed = rows.withColumn("_at", F.monotonically_increasing_id())  # the part in the upper bits, the place in the lower 33
+    counts = placed.groupBy(F.expr("shiftright(_at, 33)").alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
+    before, starts = first, {}
+    for c in counts:
+        starts[c["part"]] = before
+        before += c["n"]
+    known = rows.sparkSession.createDataFrame(list(starts.items()), "_part long, _start long")
+    out = placed.withColumn("_part", F.expr("shiftright(_at, 33)")).join(F.broadcast(known), "_part")
+    return out.withColumn(name, F.expr("_start + (_at & 8589934591)")).drop("_at", "_part", "_start")
+
+
 def catalogue(spark: SparkSession, path: str) -> DataFrame:
     """A1. The catalogue with blanks as '' and `line` (2 for the first data row). A missing column is an error."""
     df = read_csv(spark, path)
@@ -31,8 +43,7 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
     if missing:
         raise ValueError(f"the catalogue lacks {', '.join(missing)}")
     rows = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in CATALOGUE])
-    schema = T.StructType([*rows.schema.fields, T.StructField("line", T.LongType(), False)])
-    return spark.createDataFrame(rows.rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + 2)), schema)  # the file's order is part of its meaning
+    return numbered(rows, "line", 2)
 
 
 def fixed_width_airports(spark: SparkSession, path: str) -> DataFrame:
@@ -43,16 +54,25 @@ def fixed_width_airports(spark: SparkSession, path: str) -> DataFrame:
     return rows.where("lat is not null and lon is not null")
 
 
+# The types of airport that are read, and those whose names are compared.
+NAMED_TYPES = ["closed", "small_airport", "medium_airport", "large_airport", "seaplane_base"]
+AIRPORT_TYPES = [*NAMED_TYPES, "heliport", "balloonport"]
+
+
 def csv_airports(spark: SparkSession, path: str) -> DataFrame:
-    """A3. Airports of the US and Puerto Rico with three decimals or more, their idents and names."""
-    rows = read_csv(spark, path).where(F.col("iso_country").isin("US", "PR") & F.col("type").rlike("airport|seaplane_base|heliport|closed"))
-    rows = rows.where(X.precision("latitude_deg", "longitude_deg") >= 3)
+    """A3. (id, idents, names, state, lat, lon, name_ok) of the airports of the US and Puerto Rico with three decimals or more.
+
+    Codes, and keywords that look like codes, are idents in upper case; other keywords are further names. Puerto Rico's state is PR, whatever its region.
+    """
+    rows = read_csv(spark, path).where(F.col("iso_country").isin("US", "PR") & F.col("type").isin(AIRPORT_TYPES))
+    rows = rows.where(~X.blank("latitude_deg") & ~X.blank("longitude_deg") & (X.precision("latitude_deg", "longitude_deg") >= 3))
     words = F.filter(F.transform(F.split(F.coalesce("keywords", F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
-    codes = F.array_compact(F.array(*[F.nullif(F.trim(c), F.lit("")) for c in ("ident", "icao_code", "iata_code", "gps_code", "local_code")]))
+    codes = F.filter(F.array(*[F.upper(X.text(c)) for c in ("ident", "icao_code", "iata_code", "gps_code", "local_code")]), X.ident_like)
+    like = lambda w: X.ident_like(F.upper(w))
     return rows.select(
-        F.col("ident").alias("id"), F.array_distinct(F.concat(codes, F.filter(words, X.ident_like))).alias("idents"),
-        F.concat(F.array("name"), F.filter(words, lambda w: ~X.ident_like(w))).alias("names"), F.regexp_extract("iso_region", "-(.*)$", 1).alias("state"),
-        X.number("latitude_deg").alias("lat"), X.number("longitude_deg").alias("lon"), (F.col("type") == "closed").alias("closed"),
+        F.col("ident").alias("id"), F.array_distinct(F.concat(codes, F.transform(F.filter(words, like), F.upper))).alias("idents"), F.concat(F.array("name"), F.filter(words, lambda w: ~like(w))).alias("names"),
+        F.when(F.col("iso_country") == "PR", "PR").otherwise(F.regexp_replace("iso_region", "^[^-]*-", "")).alias("state"), X.number("latitude_deg").alias("lat"), X.number("longitude_deg").alias("lon"),
+        F.col("type").isin(NAMED_TYPES).alias("name_ok"),
     )
 
 
@@ -66,20 +86,28 @@ def html_tree(spark: SparkSession, root: str) -> DataFrame:
 
 def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A5. Lines of JSON objects in file order (`seq`); blank and malformed lines go."""
-    lines = spark.read.text(path)
-    rows = spark.createDataFrame(lines.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1])), "value string, seq long")
+    rows = numbered(spark.read.text(path), "seq")
     parsed = F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
     return rows.where(F.trim("value") != "").select(parsed.alias("r"), "seq").where("r is not null and r._bad is null").select("r.*", "seq").drop("_bad")
 
 
 def timeline_json(spark: SparkSession, path: str) -> DataFrame:
     """A6. (location, ref, start, end, edition) of a nested timeline file: a row for each chart."""
-    schema = "locations MAP<STRING, STRUCT<ref: STRING, charts: ARRAY<STRUCT<d: DATE, e: DATE, ed: STRING>>>>"
-    rows = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("r"))
-    flat = rows.select(F.explode("r.locations").alias("location", "l")).select("location", "l.ref", F.explode("l.charts").alias("c"))
+    flat = _timeline(spark, path).select(F.explode("locations").alias("location", "l")).select("location", "l.ref", F.explode("l.charts").alias("c"))
     return flat.select("location", "ref", F.col("c.d").alias("start"), F.col("c.e").alias("end"), F.col("c.ed").alias("edition"))
 
 
+def timeline_rings(spark: SparkSession, path: str) -> DataFrame:
+    """A6. (ref, ring array<struct<lon, lat>>) of a nested timeline file."""
+    rings = _timeline(spark, path).select(F.explode("rings").alias("ref", "r"))
+    return rings.select("ref", F.transform("r", lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))).alias("ring"))
+
+
+def _timeline(spark: SparkSession, path: str) -> DataFrame:
+    schema = "locations MAP<STRING, STRUCT<ref: STRING, charts: ARRAY<STRUCT<d: DATE, e: DATE, ed: STRING>>>>, rings MAP<STRING, ARRAY<ARRAY<DOUBLE>>>"
+    return spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     """A7. Files below root: path, name parts and size. Contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("size"))
@@ -100,9 +128,9 @@ def archive_headers(spark: SparkSession, root: str, glob: str = "*.pmtiles") ->
 
 
 def wkt_rings(df: DataFrame, ref: str = "ref", wkt: str = "wkt") -> DataFrame:
-    """A9. (ref, ring_no, ring array<struct<lon, lat>>) of POLYGON and MULTIPOLYGON texts; anything else is an error when it is read."""
+    """A9. (ref, ring_no, ring array<struct<lon, lat>>) of the outer rings of POLYGON and MULTIPOLYGON texts; holes are left out. Anything else is an error when it is read."""
     t = X.text(wkt)
     ok = t.rlike(r"(?i)^(MULTI)?POLYGON\s*\(")
-    rings = F.regexp_extract_all(F.when(ok, t).otherwise(F.raise_error(F.concat(F.lit("not a polygon: "), t))), F.lit(r"\(([^()]+)\)"), 1)
+    rings = F.regexp_extract_all(F.when(ok, t).otherwise(F.raise_error(F.concat(F.lit("not a polygon: "), t))), F.lit(r"\(\s*\(([^()]+)\)"), 1)
     point = lambda p: F.struct(F.split(F.trim(p), r"\s+")[0].cast("double").alias("lon"), F.split(F.trim(p), r"\s+")[1].cast("double").alias("lat"))
     return df.select(ref, F.posexplode(rings).alias("ring_no", "r")).select(ref, "ring_no", F.transform(F.split("r", ","), point).alias("ring"))

@@ -41,6 +41,10 @@ def write_dates(df: DataFrame, path: str) -> None:
     df.select("key", "url").orderBy(F.desc("key")).write.csv(path, header=True)
 
 
-def review_matrix(df: DataFrame, date: str = "date", location: str = "location", cell: str = "cell", locations: list | None = None) -> DataFrame:
-    """A15. Dates by locations; cells keep the text of their last row."""
-    return df.groupBy(date).pivot(location, locations).agg(F.max(cell))
+def review_matrix(df: DataFrame, order: str, date: str = "date", location: str = "location", count: str = "num_files", files: str = "source_files", locations: list | None = None) -> DataFrame:
+    """A15. Dates (newest first) by locations; a cell tells of its last row by `order`: the file's name (12 characters at most, longer ones cut to 9 and `...`), how many files, or ---."""
+    first = F.trim(F.get(F.split(files, ","), F.lit(0)))
+    name, several = F.regexp_extract(first, r"([^/]*)$", 1), F.size(F.split(files, ","))
+    cell = F.when(F.coalesce(F.col(count), F.lit(0)) <= 0, "---").when(several > 1, F.concat(F.lit("("), several.cast("string"), F.lit(" files)"))).when(F.length(name) > 12, F.concat(F.substring(name, 1, 9), F.lit("..."))).otherwise(name)
+    out = df.groupBy(date).pivot(location, locations).agg(F.max_by(cell, order))
+    return out.select(date, *[F.coalesce(F.col(f"`{c}`"), F.lit("---")).alias(c) for c in out.columns if c != date]).orderBy(F.desc(date))

@@ -50,7 +50,7 @@ def test_keys(spark):
 
 
 def test_note(spark):
-    n = one(spark, X.note_gap("a"), a="L; GAP 400d before next (1951-02-03); typ80d")
+    n = one(spark, X.note_gap("a"), a="latest-in-collection; L B GAP 400d before next (1951-02-03); typ80d")
     assert (n["latest"], n["blank_map"], n["days"], n["next"], n["typical"], n["missing"]) == (True, False, 400, datetime.date(1951, 2, 3), 80, 4)
     assert one(spark, X.note_gap("a"), a="GAP 40d before next (1951-02-03); typ0d")["missing"] is None
 
@@ -66,8 +66,11 @@ def test_idents_and_names(spark):
 def test_ranges_and_issues(spark):
     assert one(spark, X.byte_range("a"), a="bytes=10-19")["size"] == 10
     assert one(spark, X.byte_range("a"), a="bytes=10-") is None and one(spark, X.byte_range("a"), a="bytes=9-1") is None
-    assert one(spark, X.row_issues("l", "s", "e", "n"), l="", s="x", e="1950-01-01", n="1") == ["missing location", "bad date"]
-    assert one(spark, X.row_issues("l", "s", "e", "n"), l="a", s="1951-01-01", e="1950-01-01", n="") == ["end before start", "missing edition"]
+    assert one(spark, X.row_issues("l", "s", "e"), l="", s="x", e="1950-01-01") == ["missing location"]
+    assert one(spark, X.row_issues("l", "s", "e"), l="a", s="1951-01-01", e="1950-01-01") == ["end_date before date"]
+    assert one(spark, X.row_issues("l", "s", "e"), l="a", s="", e="x") == ["invalid end_date"] and one(spark, X.row_issues("l", "s", "e"), l="a", s="", e="") == []
+    assert one(spark, X.end_missing("s", "e"), s="1951-01-01", e="") is True and one(spark, X.end_missing("s", "e"), s="", e="") is False
+    assert one(spark, X.edition_or_unknown("n"), n=" ") == "Unknown"
 
 
 def test_projection_round_trip(spark):
@@ -80,3 +83,33 @@ def test_projection_round_trip(spark):
 
 def test_haversine(spark):
     assert one(spark, G.haversine_km("a", "b", "c", "d"), a=0.0, b=0.0, c=0.0, d=1.0) == pytest.approx(111.195, abs=1e-2)
+
+
+def test_titles(spark):
+    t = one(spark, X.split_title("a", "s"), a="Big Field / (X) / Smith AAF, Old Town, ST.", s="ST")
+    assert (t["aliases"], t["city"]) == (["Smith AAF"], "Old Town")  # no words but stop words in the first, none in the second
+    t = one(spark, X.split_title("a", "s"), a="Smith / Jones", s="")
+    assert (t["aliases"], t["city"]) == (["Smith", "Jones"], "")
+    assert one(spark, X.clean_title("a"), a="_ A\n B (revised 3/15) -") == "A B" and one(spark, X.clean_title("a"), a="A; revised 12/2001") == "A"
+
+
+def test_archives(spark):
+    at = dict(r=127, rn=100, m=300, mn=50, le=350, ln=50, t=400, z=1000)
+    length = X.prefix_length("r", "rn", "m", "mn", "le", "ln", "t", "z")
+    assert one(spark, length, **at) == 400 and one(spark, length, **at | dict(le=350, ln=300_000, t=300_350, z=400_000)) == 350
+    assert one(spark, length, **at | dict(ln=0, t=300_000, z=400_000)) == 300_000  # no leaves: nothing to leave out
+    assert [one(spark, length, **at | d) for d in (dict(r=126), dict(m=200), dict(le=349), dict(t=399), dict(z=399))] == [None] * 5
+    box = lambda *b: one(spark, X.header_bounds("w", "s", "e", "n"), **dict(zip("wsen", b, strict=True)))
+    assert box(-10_000_001, -5, 20_000_001, 5) == [-1.01, -0.01, 2.01, 0.01] and box(0, 0, 10, 870_000_000) is None and box(5, 0, 5, 1) is None
+
+
+def test_claim_strength(spark):
+    how = {"dole location/date x 1950-01-01": 1, "rawtiffs cycle c has x": 2, "dole sectional_files x ed 3": 2, "rawtiffs x": 3, "basename x in rawtiffs": 3, "": 3}
+    assert [one(spark, X.match_confidence("a"), a=h) for h in how] == list(how.values())
+    assert [one(spark, X.extension_rank("a"), a=f"x{e}") for e in (".TIF", ".pdf", ".png", ".jp2", ".zip", "")] == [0, 1, 2, 4, 3, 4]
+
+
+def test_pixels_and_lists(spark):
+    df = spark.createDataFrame([([0, 257, 65535, 300], ["b", "a", "b"])], "p array<int>, l array<string>")
+    assert df.select(X.rescaled_8bit("p").alias("r")).first()["r"] == [0, 1, 255, 1] and df.select(X.inverted_8bit(X.rescaled_8bit("p")).alias("r")).first()["r"] == [255, 254, 0, 254]
+    assert df.select(X.distinct_in_order("l").alias("r")).first()["r"] == ["b", "a"]

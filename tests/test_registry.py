@@ -48,4 +48,6 @@ def test_all_rows_take_part(spark, duck):
     """Each order is judged or part of the state, and each page with a name has a file of its own."""
     n = registry.QUERIES["insert_outcomes_all"](spark, SF).count()
     assert 0 < n == duck.execute("SELECT count(*) FROM orders").fetchone()[0] - duck.execute("SELECT count(*) FROM orders WHERE o_orderstatus = 'F'").fetchone()[0]
+    assert registry.QUERIES["insert_outcomes"](spark, SF).count() == duck.execute("SELECT count(*) FROM orders").fetchone()[0]
+    assert registry.QUERIES["import_plan"](spark, SF).count() > 0
     assert registry.QUERIES["key_resolution_all"](spark, SF).where("path is null").count() == 0
