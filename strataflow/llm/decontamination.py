@@ -16,8 +16,9 @@ from strataflow.llm.common import ddl, with_columns, written
 _WORD_BYTES = bytes(b if (0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80) else 0x20 for b in range(256))
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UNKNOWN = "\x00"
-#: Test items are broadcast in blocks of at most so many characters of text; each block makes one automaton and one scan.
-BLOCK_BYTES = 4_000_000
+#: Test items are broadcast in blocks of at most so many bytes of words; each block makes one automaton and one scan. A block has a million different words at most, as
+#: automata have letters for.
+BLOCK_BYTES = 3_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -81,10 +82,11 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", it
 
     A word is hit if an occurrence of `window` consecutive item words covers it; an item with fewer words is one window. Null or empty
     texts have no words; items without text or words match nothing; items whose id is null mark words but aren't listed. Repeated
-    items count once, repeated documents each give a row. Other columns are kept, but for earlier ones named like the four new.
+    items count once, repeated documents each give a row. Texts and items of any length are taken whole. Other columns are kept, but for earlier ones named like the four new. Empty
+    documents give no rows, an empty benchmark marks nothing.
 
-    The items go to the tasks in blocks of BLOCK_BYTES at most (a single longer item makes its own), each block as one automaton; so
-    what a task holds is bounded, and a benchmark within the bound takes one scan of each text.
+    The items go to the tasks in blocks of BLOCK_BYTES at most (a longer item is cut, with as much overlap as windows need), each block as one automaton; so
+    what a task holds is bounded, and a benchmark within the bound takes one scan of each text. Each further block writes the documents once more.
     """
     new = ("n_words", "n_hit", "items", "spans")
     kept = [c for c in docs.columns if c not in new]
@@ -92,7 +94,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", it
     at, out = kept.index(text), docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)])
     plain = ddl(out.schema)
     rows = items.where(F.col(item_text).isNotNull()).select(item_id, item_text).distinct().toLocalIterator()
-    blocks = _blocks(rows)
+    blocks = _blocks(rows, window)
     block, first = next(blocks), True
     while block is not None:
         after = next(blocks, None)
@@ -103,18 +105,33 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", it
     return out.toDF(*kept, *new)
 
 
-def _blocks(rows):
-    """Lists of items of BLOCK_BYTES at most (or a single item); at least one list."""
+def _blocks(rows, window: int):
+    """Lists of (item id, its normalised words as one text) of BLOCK_BYTES at most; at least one list."""
     block, size = [], 0
-    for r in rows:
-        if block and size + len(r[1]) > BLOCK_BYTES:
-            yield block
-            block, size = [], 0
-        block.append((r[0], r[1]))
-        size += len(r[1])
+    for item, text in rows:
+        for part in _parts(words_of(text), window):
+            if block and size + len(part) > BLOCK_BYTES:
+                yield block
+                block, size = [], 0
+            block.append((item, part.decode("utf-8", "surrogatepass")))
+            size += len(part)
     yield block
 
 
+def _parts(words: list[bytes], window: int):
+    """An item's words joined, in parts of about BLOCK_BYTES / 2 that share window - 1 words, so that each window is in one."""
+    start = 0
+    while start < len(words):
+        end, size = start, 0
+        while end < len(words) and (size <= BLOCK_BYTES // 2 or end - start < window):
+            size += len(words[end]) + 1
+            end += 1
+        yield b" ".join(words[start:end])
+        if end == len(words):
+            return
+        start = end - window + 1
+
+
 def _scan(df: DataFrame, held, window: int, at: int, plain: str, first: bool, last: bool) -> DataFrame:
     """One automaton's pass: adds to the word runs and items found before; the last pass turns runs into counts and offsets."""
 
@@ -128,7 +145,7 @@ def _scan(df: DataFrame, held, window: int, at: int, plain: str, first: bool, la
                 t = value.as_py()
                 words = words_of(t)
                 runs, found = machine.scan(words)
-                runs = merged([(r["start"], r["end"]) for r in old] + runs) if old else runs
+                runs = merged([[r["start"], r["end"]] for r in old] + runs) if old else runs
                 ids.append(sorted({*old_ids, *(str(i) for i in found if i is not None)}))
                 if not last:
                     all_runs.append([{"start": a, "end": b} for a, b in runs])

@@ -37,7 +37,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url: str
 
     Null payloads are empty, null urls an empty target. Rows with equal payloads of REVISIT_BYTES or more become revisits of the one with the smallest id; rows
     that repeat an id and its payload are all responses (or all revisits). A null id is written as `null`, is never referred to and
-    refers to nothing. Empty input gives an archive without records. Other columns aren't written.
+    refers to nothing. Payloads of any size go through in chunks. Empty input gives an archive without records. Other columns, whatever their names, aren't written.
+    Record ids come from page ids, so where these repeat, record ids do; records are told apart by their place in the archive.
     """
     revisits = written(find_revisits(pages, id_col, payload), "warc-revisits")
     if small_enough(revisits):

@@ -141,6 +141,31 @@ def test_decontamination(spark, texts):
     assert decontamination.find_contamination(empty(spark), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_decontamination_spans(spark):
+    """Every span covers, in the original text, the words that brute force finds hit, and nothing else; texts are long, columns clash."""
+    r = random.Random(9)
+    item = r.choices(WORDS, k=40)
+    docs = [(i, " \t".join((w.upper() if k % 3 else w) + "!" for k, w in enumerate(r.choices(WORDS, k=200 * i) + item[i : i + 8 + i] + ["q"] + item[20:32])), "clash") for i in range(8)]
+    docs.append((8, "Ä " + " ".join(item) + " ö " * 100_000, "clash"))
+    out = decontamination.find_contamination(spark.createDataFrame(docs, "doc_id long, text string, items string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    want = decontamination.brute_force([d[:2] for d in docs[:8]], [(1, " ".join(item))])
+    for x in out:
+        covered = [w for s in x.spans for w in decontamination.words_of(x.text[s.start : s.end])]
+        assert len(covered) == x.n_hit and all(w.decode() in item for w in covered)
+        if x.doc_id < 8:
+            assert (x.n_words, x.n_hit, x["items"]) == want[x.doc_id][:3]
+    assert [x.n_hit for x in out if x.doc_id == 8] == [40]
+
+
+def test_decontamination_by_a_long_item(spark, texts, monkeypatch):
+    """An item longer than a block is cut so that no window is lost."""
+    docs, items = frame(spark, texts), [(1, texts[-1]), (2, "two")]
+    df = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(str, decontamination.find_contamination(docs, df).collect()))
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 20_000)
+    assert sorted(map(str, decontamination.find_contamination(docs, df).collect())) == want and any("n_hit=9000" in x for x in want)
+
+
 def test_decontamination_in_blocks(spark, texts, monkeypatch):
     docs, items = frame(spark, texts), spark.createDataFrame([(i, texts[6 + i]) for i in range(5)], "item_id long, text string")
     one = sorted(map(str, decontamination.find_contamination(docs, items).collect()))
@@ -208,6 +233,46 @@ def test_sharding(spark):
     assert sharding.assign_shards(empty(spark)).count() == 0
 
 
+def ring_by_force(keys, shards, vnodes, hash_of):
+    """(key: shard) with counts one apart: each arc's keys in ring order go to its owner while there is room, the rest clockwise to the next node with room."""
+    ring = sorted((int.from_bytes(hashlib.sha256(f"shard-{s}/node-{v}".encode()).digest()[:8], "big", signed=True), s) for s in range(shards) for v in range(vnodes))
+    arcs: dict = {}
+    for k in sorted(keys, key=lambda k: hash_of[k]):
+        arcs.setdefault(next((i for i, (p, _) in enumerate(ring) if p >= hash_of[k]), len(ring)), []).append(k)
+    owner = [s for _, s in ring] + [ring[0][1]]
+    room = [len(keys) // shards + (s < len(keys) % shards) for s in range(shards)]
+    out, over = {}, []
+    for a in sorted(arcs):
+        for k in arcs[a]:
+            if room[owner[a]]:
+                room[owner[a]] -= 1
+                out[k] = owner[a]
+            else:
+                over.append((a, k))
+    for a, k in over:
+        while not room[owner[a]]:
+            a = (a + 1) % len(owner)
+        room[owner[a]] -= 1
+        out[k] = owner[a]
+    return out
+
+
+def test_sharding_by_force(spark):
+    """Shards of a tight ring are those of a plain ring that takes key by key; equal keys and clashing columns don't matter."""
+    df = spark.range(700).toDF("doc_id").withColumn("slot", F.lit("clash")).repartition(5)
+    hash_of = {x.doc_id: x.h for x in df.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    got = {x.doc_id: x.shard for x in sharding.assign_shards(df, shards=7, vnodes=16).collect()}
+    assert got == ring_by_force(list(range(700)), 7, 16, hash_of)
+
+
+def test_registered_sharding_moves_few(spark):
+    """With the registered setting (24 tight shards of 128 nodes), a 25th shard moves well under a tenth of the keys more than the twenty-fifth that it must take."""
+    df = spark.range(30000).toDF("doc_id")
+    a, b = ({x.doc_id: x.shard for x in sharding.assign_shards(df, shards=n).select("doc_id", "shard").collect()} for n in (24, 25))
+    moved = sum(a[k] != b[k] for k in a) / len(a)
+    assert 1 / 25 - 0.002 <= moved < 1 / 25 + 0.1 and sum(v == 24 for v in b.values()) == 1200
+
+
 def test_sharding_moves_few(spark):
     df = spark.range(20000).toDF("doc_id")
     a = sharding.assign_shards(df, shards=24, epsilon=0.1).select("doc_id", "shard").toPandas().set_index("doc_id")["shard"]
@@ -238,6 +303,9 @@ def test_token_store(spark, texts):
     chunks = spark.read.parquet(f"{path}/chunks").where("ids is not null")
     assert chunks.count() == chunks.select("digest").distinct().count()
     path = table_path(spark, "t")
+    token_store.write_store(frame(spark, texts).withColumnRenamed("lang", "part").withColumnRenamed("source", "row"), path, public_tokenizers.path("word_bpe_49k.json"))
+    assert token_store.read_store(spark, path).count() == len(texts)
+    path = table_path(spark, "t")
     token_store.write_store(empty(spark), path, public_tokenizers.path("word_bpe_49k.json"))
     assert token_store.read_store(spark, path).count() == 0
 
@@ -289,6 +357,8 @@ def test_warc(spark):
         assert (r.payload_bytes, r.payload_digest) == (len(b), hashlib.sha256(b).hexdigest())
     assert {k: v.refers_to for k, v in out.items() if v.record_type == "revisit"} == {"6": "5", "10": "9", "11": "5"}
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    clash = spark.createDataFrame([(1, "u", "x" * 300, "a", "b", "c"), (1, "u", "x" * 300, "a", "b", "c")], "page_id long, url string, html string, digest string, id string, body string")
+    assert [r.record_type for r in warc.round_trip(clash).collect()] == ["response"] * 2
 
 
 def test_language(spark):

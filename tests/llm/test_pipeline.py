@@ -79,6 +79,14 @@ def test_packing(spark, docs):
     assert set(out.doc_id) == set(texts) and (out.groupby("sequence_id").length.sum() <= 1024).all()
 
 
+@pytest.mark.parametrize("stage", ["language", "decontamination"])
+def test_columns_of_any_name_stay(spark, docs, stage):
+    more = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in ("score", "lang_pred", "lang_rejected", "items", "spans", "n_words", "n_hit", "c0", "c1")])
+    kept = STAGE[stage](spark, more, SF)
+    assert kept.columns == more.columns and kept.count() == STAGE[stage](spark, docs, SF).count()
+    assert kept.where("score <> concat('score', doc_id) or n_hit <> concat('n_hit', doc_id) or c1 <> concat('c1', doc_id)").count() == 0
+
+
 def test_run_on_nothing(spark, docs):
     none = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
