@@ -10,13 +10,19 @@ from strataflow.llm import decontamination, language, near_dup, packing
 from strataflow.llm.common import written
 
 
+def _plain(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with columns named by place, so that none clashes with what operators add, and the text's name there."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), f"c{docs.columns.index('text')}"
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language the compression classifier tells: und and narrow margins between two languages go.
 
-    Dictionaries are fitted on the stage's own labelled documents but a held-out third. Columns are those of docs; null and letterless texts go.
+    Dictionaries are fitted on the stage's own labelled documents but a held-out third. Columns are those of docs, whatever their names; null and letterless texts go; repeated rows stay or go each.
     """
-    found = language.identify(docs, language.fit_dictionaries(language.training_rows(docs)))
-    return found.where(~F.col("lang_rejected")).select(docs.columns)
+    own, text = _plain(docs)
+    found = language.identify(own, language.fit_dictionaries(language.training_rows(docs)), text=text)
+    return found.where(~F.col("lang_rejected")).select(own.columns).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +34,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in which no ten-word window of a benchmark item occurs. Null and empty texts have no words and stay."""
-    found = decontamination.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where("n_hit = 0").select(docs.columns)
+    """Keeps documents in which no ten-word window of a benchmark item occurs. Null and empty texts have no words and stay; repeated rows stay or go each; columns of any name are kept."""
+    own, text = _plain(docs)
+    found = decontamination.find_contamination(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), text=text)
+    return found.where("n_hit = 0").select(own.columns).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is kept into sequences of 1024 tokens: a row for each piece of each document."""
+    """Packs what is kept into sequences of 1024 tokens: a row for each piece of each document. Null and empty texts are a piece of the end id alone; repeated rows are packed each;
+    an empty table gives no rows; other columns play no part."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
