@@ -73,7 +73,7 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
 
     base = files.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("own"), at.alias("at"), body.alias("body")).withColumn("digest", F.sha2("body", 256))
     dfs = written(base.where("body <> ''").select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words_of("body")))).alias("w")).groupBy("w").agg(F.count("*").alias("df")), "licence-dfs")
-    df = {r["w"]: r["df"] for r in dfs.where(F.array_contains(F.lit(["", *vocabulary]), F.col("w"))).collect()}  # a row for each template word, and "" for the files
+    df = {r["w"]: r["df"] for r in dfs.where(F.col("w").isin(["", *vocabulary])).collect()}  # a row for each template word, and "" for the files
     n = df.get("", 0)
     weight = {w: idf(n, df.get(w, 0)) for w in vocabulary}
 
@@ -88,30 +88,29 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
                 in_lines.add(w)
             if passed >= (FILE_COSINE - 1e-6) ** 2:
                 in_files.add(w)
-    holds = lambda c, words: F.arrays_overlap(words_of(c), F.lit(sorted(words)))
+    holds = lambda c, words: F.exists(words_of(c), lambda w: w.isin(sorted(words)))
     posted = F.broadcast(spark.createDataFrame(postings, "w string, template string, is_line boolean, t double"))
 
-    found = base.where(holds("body", in_lines | in_files)).groupBy("digest").agg(F.any_value("body").alias("body"), F.count("*").alias("copies"))
-    found = written(found, "licence-texts")
+    # a row's number tells copies of a text apart within this one plan
+    found = base.where(holds("body", in_lines | in_files)).select("digest", F.monotonically_increasing_id().alias("row"), "body")
     lines = F.split("body", "\n")
     single = F.transform(lines, lambda x, i: F.struct((2 * i).alias("pos"), x.alias("col")))
     double = F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x, i: F.struct((2 * i + 1).alias("pos"), F.concat(F.get(lines, i), F.lit(" "), x).alias("col")))
     parts = F.concat(F.array(F.struct(F.lit(-1).alias("pos"), F.col("body").alias("col"))), single, double)
-    units = found.select("digest", F.explode(parts).alias("u")).select("digest", "u.pos", "u.col").where(F.when(F.col("pos") == -1, holds("col", in_files)).otherwise(holds("col", in_lines)))
-    counted = written(units.select("digest", "pos", F.explode(words_of("col")).alias("w")).groupBy("digest", "pos", "w").agg(F.count("*").alias("tf")), "licence-terms")
+    units = found.select("digest", "row", F.explode(parts).alias("u")).select("digest", "row", "u.pos", "u.col").where(F.when(F.col("pos") == -1, holds("col", in_files)).otherwise(holds("col", in_lines)))
+    counted = written(units.select("digest", "row", "pos", F.explode(words_of("col")).alias("w")).groupBy("digest", "row", "pos", "w").agg(F.count("*").alias("tf")), "licence-terms")
     used = counted.groupBy("w").agg(F.count("*").alias("uses")).join(dfs, "w")
     used = written(used.select("w", "uses", (F.log(F.lit(float(1 + n)) / (F.col("df") + 1)) + 1).alias("idf")), "licence-idfs")
     terms = attach(counted, used, "w", "uses").withColumn("v", F.col("tf") * F.col("idf"))
-    norms = Window.partitionBy("digest", "pos")
+    norms = Window.partitionBy("digest", "row", "pos")
     scored = (
         terms.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(norms))).join(posted, "w").where("is_line or pos = -1")
-        .groupBy("digest", "pos", "template", "is_line").agg((F.sum(F.col("v") * F.col("t")) / F.max("norm")).alias("cosine"))
+        .groupBy("digest", "row", "pos", "template", "is_line").agg((F.sum(F.col("v") * F.col("t")) / F.max("norm")).alias("cosine"))
     )
     scored = scored.withColumn("cosine", F.round("cosine", 6)).withColumn("whole", F.col("pos") == -1)
     scored = scored.where(F.col("cosine") >= F.when(F.col("whole"), FILE_COSINE).otherwise(HEADER_COSINE))
     best = lambda whole: F.min(F.when(F.col("whole") == whole, F.struct((-F.col("cosine")).alias("minus"), "template")))
-    licensed = scored.groupBy("digest").agg(best(False).alias("h"), best(True).alias("f")).join(found.select("digest", "copies"), "digest")
-    licensed = written(licensed, "licence-found")
+    licensed = written(scored.groupBy("digest").agg(best(False).alias("h"), best(True).alias("f"), F.count_distinct("row").alias("copies")), "licence-found")
 
     narrow = base.select("digest", "own", "at", F.regexp_replace("at", "/?[^/]*$", "").alias("dir"))
     rows = written(
@@ -130,5 +129,5 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text", temp
     own = [F.col(f"own.c{i}").alias(f"c{i}") for i in range(len(kept))]
     said = F.coalesce("header_license", "file_license", "inherited_license")
     basis = F.when(F.col("header_license").isNotNull(), "header").when(F.col("file_license").isNotNull(), "file").when(F.col("inherited_license").isNotNull(), "inherited").otherwise("none")
-    discard(dfs, found, counted, used, licensed, dirs)
+    discard(dfs, counted, used, licensed, dirs)
     return attach(rows, nearest, "dir", "n").select(*own, *new[:6], said, basis).toDF(*kept, *new)
