@@ -81,7 +81,7 @@ def html_tree(spark: SparkSession, root: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{htm,html,HTM,HTML}").load(root)
     dirs = files.select(F.regexp_extract("path", r"^(.*)/", 1).alias("dir"), F.lower(X.basename("path")).alias("base"), "path", "content")
     twice = dirs.where("base = 'index.htm'").select("dir", F.lit("index.html").alias("base")).distinct()
-    return dirs.join(twice, ["dir", "base"], "left_anti").select("path", F.decode("content", "UTF-8").alias("html"))
+    return dirs.join(twice, ["dir", "base"], "left_anti").select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
 
 
 def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:

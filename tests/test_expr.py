@@ -86,7 +86,7 @@ def test_haversine(spark):
 
 
 def test_titles(spark):
-    t = one(spark, X.split_title("a", "s"), a="Big Field / (X) / Smith AAF, Old Town, ST.", s="ST")
+    t = one(spark, X.split_title("a", "s"), a="Old Field / (X) / Smith AAF, Old Town, ST.", s="ST")
     assert (t["aliases"], t["city"]) == (["Smith AAF"], "Old Town")  # no words but stop words in the first, none in the second
     t = one(spark, X.split_title("a", "s"), a="Smith / Jones", s="")
     assert (t["aliases"], t["city"]) == (["Smith", "Jones"], "")
