@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,7 +25,7 @@ def latest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 def keep_state(log: DataFrame, path: str, checkpoint: str, key: str, order: list[str]) -> StreamingQuery:
     """S4. Runs over what the streamed log holds: each batch is written under path as batch=<its number>, one row for each key it has.
 
-    A batch that is run again overwrites its own folder and nothing else, so a restart leaves the same state. current() reads the state.
+    A batch that is run again overwrites its own folder and nothing else, so a restart leaves the same state. current() reads the state, compact() keeps its folders few.
     """
 
     def upsert(batch: DataFrame, number: int) -> None:
@@ -39,3 +39,23 @@ def keep_state(log: DataFrame, path: str, checkpoint: str, key: str, order: list
 def current(batches: DataFrame, key: str, order: list[str]) -> DataFrame:
     """S4. The state from the batches that keep_state wrote: of each key the row last by `order`, and by batch where that ties."""
     return latest(batches, key, [*order, "batch"]).drop("batch")
+
+
+def compact(spark: SparkSession, path: str, key: str, order: list[str]) -> None:
+    """S4. Leaves one batch folder under path, the last, with the current state of all. Run it between runs of keep_state.
+
+    The state is written beside the batches first and then takes the last one's place, so a run that breaks off before leaves all batches as they were; the earlier ones
+    go last, and what is left of them then holds nothing newer than the state.
+    """
+    batches = spark.read.parquet(path)
+    last = batches.agg(F.max("batch")).first()[0]
+    beside = f"{path}.compacting"
+    current(batches, key, order).write.mode("overwrite").parquet(beside)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.delete(jvm.Path(f"{path}/batch={last}"), True)
+    fs.rename(jvm.Path(beside), jvm.Path(f"{path}/batch={last}"))
+    for status in fs.listStatus(jvm.Path(path)):
+        name = status.getPath().getName()
+        if name.startswith("batch=") and int(name.removeprefix("batch=")) < last:
+            fs.delete(status.getPath(), True)

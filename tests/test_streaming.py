@@ -19,6 +19,25 @@ def test_state_survives_a_second_batch(spark, tmp_path):
         jobs.keep_state(spark.readStream.schema(schema).parquet(source), path, checkpoint, "key", ["seq"])
     out = jobs.current(spark.read.parquet(path), "key", ["seq"])
     assert sorted(map(tuple, out.collect())) == [(3, "a", 11), (5, "b", 21), (6, "c", None)]
+    jobs.compact(spark, path, "key", ["seq"])
+    assert [r.batch for r in spark.read.parquet(path).select("batch").distinct().collect()] == [1]
+    spark.createDataFrame([(7, "a", 12)], schema).coalesce(1).write.mode("append").parquet(source)
+    jobs.keep_state(spark.readStream.schema(schema).parquet(source), path, checkpoint, "key", ["seq"])
+    out = jobs.current(spark.read.parquet(path), "key", ["seq"])
+    assert sorted(map(tuple, out.collect())) == [(5, "b", 21), (6, "c", None), (7, "a", 12)]
+
+
+def test_popularity_as_a_stream(spark, tmp_path):
+    """Windows come out once, when the watermark has passed them; a row that is late beyond it changes nothing."""
+    schema = "ts timestamp, key string, w double"
+    source, out, checkpoint = (str(tmp_path / n) for n in ("requests", "windows", "checkpoint"))
+    for rows in ([("2026-01-01", "a", 2.0), ("2026-01-02", "a", 3.0)], [("2026-03-01", "b", 1.0)], [("2026-01-01", "a", 50.0), ("2026-06-01", "c", 1.0)], [("2026-06-02", "c", 1.0)]):
+        spark.createDataFrame(rows, "ts string, key string, w double").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(source)
+        seen = jobs.popularity(spark.readStream.schema(schema).parquet(source), "key", F.col("w"))
+        seen.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(out)
+    assert {(str(r.start)[:10]): r.weight for r in got.where("key = 'a'").collect()} == {f"2025-12-{26 + d}": 2.0 for d in range(1)} | {f"2025-12-{27 + d}": 5.0 for d in range(5)} | {"2026-01-01": 5.0, "2026-01-02": 3.0}
+    assert got.where("key = 'b'").count() == 7 and got.groupBy("start", "key").count().where("count > 1").count() == 0
 
 
 def test_latest_of_nothing(spark):
