@@ -192,9 +192,60 @@ def sheet_fits(spark, sf_dir):
     return a.join(s, "l_suppkey")
 
 
+def catalogue_values(spark, sf_dir):
+    """B1 to B4, B6 to B8, B10, B11, B23 to B25 on raw texts of each customer."""
+    k = F.col("c_custkey")
+    t = lambda *x: _text(*[v if not isinstance(v, int) else str(v) for v in x])
+    n = lambda m: (k % m).cast("string")
+    raw = {f"gcp{i}_{a}": t(" ", n(50), f".{i}") for i in range(1, 5) for a in ("px", "py", "lon", "lat")}
+    raw["gcp4_py"] = F.when(k % 3 == 0, "nan").when(k % 3 == 1, "").otherwise("12.5 ")
+    raw["gcp2_lat"] = F.when(k % 5 == 0, "x").otherwise("40.25")
+    raw |= {"lcc_lat1": F.lit("33"), "lcc_lat2": F.lit(" 45 "), "lcc_lat0": n(90), "lcc_lon0": F.when(k % 7 == 0, " ").otherwise("-96.5"), "cutline_wkt": F.when(k % 4 == 0, "POLYGON ((0 0))"), "cutline": F.when(k % 4 < 2, " ref/a ").otherwise(""), "src_crs": F.when(k % 2 == 0, " EPSG:4269 ")}
+    title = F.when(k % 3 == 0, t("Big Smith", n(9), " Municipal Field (NAS / A", n(9), "C, XYZ) (original)")).otherwise(t("The Old Smith-Jones (", n(100), ")"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", *[v.alias(x) for x, v in raw.items()], title.alias("title"), t(F.when(k % 2 == 0, "N").otherwise("S"), "4030", F.lpad(n(60), 2, "0"), "5").alias("dms"), t(n(80), ".", n(7), "0").alias("dec"))
+    x, w = (k % 20).cast("double"), F.lit(20)
+    box = X.bounds(X.corners("lon", "lat"))
+    out = c.select(
+        "c_custkey", F.element_at(X.corners("px", "py"), 4)["py"].alias("py4"), X.lcc_crs().alias("lcc"), X.cutline()["kind"].alias("cut_kind"), X.cutline()["value"].alias("cut_value"), X.gcp_ready().alias("ready"), X.has_gcp_data().alias("has_data"), X.source_crs().alias("crs"),
+        X.west("dec").alias("west"), box["west"].alias("box_west"), box["north"].alias("box_north"), F.round(X.dms("dms"), 6).alias("degrees"), X.precision("dec", F.lit("1.25")).alias("precision"), F.array_join(X.title_idents("title"), "|").alias("idents"),
+        F.array_join(F.array_sort(X.name_tokens("title")), "|").alias("words"), X.to_display(x, F.lit(5.0), w, F.lit(10), F.lit(90))["x"].alias("shown_x"), X.to_raw(x, F.lit(5.0), w, F.lit(10), F.lit(270))["y"].alias("raw_y"), X.turned_size(w, k % 11, (k % 4 * 90).cast("int"))["w"].alias("turned_w"),
+    )
+    return out
+
+
+def row_targets(spark, sf_dir):
+    """B43, with B40, on a file for each order: the first reason that leaves it out."""
+    k = F.col("o_orderkey")
+    name = _text("f", k.cast("string"), F.when(k % 9 == 0, ".pdf").otherwise(".TIF"))
+    o = table(spark, sf_dir, "orders")
+    rows = o.select(k.alias("line"), name.alias("filename"), (k % 8 > 0).alias("has_gcps"), _text("L", (k % 50).cast("string")).alias("location"))
+    rows = R.patch_rows(rows, table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("line"), F.lit("Lx").alias("location"), F.lit(None).cast("boolean").alias("has_gcps")).distinct(), "line", ["location", "has_gcps"])
+    files = o.where("o_orderpriority <> '1-URGENT'").select(name.alias("filename"), (F.col("o_orderstatus") != "P").alias("readable"), (F.col("o_orderpriority") == "2-HIGH").alias("georeferenced"))
+    siblings = table(spark, sf_dir, "nation").select(_text("L", F.col("n_nationkey").cast("string")).alias("location"))
+    return R.targets(rows, files, siblings, "filename", "location").select("line", "filename", "location", "status")
+
+
+def row_texts(spark, sf_dir):
+    """B9, B14, B33 to B36, B39, B41, B44 and H8 on texts of each order."""
+    k = F.col("o_orderkey")
+    n = lambda m: (k % m).cast("string")
+    at = F.when(k % 4 == 0, _text("1950-03-0", n(9), "T05:06:07Z")).when(k % 4 == 1, _text("1950/3/", n(9))).when(k % 4 == 2, "March").otherwise(_text("1950-03-04 05:06:0", n(9)))
+    url = _text("http://web/web/2020010", n(10), "030405id_/http://a.b/c ", n(5), "/x.pdf")
+    place = F.when(k % 3 == 0, "Salt Lake, UT").when(k % 3 == 1, "New York, ny").otherwise("Seattle")
+    act = F.when(k % 3 == 0, _text("ADD Salt Lake 1950-01-0", n(10), "->1951-01-01 ed ", n(7), " x")).when(k % 3 == 1, "SKIP-DUPLICATE same").otherwise(_text("ADD Y 1950-01-02->"))
+    ring = F.transform(F.sequence(F.lit(0), (k % 200 + 5).cast("int")), lambda i: F.struct((i / F.lit(7.0)).alias("lon"), (i % 5).cast("double").alias("lat")))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", at.alias("at"), url.alias("url"), place.alias("place"), act.alias("act"), ring.alias("ring"))
+    rows = rows.select("*", X.decimated("ring").alias("thin"), X.disposition("act").alias("d"), X.parse_timestamp("at").alias("seen"))
+    return rows.select(
+        "o_orderkey", X.parse_date("at").cast("string").alias("day"), F.date_format("seen", "yyyy-MM-dd HH:mm:ss").alias("moment"), X.normal_date("at").alias("normal"), F.date_format(X.capture_time("url"), "yyyy-MM-dd HH:mm:ss").alias("captured"), X.flattened_name("url").alias("flat"),
+        X.location_matches("place", " LAKE ").alias("matches"), X.state_of("place").alias("state"), F.coalesce(X.in_dates("at", "1950-03-06", "1950-03-03"), F.lit(False)).alias("in_dates"), F.col("d.verb").alias("verb"), F.col("d.location").alias("said_location"),
+        F.col("d.start").cast("string").alias("said_start"), F.col("d.end").cast("string").alias("said_end"), F.col("d.edition").alias("said_edition"), F.size("thin").alias("thin_points"), F.element_at("thin", 2)["lon"].alias("thin_lon"), X.alnum("place").alias("alnum"), X.slug("place", {"seattle": "sea"}).alias("slug"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     gap_notes, archive_prefixes, candidate_groups, split_titles, claim_strength, row_faults, claim_files, name_matches, cascade_claims, lifespan_fills, timeline_groups, request_log, review_cells, donor_choice,
-    entry_dedupe, sheet_fits,
+    entry_dedupe, sheet_fits, catalogue_values, row_targets, row_texts,
 )}
 
 _KM = "2 * 6371.0 * asin(sqrt(pow(sin(radians({1}.lat - {0}.lat) / 2), 2) + cos(radians({0}.lat)) * cos(radians({1}.lat)) * pow(sin(radians({1}.lon - {0}.lon) / 2), 2)))"
@@ -270,4 +321,22 @@ g AS (SELECT *, (yy * xu - xy * yu) / (xx * yy - xy * xy) AS a, (xx * yu - xy *
 h AS (SELECT *, mu - a * mx - b * my AS c, mv - d * mx - e * my AS f, mu - scale * mx AS tx, mv - scale * my AS ty FROM g),
 r AS (SELECT l_suppkey, max(sqrt(pow(u - (a * x + b * y + c), 2) + pow(v - (d * x + e * y + f), 2))) AS ra, max(sqrt(pow(u - (scale * x + tx), 2) + pow(v - (scale * y + ty), 2))) AS rs FROM p JOIN h USING (l_suppkey) GROUP BY 1)
 SELECT l_suppkey, round(a, 4) AS affine_a, round(b, 4) AS affine_b, round(c, 4) AS affine_c, round(d, 4) AS affine_d, round(e, 4) AS affine_e, round(f, 4) AS affine_f, round(ra, 4) AS affine_residual, n, round(scale, 4) AS scale, round(tx, 4) AS tx, round(ty, 4) AS ty, round(rs, 4) AS residual FROM h JOIN r USING (l_suppkey)""",
+    "catalogue_values": """WITH k AS (SELECT c_custkey AS k FROM customer), d AS (SELECT *, k % 3 = 2 AS px_ok, k % 5 > 0 AS lat_ok FROM k)
+SELECT k AS c_custkey, CASE WHEN px_ok THEN 12.5::DOUBLE END AS py4, CASE WHEN k % 7 > 0 THEN '+proj=lcc +lat_1=33 +lat_2=45 +lat_0=' || (k % 90) || ' +lon_0=-96.5 +x_0=0 +y_0=0 +datum=NAD83 +units=m +no_defs' END AS lcc,
+  CASE k % 4 WHEN 0 THEN 'wkt' WHEN 1 THEN 'ref' END AS cut_kind, CASE k % 4 WHEN 0 THEN 'POLYGON ((0 0))' WHEN 1 THEN 'ref/a' END AS cut_value, px_ok AND lat_ok AS ready, true AS has_data, CASE WHEN k % 2 = 0 THEN 'EPSG:4269' ELSE '' END AS crs,
+  -CAST((k % 80) || '.' || (k % 7) AS DOUBLE) AS west, CASE WHEN lat_ok THEN CAST((k % 50) || '.1' AS DOUBLE) END AS box_west, CASE WHEN lat_ok THEN greatest(40.25::DOUBLE, CAST((k % 50) || '.4' AS DOUBLE)) END AS box_north,
+  round((CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END) * (40 + 30 / 60.0::DOUBLE + (k % 60 + 0.5::DOUBLE) / 3600), 6) AS degrees, CASE WHEN k % 7 = 0 THEN 0 ELSE 1 END AS precision,
+  CASE WHEN k % 3 = 0 THEN 'A' || (k % 9) || 'C|XYZ' WHEN k % 100 >= 10 THEN CAST(k % 100 AS VARCHAR) ELSE '' END AS idents, CASE WHEN k % 3 = 0 THEN 'big|smith' || (k % 9) ELSE 'jones|smith' END AS words,
+  CAST(10 - 5 AS DOUBLE) AS shown_x, CAST(k % 20 AS DOUBLE) AS raw_y, CASE WHEN k % 4 IN (1, 3) THEN k % 11 ELSE 20 END AS turned_w FROM d""",
+    "row_targets": """WITH r AS (SELECT o.*, o_orderkey AS k, 'f' || o_orderkey || CASE WHEN o_orderkey % 9 = 0 THEN '.pdf' ELSE '.TIF' END AS filename, CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') THEN 'Lx' ELSE 'L' || (o_orderkey % 50) END AS location FROM orders o)
+SELECT k AS line, filename, location, CASE WHEN k % 9 = 0 THEN 'extension' WHEN k % 8 = 0 THEN 'no GCPs' WHEN o_orderpriority = '1-URGENT' THEN 'file missing' WHEN o_orderstatus = 'P' THEN 'unreadable' WHEN o_orderpriority = '2-HIGH' THEN 'already georeferenced'
+  WHEN location = 'Lx' OR k % 50 >= 25 THEN 'no sibling' ELSE 'ok' END AS status FROM r""",
+    "row_texts": """WITH k AS (SELECT o_orderkey AS k FROM orders), a AS (SELECT k, CASE k % 4 WHEN 0 THEN make_date(1950, 3, CASE WHEN k % 9 = 0 THEN 1 ELSE (k % 9)::INT END) WHEN 1 THEN make_date(1950, 3, CASE WHEN k % 9 = 0 THEN 1 ELSE (k % 9)::INT END) WHEN 3 THEN DATE '1950-03-04' END AS d FROM k),
+b AS (SELECT k, CASE WHEN k % 4 < 2 AND k % 9 = 0 THEN NULL ELSE d END AS d, CASE k % 4 WHEN 0 THEN '1950-03-0' || (k % 9) || 'T05:06:07Z' WHEN 1 THEN '1950/3/' || (k % 9) WHEN 2 THEN 'March' ELSE '1950-03-04 05:06:0' || (k % 9) END AS raw FROM a),
+s AS (SELECT k, greatest(1, (k % 200 + 6) // 48) AS step, k % 200 + 5 AS last FROM k)
+SELECT k AS o_orderkey, strftime(d, '%Y-%m-%d') AS day, CASE WHEN d IS NOT NULL THEN strftime(d, '%Y-%m-%d') || CASE k % 4 WHEN 0 THEN ' 05:06:07' WHEN 3 THEN ' 05:06:0' || (k % 9) ELSE ' 00:00:00' END END AS moment, coalesce(strftime(d, '%Y-%m-%d'), raw) AS normal,
+  CASE WHEN k % 10 > 0 THEN '2020-01-0' || (k % 10) || ' 03:04:05' END AS captured, 'web_2020010' || (k % 10) || '030405id__http:__a.b_c_' || (k % 5) || '_x.pdf' AS flat, k % 3 = 0 AS matches, CASE WHEN k % 3 = 0 THEN 'UT' END AS state, coalesce(d BETWEEN DATE '1950-03-03' AND DATE '1950-03-06', false) AS in_dates,
+  CASE WHEN k % 3 = 1 THEN 'SKIP-DUPLICATE' ELSE 'ADD' END AS verb, CASE k % 3 WHEN 0 THEN 'Salt Lake' WHEN 2 THEN 'Y' END AS said_location, CASE k % 3 WHEN 0 THEN CASE WHEN k % 10 > 0 THEN '1950-01-0' || (k % 10) END WHEN 2 THEN '1950-01-02' END AS said_start, CASE WHEN k % 3 = 0 THEN '1951-01-01' END AS said_end,
+  CASE WHEN k % 3 = 0 THEN CAST(k % 7 AS VARCHAR) END AS said_edition, CAST(last // step + 2 AS INTEGER) AS thin_points, round_even(step / 7.0::DOUBLE, 3) AS thin_lon, CASE k % 3 WHEN 0 THEN 'saltlakeut' WHEN 1 THEN 'newyorkny' ELSE 'seattle' END AS alnum, CASE k % 3 WHEN 0 THEN 'salt_lake_ut' WHEN 1 THEN 'new_york_ny' ELSE 'sea' END AS slug
+FROM b JOIN s USING (k)""",
 }
