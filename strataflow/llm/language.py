@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.common import attach, ddl, with_columns, written
 
-#: The sample that a dictionary is made of: so many training texts of a language at most, all of their words; and the dictionary's size.
-SAMPLE_TEXTS, DICTIONARY_BYTES = 400, 48_000
+#: The sample that a dictionary is made of: so many training texts of a language at most, so many characters of each (so that no long one fills the dictionary alone); and the dictionary's size.
+SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 4_000, 48_000
 #: Texts are encoded in frames of so many bytes, all of them, so that the dictionary and not a long text's own past decides.
 FRAME_BYTES = 512
 #: Languages whose dictionaries a task holds at a time; further ones take a further pass over the texts.
@@ -27,8 +27,8 @@ _NO_LETTERS = re.compile(r"[\W\d_]+")
 def fit_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
     """A raw-content dictionary for each language, from a bounded sample of the labelled rows.
 
-    The sample: the SAMPLE_TEXTS texts of a language with the smallest hash of `key` and text (rows equal in both are one). Languages are counted first,
-    so that all but about twice that many texts of a language are passed over before texts move. Words are counted by Spark over whole sampled texts; the
+    The sample: the first SAMPLE_CHARS characters of the SAMPLE_TEXTS texts of a language with the smallest hash of `key` and text (rows equal in both are one). Languages are counted first,
+    so that all but about twice that many texts of a language are passed over before texts move. Words are counted by Spark; the
     driver gets as many of a language's as may fit the dictionary. Rows without text or language are left out; no rows give no dictionaries.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("at"))
@@ -37,7 +37,7 @@ def fit_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang"
     few = attach(rows, counts, "lang", "rows").where(F.pmod("at", F.lit(1_000_000_000)) <= share)
     few = few.groupBy("lang", "at").agg(F.min("text").alias("text"))
     by = Window.partitionBy("lang").orderBy(F.pmod("at", F.lit(1_000_000_000)), "at")
-    sample = few.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= SAMPLE_TEXTS).select("lang", "text")
+    sample = few.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= SAMPLE_TEXTS).select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
 
     def split(batches):
         for b in batches:
