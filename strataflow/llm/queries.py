@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontamination, language, licences, near_dup, packing, sharding, token_store, top_k, url_filter, warc
+from strataflow.llm import decontamination, language, licences, near_dup, packing, quality, resampling, sharding, spelling, token_store, top_k, url_filter, warc
 from strataflow.llm.common import table_path
 
 #: The rules that op6 judges by (host, path, verdict).
@@ -81,6 +81,20 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), size=2, least=80)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resampling.importance_ranks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"), percent=10, least_words=20)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = quality.quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,7 +103,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_best_fit_packing, op3_decontamination, op4_exact_top_k, op5_sharding, op6_url_filter, op7_token_store, op8_warc, op9_language_id,
-    op10_minhash_near_dup, pipeline,
+    op10_minhash_near_dup, op11_importance_resampling, op12_spelling_variants, op13_quality_rules, pipeline,
 )}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -172,7 +186,55 @@ reach(id, other) AS (SELECT doc_id, doc_id FROM w UNION SELECT reach.id, edges.b
 c AS (SELECT id AS doc_id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)"""
 
+
+def _crc_table() -> list[int]:
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text's UTF-8 bytes, for a query that has `crc` with the table in `tab`."""
+    bytes_ = f"list_transform(range(1, strlen({text}) + 1), lambda i: CAST('0x' || substr(hex({text}), 2 * i - 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {bytes_}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_CRC = f"crc AS (SELECT {_crc_table()}::BIGINT[] AS tab)"
+
+_RESAMPLE = rf"""
+WITH {_CRC}, dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+d AS (SELECT doc_id, w, count(*) AS k FROM (SELECT doc_id, unnest(w) AS w FROM dw) GROUP BY ALL),
+b AS (SELECT w, count(*) AS k FROM (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark) GROUP BY w),
+words AS (SELECT w, {_crc32("w")} % 10000 AS bucket FROM (SELECT w FROM d UNION SELECT w FROM b) CROSS JOIN crc),
+s AS (SELECT bucket, sum(k) AS s FROM d JOIN words USING (w) GROUP BY bucket), t AS (SELECT bucket, sum(k) AS t FROM b JOIN words USING (w) GROUP BY bucket),
+totals AS (SELECT coalesce((SELECT sum(s) FROM s), 0)::DOUBLE + 10000 AS big_s, coalesce((SELECT sum(t) FROM t), 0)::DOUBLE + 10000 AS big_t),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * big_s / ((s + 1)::DOUBLE * big_t))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket) CROSS JOIN totals),
+weights AS (SELECT doc_id, CAST(sum(k * gain) AS BIGINT) AS weight FROM d JOIN words USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+noise AS (SELECT doc_id, len(w) AS n, CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS UBIGINT)::DOUBLE AS h FROM dw),
+scores AS (SELECT doc_id, n, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM noise LEFT JOIN weights USING (doc_id)),
+ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM scores WHERE n >= 20)
+SELECT doc_id, CAST(scores.n AS BIGINT) AS n_features, weight, score, CASE WHEN k <= 10 * ranks.n // 100 THEN k END AS rank FROM scores LEFT JOIN ranks USING (doc_id)"""
+
+_SPELLING = rf"""
+WITH RECURSIVE {_CRC}, runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')), {_LOWER}) AS r FROM documents),
+each AS (SELECT doc_id, r, count(*) AS k FROM runs GROUP BY ALL),
+hashed AS (SELECT r, k, {_crc32("x")} AS h FROM (SELECT r, k, doc_id || ':' || r AS x FROM each) CROSS JOIN crc),
+typed AS (SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, CAST(h % length(r) AS BIGINT)) || substr(r, CAST(h % length(r) AS BIGINT) + 2) ELSE r END AS word, k FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+less AS MATERIALIZED (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+holes AS MATERIALIZED (SELECT word, n, substr(word, 1, i - 1) || chr(0) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word UNION ALL SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n) AS form_n FROM near GROUP BY word),
+forms AS MATERIALIZED (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * words.n THEN form END AS form, CASE WHEN form_n >= 10 * words.n THEN form_n END AS form_n FROM words LEFT JOIN best USING (word)),
+chain(word, last, depth) AS (SELECT word, form, 1 FROM forms WHERE form IS NOT NULL UNION ALL SELECT chain.word, forms.form, depth + 1 FROM chain JOIN forms ON forms.word = chain.last WHERE forms.form IS NOT NULL),
+ends AS (SELECT word, arg_max(last, depth) AS root FROM chain GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends USING (word)"""
+
 ORACLE = {
     "op1_license_scan": _licence_sql(), "op3_decontamination": _DECONTAMINATION, "op4_exact_top_k": _TOP_K, "op6_url_filter": _URLS, "op8_warc": _WARC,
-    "op10_minhash_near_dup": _NEAR_DUP,
+    "op10_minhash_near_dup": _NEAR_DUP, "op11_importance_resampling": _RESAMPLE, "op12_spelling_variants": _SPELLING,
 }
