@@ -386,6 +386,25 @@ def sizes_by_force(dictionaries, text):
     return sorted(out)
 
 
+def by_rank(texts):
+    """The words of texts (sets of words): those of most texts first, then those of texts with fewer words, then by name."""
+    count = Counter(w for t in texts for w in t)
+    among = {}
+    for t in texts:
+        for w in t:
+            among[w] = min(among.get(w, len(t)), len(t))
+    return sorted(count, key=lambda w: (-count[w], among[w], w))
+
+
+def test_a_long_text_does_not_fill_a_dictionary(spark, monkeypatch):
+    """Words that only the long text has come after all words of other texts, whatever their names, and its later words take part like its first."""
+    monkeypatch.setattr(language, "DICTIONARY_BYTES", 700)
+    long = " ".join(f"aa{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 676)}" for i in range(3000)) + " zzz zzz"
+    rows = [(i, f"zza zz{chr(98 + i)} zzy{chr(98 + i)}", "en") for i in range(10)] + [(99, long, "en"), (100, "zzz", "en")]
+    got = language.fit_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))["en"].decode().split()
+    assert {"zza", "zzz", *(f"zz{chr(98 + i)}" for i in range(10)), *(f"zzy{chr(98 + i)}" for i in range(10))} <= set(got) and got[-1] == "zza" and len(got) > 50
+
+
 @pytest.mark.parametrize("block", [64, 1, 2])
 def test_language_by_force(spark, monkeypatch, block):
     """Predictions, scores and rejections are those of a plain reimplementation, with dictionaries tried at once or in blocks; ties go by name, long texts are whole."""
@@ -393,11 +412,11 @@ def test_language_by_force(spark, monkeypatch, block):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
     dictionaries = language.fit_dictionaries(language.training_rows(docs))
     own = docs.collect()
-    counts: dict = {}
+    of: dict = {}
     for r in own:
         if r.text and r.lang and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
-            counts.setdefault(r.lang, Counter()).update(set(language.normalised(r.text[: language.SAMPLE_CHARS]).split()))
-    assert dictionaries == {k: language._content(v) for k, v in sorted(counts.items())} and len(dictionaries) > 2
+            of.setdefault(r.lang, []).append(set(language.normalised(r.text).split()))
+    assert dictionaries == {k: language._content(by_rank(v)) for k, v in sorted(of.items())} and len(dictionaries) > 2
     dictionaries["zz"] = dictionaries[min(dictionaries)]  # ties all along
     texts = [(r.doc_id, r.text) for r in own[:60]] + [(-1, None), (-2, ""), (-3, "12 !"), (-4, " ".join(r.text or "" for r in own)), (-5, "\u00df\u0416 one"), (-5, "\u00df\u0416 one")]
     out = language.identify(spark.createDataFrame([(d, t, 1.5, "x") for d, t in texts], "doc_id long, text string, score double, sizes string"), dictionaries).collect()
