@@ -92,7 +92,7 @@ def _histories(spark, sf_dir):
     text = said[5]
     for k in range(5):
         text = F.when(F.col("o_orderkey") % 6 == k, said[k]).otherwise(text)
-    return o.withColumn("found", P.evidence(text, F.array(F.lit("smith"))))
+    return P.with_evidence(o.withColumn("text", text).withColumn("words", F.array(F.lit("smith"))), "text", "words")
 
 
 def dated_evidence(spark, sf_dir):

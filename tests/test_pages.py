@@ -1,10 +1,9 @@
 """Page text operators on hand-made pages and against plain reimplementations."""
 
+import random
 import re
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strataflow.operators import pages as P
@@ -24,6 +23,13 @@ def test_stream_and_anchors(spark):
     assert [x.link for x in P.link_set(rows, "id").collect()] == ["x.html"]
 
 
+def test_bare_marks_stay_in_their_text():
+    """A text node is one string, however the parser hands it over; tags, comments and declarations part strings."""
+    assert P.read_page("<p>5 < 6 & 7</p>")[2] == "5 < 6 & 7"
+    assert P.read_page("a < b<!-- x -->c &lt; d<br>e & f < ")[2] == "a < b\nc < d\ne & f <"
+    assert P.read_page("<title>x < y</title><p>1<2</p>") == ("x < y", "x < y\n1<2", "x < y\n1<2", [])
+
+
 def windows_by_force(text, size, overlap):
     """(start, end) of each window, found letter by letter."""
     out, start = [], 0
@@ -39,12 +45,19 @@ def windows_by_force(text, size, overlap):
     return out
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="ab \n", max_size=80), st.integers(4, 20), st.integers(0, 8))
-def test_chunks_by_force(text, size, overlap):
-    want = windows_by_force(text, size, overlap)
-    assert P.cut_chunks(text, size, overlap) == [text[a:b].strip() for a, b in want if text[a:b].strip()]
-    assert all(b - a <= size for a, b in want) and (not text or want[-1][1] == len(text)) and all(x[1] >= y[0] for x, y in zip(want, want[1:], strict=False))
+def test_chunks_by_force(spark):
+    """Random texts of few letters, many spaces and none, in windows of several sizes."""
+    r = random.Random(9)
+    texts = ["".join(r.choices("ab \n", weights=[4, 4, w, 1], k=r.randint(0, 90))) for w in (0, 1, 1, 3, 20) for _ in range(60)] + ["a" * 301 + " " * 2 + "b" * 5000 + " c" * 900, "\u00a0x\U0001f600 y \u2003"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "key int, text string").cache()
+    for size, overlap in ((4, 0), (5, 4), (9, 3), (20, 8)):
+        got: dict = {}
+        for x in P.chunks(rows, "key", size=size, overlap=overlap).orderBy("key", "chunk").collect():
+            got.setdefault(x.key, []).append(x.text)
+        for k, t in enumerate(texts):
+            want = windows_by_force(t, size, overlap)
+            assert got.get(k, []) == [t[a:b].strip() for a, b in want if t[a:b].strip()], (k, size, overlap)
+            assert all(b - a <= size for a, b in want) and (not t or want[-1][1] == len(t)) and all(x[1] >= y[0] for x, y in zip(want, want[1:], strict=False))
 
 
 def test_chunk_rows(spark):
@@ -61,33 +74,39 @@ def test_sections(spark):
     assert all(text[s : s + len(t)] == t for i, _, s, t in out if i == 1)
 
 
-@pytest.mark.parametrize("text,found", [
+PAIRS = [
     ("at 42.2\n24, -87.954 x", [(42.224, -87.954)]), ("at 35.\n28, -81.5", [(35.28, -81.5)]), ("in 1944\n42.19, -87.9", [(42.19, -87.9)]), ("it was 95.\n28.36, -81.52", [(28.36, -81.52)]), ("39.79, -86", [(39.79, -86.0)]),
     ("25.86 North / 80.21 West", [(25.86, -80.21)]), ("25.86 N. / 80.21 W.", [(25.86, -80.21)]), ("13.5 North / 144.8 East", []), ("15.5 North / 144.8 East", [(15.5, 144.8)]), ("12.5, -80.1", []), ("40.1, -59.9", []), ("40.1, 80.2", []),
     ("1.40.1, -80.2", []), ("40.1, -80.2.3", []), ("40.1 , -80.2 and 41.5, -90.25", [(40.1, -80.2), (41.5, -90.25)]), ("42.\n2\n4, -80.5", [(42.24, -80.5)]), ("", []), (None, []),
-])
-def test_coordinates(text, found):
-    hits = P.find_coordinates(text)
-    assert [(h["lat"], h["lon"]) for h in hits] == found
-    for h in hits:
-        span = re.sub(r"\s", "", text[h["pos"] : h["end"]])
-        assert span.startswith(str(h["lat"]).split(".")[0]) and text[h["pos"]].isdigit()
+]
+
 
+def test_coordinates(spark):
+    """Each text's pairs, and places that are those in the text as it is."""
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PAIRS)], "id int, t string").select("id", P.coordinates("t").alias("c"))
+    got = {r.id: r.c for r in rows.collect()}
+    for i, (text, found) in enumerate(PAIRS):
+        assert [(h.lat, h.lon) for h in got[i]] == found, text
+        for h in got[i]:
+            span = re.sub(r"\s", "", text[h.pos : h.end])
+            assert span.startswith(str(h.lat).split(".")[0]) and text[h.pos].isdigit()
 
-def test_coordinates_column(spark):
-    rows = spark.createDataFrame([("40.1, -80.2",), (None,)], "t string")
-    assert [len(r.c) for r in rows.select(P.coordinates("t").alias("c")).collect()] == [1, 0]
 
+LONG = "n" * 400
+SECTIONS = [
+    ("__\n Hill Field (XYZ), Dale, QQ (revised 3/15)\n40.1, -80.2 (North of\n Dale, QQ) text", 1000, [(700, "far"), (900, "near"), (1005, "own"), (9000, "after")], ("Hill Field (XYZ), Dale, QQ", 40.1, -80.2, "North of Dale, QQ", "own", 0)),
+    ("Name 40.1, -80.2", 1000, [(700, "far")], ("Name", 40.1, -80.2, "", "", 0)), ("Name 40.1, -80.2", 1000, [(880, "near")], ("Name", 40.1, -80.2, "", "near", 0)), ("Name 40.1, -80.2", 1000, None, ("Name", 40.1, -80.2, "", "", 0)),
+    ("40.1, -80.2\nName\n41.1, -81.2 (x)", 0, [], ("Name", 41.1, -81.2, "x", "", 1)),  # a stray pair has no title before it
+    ("Name, QQ 39.497, -75.645\n28.35, -81.55 (Far off, QQ)", 0, [], ("Name, QQ", 28.35, -81.55, "Far off, QQ", "", 1)),  # the pair with the parenthesis counts
+    ("Name 39.497, -75.645 " + "x" * 130 + " 28.35, -81.55 (far)", 0, [], ("Name", 39.497, -75.645, "", "", 1)), (LONG + " 39.497, -75.645", 0, [], (LONG[:300], 39.497, -75.645, "", "", 0)),
+    ("no pair", 0, [], None), ("40.1, -80.2 after", 0, [], None), (None, 0, [], None),
+]
 
-def test_entries():
-    e = P.read_entry("__\n Smith Field (ABC), Town, ST (revised 3/15)\n40.1, -80.2 (West of\n Town, ST) text", 1000, [(700, "far"), (900, "near"), (1005, "own"), (9000, "after")])
-    assert (e["name"], e["lat"], e["lon"], e["rel_location"], e["anchor"], e["extra_coord_matches"]) == ("Smith Field (ABC), Town, ST", 40.1, -80.2, "West of Town, ST", "own", 0)
-    assert P.read_entry("Name 40.1, -80.2", 1000, [(700, "far")])["anchor"] == "" and P.read_entry("Name 40.1, -80.2", 1000, [(880, "near")])["anchor"] == "near"
-    assert P.read_entry("40.1, -80.2\nName\n41.1, -81.2 (x)")["lat"] == 41.1  # a stray pair has no title before it
-    assert P.read_entry("Name, FL39.497, -75.645\n28.35, -81.55 (West of Orlando, FL)")["lat"] == 28.35  # the pair with the parenthesis counts
-    assert P.read_entry("Name 39.497, -75.645 " + "x" * 130 + " 28.35, -81.55 (far)")["lat"] == 39.497
-    assert len(P.read_entry("n" * 400 + " 39.497, -75.645")["name"]) == 300
-    assert P.read_entry("no pair") is None and P.read_entry("40.1, -80.2 after") is None and P.read_entry(None) is None
+
+def test_entries(spark):
+    rows = spark.createDataFrame([(i, t, s, a) for i, (t, s, a, _) in enumerate(SECTIONS)], "id int, section_text string, section_start int, anchors array<struct<offset:int,name:string>>")
+    got = {e.id: (e["name"], e.lat, e.lon, e.rel_location, e.anchor, e.extra_coord_matches) for e in P.entries(rows).collect()}
+    assert got == {i: x[3] for i, x in enumerate(SECTIONS) if x[3]}
 
 
 def test_entry_rows(spark):
@@ -106,13 +125,9 @@ EVIDENCE = [
 ]
 
 
-@pytest.mark.parametrize("text,found", EVIDENCE)
-def test_evidence(text, found):
-    assert {k: v for k, v in P._Dated(text or "", {"smith"}).evidence().items() if v is not None} == found
-
-
 def test_evidence_and_lifespans(spark):
-    rows = spark.createDataFrame([(i, t, ["smith"]) for i, (t, _) in enumerate(EVIDENCE)], "id int, t string, w array<string>").withColumn("e", P.evidence("t", "w"))
+    rows = spark.createDataFrame([(i, t, ["smith"]) for i, (t, _) in enumerate(EVIDENCE)], "id int, t string, w array<string>")
+    rows = P.with_evidence(rows, "t", "w", "e")
     out = rows.select("id", "e.*", P.lifespan("e", F.lit(False), F.lit(False)).alias("l"), P.lifespan("e", F.lit(True), F.lit(False)).alias("listed"), P.lifespan("e", F.lit(False), F.lit(True)).alias("opened")).orderBy("id").collect()
     for r, (_, found) in zip(out, EVIDENCE, strict=True):
         assert {k: r[k] for k in ("earliest", "built", "notyet", "nolonger", "lastseen", "closed") if r[k] is not None} == found
@@ -127,4 +142,6 @@ def test_evidence_and_lifespans(spark):
 def test_images(spark):
     html = "<IMG SRC='../a%20b.gif'><img alt=\"x\" src=\"./c.png\"><img src=\"http://x/y.gif\"><img src=\"data:x\"><img src=\"../../../out.gif\"><img src='./c.png'>"
     rows = spark.createDataFrame([(html, "st/deep"), (None, "x")], "html string, folder string")
+    bare = "<img src=a.gif width=3><img alt='>' src = q?x=1&amp;y=2.gif /><imgx src=no.gif><img data-src='no.png' src='yes.png'><img src=''>"
+    assert spark.createDataFrame([(bare, "d")], "h string, f string").select(P.image_refs("h", "f").alias("i")).first()["i"] == ["d/a.gif", "d/q?x=1&y=2.gif", "d/yes.png"]
     assert [r.i for r in rows.select(P.image_refs("html", "folder").alias("i")).collect()] == [["st/a b.gif", "st/deep/c.png"], []]
