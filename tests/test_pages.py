@@ -45,8 +45,10 @@ def windows_by_force(text, size, overlap):
     return out
 
 
-def test_chunks_by_force(spark):
-    """Random texts of few letters, many spaces and none, in windows of several sizes."""
+@pytest.mark.parametrize("block", [P.BLOCK, 20])
+def test_chunks_by_force(spark, monkeypatch, block):
+    """Random texts of few letters, many spaces and none, in windows of several sizes, also held in many blocks."""
+    monkeypatch.setattr(P, "BLOCK", block)
     r = random.Random(9)
     texts = ["".join(r.choices("ab \n", weights=[4, 4, w, 1], k=r.randint(0, 90))) for w in (0, 1, 1, 3, 20) for _ in range(60)] + ["a" * 301 + " " * 2 + "b" * 5000 + " c" * 900, "\u00a0x\U0001f600 y \u2003"]
     rows = spark.createDataFrame(list(enumerate(texts)), "key int, text string").cache()
