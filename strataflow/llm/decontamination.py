@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
+from zlib import compress, decompress
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import ddl, with_columns, written
+from strataflow.llm.common import ddl, with_columns
 
 #: Bytes 0x00-0x2F, 0x3A-0x60 and 0x7B-0x7F separate words, once A-Z are lower-cased; all bytes of non-ASCII letters belong to words.
 _WORD_BYTES = bytes(b if (0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80) else 0x20 for b in range(256))
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UNKNOWN = "\x00"
-#: Test items are broadcast in blocks of at most so many bytes of words; each block makes one automaton and one scan. A block has a million different words at most, as
-#: automata have letters for.
+#: Test items are broadcast in blocks of at most so many bytes of words; each block makes one automaton. A block has a million different words at most, as automata have letters for.
 BLOCK_BYTES = 3_000_000
+#: With several blocks, a task holds so many bytes of texts while one automaton after the other goes over them.
+HELD_BYTES = 32_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -85,24 +88,16 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", it
     items count once, repeated documents each give a row. Texts and items of any length are taken whole. Other columns are kept, but for earlier ones named like the four new. Empty
     documents give no rows, an empty benchmark marks nothing.
 
-    The items go to the tasks in blocks of BLOCK_BYTES at most (a longer item is cut, with as much overlap as windows need), each block as one automaton; so
-    what a task holds is bounded, and a benchmark within the bound takes one scan of each text. Each further block writes the documents once more.
+    The items go to the tasks in blocks of BLOCK_BYTES at most (a longer item is cut, with as much overlap as windows need), packed; a task has one automaton, that of one block, at a time. All texts
+    are scanned in one pass, at any number of blocks: some are held (HELD_BYTES), each block's automaton goes over them, and the last one stays for the next ones. So documents are
+    neither written nor moved, and what a task holds is an automaton, some texts and the packed words of the benchmark.
     """
     new = ("n_words", "n_hit", "items", "spans")
     kept = [c for c in docs.columns if c not in new]
-    names = [f"c{i}" for i in range(len(kept))]  # own names, so that no column clashes
-    at, out = kept.index(text), docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)])
-    plain = ddl(out.schema)
+    out = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])  # own names, so that no column clashes
     rows = items.where(F.col(item_text).isNotNull()).select(item_id, item_text).distinct().toLocalIterator()
-    blocks = _blocks(rows, window)
-    block, first = next(blocks), True
-    while block is not None:
-        after = next(blocks, None)
-        out = _scan(out, docs.sparkSession.sparkContext.broadcast(block), window, at, plain, first, after is None)
-        if after is not None:
-            out = written(out, "decontamination-block")
-        block, first = after, False
-    return out.toDF(*kept, *new)
+    blocks = [docs.sparkSession.sparkContext.broadcast(compress(pickle.dumps(b))) for b in _blocks(rows, window)]
+    return _scan(out, blocks, window, kept.index(text), ddl(out.schema)).toDF(*kept, *new)
 
 
 def _blocks(rows, window: int):
@@ -132,37 +127,50 @@ def _parts(words: list[bytes], window: int):
         start = end - window + 1
 
 
-def _scan(df: DataFrame, held, window: int, at: int, plain: str, first: bool, last: bool) -> DataFrame:
-    """One automaton's pass: adds to the word runs and items found before; the last pass turns runs into counts and offsets."""
+def _scan(df: DataFrame, blocks: list, window: int, at: int, plain: str) -> DataFrame:
+    """One pass over the texts with all automata: word runs and items of each, as counts and offsets."""
 
     def scan(batches):
-        machine = Windows(held.value, window)
-        for batch in batches:
-            n = batch.num_columns - (0 if first else 2)
-            had = [([], [])] * batch.num_rows if first else list(zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist(), strict=True))
-            n_words, n_hit, ids, all_runs, spans = [], [], [], [], []
-            for value, (old, old_ids) in zip(batch.column(at), had, strict=True):
-                t = value.as_py()
-                words = words_of(t)
-                runs, found = machine.scan(words)
-                runs = merged([[r["start"], r["end"]] for r in old] + runs) if old else runs
-                ids.append(sorted({*old_ids, *(str(i) for i in found if i is not None)}))
-                if not last:
-                    all_runs.append([{"start": a, "end": b} for a, b in runs])
-                    continue
-                n_words.append(len(words))
-                n_hit.append(sum(b - a for a, b in runs))
-                place = [m.span() for m in _WORD.finditer(t.translate(_LOWER))] if runs else []
-                spans.append([{"start": place[a][0], "end": place[b - 1][1]} for a, b in runs])
-            more = {"items": pa.array(ids, pa.list_(pa.string()))}
-            if last:
-                more = {"n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64())} | more | {"spans": pa.array(spans, _SPANS)}
-            else:
-                more = {"runs": pa.array(all_runs, _SPANS)} | more
-            yield with_columns(batch.select(range(n)), **more)
-
-    span = "array<struct<start:bigint,end:bigint>>"
-    return df.mapInArrow(scan, f"{plain}, " + (f"n_words long, n_hit long, items array<string>, spans {span}" if last else f"runs {span}, items array<string>"))
+        machine, of = None, -1
+        for held in _held(batches, HELD_BYTES if len(blocks) > 1 else 0):
+            n_words, hits = {}, {}
+            turn = sorted(range(len(blocks)), key=lambda k: k != of)  # the automaton that is there goes first
+            for k in turn:
+                if k != of:
+                    machine, of = None, k  # one at a time
+                    machine = Windows(pickle.loads(decompress(blocks[k].value)), window)
+                for b, batch in enumerate(held):
+                    for i, value in enumerate(batch.column(at)):
+                        words = words_of(value.as_py())
+                        n_words[b, i] = len(words)
+                        runs, items = machine.scan(words)
+                        if runs:
+                            old, ids = hits.get((b, i), ([], set()))
+                            hits[b, i] = (merged(old + runs), ids | items)
+            for b, batch in enumerate(held):
+                found = [hits.get((b, i), ([], set())) for i in range(batch.num_rows)]
+                spans = []
+                for value, (runs, _) in zip(batch.column(at), found, strict=True):
+                    place = [m.span() for m in _WORD.finditer(value.as_py().translate(_LOWER))] if runs else []
+                    spans.append([{"start": place[x][0], "end": place[y - 1][1]} for x, y in runs])
+                yield with_columns(
+                    batch, n_words=pa.array([n_words[b, i] for i in range(batch.num_rows)], pa.int64()), n_hit=pa.array([sum(y - x for x, y in runs) for runs, _ in found], pa.int64()),
+                    items=pa.array([sorted({str(i) for i in ids if i is not None}) for _, ids in found], pa.list_(pa.string())), spans=pa.array(spans, _SPANS),
+                )
+
+    return df.mapInArrow(scan, f"{plain}, n_words long, n_hit long, items array<string>, spans array<struct<start:bigint,end:bigint>>")
+
+
+def _held(batches, least: int):
+    """Lists of batches of `least` bytes or more each, but for the last one."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.nbytes for x in held) >= least:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
 _LOWER = {c: c + 32 for c in range(65, 91)}

@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import attach, small_enough, table_path, written
+from strataflow.llm.common import attach, discard, numbered, picked, table_path, written
 
 #: Bytes of payload in a chunk row.
 CHUNK_BYTES = 64 * 1024
@@ -20,16 +20,14 @@ REVISIT_BYTES = 100
 ARCHIVE = "archive int, record long, chunk int, last boolean, data binary, digest_so_far string"
 
 
-def find_revisits(pages: DataFrame, id_col: str = "page_id", payload: str = "html") -> DataFrame:
-    """(id, digest, refers_to) of rows whose payload equals that of a row with a smaller id; payloads under REVISIT_BYTES have none.
+def find_revisits(facts: DataFrame) -> DataFrame:
+    """facts (id, digest, size and others) with refers_to, of rows whose payload equals that of a row with a smaller id; payloads under REVISIT_BYTES have none. facts is read several times.
 
-    Only ids, sizes and digests move. Digests that many rows share are counted with partial aggregation and joined by broadcast.
+    Digests that many rows share are counted with partial aggregation and joined by broadcast.
     """
-    body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).alias("id"), F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("size"))
-    rows = written(rows.where(F.col("size") >= REVISIT_BYTES).drop("size"), "warc-digests")
+    rows = facts.where(F.col("size") >= REVISIT_BYTES)
     groups = written(rows.groupBy("digest").agg(F.min("id").alias("refers_to"), F.count("*").alias("n")).where("n > 1"), "warc-groups")
-    return attach(rows, groups, "digest", "n").where("id > refers_to").select("id", "digest", "refers_to").distinct()
+    return attach(rows, groups, "digest", "n").where("id > refers_to").drop("n")
 
 
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", payload: str = "html") -> None:
@@ -39,17 +37,22 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url: str
     that repeat an id and its payload are all responses (or all revisits). A null id is written as `null`, is never referred to and
     refers to nothing. Payloads of any size go through in chunks. Empty input gives an archive without records. Other columns, whatever their names, aren't written.
     Record ids come from page ids, so where these repeat, record ids do; records are told apart by their place in the archive.
+
+    Rows are numbered and written once; ids, targets, sizes and digests of all of them are what moves. Revisits have no payload, so they come from these alone; the others' payloads are picked where they lie,
+    by one bitmap for each part of the table, at any number of revisits. No payload is shuffled.
     """
-    revisits = written(find_revisits(pages, id_col, payload), "warc-revisits")
-    if small_enough(revisits):
-        revisits = F.broadcast(revisits)
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url), F.lit("")).alias("url"), body.alias("body"))
-    rows = rows.withColumn("digest", F.sha2("body", 256)).join(revisits, ["id", "digest"], "left")
-    pieces = F.when(F.col("refers_to").isNotNull(), 0).otherwise(F.ceil(F.octet_length("body") / CHUNK_BYTES).cast("int"))
-    cut = rows.select("id", "url", "digest", "refers_to", F.octet_length("body").cast("long").alias("size"), "body", F.explode(F.sequence(F.lit(0), pieces)).alias("k"), pieces.alias("n"))
+    table = numbered(pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url), F.lit("")).alias("url"), body.alias("body")), "warc-pages")
+    facts = written(table.select("row", "own.id", "own.url", F.sha2("own.body", 256).alias("digest"), F.octet_length("own.body").cast("long").alias("size")), "warc-facts")
+    revisits = written(find_revisits(facts), "warc-revisits")
+    rest = picked(table, revisits.select("row"), among=False).select("own.id", "own.url", "own.body", F.sha2("own.body", 256).alias("digest"))
+    pieces = F.ceil(F.octet_length("body") / CHUNK_BYTES).cast("int")
+    cut = rest.select("id", "url", "digest", F.lit(None).cast(revisits.schema["refers_to"].dataType).alias("refers_to"), F.octet_length("body").cast("long").alias("size"), "body", F.explode(F.sequence(F.lit(0), pieces)).alias("k"), pieces.alias("n"))
     data = F.when(F.col("k") > 0, F.substring(F.col("body"), (F.col("k") - 1) * CHUNK_BYTES + 1, F.lit(CHUNK_BYTES)))
-    cut.select("id", "url", "digest", "refers_to", "size", "k", "n", data.alias("data")).mapInArrow(_records, ARCHIVE).write.option("compression", "zstd").parquet(path)
+    heads = revisits.select("id", "url", "digest", "refers_to", "size", F.lit(0).alias("k"), F.lit(0).alias("n"), F.lit(None).cast("binary").alias("data"))
+    every = cut.select("id", "url", "digest", "refers_to", "size", "k", "n", data.alias("data")).unionByName(heads)
+    every.mapInArrow(_records, ARCHIVE).write.option("compression", "zstd").parquet(path)
+    discard(table, facts, revisits)
 
 
 def _records(batches):

@@ -166,6 +166,20 @@ def test_decontamination_by_a_long_item(spark, texts, monkeypatch):
     assert sorted(map(str, decontamination.find_contamination(docs, df).collect())) == want and any("n_hit=9000" in x for x in want)
 
 
+@pytest.mark.parametrize("room", [0, 2_000, 32_000_000])
+def test_decontamination_in_one_pass(spark, texts, monkeypatch, room):
+    """Many blocks and few or many texts held at a time: what one automaton alone finds, from one scan of the documents and without a shuffle of them."""
+    docs = frame(spark, [t for t in texts for _ in range(3)]).repartition(2)
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(texts[5:25])] + [(None, texts[7])], "item_id int, text string")
+    want = sorted(str(tuple(r)) for r in decontamination.find_contamination(docs, items).collect())
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(decontamination, "HELD_BYTES", room)
+    got = decontamination.find_contamination(docs, items)
+    assert sorted(str(tuple(r)) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange") == 1  # the repartition of the test's own frame
+
+
 def test_decontamination_in_blocks(spark, texts, monkeypatch):
     docs, items = frame(spark, texts), spark.createDataFrame([(i, texts[6 + i]) for i in range(5)], "item_id long, text string")
     one = sorted(map(str, decontamination.find_contamination(docs, items).collect()))
@@ -348,6 +362,15 @@ def test_crc_joins():
     assert token_store.joined_crc32([(zlib.crc32(p), len(p)) for p in parts]) == zlib.crc32(b"".join(parts))
 
 
+def test_warc_of_mostly_revisits(spark, tmp_path):
+    """Two thirds of the pages share one payload: one response, all others refer to it; no payload takes part in a shuffle when the archive is written."""
+    rows = [(i, f"http://x/{i}", "same " * 60 if i % 3 else f"own {i} " * 40) for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    out = {r.id: r for r in warc.round_trip(df).collect()}
+    assert len(out) == 300 and {k for k, r in out.items() if r.record_type == "response"} == {str(i) for i in range(300) if i % 3 == 0 or i == 1}
+    assert {r.refers_to for k, r in out.items() if r.record_type == "revisit"} == {"1"} and all(r.payload_bytes == len(rows[int(k)][2]) and r.payload_digest == hashlib.sha256(rows[int(k)][2].encode()).hexdigest() for k, r in out.items())
+
+
 def test_warc(spark):
     html = ["a" * 99, "a" * 99, "b" * 100, "b" * 100, None, "", "é" * 90_000, "é" * 90_000, "b" * 100]
     rows = [(i + 3, f"http://x/{i}\r\nEvil: 1", h) for i, h in enumerate(html)] + [(None, None, "z" * 200)]
