@@ -215,7 +215,7 @@ def test_rotation(spark):
 def test_rotation_search(spark):
     """A piece of an image that was turned by a known angle is found at that angle, round by round; what `rotated` moves, `turn_forward` finds."""
     a = np.kron(np.random.default_rng(5).integers(0, 90, (6, 8)), np.ones((4, 4)))
-    t = turned(a, 12.0)
+    t = turned(a, 13.0)
     piece = t[9:23, 10:26]
     rounds = []
 
@@ -224,8 +224,8 @@ def test_rotation_search(spark):
         return df.sparkSession.createDataFrame(rounds[-1], df.schema)
 
     pairs = spark.createDataFrame([("p", "i", "t"), ("none", "i", "flat")], "pair string, image string, template string")
-    got = rasters.rotation_search(pairs, pixels(spark, {"i": a}, "image"), pixels(spark, {"t": piece, "flat": np.ones((3, 3))}, "template"), write, steps=((20.0, 10.0), (4.0, 2.0))).collect()
-    assert len(rounds) == 2 and [(r.pair, r.degrees, r.x, r.y) for r in got] == [("p", 12.0, 10, 9)] and got[0].score > 0.999
+    got = rasters.rotation_search(pairs, pixels(spark, {"i": a}, "image"), pixels(spark, {"t": piece, "flat": np.ones((3, 3))}, "template"), write, steps=((18.0, 6.0), (3.0, 1.0))).collect()
+    assert len(rounds) == 2 and [(r.pair, r.degrees, r.x, r.y) for r in got] == [("p", 13.0, 10, 9)] and got[0].score > 0.999
     at = spark.range(1).select(rasters.turn_forward(F.lit(16.0), F.lit(12.0), F.lit(12.0), F.lit(32.0), F.lit(24.0)).alias("p")).first().p
     assert (at.x, at.y) == (t.shape[1] / 2, t.shape[0] / 2)
 
