@@ -197,11 +197,15 @@ def half(c) -> Column:
 
 
 def half_and_edition(c, location) -> Column:
-    """B15. struct<half, edition> of a stem once its location is cut out; editions have three digits at most."""
-    rest = F.split(F.replace(stem(c), F.lower(text(location)), F.lit(" ")), r"[\s_-]+")
+    """B15. struct<half, edition> of a stem once the first occurrence of its location is cut out: its first word that is a half, and its first number of three digits at most, words being parted by
+    all but a-z and 0-9."""
+    t, place = stem(c), F.lower(text(location))
+    at = F.instr(t, place)
+    rest = F.when((at > 0) & (place != ""), F.concat(F.substring(t, F.lit(1), at - 1), F.lit(" "), F.substring(t, at + F.length(place), F.length(t)))).otherwise(t)
+    words = F.split(rest, "[^a-z0-9]+")
     return F.struct(
-        F.element_at(F.filter(rest, lambda t: t.isin("north", "south", "east", "west")), 1).alias("half"),
-        F.element_at(F.filter(rest, lambda t: t.rlike(r"^\d{1,3}$")), 1).cast("int").alias("edition"),
+        F.get(F.filter(words, lambda w: w.isin("north", "south", "east", "west")), F.lit(0)).alias("half"),
+        F.get(F.filter(words, lambda w: w.rlike(r"^\d{1,3}$")), F.lit(0)).cast("int").alias("edition"),
     )
 
 
@@ -283,8 +287,8 @@ def title_idents(title) -> Column:
 
 
 def name_tokens(name) -> Column:
-    """B26. Words of a name without parentheses and stop words."""
-    words = F.split(F.regexp_replace(F.lower(F.regexp_replace(text(name), r"\([^)]*\)", " ")), "[^a-z0-9]+", " "), " ")
+    """B26. Words of a name without parentheses (of 1 to 40 characters) and stop words."""
+    words = F.split(F.regexp_replace(F.lower(F.regexp_replace(text(name), r"\([^)]{1,40}\)", " ")), "[^a-z0-9]+", " "), " ")
     return F.array_except(F.array_distinct(words), F.array(*[F.lit(w) for w in ["", *NAME_STOP]]))
 
 

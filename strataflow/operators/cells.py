@@ -62,14 +62,15 @@ def unwrapped(cells: DataFrame, envelopes: DataFrame, ref: str = "ref", most: fl
 def group_members(locations: DataFrame, best: DataFrame, by_hand: DataFrame, until: str = "1972") -> DataFrame:
     """D12. (group, name, modern, old): locations under the modern extent that they have or that overlaps theirs most; both lists sorted.
 
-    locations: location, ref, last_date. One is old if its ref is of extents/, or if it has none and its last date is before `until`. A modern one is under its ref; an old one under its
-    ref's best extent (best: old, modern), else under the group that by_hand (location, group) names, else under `__unmatched__`. A group's name is its first modern
-    location, else its ref's last part in title case.
+    locations: location, ref, last_date, line. One is old if its ref is of extents/, or if it has none and its last date is before `until`. A modern one is under its ref; an old one under its
+    ref's best extent (best: old, modern), else under the group that by_hand (location, group) names, else under `__unmatched__`. A group's name is that of its modern
+    locations with the least line, else its ref's last part in title case.
     """
     is_old = F.when(F.col("ref").isNotNull(), F.col("ref").startswith("extents/")).otherwise(F.coalesce(F.col("last_date") < until, F.lit(False)))
     put = locations.withColumn("is_old", is_old).join(best.select(F.col("old").alias("ref"), F.col("modern").alias("_m")), "ref", "left").join(by_hand.select("location", F.col("group").alias("_o")), "location", "left")
     group = F.when(~F.col("is_old"), F.col("ref")).otherwise(F.coalesce("_m", "_o", F.lit("__unmatched__")))
     lists = [F.sort_array(F.collect_set(F.when(c, F.col("location")))).alias(n) for n, c in (("modern", ~F.col("is_old")), ("old", F.col("is_old")))]
-    named = put.withColumn("group", group).groupBy("group").agg(*lists)
+    first = F.min_by(F.when(~F.col("is_old"), F.col("location")), F.when(~F.col("is_old"), F.col("line"))).alias("first")
+    named = put.withColumn("group", group).groupBy("group").agg(*lists, first)
     title = F.initcap(F.translate(F.regexp_extract("group", r"([^/]*)$", 1), "_", " "))
-    return named.withColumn("name", F.coalesce(F.get("modern", F.lit(0)), title)).select("group", "name", "modern", "old")
+    return named.withColumn("name", F.coalesce("first", title)).select("group", "name", "modern", "old")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,16 +30,18 @@ def by_status(events: DataFrame, *by: str) -> DataFrame:
     return events.groupBy(*by).agg(F.count("*").alias("n"))
 
 
-def running_offsets(rows: DataFrame, group: str, order: list[str], length: str) -> DataFrame:
-    """E7. rows with index and offset over all rows by (group, order): how many, and how many bytes, stand before.
+def running_offsets(rows: DataFrame, group: str, order: list[str], length: str, write) -> DataFrame:
+    """E7. rows with index and offset over all rows by (group, order): how many, and how many bytes, stand before; equal rows by a number of their own.
 
-    Rows are range-partitioned by group and order, and cut further where equal; windows run inside a part and one runs over the parts' totals, so no group, however large, meets in
-    one task. The part of a row is written in its number, so parts are the same in both uses.
+    Rows are range-partitioned by group, order and that number, so that equal ones may be parted too; windows run inside a part and one runs over the parts' totals, so no group, however large, meets in
+    one task. write (which puts a table where all executors can read it, and reads it back) is called for rows with their numbers and for rows with their parts, so that a lost executor changes neither.
     """
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    along = rows.repartitionByRange(parts, group, *order).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
-    w = Window.partitionBy("_part").orderBy(group, *order)
+    told = write(rows.withColumn("_tie", F.monotonically_increasing_id()))
+    by = [group, *order, "_tie"]
+    along = write(told.repartitionByRange(parts, *by).withColumn("_part", F.spark_partition_id()))
+    w = Window.partitionBy("_part").orderBy(*by)
     within = along.withColumn("_i", F.row_number().over(w) - 1).withColumn("_o", F.coalesce(F.sum(length).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     totals = along.groupBy("_part").agg(F.count("*").alias("_n"), F.sum(length).alias("_b"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -57,15 +58,28 @@ def group_index(rows: DataFrame, group: str, length: str) -> DataFrame:
 
 
 def verify_bundle(entries: DataFrame, source: DataFrame, group: str, key: str, bounds: str | None = None) -> DataFrame:
-    """C24. Entries with faults: offsets that don't follow on, keys that the source lacks, sizes or (if a column is named) bounds that differ from it."""
+    """C24. Entries with faults: offsets that don't follow on, keys that the source lacks, sizes or (if a column is named) bounds that differ from it, or prefixes that run into the tiles (where source
+    says where these begin, tile_data_offset)."""
     w = Window.partitionBy(group).orderBy("offset", key)
     same = F.col(bounds).eqNullSafe(F.col("_bounds")) if bounds else F.lit(True)
-    told = source.select(key, F.col("len").alias("_len"), *([F.col(bounds).alias("_bounds")] if bounds else []))
+    tiles = F.col("tile_data_offset") if "tile_data_offset" in source.columns else F.lit(None).cast("long")
+    told = source.select(key, F.col("len").alias("_len"), tiles.alias("_tiles"), *([F.col(bounds).alias("_bounds")] if bounds else []))
     out = entries.withColumn("_end", F.lag(F.col("offset") + F.col("len")).over(w)).join(told, key, "left")
-    fault = F.when(F.col("_end").isNotNull() & (F.col("_end") != F.col("offset")), "offset").when(F.col("_len").isNull(), "unknown").when(F.col("_len") != F.col("len"), "size").when(~same, "bounds")
+    fault = F.when(F.col("_end").isNotNull() & (F.col("_end") != F.col("offset")), "offset").when(F.col("_len").isNull(), "unknown").when(F.col("_len") != F.col("len"), "size").when(F.col("_tiles") < F.col("len"), "overrun").when(~same, "bounds")
     return out.withColumn("fault", fault).where("fault is not null").select(entries.columns + ["fault"])
 
 
+def verify_groups(entries: DataFrame, groups: DataFrame, group: str) -> DataFrame:
+    """C24. (group, fault) of a bundle's groups that its entries don't bear out: empty (no entries, or i1 not beyond i0), offset (the first entry, by index, begins elsewhere) or length (entries span
+    another stretch). entries: group, index, offset, len; groups: group, off, len, i0, i1 (entries i0 to i1 - 1 are its own)."""
+    e = entries.select(F.col("index"), F.col("offset").alias("_o"), F.col("len").alias("_l"), F.col(group).alias("_g"))
+    own = groups.join(e, F.col(group) == F.col("_g"), "left").groupBy(group, "off", "len", "i0", "i1").agg(
+        F.max(F.when(F.col("index") == F.col("i0"), F.col("_o"))).alias("_first"), F.max(F.when(F.col("index") == F.col("i1") - 1, F.col("_o") + F.col("_l"))).alias("_end"),
+    )
+    fault = F.when((F.col("i1") <= F.col("i0")) | F.col("_first").isNull() | F.col("_end").isNull(), "empty").when(F.col("_first") != F.col("off"), "offset").when(F.col("_end") - F.col("off") != F.col("len"), "length")
+    return own.withColumn("fault", fault).where("fault is not null").select(group, "fault")
+
+
 def flag_tally(rows: DataFrame, flags: dict[str, Column]) -> DataFrame:
     """D11. (flag, n): a row counts for each flag that it has."""
     every = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in flags.items()]))

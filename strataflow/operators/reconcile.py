@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions import expr as X
+from strataflow.sources.tables import kept
 
 
 # The kinds of file that are images.
@@ -17,33 +18,63 @@ def first_by(df: DataFrame, by: list[str], *order) -> DataFrame:
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_k = 1").drop("_k")
 
 
-def lookup_keys(name: str) -> Column:
-    """C1. The keys under which a file is looked for: path, basename, stem, what follows a capture timestamp."""
-    t = F.lower(X.text(name))
-    tail = F.regexp_extract(t, r"/web/\d{14}[a-z_]*/(.*)$", 1)
-    return F.array_distinct(F.filter(F.array(t, F.lower(X.basename(name)), X.stem(name), tail, F.lower(X.basename(tail))), lambda k: k != ""))
+# What stands before the file's own name in names of copies that were kept with their folders.
+TAIL_MARKS = ["_content_aeronav_sectional_files_", "_sectional_files_", "/sectional_files/"]
 
 
-#: Letters of the pieces by which a name is looked for inside paths.
+def _bare(path: Column) -> Column:
+    """A path without its last extension."""
+    return F.regexp_replace(path, r"(?<=[^/.]\.{0,9})\.[^./]*$", "")
+
+
+def lookup_keys(name: str, parent: bool = False) -> Column:
+    """C1. The keys under which a file is looked for: path and basename, and what follows each of TAIL_MARKS in either (from its first place on), all with and without extension; lower case.
+
+    parent: also the folder's name, under which what was unpacked from an archive is found by the archive's stem.
+    """
+    t = F.lower(F.translate(X.text(name), "\\", "/"))
+    base = F.regexp_extract(t, r"([^/]*)$", 1)
+    tails = [F.regexp_extract(x, rf"(?s)^.*?{mark}(.+)$", 1) for x in (t, base) for mark in TAIL_MARKS]
+    keys = [t, base, *tails, *([F.regexp_extract(t, r"([^/]+)/[^/]*$", 1)] if parent else [])]
+    return F.array_distinct(F.filter(F.array(*[y for k in keys for y in (k, _bare(k))]), lambda k: k != ""))
+
+
+#: Letters of the pieces by which a text is looked for inside others.
 GRAM = 5
 
 
+def _pieces(c: str, n: Column) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(F.col(c), i, n)))
+
+
+def contained(needles: DataFrame, needle: str, hays: DataFrame, hay: str) -> DataFrame:
+    """needles joined with each row of hays whose text (hay) holds theirs (needle, which no row of hays may have as a column). Empty texts are held by none.
+
+    Texts are parted into pieces of GRAM letters (or as many as a shorter needle has) and met on them, but each needle only on that of its pieces which the fewest texts have; texts hand out only such pieces. So
+    a piece that most texts and needles share, like `http:`, brings nobody together.
+    """
+    short = needles.select(needle).where(F.length(needle) > 0).distinct().withColumn("_n", F.least(F.length(needle), F.lit(GRAM)))
+    sizes = short.select("_n").distinct()  # GRAM rows at most
+    long = hays.select(F.col(hay).alias("_hay")).where("_hay is not null").distinct()
+    parts = long.join(F.broadcast(sizes)).where(F.length("_hay") >= F.col("_n")).select("_hay", F.explode(_pieces("_hay", F.col("_n"))).alias("_gram"))
+    counts = parts.groupBy("_gram").agg(F.count("*").alias("_k"))
+    asked = short.select(needle, F.explode(_pieces(needle, F.col("_n"))).alias("_gram")).join(counts, "_gram")  # pieces that no text has lead nowhere
+    rarest = asked.groupBy(needle).agg(F.min(F.struct("_k", "_gram")).alias("_r")).select(needle, "_r._gram")
+    met = rarest.join(parts, "_gram").where(F.col("_hay").contains(F.col(needle))).select(needle, "_hay")
+    return needles.join(met, needle).join(hays, F.col("_hay") == F.col(hay)).drop("_hay")
+
+
 def resolve_files(rows: DataFrame, files: DataFrame, row_id: str, name: str, path: str = "path") -> DataFrame:
     """C1. rows with the best file: equal basename, equal stem, a path that holds the stem, kind of file, short path, path.
 
-    Both sides are expanded to keys and joined on them. What is left without a match is compared by containment of its stem in a whole path: paths are
-    expanded to pieces of GRAM letters (or fewer, as long as the shortest stems), and a stem is met on its first piece.
+    Both sides are expanded to keys and joined on them. What is left without a match is found by a path that holds its stem (see `contained`).
     """
     asked = rows.select(row_id, F.col(name).alias("name"), F.explode(lookup_keys(name)).alias("key"))
-    listed = files.select(F.col(path).alias("path"), F.explode(lookup_keys(path)).alias("key"))
+    listed = files.select(F.col(path).alias("path"), F.explode(lookup_keys(path, parent=True)).alias("key"))
     met = asked.join(listed, "key").select(row_id, "name", "path").distinct()
-    left = rows.join(met.select(row_id).distinct(), row_id, "left_anti").select(row_id, F.col(name).alias("name"), X.stem(name).alias("stem")).where("stem <> ''")
-    left = left.withColumn("gram", F.substring("stem", 1, GRAM))
-    sizes = left.select(F.length("gram").alias("n")).distinct()  # GRAM rows at most
+    left = rows.join(met.select(row_id).distinct(), row_id, "left_anti").select(row_id, F.col(name).alias("name"), X.stem(name).alias("stem"))
     plain = F.lower(F.translate(X.text("path"), "\\", "/"))
-    pieces = files.select(F.col(path).alias("path")).distinct().join(F.broadcast(sizes)).where(F.length("path") >= F.col("n"))
-    pieces = pieces.select("path", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("path") - F.col("n") + 1), lambda i: F.substring(plain, i, F.col("n"))))).alias("gram"))
-    loose = left.join(pieces, "gram").where(plain.contains(F.col("stem"))).select(row_id, "name", "path")
+    loose = contained(left, "stem", files.select(F.col(path).alias("path")).distinct().withColumn("plain", plain), "plain").select(row_id, "name", "path")
     same_base = F.lower(X.basename("name")) == F.lower(X.basename("path"))
     holds = (X.stem("name") != "") & plain.contains(X.stem("name"))
     order = [F.desc(same_base), F.desc(X.stem("name") == X.stem("path")), F.desc(holds), X.extension_rank("path"), F.length("path"), "path"]
@@ -73,7 +104,7 @@ def claimed_matches(claims: DataFrame, catalogue: DataFrame, files: DataFrame) -
     """C4. (rid, matches): the files that each claim's method text finds, sorted. claims: rid, dup, how; catalogue: filename, location, date, edition; files: path, base, stem, parent, ext.
 
     Methods, with names compared by letters and digits: a name in a cycle's folder (images of that folder whose name holds it), a file name (by basename, else by its letters and
-    digits), location and edition of catalogue rows whose file is in `sectional_files`, and location and date (if no row has the location: rows whose location begins so). The file
+    digits), location and edition of catalogue rows whose file is in `sectional_files`, and location and date (if that leads to no file: rows whose location begins so). The file
     name of a catalogue row leads to that file; a zip's to the images unpacked from it, else to the zip itself. Claims that say `new` are left out, and so are those that find nothing.
     """
     h, none = F.coalesce(F.col("how"), F.lit("")), F.lit("")
@@ -87,19 +118,29 @@ def claimed_matches(claims: DataFrame, catalogue: DataFrame, files: DataFrame) -
     by_edition = a.join(rows.where(F.col("filename").contains("sectional_files")), (F.col("place") == F.col("loc")) & (F.col("ed") == F.col("edition"))).select("rid", "filename")
     dated = a.where("day is not null")
     by_date = dated.join(rows, (F.col("place2") == F.col("loc")) & (F.col("day") == F.col("date"))).select("rid", "filename")
-    by_start = dated.join(by_date.select("rid").distinct(), "rid", "left_anti").join(rows, (F.col("day") == F.col("date")) & F.col("loc").startswith(F.col("place2"))).select("rid", "filename")
-    named = by_edition.unionByName(by_date).unionByName(by_start).distinct()
 
     images = files.where(F.col("ext").isin(IMAGES))
+
+    def lead_to(named: DataFrame) -> DataFrame:
+        """(rid, path) of the files that catalogue names or claimed names (rid, filename) lead to."""
+        is_zip = F.lower("filename").endswith(".zip")
+        zips = named.where(is_zip).select("rid", F.lower("filename").alias("base"), F.expr("lower(left(filename, length(filename) - 4))").alias("folder"))
+        unpacked = zips.join(images, F.col("folder") == F.lower("parent")).select("rid", zips["base"], "path")
+        packed = zips.join(unpacked.select("rid", "base").distinct(), ["rid", "base"], "left_anti").join(files.where("ext = 'zip'").select("path", F.lower("base").alias("base")), "base").select("rid", "path")
+        return unpacked.select("rid", "path").unionByName(packed).unionByName(by_name(named.where(~is_zip)))
+
+    def by_name(wanted: DataFrame) -> DataFrame:
+        exact = wanted.join(images, F.lower("filename") == F.lower("base")).select("rid", "filename", "path")
+        loose = wanted.join(exact.select("rid", "filename").distinct(), ["rid", "filename"], "left_anti").join(images, X.alnum("filename") == X.alnum("base")).select("rid", "path")
+        return exact.select("rid", "path").unionByName(loose)
+
+    found = kept(lead_to(by_edition.unionByName(by_date).distinct()))  # read twice: what these find, and who still has nothing
+    # dated claims without any file so far: met on the day and their location's first letters
+    asked = dated.join(found.select("rid").distinct(), "rid", "left_anti").withColumn("first", F.expr("left(place2, 3)"))
+    starts = rows.withColumn("first", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda n: F.substring(F.col("loc"), F.lit(1), n)))))
+    by_start = asked.join(starts, (F.col("day") == F.col("date")) & (asked["first"] == starts["first"])).where(F.col("loc").startswith(F.col("place2"))).select("rid", "filename").distinct()
     in_cycle = a.where("dir is not null").join(images, F.col("dir") == F.col("parent")).where(X.alnum("base").contains(F.col("want"))).select("rid", "path")
-    is_zip = F.lower("filename").endswith(".zip")
-    zips = named.where(is_zip).select("rid", F.lower("filename").alias("base"), F.expr("lower(left(filename, length(filename) - 4))").alias("folder"))
-    unpacked = zips.join(images, F.col("folder") == F.lower("parent")).select("rid", zips["base"], "path")
-    packed = zips.join(unpacked.select("rid", "base").distinct(), ["rid", "base"], "left_anti").join(files.where("ext = 'zip'").select("path", F.lower("base").alias("base")), "base").select("rid", "path")
-    wanted = named.where(~is_zip).select("rid", F.col("filename").alias("file")).unionByName(a.where("file is not null").select("rid", "file"))
-    exact = wanted.join(images, F.lower("file") == F.lower("base")).select("rid", "file", "path")
-    loose = wanted.join(exact.select("rid", "file").distinct(), ["rid", "file"], "left_anti").join(images, X.alnum("file") == X.alnum("base")).select("rid", "path")
-    every = in_cycle.unionByName(unpacked.select("rid", "path")).unionByName(packed).unionByName(exact.select("rid", "path")).unionByName(loose)
+    every = in_cycle.unionByName(found).unionByName(lead_to(by_start)).unionByName(by_name(a.where("file is not null").select("rid", F.col("file").alias("filename"))))
     return every.groupBy("rid").agg(F.sort_array(F.collect_set("path")).alias("matches"))
 
 
@@ -175,11 +216,14 @@ def same_location_year(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def completeness_grid(rows: DataFrame, date: str, location: str, status: str, order: str) -> DataFrame:
-    """C23. Every date with every location, the status of the last row, else `missing`."""
+    """C23. Every date with every location, the status of the last row, else `missing`. The report is that product, of two distinct lists, neither of which is gathered: dates meet locations in pairs of
+    buckets, 8 by 8."""
     last = rows.groupBy(date, location).agg(F.max_by(status, order).alias(status))
-    # the report is that product: each date with the sorted set of locations, as one array
-    places = rows.agg(F.sort_array(F.collect_set(location)).alias("_all"))
-    grid = rows.select(date).distinct().join(F.broadcast(places)).select(date, F.explode("_all").alias(location))
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(8))
+    all_ = F.sequence(F.lit(0), F.lit(7)).cast("array<bigint>")
+    dates = rows.select(date).distinct().select(date, bucket(date).alias("_a"), F.explode(all_).alias("_b"))
+    places = rows.select(location).where(F.col(location).isNotNull()).distinct().select(location, bucket(location).alias("_b"), F.explode(all_).alias("_a"))
+    grid = dates.join(places, ["_a", "_b"]).select(date, location)
     return grid.join(last, [date, location], "left").withColumn(status, F.coalesce(status, F.lit("missing")))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.geo import haversine_km
-from strataflow.operators.reconcile import GRAM, first_by
+from strataflow.operators.reconcile import contained, first_by
 
 #: Degrees of a blocking cell. Its height is 11 km; gates of the name join are 6 km at most, and longitude degrees are widened by latitude.
 CELL = 0.1
@@ -38,76 +38,101 @@ def gate_km(precision):
 def match_idents(rows: DataFrame, donors: DataFrame) -> DataFrame:
     """C14. (row_id, donor_id, km): the first ident of a title, then the nearest donor of the same state within the gate.
 
-    rows: row_id, idents, state, lat, lon, precision. donors: donor_id, idents, state, lat, lon.
+    rows: row_id, idents, state, lat, lon, precision. donors: donor_id, idents, state, lat, lon, and title if they have one. Also returned: ident, dlat, dlon and title of the donor met.
     """
     asked = rows.select("row_id", "state", "lat", "lon", "precision", F.posexplode("idents").alias("pos", "ident"))
-    have = donors.select("donor_id", "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.explode("idents").alias("ident"))
+    have = donors.select("donor_id", "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), _title(donors), F.explode("idents").alias("ident"))
     met = asked.join(have, ["ident", "state"]).withColumn("km", haversine_km("lat", "lon", "dlat", "dlon")).where(F.col("km") <= gate_km("precision"))
-    return first_by(met, ["row_id"], "pos", "km", "donor_id").select("row_id", "donor_id", "km")
+    return first_by(met, ["row_id"], "pos", "km", "donor_id", "title").select("row_id", "donor_id", "km", "ident", "dlat", "dlon", "title")
+
+
+def _title(donors: DataFrame):
+    return (F.col("title") if "title" in donors.columns else F.lit(None).cast("string")).alias("title")
 
 
 def match_names(rows: DataFrame, donors: DataFrame, wide: float = 6.0, close: float = 4.0) -> DataFrame:
-    """C15. (row_id, donor_id, km, shared): the donor nearby one of whose names shares most words with one of the row's, then the nearest, then by id.
+    """C15. (row_id, donor_id, km, shared, dlat, dlon, title): the donor nearby one of whose names shares most words with one of the row's, then the nearest, then by id.
 
-    rows: row_id, aliases (array of structs of tokens and variant), city_tokens, state, lat, lon, precision. donors: donor_id, names (as aliases), name_ok, state, lat, lon; those that aren't
-    name_ok (null: they are) take no part. The gate is `wide` for one decimal or fewer, else `close`. One name's words must contain the other's; two must be shared, or
+    rows: row_id, aliases (array of structs of tokens and variant), city_tokens, state, lat, lon, precision. donors: donor_id, names (as aliases), name_ok, state, lat, lon, and title if they have one; those that
+    aren't name_ok (null: they are) take no part. The gate is `wide` for one decimal or fewer, else `close`. One name's words must contain the other's; two must be shared, or
     the names be equal and within `close`. Words that are all of the city's name don't do where the donor has further ones. A variant (auxiliary, outlying and the like) meets a donor
-    that is none within 3 km only. Candidates come from an equi-join on state, token and cell.
+    that is none within 3 km only.
+
+    Candidates come from an equi-join on state, cell and one word. As one name contains the other, they share the rarer name's rarest word, counted over both sides: each name offers all its
+    words and asks by its own rarest, from either side, so a word that most names have brings together only names that have no other. A pair that is met in several ways counts once.
     """
-    asked = rows.withColumn("alias", F.explode("aliases")).select("row_id", "city_tokens", "state", "lat", "lon", "precision", F.array_distinct("alias.tokens").alias("tokens"), F.col("alias.variant").alias("variant"))
-    asked = asked.withColumn("cell", F.explode(near_cells("lat", "lon"))).withColumn("token", F.explode("tokens"))
+    asked = rows.withColumn("alias", F.explode("aliases")).select("row_id", "city_tokens", "state", "lat", "lon", "precision", F.sort_array(F.array_distinct("alias.tokens")).alias("tokens"), F.col("alias.variant").alias("variant"))
     have = donors.where("name_ok is null or name_ok").withColumn("name", F.explode("names")).select(
-        "donor_id", "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.array_distinct("name.tokens").alias("dtokens"), F.col("name.variant").alias("dvariant"), own_cell("lat", "lon").alias("cell"),
+        "donor_id", "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), _title(donors), F.sort_array(F.array_distinct("name.tokens")).alias("dtokens"), F.col("name.variant").alias("dvariant"), own_cell("lat", "lon").alias("cell"),
     )
-    met = asked.join(have.withColumn("token", F.explode("dtokens")), ["state", "cell", "token"])
+    words = asked.select(F.explode("tokens").alias("word")).unionByName(have.select(F.explode("dtokens").alias("word"))).groupBy("word").agg(F.count("*").alias("k"))
+    rare = lambda side, c: side.select(F.col(c).alias("name")).distinct().select("name", F.explode("name").alias("word")).join(words, "word").groupBy("name").agg(F.min_by("word", F.struct("k", "word")).alias("rarest"))
+    asked = asked.join(rare(asked, "tokens").withColumnRenamed("name", "tokens"), "tokens").withColumn("cell", F.explode(near_cells("lat", "lon")))
+    have = have.join(rare(have, "dtokens").withColumnRenamed("name", "dtokens"), "dtokens")
+    one = asked.withColumn("token", F.col("rarest")).drop("rarest").join(have.withColumn("token", F.explode("dtokens")).drop("rarest"), ["state", "cell", "token"])
+    two = asked.withColumn("token", F.explode("tokens")).drop("rarest").join(have.withColumn("token", F.col("rarest")).drop("rarest"), ["state", "cell", "token"])
+    met = one.unionByName(two.select(one.columns))
     met = met.withColumn("km", haversine_km("lat", "lon", "dlat", "dlon")).where(F.col("km") <= F.when(F.col("precision") <= 1, wide).otherwise(close))
     shared, further = F.array_intersect("tokens", "dtokens"), F.size(F.array_except("dtokens", "tokens")) > 0
     met = met.withColumn("shared", F.size(shared))
-    contained = (F.col("shared") == F.size("tokens")) | (F.col("shared") == F.size("dtokens"))
+    contain = (F.col("shared") == F.size("tokens")) | (F.col("shared") == F.size("dtokens"))
     equal = (F.col("shared") == F.size("tokens")) & ~further & (F.col("km") <= close)
     only_city = (F.size(F.array_except(shared, "city_tokens")) == 0) & further
     apart = F.col("variant") & ~F.col("dvariant") & (F.col("km") > 3.0)
-    good = met.where(contained & ((F.col("shared") >= 2) | equal) & ~only_city & ~apart)
-    return first_by(good, ["row_id"], F.desc("shared"), "km", "donor_id").select("row_id", "donor_id", "km", "shared")
+    good = met.where(contain & ((F.col("shared") >= 2) | equal) & ~only_city & ~apart)
+    # the best of a row by partial aggregation: the same pair twice changes nothing
+    best = good.groupBy("row_id").agg(F.min(F.struct((-F.col("shared")).alias("s"), "km", "donor_id", "title", "dlat", "dlon")).alias("b"))
+    return best.select("row_id", "b.donor_id", "b.km", (-F.col("b.s")).alias("shared"), "b.dlat", "b.dlon", "b.title")
 
 
 def cascade(rows: DataFrame, donors: list[tuple[str, DataFrame]]) -> DataFrame:
-    """C16. rows with match_donor, match_via (ident or name), match_id, match_km, and lat and lon of the donor where their stated precision is 2 or less (own_lat and own_lon keep theirs).
+    """C16. rows with match_donor, match_via (ident:<the identifier> or name), match_id, match_name (the donor's title), match_km, coord_source (the donor's label, else own) and lat and lon of the donor
+    where their stated precision is 2 or less (own_lat and own_lon keep theirs).
 
     donors: (label, donors as C14 and C15 take them) in order of trust; in each, identifiers come before names, and the first hit stands. Rows marked skip (titles of former
-    locations) aren't matched.
+    locations) aren't matched. Each hit carries its donor's place, so donors that share an id, or have none, stay apart.
     """
     asked, every = rows.where(~F.coalesce(F.col("skip"), F.lit(False))), None
     for i, (label, have) in enumerate(donors):
-        for k, (via, found) in enumerate((("ident", match_idents(asked, have)), ("name", match_names(asked, have)))):
-            one = found.select("row_id", "donor_id", F.col("km").alias("match_km")).join(have.select("donor_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), "donor_id")
-            one = one.withColumn("match_donor", F.lit(label)).withColumn("match_via", F.lit(via)).withColumn("_try", F.lit(2 * i + k))
+        by_ident = match_idents(asked, have).withColumn("match_via", F.concat(F.lit("ident:"), "ident"))
+        for k, found in enumerate((by_ident, match_names(asked, have).withColumn("match_via", F.lit("name")))):
+            one = found.select("row_id", F.col("donor_id").alias("match_id"), F.col("title").alias("match_name"), F.col("km").alias("match_km"), F.col("dlat").alias("_lat"), F.col("dlon").alias("_lon"), "match_via", F.lit(label).alias("match_donor"), F.lit(2 * i + k).alias("_try"))
             every = one if every is None else every.unionByName(one)
-    best = first_by(every, ["row_id"], "_try", "donor_id").withColumnRenamed("donor_id", "match_id").drop("_try")
+    hit = ["match_id", "match_name", "match_km", "match_via", "match_donor", "_lat", "_lon"]
+    best = every.groupBy("row_id").agg(F.min_by(F.struct(*hit), F.struct("_try", "match_id")).alias("_b")).select("row_id", "_b.*")
     out = rows.join(best, "row_id", "left").withColumn("own_lat", F.col("lat")).withColumn("own_lon", F.col("lon"))
-    use = F.col("match_id").isNotNull() & (F.col("precision") <= 2)
+    use = F.col("match_donor").isNotNull() & (F.col("precision") <= 2)
+    out = out.withColumn("coord_source", F.when(use, F.col("match_donor")).otherwise("own"))
     return out.withColumn("lat", F.when(use, F.col("_lat")).otherwise(F.col("lat"))).withColumn("lon", F.when(use, F.col("_lon")).otherwise(F.col("lon"))).drop("_lat", "_lon")
 
 
 def unique_claims(matched: DataFrame) -> DataFrame:
-    """D4. matched with `reverted`: of the rows that claim one donor (same label, id and state), all but the nearest (distance to 2 places, then row_id) give it up.
+    """D4. matched with `reverted`: of the rows that claim one donor (same label, state, and id, or name where it has no id), all but the nearest (distance to 2 places, then row_id) give it up.
 
-    Those get their own coordinates back, and collision-reverted as match_via. matched: what `cascade` returns. Unmatched rows, of which there may be most, aren't ranked.
+    Those get their own coordinates and source back, and collision-reverted as match_via. matched: what `cascade` returns (match_name and coord_source may lack). One window over all rows: unmatched ones, and donors with
+    neither id nor name, are groups of their own.
     """
-    claims = matched.where("match_id is not null")
-    w = Window.partitionBy("match_donor", "match_id", "state").orderBy(F.round("match_km", 2), "row_id")
-    claims = claims.withColumn("reverted", F.row_number().over(w) > 1)
+    named = F.nullif(F.col("match_name"), F.lit("")) if "match_name" in matched.columns else F.lit(None).cast("string")
+    whose = F.coalesce(F.nullif(F.col("match_id").cast("string"), F.lit("")), named)
+    is_claim = F.col("match_donor").isNotNull() & whose.isNotNull()
+    key = F.when(is_claim, F.struct(F.col("match_donor").alias("d"), whose.alias("i"), F.col("state").cast("string").alias("s"))).otherwise(F.struct(F.lit("").alias("d"), F.col("row_id").cast("string").alias("i"), F.lit("").alias("s")))
+    out = matched.withColumn("_key", key)
+    rank = F.row_number().over(Window.partitionBy("_key").orderBy(F.round("match_km", 2), "row_id"))
+    out = out.withColumn("reverted", is_claim & (rank > 1)).drop("_key")
     back = F.col("reverted")
-    claims = claims.withColumn("lat", F.when(back, F.col("own_lat")).otherwise(F.col("lat"))).withColumn("lon", F.when(back, F.col("own_lon")).otherwise(F.col("lon")))
-    claims = claims.withColumn("match_via", F.when(back, "collision-reverted").otherwise(F.col("match_via")))
-    return claims.unionByName(matched.where("match_id is null").withColumn("reverted", F.lit(False)))
+    for c, own in (("lat", F.col("own_lat")), ("lon", F.col("own_lon")), ("match_via", F.lit("collision-reverted")), ("coord_source", F.lit("own"))):
+        if c in matched.columns:
+            out = out.withColumn(c, F.when(back, own).otherwise(F.col(c)))
+    return out
 
 
 def nearby_lifespans(rows: DataFrame, spans: DataFrame, km: float = 3.0) -> DataFrame:
-    """C17. rows whose missing start_year or stop_year come from the first span (by line) within `km` that has all words of one of their aliases, or the other way round.
+    """C17. rows whose missing start_year or stop_year come from the first span (by line) within `km` that has all words of one of their aliases, or the other way round; start_basis and end_basis, where rows have
+    them, say `lifespan_csv` for what was filled in.
 
     rows: row_id, aliases (array of arrays of words), lat, lon, start_year, stop_year, status; spans: line, tokens, lat, lon, start_year, stop_year. Only rows without a start, or without a
-    stop and not open, are looked at. A stop isn't filled in where the status is open; elsewhere it makes the status gone. A span or an alias without words matches nothing.
+    stop and not open, are looked at. A stop isn't filled in where the status is open; elsewhere it makes the status gone. A span or an alias without words matches nothing. The first span is taken by a partial
+    aggregate.
     """
     is_open = F.coalesce(F.col("status") == "open", F.lit(False))
     lacking = rows.where(F.col("start_year").isNull() | (F.col("stop_year").isNull() & ~is_open))
@@ -115,10 +140,12 @@ def nearby_lifespans(rows: DataFrame, spans: DataFrame, km: float = 3.0) -> Data
     have = spans.where(F.size("tokens") > 0).select("line", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.col("tokens").alias("dtokens"), F.col("start_year").alias("s"), F.col("stop_year").alias("e"), own_cell("lat", "lon").alias("cell"))
     met = asked.join(have, "cell").where(haversine_km("lat", "lon", "dlat", "dlon") <= km)
     met = met.where((F.size(F.array_except("dtokens", "tokens")) == 0) | (F.size(F.array_except("tokens", "dtokens")) == 0))
-    best = first_by(met, ["row_id"], "line").select("row_id", "s", "e")
+    best = met.groupBy("row_id").agg(F.min(F.struct("line", "s", "e")).alias("_b")).select("row_id", "_b.s", "_b.e")
     out, ended = rows.join(best, "row_id", "left"), F.col("stop_year").isNull() & ~is_open & F.col("e").isNotNull()
-    out = out.withColumn("status", F.when(ended, "gone").otherwise(F.col("status"))).withColumn("stop_year", F.when(ended, F.col("e")).otherwise(F.col("stop_year")))
-    return out.withColumn("start_year", F.coalesce("start_year", "s")).drop("s", "e")
+    begun = F.col("start_year").isNull() & F.col("s").isNotNull()
+    filled = {"status": (ended, F.lit("gone")), "stop_year": (ended, F.col("e")), "start_year": (begun, F.col("s")), "end_basis": (ended, F.lit("lifespan_csv")), "start_basis": (begun, F.lit("lifespan_csv"))}
+    new = lambda c: F.when(filled[c][0], filled[c][1]).otherwise(F.col(c)).alias(c) if c in filled else F.col(c)
+    return out.select(*[new(c) for c in rows.columns])
 
 
 def as_of(events: DataFrame, anchors: DataFrame, group: str, at: str, value: str, back: int | None = None) -> DataFrame:
@@ -158,13 +185,10 @@ def donor_pool(rows: DataFrame, donors: DataFrame, locations: DataFrame) -> Data
     """C21. (row_id, donor_id): of the donors of a row's location, the same half first (if the row has one), then a whole sheet, then others; then the lowest edition (none: last).
 
     rows: row_id, location, half; donors: donor_id, name, half, edition; locations: position, location. A donor is of the first location (by position) that stands in its name. Names and
-    locations are met on their first letters (see GRAM), not compared all with all.
+    locations are met on a location's rarest letters (see `contained`), not compared all with all.
     """
-    known = locations.select("position", "location", F.substring("location", 1, GRAM).alias("gram"))
-    sizes = known.select(F.length("gram").alias("n")).distinct()  # GRAM rows at most
-    starts = F.transform(F.sequence(F.lit(1), F.length("name") - F.col("n") + 1), lambda i: F.substring("name", i, F.col("n")))
-    pieces = donors.join(F.broadcast(sizes)).where(F.length("name") >= F.col("n")).select("donor_id", "name", F.col("half").alias("donor_half"), "edition", F.explode(F.array_distinct(starts)).alias("gram"))
-    of = first_by(pieces.join(known, "gram").where(F.col("name").contains(F.col("location"))), ["donor_id"], "position")
+    sheets = donors.select("donor_id", "name", F.col("half").alias("donor_half"), "edition")
+    of = first_by(contained(locations.select("position", "location"), "location", sheets, "name"), ["donor_id"], "position")
     met = rows.join(of.select("location", "donor_id", "donor_half", "edition"), "location")
     fit = F.when(F.col("half") == F.col("donor_half"), 0).when(F.col("donor_half").isNull(), 1).otherwise(2)
     return first_by(met.withColumn("_f", fit), ["row_id"], "_f", F.asc_nulls_last("edition"), "donor_id").select("row_id", "donor_id")

@@ -146,7 +146,7 @@ def timeline_groups(spark, sf_dir):
     """Customers as locations under extents that overlap best, by hand, or unmatched."""
     k = F.col("c_custkey")
     ref = F.when(k % 4 == 0, _text("extents/e", (k % 20).cast("string"))).when(k % 4 == 1, _text("sectional/new_york_", (k % 10).cast("string")))
-    places = table(spark, sf_dir, "customer").select(_text("L", k.cast("string")).alias("location"), ref.alias("ref"), F.when(k % 2 == 0, "1960-01-01").otherwise("1980-01-01").alias("last_date"))
+    places = table(spark, sf_dir, "customer").select(_text("L", k.cast("string")).alias("location"), ref.alias("ref"), F.when(k % 2 == 0, "1960-01-01").otherwise("1980-01-01").alias("last_date"), (-k).alias("line"))
     best = table(spark, sf_dir, "nation").select(_text("extents/e", F.col("n_nationkey").cast("string")).alias("old"), _text("sectional/new_york_", (F.col("n_nationkey") % 8).cast("string")).alias("modern"))
     hand = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(_text("L", k.cast("string")).alias("location"), F.lit("sectional/salt_lake").alias("group"))
     return C.group_members(places, best, hand).select("group", "name", F.array_join("modern", "|").alias("modern"), F.array_join("old", "|").alias("old"))
@@ -284,18 +284,21 @@ SELECT l_orderkey, l_linenumber, CASE WHEN ok THEN CASE WHEN tiles <= 262144 OR
 r AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'sectional_files f' || (p_partkey % 100) || '.tif' ELSE 'z' || (p_partkey % 100) || '.ZIP' END AS filename, p_partkey % 100 AS loc, CASE WHEN p_partkey % 3 = 0 THEN 2 ELSE 3 END AS day, p_partkey % 4 AS ed FROM part WHERE p_size IS NOT NULL),
 fl AS (SELECT unnest(['r/c' || (s_suppkey % 5) || '/f' || s_suppkey || '.tif', 'r/c' || (s_suppkey % 5) || '/sectional_files_f' || s_suppkey || '.tif', 'r/z' || s_suppkey || '/inner' || s_suppkey || '.tif', 'r/z' || (s_suppkey + 50) || '.zip']) AS path FROM supplier),
 fi AS (SELECT path, string_split(path, '/')[-1] AS base, string_split(path, '/')[-2] AS parent, path LIKE '%.tif' AS image FROM fl),
-named AS (SELECT DISTINCT rid, filename FROM a JOIN r ON (m = 0 AND loc = n AND day = 2) OR (m = 1 AND filename LIKE '%sectional_files%' AND loc = n AND r.ed = a.ed) OR (m = 5 AND day = 3)),
+first AS (SELECT DISTINCT rid, filename FROM a JOIN r ON (m = 0 AND loc = n AND day = 2) OR (m = 1 AND filename LIKE '%sectional_files%' AND loc = n AND r.ed = a.ed)),
+lead AS (SELECT filename, path FROM (SELECT DISTINCT filename FROM r) n2 JOIN fi ON (filename LIKE '%.tif' AND image AND {_ALNUM.format('base')} = {_ALNUM.format('filename')})
+  OR (filename LIKE '%.ZIP' AND CASE WHEN image THEN parent = replace(filename, '.ZIP', '') ELSE base = lower(filename) AND NOT EXISTS (SELECT 1 FROM fi g WHERE g.image AND g.parent = replace(n2.filename, '.ZIP', '')) END)),
+led AS (SELECT rid, path FROM first JOIN lead USING (filename)),
+second AS (SELECT DISTINCT rid, filename FROM a JOIN r ON (m = 0 AND day = 2 AND starts_with('place' || loc, 'place' || n)) OR (m = 5 AND day = 3) WHERE rid NOT IN (SELECT rid FROM led)),
 hit AS (SELECT rid, path FROM a JOIN fi ON m = 2 AND image AND parent = 'c' || cyc AND contains({_ALNUM.format('base')}, 'f' || n)
   UNION ALL SELECT rid, path FROM a JOIN fi ON m IN (3, 4) AND image AND {_ALNUM.format('base')} = 'f' || n || 'tif'
-  UNION ALL SELECT rid, path FROM named JOIN fi ON filename LIKE '%.tif' AND image AND {_ALNUM.format('base')} = {_ALNUM.format('filename')}
-  UNION ALL SELECT rid, path FROM named n2 JOIN fi ON filename LIKE '%.ZIP' AND CASE WHEN image THEN parent = replace(filename, '.ZIP', '') ELSE base = lower(filename) AND NOT EXISTS (SELECT 1 FROM fi g WHERE g.image AND g.parent = replace(n2.filename, '.ZIP', '')) END)
+  UNION ALL SELECT rid, path FROM led UNION ALL SELECT rid, path FROM second JOIN lead USING (filename))
 SELECT rid, array_to_string(list_sort(list(DISTINCT path)), '|') AS matches FROM hit GROUP BY rid""",
     "name_matches": f"WITH {_FIELDS}, {_DONORS.format('da', 0, '')}, {_NAMES.format('m', _AD, 'da', 'true')} SELECT row_id, donor_id, round(km, 3) AS km, CAST(shared AS INTEGER) AS shared FROM m",
     "cascade_claims": f"""WITH {_FIELDS}, {_DONORS.format('da', 0, 'WHERE p_size <= 15')}, {_DONORS.format('db', 100000, '')}, {_IDENTS.format('i0', _FD, 'da')}, {_NAMES.format('n0', _AD, 'da', 'NOT skip')}, {_IDENTS.format('i1', _FD, 'db')}, {_NAMES.format('n1', _AD, 'db', 'NOT skip')},
 every AS (SELECT 0 AS t, row_id, donor_id, km FROM i0 UNION ALL SELECT 1, row_id, donor_id, km FROM n0 UNION ALL SELECT 2, row_id, donor_id, km FROM i1 UNION ALL SELECT 3, row_id, donor_id, km FROM n1),
 best AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY t) = 1), d AS (SELECT donor_id, lat, lon FROM da UNION ALL SELECT donor_id, lat, lon FROM db),
-c AS (SELECT f.row_id, f.lat AS own_lat, f.lon AS own_lon, f.precision, d.lat, d.lon, t, donor_id, km, donor_id IS NOT NULL AND row_number() OVER (PARTITION BY donor_id, f.state ORDER BY round(km, 2), f.row_id) > 1 AS reverted FROM f LEFT JOIN best USING (row_id) LEFT JOIN d USING (donor_id))
-SELECT row_id, CASE WHEN t < 2 THEN 'a' WHEN t >= 2 THEN 'b' END AS match_donor, CASE WHEN reverted THEN 'collision-reverted' WHEN t % 2 = 0 THEN 'ident' WHEN t % 2 = 1 THEN 'name' END AS match_via, donor_id AS match_id, round(km, 3) AS match_km,
+c AS (SELECT f.row_id, f.ident, f.lat AS own_lat, f.lon AS own_lon, f.precision, d.lat, d.lon, t, donor_id, km, donor_id IS NOT NULL AND row_number() OVER (PARTITION BY donor_id, f.state ORDER BY round(km, 2), f.row_id) > 1 AS reverted FROM f LEFT JOIN best USING (row_id) LEFT JOIN d USING (donor_id))
+SELECT row_id, CASE WHEN t < 2 THEN 'a' WHEN t >= 2 THEN 'b' END AS match_donor, CASE WHEN reverted THEN 'collision-reverted' WHEN t % 2 = 0 THEN 'ident:' || ident WHEN t % 2 = 1 THEN 'name' END AS match_via, donor_id AS match_id, round(km, 3) AS match_km,
   round(CASE WHEN donor_id IS NOT NULL AND NOT reverted AND precision <= 2 THEN lat ELSE own_lat END, 6) AS lat, round(CASE WHEN donor_id IS NOT NULL AND NOT reverted AND precision <= 2 THEN lon ELSE own_lon END, 6) AS lon, reverted FROM c""",
     "lifespan_fills": f"""WITH {_FIELDS}, {_DONORS.format('da', 0, '')}, r AS (SELECT *, CASE WHEN row_id % 2 = 0 THEN 1920 END AS start_year, CASE WHEN row_id % 3 = 0 THEN 1960 END AS stop_year, CASE WHEN row_id % 5 = 0 THEN 'open' ELSE 'unknown' END AS status FROM f),
 m AS (SELECT row_id, donor_id, row_number() OVER (PARTITION BY row_id ORDER BY donor_id) AS k FROM (SELECT r.row_id, d.donor_id, {_KM.format('r', 'd')} AS km FROM r JOIN da d ON d.donor_id % 9 > 0 AND list_has_all(d.d1, r.t1) WHERE r.start_year IS NULL OR (r.stop_year IS NULL AND r.status <> 'open')) WHERE km <= 3.0),
@@ -303,7 +306,7 @@ x AS (SELECT row_id, CASE WHEN donor_id % 4 > 0 THEN 1930 END AS s, CASE WHEN do
 SELECT row_id, coalesce(start_year, s) AS start_year, CASE WHEN stop_year IS NULL AND status <> 'open' THEN e ELSE stop_year END AS stop_year, CASE WHEN stop_year IS NULL AND status <> 'open' AND e IS NOT NULL THEN 'gone' ELSE status END AS status FROM r LEFT JOIN x USING (row_id)""",
     "timeline_groups": """WITH l AS (SELECT 'L' || c_custkey AS location, c_custkey AS k, c_acctbal FROM customer),
 p AS (SELECT location, k, k % 4 = 0 OR (k % 4 = 2) AS is_old, CASE WHEN k % 4 = 1 THEN 'sectional/new_york_' || (k % 10) WHEN k % 4 = 0 THEN 'sectional/new_york_' || (k % 20 % 8) WHEN k % 4 = 2 THEN CASE WHEN c_acctbal > 0 THEN 'sectional/salt_lake' ELSE '__unmatched__' END END AS "group" FROM l),
-g AS (SELECT "group", coalesce(array_to_string(list_sort(list(location) FILTER (NOT is_old)), '|'), '') AS modern, coalesce(array_to_string(list_sort(list(location) FILTER (is_old)), '|'), '') AS old, min(location) FILTER (NOT is_old) AS first FROM p GROUP BY "group")
+g AS (SELECT "group", coalesce(array_to_string(list_sort(list(location) FILTER (NOT is_old)), '|'), '') AS modern, coalesce(array_to_string(list_sort(list(location) FILTER (is_old)), '|'), '') AS old, arg_max(location, k) FILTER (NOT is_old) AS first FROM p GROUP BY "group")
 SELECT "group", CASE WHEN first IS NOT NULL THEN first WHEN "group" LIKE '%salt_lake' THEN 'Salt Lake' WHEN "group" = '__unmatched__' THEN '  Unmatched  ' ELSE 'New York ' || right("group", 1) END AS name, modern, old FROM g""",
     "request_log": "SELECT event_id AS key, CAST(CASE WHEN event_id % 5 = 2 THEN event_id + 1991 ELSE 0 END AS BIGINT) AS size, 1.0 AS weight FROM events WHERE event_id % 5 > 1",
     "review_cells": """WITH o AS (SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS date, o_orderstatus, o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN '---' WHEN o_orderkey % 3 = 0 THEN '(2 files)' WHEN o_orderkey % 3 = 1 THEN 'a long fi...' ELSE 'short.tif' END AS cell FROM orders)

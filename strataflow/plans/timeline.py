@@ -10,6 +10,7 @@ from strataflow.operators import intervals as I
 from strataflow.operators import logs as L
 from strataflow.operators import reconcile as R
 from strataflow.operators import resolve as E
+from strataflow.sources.tables import kept
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,7 +110,7 @@ FROM g LEFT JOIN u ON u.o_custkey = g.o_custkey AND u.k = g.win"""
 
 
 def running_offsets(spark, sf_dir):
-    return L.running_offsets(table(spark, sf_dir, "documents").select("lang", "doc_id", "n_chars"), "lang", ["doc_id"], "n_chars")
+    return L.running_offsets(table(spark, sf_dir, "documents").select("lang", "doc_id", "n_chars"), "lang", ["doc_id"], "n_chars", kept)
 
 
 def group_index(spark, sf_dir):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions import expr as X
+from strataflow.sources.byte_ranges import file_heads
 
 # The catalogue's columns in file order; the last two may be absent.
 CATALOGUE = [
@@ -114,17 +115,20 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", X.basename("path").alias("base"), X.stem("path").alias("stem"), F.lower(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)).alias("parent"), X.extension("path").alias("ext"), "size", (F.size(F.split("path", "/")) - 1).alias("depth"))
 
 
-def archive_headers(spark: SparkSession, root: str, glob: str = "*.pmtiles") -> DataFrame:
-    """A8. The 127-byte header of each archive as columns (little-endian, by position); other files give nulls."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(root)
-    head = F.substring("content", 1, 127)
-    swapped = lambda at, n: F.conv(F.concat(*[F.substring(F.hex(head), 2 * (at + n - 1 - i) + 1, 2) for i in range(n)]), 16, 10).cast("decimal(20,0)")
+def archive_headers(spark: SparkSession, root: str, glob: str = "*.pmtiles", files: DataFrame | None = None) -> DataFrame:
+    """A8. The 127-byte header of each archive as columns (little-endian, by position); other files give nulls. Only these bytes of a file are read, whatever its size.
+
+    files: `file_heads` of some other choice of files, for instance filtered by path.
+    """
+    files = file_heads(spark, root, glob) if files is None else files
+    head = F.hex("head")
+    swapped = lambda at, n: F.conv(F.concat(*[F.substring(head, 2 * (at + n - 1 - i) + 1, 2) for i in range(n)]), 16, 10).cast("decimal(20,0)")
     long = lambda at: swapped(at, 8).cast("long")
     signed = lambda at: F.when(swapped(at, 4) >= 2**31, swapped(at, 4) - 2**32).otherwise(swapped(at, 4)).cast("long")
-    ok = F.substring(F.hex("content"), 1, 14) == F.lit("504D54696C6573")
+    ok = (F.substring(head, 1, 14) == F.lit("504D54696C6573")) & (F.length(head) == 254)
     names = ["root_offset", "root_length", "metadata_offset", "metadata_length", "leaf_offset", "leaf_length", "tile_offset", "tile_length", "tiles"]
     fields = [F.when(ok, long(8 + 8 * i)).alias(n) for i, n in enumerate(names)] + [F.when(ok, signed(102 + 4 * i)).alias(n) for i, n in enumerate(["min_lon", "min_lat", "max_lon", "max_lat"])]
-    return files.select(X.stem("path").alias("key"), F.col("length").alias("size"), *fields)
+    return files.select(X.stem("path").alias("key"), F.col("size"), *fields)
 
 
 def wkt_rings(df: DataFrame, ref: str = "ref", wkt: str = "wkt") -> DataFrame:

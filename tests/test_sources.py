@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from strataflow.operators import reconcile as R
 from strataflow.operators import resolve as E
 from strataflow.sources import readers, writers
+from strataflow.sources.byte_ranges import file_heads
+from strataflow.sources.readers import CATALOGUE
+from strataflow.sources.tables import PLAN, Publication
+from strataflow.sources.writers import write_catalogue
 
 
 def write(path, data):
@@ -136,3 +140,80 @@ def test_resolution_by_containment(spark):
     files = spark.createDataFrame([("r/My_Alpha_Sheet.pdf",), ("r/alphabet/x.tif",), ("r/q/other.jpg",)], "path string")
     out = {r.id: r.path for r in R.resolve_files(rows, files, "id", "name").collect()}
     assert out == {1: "r/alphabet/x.tif", 2: "r/alphabet/x.tif", 3: "r/q/other.jpg", 4: None, 5: None}
+
+
+def test_publication_swaps_all_tables_and_keeps_a_backup(spark, tmp_path):
+    root = str(tmp_path / "site")
+    site = Publication(spark, root)
+    one = lambda v: spark.createDataFrame([(v,)], "v int")
+    first = site.publish({"dates": one(1), "charts": one(10)})
+    assert not (tmp_path / "site" / PLAN).exists() and [spark.read.parquet(f"{root}/{t}").first().v for t in ("dates", "charts")] == [1, 10]
+    second = site.publish({"dates": one(2), "charts": one(20)})
+    assert [spark.read.parquet(f"{root}/{t}").first().v for t in ("dates", "charts")] == [2, 20] and [spark.read.parquet(f"{second}/{t}").first().v for t in ("dates", "charts")] == [1, 10]
+    assert first != second and not list((tmp_path / "site").glob(".staging-*"))
+
+
+def test_publication_of_bad_tables_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "site")
+    site = Publication(spark, root)
+    one = spark.createDataFrame([(1,)], "v int")
+    site.publish({"a": one})
+    with pytest.raises(ValueError, match="2 rows were written, not 3|1 rows were written, not 3"):
+        site.publish({"a": one.unionByName(one), "b": one}, expected={"b": 3})
+    broken = spark.createDataFrame([("x",)], "v string").select(F.raise_error("no").alias("v"))
+    with pytest.raises(Exception, match="no"):
+        site.publish({"a": one.unionByName(one), "b": broken})
+    assert spark.read.parquet(f"{root}/a").count() == 1 and not (tmp_path / "site" / "b").exists() and not list((tmp_path / "site").glob(".[sb]*"))
+
+
+@pytest.mark.parametrize("stop", range(1, 5))
+def test_publication_recovers_a_half_done_swap(spark, tmp_path, monkeypatch, stop):
+    """Broken off after each of the four renames of two tables, the next run (or recover alone) ends where an unbroken one does."""
+    root = str(tmp_path / "site")
+    site, moves = Publication(spark, root), []
+    one = lambda v: spark.createDataFrame([(v,)], "v int")
+    site.publish({"a": one(1), "b": one(10)})
+    move = site.files.move
+
+    def breaks(old, new):
+        if not new.endswith(PLAN):
+            moves.append(new)
+            if len(moves) == stop:
+                raise OSError("lost")
+        move(old, new)
+
+    monkeypatch.setattr(site.files, "move", breaks)
+    with pytest.raises(OSError, match="lost"):
+        site.publish({"a": one(2), "b": one(20)})
+    again = Publication(spark, root)
+    assert again.recover() and not again.recover()
+    assert [spark.read.parquet(f"{root}/{t}").first().v for t in ("a", "b")] == [2, 20]
+    backup = next(p for p in sorted((tmp_path / "site").glob(".backup-*")) if (p / "a").exists())
+    assert [spark.read.parquet(f"{backup}/{t}").first().v for t in ("a", "b")] == [1, 10]
+
+
+def test_publication_of_a_catalogue_and_a_timeline(spark, tmp_path):
+    """A10 and A13 under the protocol: rows of CSV and JSON files are counted, also where they have line feeds."""
+    rows = spark.createDataFrame([(i, "x\ny" if i else "z", "Town") for i in range(3)], "line long, note string, location string")
+    rows = rows.select("line", *[F.col(c) if c in ("note", "location") else F.lit("v").alias(c) for c in CATALOGUE])
+    write = lambda df, path: write_catalogue(df, path) if "line" in df.columns else df.write.json(path)
+    Publication(spark, str(tmp_path / "s")).publish({"catalogue": rows, "timeline": rows.groupBy("location").count()}, write)
+    assert spark.read.csv(str(tmp_path / "s/catalogue"), header=True, multiLine=True, quote='"', escape='"').count() == 3 and spark.read.json(str(tmp_path / "s/timeline")).count() == 1
+
+
+def test_heads_cost_their_own_bytes(spark, tmp_path):
+    """Sparse files of 3 GB are no burden; filters on the path leave files out before any is opened."""
+    for n in ("a", "b", "sub/c"):
+        p = tmp_path / "t" / f"{n}.pmtiles"
+        p.parent.mkdir(parents=True, exist_ok=True)
+        with open(p, "wb") as f:
+            f.write(b"PMTiles" + bytes([3]) + struct.pack("<9Q", *range(127, 136)) + bytes(22) + struct.pack("<4i", -10, 20, 30, -40) + bytes(9))
+            f.truncate(3 << 30)
+    (tmp_path / "t" / "short.pmtiles").write_bytes(b"PMTiles")
+    got = {r.key: r for r in readers.archive_headers(spark, str(tmp_path / "t")).collect()}
+    assert set(got) == {"a", "b", "c", "short"} and got["a"].size == 3 << 30 and got["short"].root_offset is None
+    assert (got["c"].root_offset, got["c"].tiles, got["c"].min_lon, got["c"].max_lat) == (127, 135, -10, -40)
+    (tmp_path / "t" / "b.pmtiles").chmod(0)
+    some = file_heads(spark, f"file://{tmp_path}/t", "*.pmtiles|*.other", files_per_task=1).where(F.col("path").endswith("c.pmtiles"))
+    assert [(r.path.rpartition("/")[2], r.size, len(r.head)) for r in some.collect()] == [("c.pmtiles", 3 << 30, 127)] and some.rdd.getNumPartitions() == 1
+    assert file_heads(spark, str(tmp_path / "t"), "*.none").count() == 0
