@@ -134,7 +134,7 @@ def entry_state(log: DataFrame, key: str, order: list[str], initial: DataFrame |
     late or again change nothing. The state is kept by Spark for each key, not in folders, and a restart goes on from the checkpoint.
 
     initial: the entries to begin with (log's columns, one row for each key). ttl_ms: how long an entry is held after its last change, by the clock; then the key is told once more, as expired, with nulls, and a later row
-    is new again. Values must be texts, whole numbers, floats or booleans. Needs spark.sql.streaming.stateStore.providerClass to be the RocksDB provider. Null keys go.
+    is new again; such a query looks at the clock batch after batch, so it runs until it is stopped (an availableNow trigger doesn't end it). Values must be texts, whole numbers, floats or booleans. Needs spark.sql.streaming.stateStore.providerClass to be the RocksDB provider. Null keys go.
     """
     fields = [key, *[c for c in log.columns if c != key]]
     schema = StructType([*[StructField(f.name, f.dataType, True) for c in fields for f in [log.schema[c]]], StructField("status", StringType())])
