@@ -72,6 +72,34 @@ def windows(west, east) -> Column:
     return F.when(e - w > 180, F.array(win(F.lit(-180.0), w), win(e, F.lit(180.0)))).otherwise(F.array(win(w, e)))
 
 
+def split_ring(ring) -> Column:
+    """B32. array of rings (arrays of struct<lon, lat>, closed): a closed ring as it is, or, where its longitudes span over 180 degrees, the parts of it on either side of the antimeridian, west of it first.
+
+    Such a ring is read the short way round: western longitudes count as beyond 180. Each part is what one side of that meridian leaves of the ring (corners on it belong to both), closed again; the eastern
+    one's longitudes are those from -180 on. A part without area is left out; null has no rings.
+    """
+    r = col(ring)
+    lons = F.transform(r, lambda p: p["lon"])
+    point = lambda lon, lat: F.struct(lon.alias("lon"), lat.alias("lat"))
+    around = F.transform(r, lambda p: point(F.when(p["lon"] < 0, p["lon"] + 360).otherwise(p["lon"]), p["lat"]))
+    none = F.expr("cast(array() as array<struct<lon:double,lat:double>>)")
+
+    def side(inside, lower: float) -> Column:
+        def step(a: Column, b: Column) -> Column:
+            # a corner that is inside, then the place where the edge after it crosses
+            share = (180.0 - a["lon"]) / (b["lon"] - a["lon"])
+            cross = point(F.lit(180.0 - lower), a["lat"] + share * (b["lat"] - a["lat"]))
+            crossed = (a["lon"] < 180) & (b["lon"] > 180) | (a["lon"] > 180) & (b["lon"] < 180)
+            return F.concat(F.when(inside(a), F.array(point(a["lon"] - lower, a["lat"]))).otherwise(none), F.when(crossed, F.array(cross)).otherwise(none))
+
+        kept = F.flatten(F.zip_with(F.slice(around, 1, F.size(around) - 1), F.slice(around, 2, F.size(around) - 1), step))
+        return F.transform(F.array(kept), lambda k: F.when(F.size(k) > 0, F.concat(k, F.slice(k, 1, 1))))[0]
+
+    both = F.array(side(lambda p: p["lon"] <= 180, 0.0), side(lambda p: p["lon"] >= 180, 360.0))
+    parts = F.filter(both, lambda k: k.isNotNull() & (F.size(F.array_distinct(k)) > 2))
+    return F.when(F.array_max(lons) - F.array_min(lons) > 180, parts).when(r.isNotNull(), F.array(F.transform(r, lambda p: point(p["lon"], p["lat"])))).otherwise(F.expr("cast(array() as array<array<struct<lon:double,lat:double>>>)"))
+
+
 def too_wide(west, east, most: float = 90.0) -> Column:
     """B32. Envelopes that matching leaves out."""
     return col(east) - col(west) > most
