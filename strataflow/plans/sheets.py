@@ -11,6 +11,7 @@ from strataflow.operators import fits, rasters
 from strataflow.operators import logs as L
 from strataflow.operators import reconcile as R
 from strataflow.plans.timeline import table
+from strataflow.sources.writers import timeline_records
 
 
 def _matches(spark, sf_dir):
@@ -164,8 +165,25 @@ def group_faults(spark, sf_dir):
     return L.verify_groups(e, groups, "l_suppkey")
 
 
+def timeline_payload(spark, sf_dir):
+    """Orders as charts of their customer's location, with gaps in notes, holes in editions and uploaded keys."""
+    k = F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    note = F.concat(F.when(k % 5 == 0, "latest-in-collection").otherwise("x"), F.when(k % 7 == 0, " BLANK_MAP").otherwise(""), F.when(k % 3 == 0, F.concat(F.lit("; GAP "), (k % 400).cast("string"), F.lit("d before next (1951-02-03)"), F.when(k % 2 == 0, "; typ30d").otherwise(""))).otherwise(""))
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("L"), F.col("o_custkey").cast("string")).alias("location"), day.alias("date"), F.when(k % 4 == 0, "").otherwise(F.date_format(F.date_add("o_orderdate", 9), "yyyy-MM-dd")).alias("end_date"),
+        F.when(k % 9 == 0, "N/A").otherwise((k % 60).cast("string")).alias("edition"), note.alias("note"), k.alias("line"),
+    )
+    uploads = rows.where("line % 6 = 0").groupBy("location", F.col("date").alias("d"), F.nullif("end_date", F.lit("")).alias("e")).agg(F.sort_array(F.collect_set(F.concat(F.lit("k"), F.col("line").cast("string")))).alias("keys"))
+    places = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.concat(F.lit("L"), F.col("c_custkey").cast("string")).alias("location"), F.lit("old").alias("era"), F.col("c_mktsegment").alias("ref"), F.lit(0.5).alias("modern_share"), F.lit("").alias("overlaps"))
+    out = timeline_records(rows, places, uploads)
+    said = F.transform("charts", lambda c: F.concat_ws(",", c["d"], F.coalesce(c["e"], F.lit("-")), c["ed"], c["f"], F.array_join(F.coalesce(c["pm"], F.array().cast("array<string>")), "+")))
+    gaps = F.transform("gaps", lambda g: F.concat_ws(",", g["from"], g["to"], g["days"].cast("string"), F.coalesce(g["est"].cast("string"), F.lit("-"))))
+    return out.select("location", "era", "ref", F.array_join(said, "|").alias("charts"), F.array_join(gaps, "|").alias("gaps"), F.array_join(F.transform("missing_eds", lambda n: n.cast("string")), "|").alias("missing"))
+
+
 QUERIES = {f.__name__: f for f in (
-    consensus_fits, affine_consensus_fits, mosaic_pixels, empty_mosaics, warped_cells, correlation_best, similar_thumbs, ring_parts, envelope_reasons, sheet_words, tail_lookup, bundle_faults, group_faults,
+    consensus_fits, affine_consensus_fits, mosaic_pixels, empty_mosaics, warped_cells, correlation_best, similar_thumbs, ring_parts, envelope_reasons, sheet_words, tail_lookup, bundle_faults, group_faults, timeline_payload,
 )}
 
 _M = """m AS (SELECT p, k, x, y, 1.02::DOUBLE * x + 40 + o AS u, 1.02::DOUBLE * y - 25 - o AS v FROM (SELECT l_orderkey AS p, l_partkey * 8 + l_linenumber AS k, l_partkey % 977 * 7.0::DOUBLE AS x, l_suppkey * 50.0::DOUBLE AS y,
@@ -231,4 +249,12 @@ SELECT p_partkey, coalesce(b.path, o.path) AS path FROM p LEFT JOIN b USING (p_p
     "bundle_faults": f"""WITH {_ENTRIES}, o AS (SELECT *, place + CASE WHEN key % 97 = 0 THEN 1 ELSE 0 END AS off FROM e), l AS (SELECT *, lag(off + len) OVER (PARTITION BY l_suppkey ORDER BY off, key) AS done FROM o),
 x AS (SELECT l_suppkey, key, CASE WHEN done <> off THEN 'offset' WHEN key % 89 = 0 THEN 'unknown' WHEN key % 83 = 0 THEN 'size' WHEN key % 79 = 0 THEN 'overrun' END AS fault FROM l) SELECT * FROM x WHERE fault IS NOT NULL""",
     "group_faults": "WITH s AS (SELECT DISTINCT l_suppkey FROM lineitem) SELECT l_suppkey, CASE WHEN l_suppkey % 13 = 0 THEN 'empty' WHEN l_suppkey % 7 = 0 THEN 'offset' WHEN l_suppkey % 11 = 0 THEN 'length' END AS fault FROM s WHERE l_suppkey % 13 = 0 OR l_suppkey % 7 = 0 OR l_suppkey % 11 = 0",
+    "timeline_payload": """WITH o AS (SELECT 'L' || o_custkey AS location, o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS d, CASE WHEN o_orderkey % 4 > 0 THEN strftime(o_orderdate + INTERVAL 9 DAYS, '%Y-%m-%d') END AS e, CASE WHEN o_orderkey % 9 = 0 THEN 'N/A' ELSE (o_orderkey % 60)::VARCHAR END AS ed FROM orders),
+u AS (SELECT location, d, e, string_agg('k' || k, '+' ORDER BY 'k' || k) AS pm FROM (SELECT DISTINCT location, d, e, k FROM o WHERE k % 6 = 0) GROUP BY ALL),
+c AS (SELECT o.*, pm, CASE WHEN k % 5 = 0 THEN 'L' ELSE '' END || CASE WHEN k % 7 = 0 THEN 'B' ELSE '' END AS f FROM o LEFT JOIN u ON u.location = o.location AND u.d = o.d AND u.e IS NOT DISTINCT FROM o.e),
+n AS (SELECT location, d, k, ed::INTEGER AS n, lag(ed::INTEGER) OVER (PARTITION BY location ORDER BY d, k) AS before FROM o WHERE ed <> 'N/A'),
+m AS (SELECT location, string_agg(x::VARCHAR, '|' ORDER BY x) AS missing FROM (SELECT DISTINCT location, unnest(range(before + 1, n)) AS x FROM n WHERE n - before BETWEEN 2 AND 39) GROUP BY location),
+l AS (SELECT location, string_agg(d || ',' || coalesce(e, '-') || ',' || ed || ',' || f || ',' || coalesce(pm, ''), '|' ORDER BY d, k) AS charts,
+  coalesce(string_agg(coalesce(e, d) || ',1951-02-03,' || (k % 400) || ',' || CASE WHEN k % 2 = 0 THEN greatest(1, round_even(k % 400 / 30.0::DOUBLE, 0)::INTEGER - 1)::VARCHAR ELSE '-' END, '|' ORDER BY d, k) FILTER (k % 3 = 0), '') AS gaps FROM c GROUP BY location)
+SELECT location, CASE WHEN c_acctbal > 0 THEN 'old' END AS era, CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS ref, charts, gaps, coalesce(missing, '') AS missing FROM l LEFT JOIN m USING (location) JOIN customer ON location = 'L' || c_custkey""",
 }

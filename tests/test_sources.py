@@ -78,8 +78,18 @@ def test_timeline_files(spark, tmp_path):
     assert [tuple(r) for r in charts.orderBy("start").collect()] == [("A", "extents/a", datetime.date(1950, 1, 1), None, "1"), ("A", "extents/a", datetime.date(1951, 1, 1), datetime.date(1952, 1, 1), "2")]
     ring = readers.timeline_rings(spark, path).first()
     assert ring.ref == "extents/a" and [tuple(p) for p in ring.ring] == [tuple(p) for p in doc["rings"]["extents/a"]]
-    writers.write_timeline(charts, str(tmp_path / "out"))
-    assert [len(r.charts) for r in spark.read.json(str(tmp_path / "out")).collect()] == [2]
+    notes = ["latest-in-collection; BLANK_MAP; GAP 90d before next (1952-05-06); typ30d", "x"]
+    rows = spark.createDataFrame([("A", "1950-01-01", "", "1", notes[0], 9), ("A", "1951-01-01", "1952-01-01", " 5 ", None, 2), ("A", "1951-01-01", None, "1600", notes[1], 3), ("B", "1940-01-01", None, "x", "", 4)], "location string, date string, end_date string, edition string, note string, line int")
+    uploads = spark.createDataFrame([("A", "1950-01-01", None, ["k1", "k2"]), ("A", "1951-01-01", "1952-01-01", ["k3"])], "location string, d string, e string, keys array<string>")
+    places = spark.createDataFrame([("A", "old", "extents/a", 0.25, "m")], "location string, era string, ref string, modern_share double, overlaps string")
+    records = writers.timeline_records(rows, places, uploads)
+    a = records.where("location = 'A'").first()
+    assert [(c.d, c.e, c.ed, c.f, c.pm) for c in a.charts] == [("1950-01-01", None, "1", "LB", ["k1", "k2"]), ("1951-01-01", "1952-01-01", "5", "", ["k3"]), ("1951-01-01", None, "1600", "", None)]
+    assert [tuple(g) for g in a.gaps] == [("1950-01-01", "1952-05-06", 90, 2)] and a.missing_eds == [2, 3, 4] and (a.era, a.modern_share) == ("old", 0.25)
+    b = records.where("location = 'B'").first()
+    assert (b.era, b.gaps, b.missing_eds, b.charts[0].ed) == (None, [], [], "x")
+    writers.write_timeline(records, spark.createDataFrame([("g", "G")], "ref string, name string"), readers.timeline_rings(spark, path), str(tmp_path / "out"))
+    assert [len(r.charts) for r in spark.read.json(str(tmp_path / "out/locations")).orderBy("location").collect()] == [3, 1] and spark.read.json(str(tmp_path / "out/rings")).count() == 1
 
 
 def test_archive_headers(spark, tmp_path):
