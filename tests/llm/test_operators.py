@@ -231,6 +231,26 @@ def test_top_k_of_boundless_numbers(spark):
     assert got[0] == [(1, 1, 2**63 - 1), (2, 3, 2**63 - 1), (3, 100, 2**20), (4, 2, -(2**63))] and got[100][0] == (1, 1, 2**21)
 
 
+def test_top_k_prunes(spark, monkeypatch):
+    """Most vectors are too short for any query, and of the long ones coordinates leave few: a small share of the pairs is multiplied out, in small blocks and large ones, and the result is that of all."""
+    r = np.random.default_rng(8)
+    made = []
+    for i in range(1500):
+        v = r.normal(size=64) * 0.02
+        v[[i % 40, (i + 7) % 40]] += (1, 0.6)
+        made.append((i, np.float32(v * (1.0 if i % 3 else 0.05)).tolist()))
+    df = spark.createDataFrame(made, "vec_id long, embedding array<float>").repartition(3)
+    want = best_products(made, every=30)
+    for rows in (64, 16_384):
+        monkeypatch.setattr(top_k, "BLOCK_ROWS", rows)
+        report: dict = {}
+        got: dict = {}
+        for x in top_k.exact_top_k(df, query_every=30, report=report).collect():
+            got.setdefault(x.query_id, []).append((x["rank"], x.id, x.score))
+        assert {q: sorted(v) for q, v in got.items()} == want
+        assert report["pairs"] == 1500 * 50 and report["long_enough"] < report["pairs"] * 0.8 and 0 < report["by_coordinates"] <= report["multiplied"] < report["pairs"] * 0.3, report
+
+
 def test_top_k_in_small_blocks(spark, monkeypatch):
     for name, value in (("BLOCK_ROWS", 16), ("QUERY_ROWS", 3), ("SEEDS", 20), ("BUCKETS", 7)):
         monkeypatch.setattr(top_k, name, value)
