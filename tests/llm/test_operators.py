@@ -326,6 +326,19 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string"), rules.limit(0)).first().verdict == "allow"
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_url_filter_with_few_and_many_rules(spark, monkeypatch, small):
+    """The way for rules beyond the limit of a broadcast gives the same: equal rules (block comes first), a host that most pages have, and no pages."""
+    monkeypatch.setattr(url_filter, "small_enough", lambda *_: small)
+    rules = spark.createDataFrame([("a.org", "/x", "allow"), ("a.org", "/x", "block"), ("org", "/x1", "allow"), ("b.com", "/", "block"), ("b.com", "/", "block")], "host string, path string, verdict string")
+    urls = [f"http://www.a.org/x{i}" for i in range(60)] + ["http://b.com/", "http://c.org/x12", "http://c.net/x1", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages, rules).collect()}
+    # a.org/x is longer than org/x1 as host and path together are
+    assert got == {i: ("a.org/x", "block") for i in range(60)} | {60: ("b.com/", "block"), 61: ("org/x1", "allow"), 62: (None, "allow"), 63: (None, "allow")}
+    assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
+
+
 def test_token_store(spark, texts):
     path = table_path(spark, "t")
     token_store.write_store(frame(spark, texts), path, public_tokenizers.path("word_bpe_49k.json"))

@@ -136,3 +136,20 @@ def test_near_dup_keeps_unlike_rows_of_one_id(spark, docs):
     got = sorted(((r.doc_id, (r.text or "")[:4]) for r in kept.collect()), key=str)
     want = [(None, "w1x0"), (None, "w2x0"), (7, "w3x0"), (5, "w4x0"), (8, "w5x0"), (9, "w6x0"), (None, "w7x0"), (6, ""), (6, ""), (None, " ")]
     assert got == sorted(want, key=str) and kept.columns == docs.columns
+
+
+def test_run(spark):
+    """run() is its stages in their order, each on all rows of the one before (here dealt anew): its pieces are those of the documents that all earlier stages keep, whole, in sequences without gaps."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs.repartition(3), SF).collect(), docs.schema)
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {r.doc_id: len(tokens.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in docs.collect()}
+    got, sequences = Counter(), {}
+    for r in corpus_pipeline.run(spark, SF).collect():
+        got[r.doc_id] += r.length
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert got == want and 0 < len(want) < spark.read.parquet(f"{SF}/documents.parquet").count()
+    for s in sequences.values():
+        s.sort()
+        assert [o for o, _ in s] == [sum(n for _, n in s[:i]) for i in range(len(s))] and sum(n for _, n in s) <= 1024
