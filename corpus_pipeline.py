@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm import decontamination, language, near_dup, packing
-from strataflow.llm.common import written
+from strataflow.llm.common import discard, written
 
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -52,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages, one after the other, over the documents of sf_dir; a stage's table goes as soon as the next one's is written."""
+    docs, spent = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
+        discard(*spent)
+        spent = [docs]
     return docs
