@@ -16,7 +16,8 @@ from strataflow.sources.writers import timeline_records
 
 def _matches(spark, sf_dir):
     """Line items as matched points of their order's pair of sheets; returned ones are wrong by their quantity."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity", (F.col("l_partkey") % 977 * 7.0).alias("x"), (F.col("l_suppkey") * 50.0).alias("y"))
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(*[F.min(c).alias(c) for c in ("l_suppkey", "l_returnflag", "l_quantity")])
+    li = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity", (F.col("l_partkey") % 977 * 7.0).alias("x"), (F.col("l_suppkey") * 50.0).alias("y"))
     off = F.when(F.col("l_returnflag") == "R", F.col("l_quantity") * 9).otherwise(F.col("l_linenumber") % 3 * 0.5)
     return li.select("l_orderkey", (F.col("l_partkey") * 8 + F.col("l_linenumber")).alias("k"), "x", "y", (F.col("x") * 1.02 + 40 + off).alias("u"), (F.col("y") * 1.02 - 25 - off).alias("v"))
 
@@ -141,12 +142,13 @@ def tail_lookup(spark, sf_dir):
 
 def _bundle(spark, sf_dir):
     """Line items as entries of a bundle with a group for each supplier, in the order of their numbers; the index comes from the order within the supplier."""
-    li = table(spark, sf_dir, "lineitem").select("l_suppkey", (((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")) * 1_000 + F.col("l_suppkey") % 1_000).alias("key"), (F.col("l_quantity") + 10).cast("long").alias("len"), F.col("l_partkey"))
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", (((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")) * 1_000 + F.col("l_suppkey") % 1_000).alias("key"), (F.col("l_quantity") + 10).cast("long").alias("len"))
+    li = li.groupBy("l_suppkey", "key").agg(F.sum("len").alias("len"))
     from pyspark.sql import Window
 
     w = Window.partitionBy("l_suppkey").orderBy("key")
     at = F.coalesce(F.sum("len").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return li.select("l_suppkey", "key", "l_partkey", "len", (F.row_number().over(w) - 1).cast("long").alias("index"), (at + F.when(F.col("key") % 97 == 0, 1).otherwise(0)).alias("offset"))
+    return li.select("l_suppkey", "key", "len", (F.row_number().over(w) - 1).cast("long").alias("index"), (at + F.when(F.col("key") % 97 == 0, 1).otherwise(0)).alias("offset"))
 
 
 def bundle_faults(spark, sf_dir):
@@ -187,11 +189,11 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 _M = """m AS (SELECT p, k, x, y, 1.02::DOUBLE * x + 40 + o AS u, 1.02::DOUBLE * y - 25 - o AS v FROM (SELECT l_orderkey AS p, l_partkey * 8 + l_linenumber AS k, l_partkey % 977 * 7.0::DOUBLE AS x, l_suppkey * 50.0::DOUBLE AS y,
-  CASE WHEN l_returnflag = 'R' THEN l_quantity * 9 ELSE l_linenumber % 3 * 0.5::DOUBLE END AS o FROM lineitem))"""
+  CASE WHEN l_returnflag = 'R' THEN l_quantity * 9 ELSE l_linenumber % 3 * 0.5::DOUBLE END AS o FROM (SELECT l_orderkey, l_linenumber, l_partkey, min(l_suppkey) AS l_suppkey, min(l_returnflag) AS l_returnflag, min(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL)))"""
 _SCANS = """s AS (SELECT l_suppkey AS sheet, l_orderkey * 8 + l_linenumber AS layer, l_shipdate AS day, CAST(l_partkey % 40 AS INTEGER) AS x, CAST(l_quantity AS INTEGER) % 20 AS y, l_extendedprice AS v, l_returnflag <> 'R' AND l_suppkey % 10 <> 7 AS opaque FROM lineitem),
 t AS (SELECT * FROM s WHERE opaque AND (sheet % 3 <> 0 OR (x BETWEEN 10 AND 29 AND y BETWEEN 5 AND 14)))"""
 _PX = "g AS (SELECT l_suppkey AS sheet, CAST(l_quantity AS INTEGER) % 16 AS y, CAST(l_partkey % 20 AS INTEGER) AS x, CAST(sum(l_linenumber) AS BIGINT) AS v FROM lineitem GROUP BY ALL)"
-_ENTRIES = """b AS (SELECT l_suppkey, ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey % 1000 AS key, CAST(l_quantity + 10 AS BIGINT) AS len FROM lineitem),
+_ENTRIES = """b AS (SELECT l_suppkey, ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey % 1000 AS key, CAST(sum(CAST(l_quantity + 10 AS BIGINT)) AS BIGINT) AS len FROM lineitem GROUP BY ALL),
 e AS (SELECT *, row_number() OVER w - 1 AS i, coalesce(sum(len) OVER (PARTITION BY l_suppkey ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM b WINDOW w AS (PARTITION BY l_suppkey ORDER BY key))"""
 
 ORACLE = {
