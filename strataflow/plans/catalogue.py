@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strataflow.functions import expr as X
 from strataflow.functions import geo as G
 from strataflow.operators import cells as C
+from strataflow.operators import pages as P
 from strataflow.operators import reconcile as R
 from strataflow.operators import resolve as E
 from strataflow.plans.timeline import table
@@ -128,13 +129,15 @@ def catalogue_columns(spark, sf_dir):
 
 
 def link_set(spark, sf_dir):
-    """Basenames of all links of all pages; page_links has the operator for index pages."""
-    hrefs = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r'href="([^"]*)"'), 1)
-    return table(spark, sf_dir, "pages").select(F.explode(hrefs).alias("h")).select(F.lower(X.basename("h")).alias("link")).where("link <> ''").distinct()
+    """H7 on all pages, whose links are given the ending of a page and capitals."""
+    linked = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", 'href="([^".]*)[^"]*"', 'HREF="$1.HTML"').alias("html"))
+    return P.link_set(linked, "page_id").select("link").distinct()
 
 
 def payload_kinds(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(X.payload_kind("html").alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+    """B21 on pages, some of which stand behind the first bytes of another format, by what their addresses hold."""
+    head = F.when(F.col("url").contains("1"), "%PDF-1.4 ").when(F.col("url").contains("2"), "PK\x03\x04").when(F.col("url").contains("3"), "II*\x00").otherwise("")
+    return table(spark, sf_dir, "pages").select(F.col("url").contains("https").alias("secure"), X.payload_kind(F.concat(head, F.coalesce("html", F.lit("")))).alias("kind")).groupBy("secure", "kind").agg(F.count("*").alias("n"))
 
 
 def points(spark, sf_dir):
@@ -225,8 +228,8 @@ SELECT p.page_id, coalesce(c.path, o.path) AS path FROM p LEFT JOIN c ON c.page_
     "catalogue_columns": r"""WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS d, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 28 DAYS, '%Y-%m-%d') END AS e,
 'area_' || replace(replace(lower(regexp_replace(o_orderpriority, '^[0-9]-', '')), ' ', '_'), '-', '_') AS slug, CASE WHEN o_orderkey % 2 = 0 THEN 'north' END AS half FROM orders)
 SELECT o_orderkey, CASE WHEN e IS NULL THEN d ELSE d || '_to_' || e END AS validity, 'chart/' || slug || '/' || d || coalesce('-' || half, '') AS chart, CASE WHEN (o_orderkey % 5) * 90 IN (90, 180, 270) THEN CAST((o_orderkey % 5) * 90 AS INTEGER) ELSE 0 END AS rotation, half, CAST(coalesce(e, d) AS DATE) AS until, substring(d, 1, 3) || '0s' AS decade FROM o""",
-    "link_set": """SELECT DISTINCT lower(regexp_extract(h, '([^/]*)$', 1)) AS link FROM (SELECT unnest(regexp_extract_all(coalesce(html, ''), 'href="([^"]*)"', 1)) AS h FROM pages) WHERE regexp_extract(h, '([^/]*)$', 1) <> ''""",
-    "payload_kinds": "SELECT CASE WHEN starts_with(html, '%PDF') THEN 'pdf' WHEN starts_with(html, 'PK' || chr(3) || chr(4)) THEN 'zip' ELSE 'other' END AS kind, count(*) AS n FROM pages GROUP BY 1",
+    "link_set": r"""SELECT DISTINCT lower(regexp_extract(h, '([^/]*)$', 1)) || '.html' AS link FROM (SELECT unnest(regexp_extract_all(coalesce(html, ''), 'href="([^".]*)[^"]*"', 1)) AS h FROM pages) WHERE h <> '' AND h NOT LIKE '%#%'""",
+    "payload_kinds": r"""SELECT contains(url, 'https') AS secure, CASE WHEN contains(url, '1') THEN 'pdf' WHEN contains(url, '2') THEN 'zip' ELSE 'other' END AS kind, count(*) AS n FROM pages GROUP BY ALL""",
     "ident_match": f"""WITH {_POINTS}, d AS (SELECT p_partkey AS donor_id, p_partkey % 25 AS state, 30.0::DOUBLE + (p_partkey * 6571 % 1000) / 500.0::DOUBLE AS lat, -100.0::DOUBLE + (p_partkey * 15485 % 1000) / 500.0::DOUBLE AS lon, p_partkey % 50 AS ident FROM part),
 m AS (SELECT row_id, donor_id, precision, {_HAVERSINE} AS km FROM r JOIN d ON r.ident = d.ident AND r.state = d.state),
 b AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY km, donor_id) AS k FROM m WHERE km <= CASE precision WHEN 0 THEN 60 WHEN 1 THEN 25 ELSE 12 END)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions import expr as X
@@ -138,3 +138,21 @@ def wkt_rings(df: DataFrame, ref: str = "ref", wkt: str = "wkt") -> DataFrame:
     rings = F.regexp_extract_all(F.when(ok, t).otherwise(F.raise_error(F.concat(F.lit("not a polygon: "), t))), F.lit(r"\(\s*\(([^()]+)\)"), 1)
     point = lambda p: F.struct(F.split(F.trim(p), r"\s+")[0].cast("double").alias("lon"), F.split(F.trim(p), r"\s+")[1].cast("double").alias("lat"))
     return df.select(ref, F.posexplode(rings).alias("ring_no", "r")).select(ref, "ring_no", F.transform(F.split("r", ","), point).alias("ring"))
+
+
+def geojson_rings(df: DataFrame, ref: str = "ref", text: str = "geojson") -> DataFrame:
+    """A9. (ref, ring_no, ring array<struct<lon, lat>>) of the outer rings of a text's features, a feature or a bare geometry, of type Polygon or MultiPolygon; holes are left out. A text of another type is an error
+    when it is read; null has no rings. Rings of one ref, from several rows too, are united where they become cells (cells.ring_cells)."""
+    geometry = "struct<type: string, coordinates: string>"
+    parsed = F.from_json(F.col(text), f"struct<type: string, coordinates: string, geometry: {geometry}, features: array<struct<geometry: {geometry}>>>")
+    own = F.array(F.struct(F.col("_g.type").alias("type"), F.col("_g.coordinates").alias("coordinates")))
+    every = F.when(F.col("_g.type") == "FeatureCollection", F.transform("_g.features", lambda f: f["geometry"])).when(F.col("_g.type") == "Feature", F.array(F.col("_g.geometry"))).otherwise(own)
+    one = lambda c: F.array(F.get(F.from_json(c, "array<array<array<double>>>"), F.lit(0)))
+    many = lambda c: F.transform(F.from_json(c, "array<array<array<array<double>>>>"), lambda p: p[0])
+    other = lambda t: F.raise_error(F.concat(F.lit("not a polygon: "), F.coalesce(t, F.lit("null")))).cast("array<array<array<double>>>")
+    rows = df.where(F.col(text).isNotNull()).select(ref, parsed.alias("_g")).select(ref, F.posexplode(every).alias("_k", "_s"))
+    kind = F.col("_s.type")
+    rings = F.when(kind == "Polygon", one(F.col("_s.coordinates"))).when(kind == "MultiPolygon", many(F.col("_s.coordinates"))).otherwise(other(kind))
+    rows = rows.select(ref, "_k", F.posexplode(rings).alias("_i", "_r"))
+    point = lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))
+    return rows.select(ref, (F.row_number().over(Window.partitionBy(ref).orderBy("_k", "_i")) - 1).alias("ring_no"), F.transform("_r", point).alias("ring"))

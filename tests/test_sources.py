@@ -227,3 +227,17 @@ def test_heads_cost_their_own_bytes(spark, tmp_path):
     some = file_heads(spark, f"file://{tmp_path}/t", "*.pmtiles|*.other", files_per_task=1).where(F.col("path").endswith("c.pmtiles"))
     assert [(r.path.rpartition("/")[2], r.size, len(r.head)) for r in some.collect()] == [("c.pmtiles", 3 << 30, 127)] and some.rdd.getNumPartitions() == 1
     assert file_heads(spark, str(tmp_path / "t"), "*.none").count() == 0
+
+
+def test_geojson_rings(spark):
+    square = lambda x: [[x, 0.0], [x + 1, 0.0], [x + 1, 1.0], [x, 0.0]]
+    hole = [[0.2, 0.2], [0.3, 0.2], [0.3, 0.3], [0.2, 0.2]]
+    texts = {
+        "bare": {"type": "Polygon", "coordinates": [square(0), hole]}, "one": {"type": "Feature", "properties": {}, "geometry": {"type": "MultiPolygon", "coordinates": [[square(0), hole], [square(5)]]}},
+        "many": {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [square(2)]}}, {"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": [[square(3)], [square(4)]]}}]},
+    }
+    rows = spark.createDataFrame([(k, json.dumps(v)) for k, v in texts.items()] + [("null", None)], "ref string, geojson string")
+    got = sorted((r.ref, r.ring_no, r.ring[0].lon, len(r.ring)) for r in readers.geojson_rings(rows).collect())
+    assert got == [("bare", 0, 0.0, 4), ("many", 0, 2.0, 4), ("many", 1, 3.0, 4), ("many", 2, 4.0, 4), ("one", 0, 0.0, 4), ("one", 1, 5.0, 4)]
+    with pytest.raises(Exception, match="not a polygon: Point"):
+        readers.geojson_rings(spark.createDataFrame([("x", '{"type": "Point", "coordinates": [1, 2]}')], "ref string, geojson string")).collect()
