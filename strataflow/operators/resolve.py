@@ -43,7 +43,8 @@ def match_idents(rows: DataFrame, donors: DataFrame) -> DataFrame:
     asked = rows.select("row_id", "state", "lat", "lon", "precision", F.posexplode("idents").alias("pos", "ident"))
     have = donors.select("donor_id", "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), _title(donors), F.explode("idents").alias("ident"))
     met = asked.join(have, ["ident", "state"]).withColumn("km", haversine_km("lat", "lon", "dlat", "dlon")).where(F.col("km") <= gate_km("precision"))
-    return first_by(met, ["row_id"], "pos", "km", "donor_id", "title").select("row_id", "donor_id", "km", "ident", "dlat", "dlon", "title")
+    best = met.groupBy("row_id").agg(F.min(F.struct("pos", "km", "donor_id", "title", "ident", "dlat", "dlon")).alias("b"))  # partial: no sort of all that met
+    return best.select("row_id", "b.donor_id", "b.km", "b.ident", "b.dlat", "b.dlon", "b.title")
 
 
 def _title(donors: DataFrame):
