@@ -42,10 +42,10 @@ def overlaps(old: DataFrame, modern: DataFrame, least: float = 0.02, most: int =
 
     old: (old, cell); modern: (modern, cell). Listed are the `most` greatest shares above `least` (by the share to 3 places, then by name) with their rank, and the modern extent with
     the greatest share, whatever it is (ties: smaller name), as best; its rank is null if it isn't among the former. Leave extents that wrap around the antimeridian out
-    before (see `unwrapped`).
+    before (see `unwrapped`). The joins are by sort: cells that rows were exploded into count for little in Spark's estimates, and a broadcast of them would go through the driver.
     """
     size = old.groupBy("old").agg(F.countDistinct("cell").alias("cells"))
-    both = old.distinct().join(modern.distinct(), "cell").groupBy("old", "modern").agg(F.count("*").alias("n")).join(size, "old")
+    both = old.distinct().hint("merge").join(modern.distinct(), "cell").groupBy("old", "modern").agg(F.count("*").alias("n")).hint("merge").join(size, "old")
     # counts order shares exactly; a pair's rank counts only among those above `least`
     above, share = F.col("n") / F.col("cells") > least, F.round(F.col("n") / F.col("cells"), 3)
     by = Window.partitionBy("old")

@@ -165,3 +165,10 @@ def test_verify_other_untested_orders(spark):
     assert [r.key for r in L.newest_first(rows, "key").collect()] == ["2003-05-05", "2002-01-01", "2001-01-01_to_2001-02-01", "odd"]
     assert [(r.place, r.date) for r in L.by_location(rows, "place", "date").collect()] == [("a", "2003"), ("B", "1999"), ("B", None), ("b", "2001")]
     assert [r.key for r in L.first_n(rows, 2, F.desc("date")).collect()] == ["2003-05-05", "2001-01-01_to_2001-02-01"]
+
+
+def test_overlaps_send_no_cells_through_the_driver(spark):
+    cells = spark.range(40).select((F.col("id") % 4).alias("old"), F.col("id").alias("cell"))
+    out = C.overlaps(cells, cells.withColumnRenamed("old", "modern"))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r.old, r.modern, r["share"], r["rank"], r.best) for r in out.orderBy("old").collect()] == [(k, k, 1.0, 1, True) for k in range(4)]
