@@ -186,10 +186,13 @@ def donor_pool(rows: DataFrame, donors: DataFrame, locations: DataFrame) -> Data
     """C21. (row_id, donor_id): of the donors of a row's location, the same half first (if the row has one), then a whole sheet, then others; then the lowest edition (none: last).
 
     rows: row_id, location, half; donors: donor_id, name, half, edition; locations: position, location. A donor is of the first location (by position) that stands in its name. Names and
-    locations are met on a location's rarest letters (see `contained`), not compared all with all.
+    locations are met on a location's rarest letters (see `contained`), not compared all with all. No row meets all donors of its location.
     """
     sheets = donors.select("donor_id", "name", F.col("half").alias("donor_half"), "edition")
     of = first_by(contained(locations.select("position", "location"), "location", sheets, "name"), ["donor_id"], "position")
-    met = rows.join(of.select("location", "donor_id", "donor_half", "edition"), "location")
+    # rows of one location and half choose alike, from one donor of each half
+    best = of.groupBy("location", "donor_half").agg(F.min(F.struct(F.col("edition").isNull().alias("_n"), "edition", "donor_id")).alias("_b"))
     fit = F.when(F.col("half") == F.col("donor_half"), 0).when(F.col("donor_half").isNull(), 1).otherwise(2)
-    return first_by(met.withColumn("_f", fit), ["row_id"], "_f", F.asc_nulls_last("edition"), "donor_id").select("row_id", "donor_id")
+    met = rows.select("location", "half").distinct().join(best, "location").groupBy("location", "half").agg(F.min(F.struct(fit.alias("_f"), "_b")).alias("_b"))
+    chosen = rows.join(met.toDF("_l", "_h", "_b"), (F.col("location") == F.col("_l")) & F.col("half").eqNullSafe(F.col("_h")))
+    return chosen.groupBy("row_id").agg(F.min("_b").alias("_b")).select("row_id", "_b._b.donor_id")

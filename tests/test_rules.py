@@ -172,3 +172,25 @@ def test_overlaps_send_no_cells_through_the_driver(spark):
     out = C.overlaps(cells, cells.withColumnRenamed("old", "modern"))
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     assert [(r.old, r.modern, r["share"], r["rank"], r.best) for r in out.orderBy("old").collect()] == [(k, k, 1.0, 1, True) for k in range(4)]
+
+
+def most_joined(df):
+    """The most rows that a join of df's plan hands on, after a run."""
+
+    def nodes(p):
+        kind = p.getClass().getSimpleName()
+        below = [p.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [p.plan()] if kind.endswith("QueryStageExec") else [p.children().apply(i) for i in range(p.children().size())]
+        yield p
+        for q in below:
+            yield from nodes(q)
+
+    df.collect()
+    return max(p.metrics().apply("numOutputRows").value() for p in nodes(df._jdf.queryExecution().executedPlan()) if "Join" in p.nodeName() and p.metrics().contains("numOutputRows"))
+
+
+def test_rows_of_one_location_do_not_meet_all_its_donors(spark):
+    rows = spark.range(300).select(F.col("id").alias("row_id"), F.lit("ohio").alias("location"), F.when(F.col("id") % 3 == 0, "north").alias("half"))
+    donors = spark.range(1, 301).select(F.col("id").alias("donor_id"), F.lit("ohio_sheet").alias("name"), F.when(F.col("id") % 2 == 0, "north").when(F.col("id") % 5 == 0, "south").alias("half"), F.when(F.col("id") > 2, F.col("id") % 7).cast("int").alias("edition"))
+    out = E.donor_pool(rows, donors, spark.createDataFrame([(1, "ohio")], "position int, location string"))
+    assert {r.row_id: r.donor_id for r in out.collect()} == {k: 14 if k % 3 == 0 else 7 for k in range(300)}
+    assert most_joined(out) <= 1_000
