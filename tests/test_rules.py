@@ -194,3 +194,11 @@ def test_rows_of_one_location_do_not_meet_all_its_donors(spark):
     out = E.donor_pool(rows, donors, spark.createDataFrame([(1, "ohio")], "position int, location string"))
     assert {r.row_id: r.donor_id for r in out.collect()} == {k: 14 if k % 3 == 0 else 7 for k in range(300)}
     assert most_joined(out) <= 1_000
+
+
+def test_rows_of_one_name_find_their_file_once(spark):
+    rows = spark.range(300).select("id", F.concat(F.lit("own_"), (F.col("id") % 2).cast("string"), F.lit(".pdf")).alias("name"))
+    files = spark.range(300).select(F.concat(F.lit("r/big_own_"), F.col("id").cast("string"), F.lit("_x.jpg")).alias("path"))
+    out = R.resolve_files(rows, files, "id", "name")
+    assert {r.id: r.path for r in out.collect()} == {k: f"r/big_own_{k % 2}_x.jpg" for k in range(300)}
+    assert most_joined(out) <= 1_000
