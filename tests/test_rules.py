@@ -202,3 +202,12 @@ def test_rows_of_one_name_find_their_file_once(spark):
     out = R.resolve_files(rows, files, "id", "name")
     assert {r.id: r.path for r in out.collect()} == {k: f"r/big_own_{k % 2}_x.jpg" for k in range(300)}
     assert most_joined(out) <= 1_000
+
+
+def test_claims_that_say_the_same_are_looked_up_once(spark):
+    claims = spark.range(400).select("id", F.lit("dup").alias("dup"), F.when(F.col("id") < 200, "dole location/date Reno 1950-01-02").otherwise("rawtiffs cycle c1 has Re").alias("how")).withColumnRenamed("id", "rid")
+    rows = spark.range(200).select(F.lit("reno.tif").alias("filename"), F.lit("Reno").alias("location"), F.lit("1950-01-02").alias("date"), F.lit("1").alias("edition"))
+    files = spark.createDataFrame([("r/c1/reno.tif", "reno.tif", "reno", "c1", "tif")], "path string, base string, stem string, parent string, ext string")
+    out = R.claimed_matches(claims, rows, files)
+    assert {r.rid: r.matches for r in out.collect()} == {k: ["r/c1/reno.tif"] for k in range(400)}
+    assert most_joined(out) <= 1_000
