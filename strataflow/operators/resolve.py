@@ -7,27 +7,71 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.geo import haversine_km
 from strataflow.operators.reconcile import contained, first_by
+from strataflow.sources.tables import kept
 
 #: Degrees of a blocking cell. Its height is 11 km; gates of the name join are 6 km at most, and longitude degrees are widened by latitude.
 CELL = 0.1
 
 
-def near_cells(lat: str, lon: str):
-    """A point's cell and its eight neighbours, in a grid whose columns widen towards the poles, so that 6 km never reach past a neighbour."""
-    row = F.floor(F.col(lat) / CELL)
-    cells = F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda dy: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda dx: F.struct((row + dy).alias("y"), (_column(lon, row + dy) + dx).alias("x"))))
+def near_cells(lat: str, lon: str, size: float = CELL):
+    """A point's cell and its eight neighbours, in a grid whose columns widen towards the poles, so that 6 km (for other sizes, see `_wide`) never reach past a neighbour."""
+    row = F.floor(F.col(lat) / size)
+    cells = F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda dy: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda dx: F.struct((row + dy).alias("y"), (_column(lon, row + dy, size) + dx).alias("x"))))
     return F.flatten(cells)
 
 
-def _column(lon: str, row):
-    """The column number in a row of cells: columns are CELL / cos(latitude of the row's outer edge) wide."""
-    outer = F.least(F.greatest(F.abs(row * CELL), F.abs((row + 1) * CELL)), F.lit(85.0))
-    return F.floor(F.col(lon) * F.cos(F.radians(outer)) / CELL)
+def _column(lon: str, row, size: float):
+    """The column number in a row of cells: columns are size / cos(latitude of the row's outer edge) wide."""
+    outer = F.least(F.greatest(F.abs(row * size), F.abs((row + 1) * size)), F.lit(85.0))
+    return F.floor(F.col(lon) * F.cos(F.radians(outer)) / size)
 
 
-def own_cell(lat: str, lon: str):
-    row = F.floor(F.col(lat) / CELL)
-    return F.struct(row.alias("y"), _column(lon, row).alias("x"))
+def own_cell(lat: str, lon: str, size: float = CELL):
+    row = F.floor(F.col(lat) / size)
+    return F.struct(row.alias("y"), _column(lon, row, size).alias("x"))
+
+
+def _wide(km: float) -> float:
+    """Degrees of cells whose neighbours hold all within km: a tenth more than a degree's 111 km ask for, as columns of neighbouring rows differ."""
+    return km / 100.0
+
+
+def nearest(asked: DataFrame, have: DataFrame, keys: list[str], most: float) -> DataFrame:
+    """The distinct (keys, lat, lon, gate) of asked with `best`, the nearest of have with the same keys within gate kilometres (`most` at most): struct of km, what, dlat, dlon, ties by what.
+
+    have: keys, dlat, dlon, what. Places that several share count once. The search goes from small cells to ones of `most`: where something is found no farther than a cell is wide, it is settled, and only the others go on. So where
+    places lie close together few are looked at, and none is left out.
+    """
+    by = [*keys, "lat", "lon", "gate"]
+    left = asked.select(by).distinct()
+    have = kept(have.groupBy(*keys, "dlat", "dlon").agg(F.min("what").alias("what")))
+    out = None
+    for km in (most / 32, most / 8, most):
+        cells = left.withColumn("cell", F.explode(near_cells("lat", "lon", _wide(km))))
+        met = cells.join(have.withColumn("cell", own_cell("dlat", "dlon", _wide(km))), [*keys, "cell"]).withColumn("km", haversine_km("lat", "lon", "dlat", "dlon"))
+        best = met.where(F.col("km") <= F.least("gate", F.lit(float(most)))).groupBy(by).agg(F.min(F.struct("km", "what", "dlat", "dlon")).alias("best"))
+        if km < most:
+            tried = kept(left.join(best, by, "left"))
+            best, left = tried.where(F.col("best.km") <= km), tried.where(~F.coalesce(F.col("best.km") <= km, F.lit(False))).select(by)
+        out = best if out is None else out.unionByName(best)
+    return out
+
+
+def _names_nearby(asked: DataFrame, have: DataFrame, by: list[str]) -> DataFrame:
+    """The distinct names of asked (by, cell, and all its other columns, with tokens) and of have (by, cell, dtokens, ..) in the same or a neighbouring cell one of which has all words of the other, as rows.
+
+    As one name contains the other, they share the rarer name's rarest word, counted over both sides: each name offers all its words and asks by its own rarest, from either side, so a word that most names have
+    brings together only names that have no other. asked has near, the cells nearby, besides its cell.
+    """
+    asked, have = asked.distinct(), have.distinct()
+    words = asked.select(F.explode("tokens").alias("word")).unionByName(have.select(F.explode("dtokens").alias("word"))).groupBy("word").agg(F.count("*").alias("k"))
+    rare = lambda side, c: side.select(F.col(c).alias("name")).distinct().select("name", F.explode("name").alias("word")).join(words, "word").groupBy("name").agg(F.min_by("word", F.struct("k", "word")).alias("rarest"))
+    asked = asked.join(rare(asked, "tokens").withColumnRenamed("name", "tokens"), "tokens").withColumn("at", F.explode("near")).drop("near")
+    have = have.join(rare(have, "dtokens").withColumnRenamed("name", "dtokens"), "dtokens").withColumnRenamed("cell", "at")
+    one = asked.withColumn("token", F.col("rarest")).drop("rarest").join(have.withColumn("token", F.explode("dtokens")).drop("rarest"), [*by, "at", "token"])
+    two = asked.withColumn("token", F.explode("tokens")).drop("rarest").join(have.withColumn("token", F.col("rarest")).drop("rarest"), [*by, "at", "token"])
+    met = one.unionByName(two.select(one.columns)).drop("at", "token")
+    return met.where((F.size(F.array_except("dtokens", "tokens")) == 0) | (F.size(F.array_except("tokens", "dtokens")) == 0)).distinct()
 
 
 def gate_km(precision):
@@ -40,11 +84,12 @@ def match_idents(rows: DataFrame, donors: DataFrame) -> DataFrame:
 
     rows: row_id, idents, state, lat, lon, precision. donors: donor_id, idents, state, lat, lon, and title if they have one. Also returned: ident, dlat, dlon and title of the donor met.
     """
-    asked = rows.select("row_id", "state", "lat", "lon", "precision", F.posexplode("idents").alias("pos", "ident"))
-    have = donors.select("donor_id", "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), _title(donors), F.explode("idents").alias("ident"))
-    met = asked.join(have, ["ident", "state"]).withColumn("km", haversine_km("lat", "lon", "dlat", "dlon")).where(F.col("km") <= gate_km("precision"))
-    best = met.groupBy("row_id").agg(F.min(F.struct("pos", "km", "donor_id", "title", "ident", "dlat", "dlon")).alias("b"))  # partial: no sort of all that met
-    return best.select("row_id", "b.donor_id", "b.km", "b.ident", "b.dlat", "b.dlon", "b.title")
+    asked = rows.select("row_id", "state", "lat", "lon", gate_km("precision").alias("gate"), F.posexplode("idents").alias("pos", "ident"))
+    have = donors.select("state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.struct("donor_id", _title(donors)).alias("what"), F.explode("idents").alias("ident"))
+    keys = ["ident", "state"]
+    met = asked.join(nearest(asked, have, keys, 60.0), [*keys, "lat", "lon", "gate"])
+    best = met.groupBy("row_id").agg(F.min(F.struct("pos", "best.km", "best.what", "ident", "best.dlat", "best.dlon")).alias("b"))  # partial: no sort of all that met
+    return best.select("row_id", "b.what.donor_id", "b.km", "b.ident", "b.dlat", "b.dlon", "b.what.title")
 
 
 def _title(donors: DataFrame):
@@ -59,31 +104,27 @@ def match_names(rows: DataFrame, donors: DataFrame, wide: float = 6.0, close: fl
     the names be equal and within `close`. Words that are all of the city's name don't do where the donor has further ones. A variant (auxiliary, outlying and the like) meets a donor
     that is none within 3 km only.
 
-    Candidates come from an equi-join on state, cell and one word. As one name contains the other, they share the rarer name's rarest word, counted over both sides: each name offers all its
-    words and asks by its own rarest, from either side, so a word that most names have brings together only names that have no other. A pair that is met in several ways counts once.
+    First the different names of a cell meet those nearby (see `_names_nearby`), which says how many words are shared and how far a donor may be; then each place looks for the nearest donor of each such name.
     """
-    asked = rows.withColumn("alias", F.explode("aliases")).select("row_id", "city_tokens", "state", "lat", "lon", "precision", F.sort_array(F.array_distinct("alias.tokens")).alias("tokens"), F.col("alias.variant").alias("variant"))
+    asked = rows.withColumn("alias", F.explode("aliases")).select("row_id", "city_tokens", "state", "lat", "lon", "precision", F.sort_array(F.array_distinct("alias.tokens")).alias("tokens"), F.col("alias.variant").alias("variant"), own_cell("lat", "lon").alias("cell"))
     have = donors.where("name_ok is null or name_ok").withColumn("name", F.explode("names")).select(
-        "donor_id", "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), _title(donors), F.sort_array(F.array_distinct("name.tokens")).alias("dtokens"), F.col("name.variant").alias("dvariant"), own_cell("lat", "lon").alias("cell"),
+        "state", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.struct("donor_id", _title(donors)).alias("what"), F.sort_array(F.array_distinct("name.tokens")).alias("dtokens"), F.coalesce("name.variant", F.lit(False)).alias("dvariant"), own_cell("lat", "lon").alias("cell"),
     )
-    words = asked.select(F.explode("tokens").alias("word")).unionByName(have.select(F.explode("dtokens").alias("word"))).groupBy("word").agg(F.count("*").alias("k"))
-    rare = lambda side, c: side.select(F.col(c).alias("name")).distinct().select("name", F.explode("name").alias("word")).join(words, "word").groupBy("name").agg(F.min_by("word", F.struct("k", "word")).alias("rarest"))
-    asked = asked.join(rare(asked, "tokens").withColumnRenamed("name", "tokens"), "tokens").withColumn("cell", F.explode(near_cells("lat", "lon")))
-    have = have.join(rare(have, "dtokens").withColumnRenamed("name", "dtokens"), "dtokens")
-    one = asked.withColumn("token", F.col("rarest")).drop("rarest").join(have.withColumn("token", F.explode("dtokens")).drop("rarest"), ["state", "cell", "token"])
-    two = asked.withColumn("token", F.explode("tokens")).drop("rarest").join(have.withColumn("token", F.col("rarest")).drop("rarest"), ["state", "cell", "token"])
-    met = one.unionByName(two.select(one.columns))
-    met = met.withColumn("km", haversine_km("lat", "lon", "dlat", "dlon")).where(F.col("km") <= F.when(F.col("precision") <= 1, wide).otherwise(close))
+    # neighbours of a cell as neighbours of all of its points: one point's may be other ones where columns shift
+    near = asked.select("state", "cell", "city_tokens", "tokens", "variant", near_cells("lat", "lon").alias("near"))
     shared, further = F.array_intersect("tokens", "dtokens"), F.size(F.array_except("dtokens", "tokens")) > 0
-    met = met.withColumn("shared", F.size(shared))
-    contain = (F.col("shared") == F.size("tokens")) | (F.col("shared") == F.size("dtokens"))
-    equal = (F.col("shared") == F.size("tokens")) & ~further & (F.col("km") <= close)
+    pairs = _names_nearby(near, have.select("state", "cell", "dtokens", "dvariant"), ["state"]).withColumn("shared", F.size(shared))
     only_city = (F.size(F.array_except(shared, "city_tokens")) == 0) & further
-    apart = F.col("variant") & ~F.col("dvariant") & (F.col("km") > 3.0)
-    good = met.where(contain & ((F.col("shared") >= 2) | equal) & ~only_city & ~apart)
-    # the best of a row by partial aggregation: the same pair twice changes nothing
-    best = good.groupBy("row_id").agg(F.min(F.struct((-F.col("shared")).alias("s"), "km", "donor_id", "title", "dlat", "dlon")).alias("b"))
-    return best.select("row_id", "b.donor_id", "b.km", (-F.col("b.s")).alias("shared"), "b.dlat", "b.dlon", "b.title")
+    pairs = pairs.where(((F.col("shared") >= 2) | ((F.col("shared") == F.size("tokens")) & ~further)) & ~only_city)
+    apart = F.coalesce(F.col("variant") & ~F.col("dvariant"), F.lit(True))
+    pairs = pairs.select("state", "cell", "tokens", "dtokens", "dvariant", "shared", F.col("variant").alias("_v"), F.col("city_tokens").alias("_c"), F.when(F.col("shared") < 2, close).alias("_g"), F.when(apart, 3.0).alias("_a"))
+    same = [F.col(f"a.{c}") == F.col(f"p.{c}") for c in ("state", "cell", "tokens")] + [F.col("a.variant").eqNullSafe(F.col("p._v")), F.col("a.city_tokens").eqNullSafe(F.col("p._c"))]
+    wanted = asked.alias("a").join(pairs.alias("p"), same).select("row_id", "a.state", "lat", "lon", "dtokens", "dvariant", "shared", F.least(F.when(F.col("precision") <= 1, wide).otherwise(close), "_g", "_a").alias("gate"))
+    wanted = kept(wanted)  # read twice: for the places, and for the rows that are there
+    keys = ["state", "dtokens", "dvariant"]
+    met = wanted.join(nearest(wanted, have, keys, max(wide, close)), [*keys, "lat", "lon", "gate"])
+    best = met.groupBy("row_id").agg(F.min(F.struct((-F.col("shared")).alias("s"), "best.km", "best.what", "best.dlat", "best.dlon")).alias("b"))
+    return best.select("row_id", "b.what.donor_id", "b.km", (-F.col("b.s")).alias("shared"), "b.dlat", "b.dlon", "b.what.title")
 
 
 def cascade(rows: DataFrame, donors: list[tuple[str, DataFrame]]) -> DataFrame:
@@ -95,8 +136,11 @@ def cascade(rows: DataFrame, donors: list[tuple[str, DataFrame]]) -> DataFrame:
     """
     asked, every = rows.where(~F.coalesce(F.col("skip"), F.lit(False))), None
     for i, (label, have) in enumerate(donors):
-        by_ident = match_idents(asked, have).withColumn("match_via", F.concat(F.lit("ident:"), "ident"))
-        for k, found in enumerate((by_ident, match_names(asked, have).withColumn("match_via", F.lit("name")))):
+        by_ident = lambda left: match_idents(left, have).withColumn("match_via", F.concat(F.lit("ident:"), "ident"))  # noqa: B023, E731
+        by_name = lambda left: match_names(left, have).withColumn("match_via", F.lit("name"))  # noqa: B023, E731
+        for k, look in enumerate((by_ident, by_name)):
+            found = kept(look(asked))
+            asked = asked.join(found.select("row_id"), "row_id", "left_anti")  # the first hit stands: only the others go on
             one = found.select("row_id", F.col("donor_id").alias("match_id"), F.col("title").alias("match_name"), F.col("km").alias("match_km"), F.col("dlat").alias("_lat"), F.col("dlon").alias("_lon"), "match_via", F.lit(label).alias("match_donor"), F.lit(2 * i + k).alias("_try"))
             every = one if every is None else every.unionByName(one)
     hit = ["match_id", "match_name", "match_km", "match_via", "match_donor", "_lat", "_lon"]
@@ -132,16 +176,31 @@ def nearby_lifespans(rows: DataFrame, spans: DataFrame, km: float = 3.0) -> Data
     them, say `lifespan_csv` for what was filled in.
 
     rows: row_id, aliases (array of arrays of words), lat, lon, start_year, stop_year, status; spans: line, tokens, lat, lon, start_year, stop_year. Only rows without a start, or without a
-    stop and not open, are looked at. A stop isn't filled in where the status is open; elsewhere it makes the status gone. A span or an alias without words matches nothing. The first span is taken by a partial
-    aggregate.
+    stop and not open, are looked at. A stop isn't filled in where the status is open; elsewhere it makes the status gone. A span or an alias without words matches nothing. Spans are looked through from small
+    lines on, and places that are settled don't go on; places and names that several share count once.
     """
     is_open = F.coalesce(F.col("status") == "open", F.lit(False))
     lacking = rows.where(F.col("start_year").isNull() | (F.col("stop_year").isNull() & ~is_open))
-    asked = lacking.select("row_id", "lat", "lon", F.explode("aliases").alias("tokens")).where(F.size("tokens") > 0).withColumn("cell", F.explode(near_cells("lat", "lon")))
-    have = spans.where(F.size("tokens") > 0).select("line", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), F.col("tokens").alias("dtokens"), F.col("start_year").alias("s"), F.col("stop_year").alias("e"), own_cell("lat", "lon").alias("cell"))
-    met = asked.join(have, "cell").where(haversine_km("lat", "lon", "dlat", "dlon") <= km)
-    met = met.where((F.size(F.array_except("dtokens", "tokens")) == 0) | (F.size(F.array_except("tokens", "dtokens")) == 0))
-    best = met.groupBy("row_id").agg(F.min(F.struct("line", "s", "e")).alias("_b")).select("row_id", "_b.s", "_b.e")
+    words = lambda c: F.sort_array(F.array_distinct(c))
+    asked = lacking.select("row_id", "lat", "lon", F.explode("aliases").alias("tokens")).where(F.size("tokens") > 0).withColumn("tokens", words("tokens"))
+    have = spans.where(F.size("tokens") > 0).select(F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), words("tokens").alias("dtokens"), F.struct("line", F.col("start_year").alias("s"), F.col("stop_year").alias("e")).alias("b"))
+    size = _wide(km)
+    cell = own_cell("lat", "lon")
+    pairs = kept(_names_nearby(asked.select(cell.alias("cell"), near_cells("lat", "lon").alias("near"), "tokens"), have.select(own_cell("dlat", "dlon").alias("cell"), "dtokens"), []))
+    left = asked.select("lat", "lon", "tokens").distinct()
+    have = kept(have.groupBy("dlat", "dlon", "dtokens").agg(F.min("b").alias("b")).withColumn("at", own_cell("dlat", "dlon", size)))
+    parts = have.agg(F.percentile_approx("b.line", F.array(F.lit(1 / 64), F.lit(1 / 8)), 10_000)).first()[0] or []
+    found = None
+    for least in [*parts, None]:  # spans with small lines first: where one is found, later lines are none the better
+        some = have if least is None else have.where((F.col("b.line") <= least) | F.col("b.line").isNull())
+        near = left.withColumn("cell", cell).join(pairs, ["cell", "tokens"]).withColumn("at", F.explode(near_cells("lat", "lon", size)))
+        met = near.join(some, ["dtokens", "at"]).where(haversine_km("lat", "lon", "dlat", "dlon") <= km)
+        one = met.groupBy("lat", "lon", "tokens").agg(F.min("b").alias("b"))
+        if least is not None:
+            tried = kept(left.join(one, ["lat", "lon", "tokens"], "left"))
+            one, left = tried.where("b is not null"), tried.where("b is null").drop("b")
+        found = one if found is None else found.unionByName(one)
+    best = asked.join(found, ["lat", "lon", "tokens"]).groupBy("row_id").agg(F.min("b").alias("b")).select("row_id", "b.s", "b.e")
     out, ended = rows.join(best, "row_id", "left"), F.col("stop_year").isNull() & ~is_open & F.col("e").isNotNull()
     begun = F.col("start_year").isNull() & F.col("s").isNotNull()
     filled = {"status": (ended, F.lit("gone")), "stop_year": (ended, F.col("e")), "start_year": (begun, F.col("s")), "end_basis": (ended, F.lit("lifespan_csv")), "start_basis": (begun, F.lit("lifespan_csv"))}
