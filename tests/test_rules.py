@@ -211,3 +211,12 @@ def test_claims_that_say_the_same_are_looked_up_once(spark):
     out = R.claimed_matches(claims, rows, files)
     assert {r.rid: r.matches for r in out.collect()} == {k: ["r/c1/reno.tif"] for k in range(400)}
     assert most_joined(out) <= 1_000
+
+
+def test_missing_inputs_meet_no_file_more_than_once(spark):
+    rows = spark.range(100).select("id", F.when(F.col("id") == 7, "gone.tif").when(F.col("id") == 8, "p.zip").when(F.col("id") == 9, "s.tif").when(F.col("id") == 10, "s.zip").otherwise("a.TIF").alias("name"), F.lit("x").alias("link"), F.lit("d").alias("date"))
+    files = spark.range(100).select(F.lit("r/a.tif").alias("path"), F.lit("A.tif").alias("base"), F.lit("a").alias("stem"), F.lit("p").alias("parent"), F.lit("tif").alias("ext"))
+    files = files.union(spark.createDataFrame([("r/s.pdf", "s.pdf", "s", "r", "pdf")], files.schema))
+    out = R.missing_inputs(rows, files, "id", "name", "link", "date")
+    assert [r.id for r in out.collect()] == [7, 10]
+    assert most_joined(out) <= 200
