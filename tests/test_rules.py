@@ -220,3 +220,17 @@ def test_missing_inputs_meet_no_file_more_than_once(spark):
     out = R.missing_inputs(rows, files, "id", "name", "link", "date")
     assert [r.id for r in out.collect()] == [7, 10]
     assert most_joined(out) <= 200
+
+
+def test_places_that_several_share_are_looked_at_once(spark):
+    """Identifiers, names and lifespans: rows and donors of one place don't meet one by one."""
+    alias = F.array(F.struct(F.array(F.lit("old"), F.lit("town")).alias("tokens"), F.lit(False).alias("variant")))
+    place = [F.lit("S").alias("state"), F.lit(30.0).alias("lat"), F.lit(-90.0).alias("lon"), F.array(F.lit("K1")).alias("idents")]
+    rows = spark.range(200).select(F.col("id").alias("row_id"), *place, F.lit(1).alias("precision"), alias.alias("aliases"), F.array().cast("array<string>").alias("city_tokens"))
+    donors = spark.range(5, 205).select(F.col("id").alias("donor_id"), *place, alias.alias("names"), F.lit(True).alias("name_ok"))
+    for out in (E.match_idents(rows, donors), E.match_names(rows, donors)):
+        assert {r.donor_id for r in out.collect()} == {5} and most_joined(out) <= 1_000
+    spare = rows.select("row_id", "lat", "lon", F.expr("array(array('old'))").alias("aliases"), F.lit(None).cast("int").alias("start_year"), F.lit(1960).alias("stop_year"), F.lit("x").alias("status"))
+    spans = donors.select(F.col("donor_id").alias("line"), "lat", "lon", F.expr("array('old', 'town')").alias("tokens"), F.col("donor_id").cast("int").alias("start_year"), F.lit(1).alias("stop_year"))
+    out = E.nearby_lifespans(spare, spans)
+    assert {r.start_year for r in out.collect()} == {5} and most_joined(out) <= 1_000
