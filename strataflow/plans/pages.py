@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataflow.operators import pages as P
-from strataflow.plans.timeline import table
+from strataflow.plans.timeline import spread, table
 
 
 def _pages(spark, sf_dir):
@@ -45,7 +45,7 @@ _TWO = "lpad(CAST({0} % 100 AS VARCHAR(2)), 2, '0')"
 
 def _placed(spark, sf_dir):
     """Customers with hundredths of a latitude and a longitude, and the texts `12.34` of both."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", (1000 + F.col("c_custkey") * 37 % 7000).alias("la"), (5000 + F.col("c_custkey") * 91 % 14000).alias("lo"))
+    c = spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("c_custkey", (1000 + F.col("c_custkey") * 37 % 7000).alias("la"), (5000 + F.col("c_custkey") * 91 % 14000).alias("lo"))
     number = lambda x: F.concat(F.expr(f"cast({x} div 100 as string)"), F.lit("."), F.lpad((F.col(x) % 100).cast("string"), 2, "0"))
     return c.withColumn("lat_s", number("la")).withColumn("lon_s", number("lo"))
 

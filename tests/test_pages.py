@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow.operators import pages as P
+from strataflow.plans import pages as pages_plan
 
 PAGE = """<!DOCTYPE html><html><head><title> Old <!-- x --> Fields </title><style>p{}</style></head><body>
 <p> One &amp; two <a name=" first ">here</a><!-- gone --> and</p><a name="second"></a><script>var a = "<b>";</script> end <a href="x.HTML">l</a></body></html>"""
@@ -157,3 +158,15 @@ def test_references_without_a_semicolon_stand_as_they_are(spark):
 
 def page_streams_of(spark, html):
     return P.page_streams(spark.createDataFrame([(html,)], "html string")).first()
+
+
+def test_pairs_are_searched_for_once_however_often_they_are_named(spark):
+    """A filter on the pairs must not be moved below them: each mention would then search the text anew, also for every pair."""
+    rows = spark.createDataFrame([("Name 40.1, -80.2", 0, [(0, "a")])], "section_text string, section_start int, anchors array<struct<offset:int,name:string>>")
+    plan = P.entries(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(P._INSIDE_NUMBER) == 1
+
+
+def test_placed_customers_are_dealt_out(spark):
+    """One row group is no single task."""
+    assert pages_plan.index_entries(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
