@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.expr import col
 from strataflow.functions.geo import lcc_forward, lcc_inverse
-from strataflow.operators.logs import affine_fits, similarity_fits
+from strataflow.operators.logs import AFFINE_MAP, CENTRED_SUMS, MEANS, SIMILARITY_MAP, SIMILARITY_SUMS, with_affine, with_similarity
 
 
 def sample_windows(sheets: DataFrame, key: str, fractions_x: list[float], fractions_y: list[float], size: int, width: str = "width", height: str = "height") -> DataFrame:
@@ -37,23 +37,31 @@ def _named(points: DataFrame, by: tuple, suffix: str) -> DataFrame:
 
 
 def _most_agreed(hypotheses: DataFrame, points: DataFrame, by: tuple, order: list[str], off: Column, within: float) -> DataFrame:
-    """For each group the first hypothesis (by `order`) with most points within `within`, joined with the points that agree with it."""
+    """For each group the first hypothesis (by `order`) with most points within `within`."""
     model = [c for c in hypotheses.columns if c not in (*by, *order)]
-    votes = hypotheses.join(points, list(by)).groupBy(*by, *order, *model).agg(F.count_if(off < within).alias("votes"))
+    votes = hypotheses.join(points, list(by)).groupBy(*by, *order).agg(F.count_if(off < within).alias("votes"), *[F.first(c).alias(c) for c in model])
     # most votes, then the first: orders are compared downwards
-    best = votes.groupBy(*by).agg(F.max_by(F.struct("votes", *model), F.struct(F.col("votes"), *[-F.col(c) for c in order])).alias("b"))
-    return best.select(*by, "b.*").join(points, list(by)).where(off < within)
+    best = votes.groupBy(*by).agg(F.max_by(F.struct(*model), F.struct(F.col("votes"), *[-F.col(c) for c in order])).alias("b"))
+    return best.select(*by, "b.*")
 
 
 def _off(u: str, v: str) -> Column:
     return F.sqrt(F.pow(F.expr(f"u - ({u})"), 2) + F.pow(F.expr(f"v - ({v})"), 2))
 
 
-def _told(matches: DataFrame, by: tuple, inliers: DataFrame, fit: DataFrame, names: list[str], least: int) -> DataFrame:
-    """One row for each group of matches: its status, how many matches it has, and the fit if enough of them agree."""
-    n = matches.groupBy(*by).agg(F.count("*").alias("matches"))
-    agreed = inliers.groupBy(*by).agg(F.count("*").alias("inliers"))
-    out = n.join(agreed, list(by), "left").join(fit.drop("n"), list(by), "left").withColumn("inliers", F.coalesce("inliers", F.lit(0)))
+def _told(points: DataFrame, by: tuple, best: DataFrame, off: Column, within: float, sums: list[dict], fitted, fit_map: tuple, names: list[str], least: int) -> DataFrame:
+    """One row for each group of matches: its status, how many matches it has, how many agree with its best hypothesis, and the fit of these if they are enough.
+
+    sums: what is added up (n: counted, m: averaged) over the matches that agree, one window after the other; fitted adds the fit's columns to them. Windows keep the matches beside their
+    group's sums, so the search for hypotheses, which costs most, has one reader: with a join for each count, sum and residual it would run for each of these.
+    """
+    group = Window.partitionBy(*by)
+    held = points.join(best, list(by), "left").withColumn("_in", F.coalesce(off < within, F.lit(False)))
+    held = held.withColumns({"matches": F.count("*").over(group), "inliers": F.count_if("_in").over(group)})
+    for some in sums:
+        held = held.withColumns({n: (F.avg if n in MEANS else F.sum)(F.when(F.col("_in"), F.expr(e))).over(group) for n, e in some.items()})
+    held = fitted(held).withColumn("_off", F.when(F.col("_in"), _off(*fit_map)))
+    out = held.groupBy(*by).agg(*[F.first(c).alias(c) for c in ("matches", "inliers", *names)], F.max("_off").alias("max_residual"))
     status = F.when(F.col("matches") < least, "too few matches").when(F.col("inliers") < least, "no consensus").otherwise("ok")
     out = out.withColumn("status", status)
     return out.select(*by, "status", "matches", "inliers", *[F.when(F.col("status") == "ok", F.col(c)).alias(c) for c in [*names, "max_residual"]])
@@ -74,8 +82,10 @@ def similarity_consensus(matches: DataFrame, *by: str, order: str = "k", apart:
     span = F.sqrt(F.pow(F.expr("x2 - x1"), 2) + F.pow(F.expr("y2 - y1"), 2))
     both = both.withColumn("span", span).where(F.col("span") >= apart).withColumn("s", F.sqrt(F.pow(F.expr("u2 - u1"), 2) + F.pow(F.expr("v2 - v1"), 2)) / F.col("span"))
     hypotheses = both.where(F.col("s").between(*scales)).select(*by, "k1", "k2", "s", F.expr("u1 - s * x1").alias("sx"), F.expr("v1 - s * y1").alias("sy"))
-    inliers = _most_agreed(hypotheses, points, by, ["k1", "k2"], _off("s * x + sx", "s * y + sy"), within)
-    return _told(points, by, inliers, similarity_fits(inliers, *by), ["scale", "tx", "ty"], least)
+    hypotheses = hypotheses.select(*by, "k1", "k2", *[F.col(c).alias(f"h{c}") for c in ("s", "sx", "sy")])
+    off = _off("hs * x + hsx", "hs * y + hsy")
+    best = _most_agreed(hypotheses, points, by, ["k1", "k2"], off, within)
+    return _told(points, by, best, off, within, [SIMILARITY_SUMS], with_similarity, SIMILARITY_MAP, ["scale", "tx", "ty"], least)
 
 
 def affine_consensus(matches: DataFrame, *by: str, order: str = "k", area: float = 1e5, within: float = 12.0, least: int = 4) -> DataFrame:
@@ -91,8 +101,9 @@ def affine_consensus(matches: DataFrame, *by: str, order: str = "k", area: float
         three = three.withColumn(p, F.expr(f"(({w}2 - {w}1) * (y3 - y1) - ({w}3 - {w}1) * (y2 - y1)) / det")).withColumn(q, F.expr(f"(({w}3 - {w}1) * (x2 - x1) - ({w}2 - {w}1) * (x3 - x1)) / det"))
         three = three.withColumn(r, F.expr(f"{w}1 - {p} * x1 - {q} * y1"))
     hypotheses = three.select(*by, "k1", "k2", "k3", "ha", "hb", "hc", "hd", "he", "hf")
-    inliers = _most_agreed(hypotheses, points, by, ["k1", "k2", "k3"], _off("ha * x + hb * y + hc", "hd * x + he * y + hf"), within)
-    return _told(points, by, inliers, affine_fits(inliers, *by), list("abcdef"), least)
+    off = _off("ha * x + hb * y + hc", "hd * x + he * y + hf")
+    best = _most_agreed(hypotheses, points, by, ["k1", "k2", "k3"], off, within)
+    return _told(points, by, best, off, within, [MEANS, CENTRED_SUMS], with_affine, AFFINE_MAP, list("abcdef"), least)
 
 
 def corner_points(fits: DataFrame, width: str = "width", height: str = "height", cone: tuple = ("lat1", "lat2", "lat0", "lon0"), geo: tuple = ("x0", "dx", "y0", "dy")) -> DataFrame:

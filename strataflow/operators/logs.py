@@ -116,35 +116,53 @@ def newest_first(rows: DataFrame, key: str, *more) -> DataFrame:
     return rows.orderBy(F.desc(F.coalesce(key_dates(key)["start"], F.lit("0001-01-01").cast("date"))), *more)
 
 
-def affine_fits(points: DataFrame, *by: str) -> DataFrame:
-    """D13. For each group of point pairs (x, y) -> (u, v): n, the coefficients of u = a x + b y + c and v = d x + e y + f by least squares, and the greatest residual.
+# What least squares add up over matched points (x, y) -> (u, v), by name: for a similarity, and for an affine map the means first, then sums about these.
+SIMILARITY_SUMS = {"n": "1", "sx": "x", "sy": "y", "su": "u", "sv": "v", "q": "x * x + y * y", "p": "x * u + y * v"}
+MEANS = {f"m{n}": n for n in ("x", "y", "u", "v")}
+CENTRED_SUMS = {p + q: f"({p} - m{p}) * ({q} - m{q})" for p, q in ("xx", "xy", "yy", "xu", "yu", "xv", "yv")}
+SIMILARITY_MAP = ("scale * x + tx", "scale * y + ty")
+AFFINE_MAP = ("a * x + b * y + c", "d * x + e * y + f")
 
-    Coefficients come from sums about the means (one partial aggregation and one more for the means); null where the points lie on a line. The residual takes one
-    further pass over the points.
-    """
-    names = ["x", "y", "u", "v"]
-    good = points.where(F.greatest(*[F.col(n).isNull().cast("int") for n in names]) == 0).select(*by, *names)
-    means = good.groupBy(*by).agg(*[F.avg(n).alias(f"m{n}") for n in names], F.count("*").alias("n"))
-    c = {n: F.col(n) - F.col(f"m{n}") for n in names}
-    sums = good.join(means, list(by)).groupBy(*by).agg(*[F.first(f"m{n}").alias(f"m{n}") for n in names], F.first("n").alias("n"), *[F.sum(c[p] * c[q]).alias(p + q) for p, q in ("xx", "xy", "yy", "xu", "yu", "xv", "yv")])
+
+def with_affine(sums: DataFrame) -> DataFrame:
+    """sums (MEANS and CENTRED_SUMS) with the coefficients a to f; null where the points lie on a line."""
     d = F.col("xx") * F.col("yy") - F.col("xy") * F.col("xy")
     d = F.when(F.abs(d) > 1e-12 * F.col("xx") * F.col("yy"), d)
     fit = sums
     for p, q, w in (("a", "b", "u"), ("d", "e", "v")):
         fit = fit.withColumn(p, (F.col("yy") * F.col(f"x{w}") - F.col("xy") * F.col(f"y{w}")) / d).withColumn(q, (F.col("xx") * F.col(f"y{w}") - F.col("xy") * F.col(f"x{w}")) / d)
-    fit = fit.withColumn("c", F.expr("mu - a * mx - b * my")).withColumn("f", F.expr("mv - d * mx - e * my")).select(*by, "n", "a", "b", "c", "d", "e", "f")
-    return _with_residual(good, fit, by, "a * x + b * y + c", "d * x + e * y + f")
+    return fit.withColumn("c", F.expr("mu - a * mx - b * my")).withColumn("f", F.expr("mv - d * mx - e * my"))
+
+
+def with_similarity(sums: DataFrame) -> DataFrame:
+    """sums (SIMILARITY_SUMS) with scale, tx and ty; null where all points are one."""
+    spread = F.expr("n * q - sx * sx - sy * sy")
+    fit = sums.withColumn("scale", F.when(spread > 0, F.expr("n * p - sx * su - sy * sv") / spread))
+    return fit.withColumn("tx", F.expr("(su - scale * sx) / n")).withColumn("ty", F.expr("(sv - scale * sy) / n"))
+
+
+def _good(points: DataFrame, by: tuple) -> DataFrame:
+    names = ["x", "y", "u", "v"]
+    return points.where(F.greatest(*[F.col(n).isNull().cast("int") for n in names]) == 0).select(*by, *names)
+
+
+def affine_fits(points: DataFrame, *by: str) -> DataFrame:
+    """D13. For each group of point pairs (x, y) -> (u, v): n, the coefficients of u = a x + b y + c and v = d x + e y + f by least squares, and the greatest residual.
+
+    Coefficients come from sums about the means (one partial aggregation and one more for the means); null where the points lie on a line. The residual takes one
+    further pass over the points.
+    """
+    good = _good(points, by)
+    means = good.groupBy(*by).agg(*[F.avg(n).alias(m) for m, n in MEANS.items()], F.count("*").alias("n"))
+    sums = good.join(means, list(by)).groupBy(*by).agg(*[F.first(m).alias(m) for m in (*MEANS, "n")], *[F.sum(F.expr(e)).alias(n) for n, e in CENTRED_SUMS.items()])
+    return _with_residual(good, with_affine(sums).select(*by, "n", "a", "b", "c", "d", "e", "f"), by, *AFFINE_MAP)
 
 
 def similarity_fits(points: DataFrame, *by: str) -> DataFrame:
     """D13. For each group of point pairs (x, y) -> (u, v): n, scale and shifts of u = scale x + tx and v = scale y + ty by least squares, and the greatest residual."""
-    names = ["x", "y", "u", "v"]
-    good = points.where(F.greatest(*[F.col(n).isNull().cast("int") for n in names]) == 0).select(*by, *names)
-    s = good.groupBy(*by).agg(F.count("*").alias("n"), *[F.sum(n).alias(f"s{n}") for n in names], F.sum(F.expr("x * x + y * y")).alias("q"), F.sum(F.expr("x * u + y * v")).alias("p"))
-    spread = F.expr("n * q - sx * sx - sy * sy")
-    fit = s.withColumn("scale", F.when(spread > 0, F.expr("n * p - sx * su - sy * sv") / spread))
-    fit = fit.select(*by, "n", "scale", F.expr("(su - scale * sx) / n").alias("tx"), F.expr("(sv - scale * sy) / n").alias("ty"))
-    return _with_residual(good, fit, by, "scale * x + tx", "scale * y + ty")
+    good = _good(points, by)
+    sums = good.groupBy(*by).agg(*[F.sum(F.expr(e)).alias(n) for n, e in SIMILARITY_SUMS.items()])
+    return _with_residual(good, with_similarity(sums).select(*by, "n", "scale", "tx", "ty"), by, *SIMILARITY_MAP)
 
 
 def _with_residual(points: DataFrame, fit: DataFrame, by: tuple, u: str, v: str) -> DataFrame:

@@ -82,6 +82,13 @@ def test_affine_consensus(spark):
     assert (got["line"].status, got["line"].inliers, got["line"].a) == ("no consensus", 0, None)  # points on a line span no triangle
 
 
+def test_hypotheses_are_searched_once(spark):
+    """The best hypothesis is read once: not anew for each count, sum and residual of the matches that agree with it."""
+    rows = spark.createDataFrame(sheets(), MATCHES)
+    for fit in (fits.similarity_consensus(rows, "pair"), fits.affine_consensus(rows, "pair")):
+        assert fit._jdf.queryExecution().optimizedPlan().toString().count("max_by(") == 1
+
+
 def test_sampled_windows(spark):
     rows = spark.createDataFrame([("a", 1000, 500), ("b", 100, 500)], "key string, width int, height int")
     got = [(r.window, r.x, r.y) for r in fits.sample_windows(rows, "key", [0.0, 0.5, 0.95], [0.5], 192).orderBy("window").collect()]
