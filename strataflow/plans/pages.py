@@ -79,7 +79,7 @@ def image_references(spark, sf_dir):
 
 
 def _histories(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.year(F.col("o_orderdate").cast("date")).alias("y"))
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.year(F.col("o_orderdate").cast("date")).alias("y")), "o_orderkey")
     year = lambda n: (F.col("y") + n).cast("string")
     said = [
         F.concat(F.lit("The airport was\nbuilt in "), year(0), F.lit(". The airport was closed in "), year(3), F.lit(" & "), year(4), F.lit(". End")),

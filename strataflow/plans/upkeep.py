@@ -8,7 +8,7 @@ from strataflow.functions import expr as X
 from strataflow.operators import pages as P
 from strataflow.operators import reconcile as R
 from strataflow.operators import resolve as E
-from strataflow.plans.timeline import table
+from strataflow.plans.timeline import spread, table
 
 
 def uploaded_keys(spark, sf_dir):
@@ -80,7 +80,7 @@ def text_evidence(spark, sf_dir):
     text = F.coalesce(F.col("text"), F.lit(""))
     for a, b in _TURNED:
         text = F.replace(text, F.lit(a), F.lit(b))
-    rows = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), F.array(F.lit("none")).alias("words"))
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("doc_id", text.alias("text"), F.array(F.lit("none")).alias("words"))
     return P.with_evidence(rows, "text", "words").select("doc_id", "found.notyet", "found.nolonger", "found.lastseen")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strataflow.operators import pages as P
 from strataflow.plans import pages as pages_plan
+from strataflow.plans import upkeep as upkeep_plan
 
 PAGE = """<!DOCTYPE html><html><head><title> Old <!-- x --> Fields </title><style>p{}</style></head><body>
 <p> One &amp; two <a name=" first ">here</a><!-- gone --> and</p><a name="second"></a><script>var a = "<b>";</script> end <a href="x.HTML">l</a></body></html>"""
@@ -170,3 +171,9 @@ def test_pairs_are_searched_for_once_however_often_they_are_named(spark):
 def test_placed_customers_are_dealt_out(spark):
     """One row group is no single task."""
     assert pages_plan.index_entries(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
+
+
+def test_texts_to_be_searched_are_dealt_out(spark):
+    """Documents and orders of one row group are no single task."""
+    assert upkeep_plan.text_evidence(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
+    assert pages_plan.dated_evidence(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
